@@ -1,0 +1,8 @@
+"""Streaming.
+
+The workload this engine reproduces is a batch full refresh: it has no
+stream sources, watermarks, windows over time or stateful operators, so
+nothing is built here.  Every operator in ``setsim.operators`` is a plain
+DataFrame transformation and can be applied inside ``foreachBatch`` if a
+caller wants to refresh incrementally.
+"""
