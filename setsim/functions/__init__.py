@@ -5,13 +5,17 @@ from setsim.functions.columns import (
     bucket_hash,
     digest28,
     is_blank,
+    n_words,
     nan_to_null,
+    packed_intersection,
+    packed_words,
     ring_window_bits,
     strict_whole_number,
     tanimoto,
+    tanimoto_from_sizes,
 )
 
 __all__ = [
     "BLANK_PATTERN", "bits_to_text", "blank_to_null", "bucket_hash", "digest28", "is_blank",
-    "nan_to_null", "ring_window_bits", "strict_whole_number", "tanimoto",
+    "n_words", "nan_to_null", "packed_intersection", "packed_words", "ring_window_bits", "strict_whole_number", "tanimoto", "tanimoto_from_sizes",
 ]

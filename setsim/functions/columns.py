@@ -81,11 +81,17 @@ def tanimoto(a: str | Column, b: str | Column,
     sizes to avoid recomputing them per pair.
     """
     a, b = col_(a), col_(b)
-    inter = F.size(F.array_intersect(a, b)).cast(T.DoubleType())
-    sa = (size_a if size_a is not None else F.size(a)).cast(T.DoubleType())
-    sb = (size_b if size_b is not None else F.size(b)).cast(T.DoubleType())
-    union = sa + sb - inter
-    return F.when(union == 0, F.lit(1.0)).otherwise(inter / union)
+    inter = F.size(F.array_intersect(a, b))
+    sa = size_a if size_a is not None else F.size(a)
+    sb = size_b if size_b is not None else F.size(b)
+    return tanimoto_from_sizes(inter, sa, sb)
+
+
+def tanimoto_from_sizes(inter: Column, size_a: Column, size_b: Column) -> Column:
+    """Tanimoto from the intersection size and the two set sizes (integers;
+    the union is exact, the quotient is one double division)."""
+    union = size_a.cast(T.LongType()) + size_b.cast(T.LongType()) - inter.cast(T.LongType())
+    return F.when(union == 0, F.lit(1.0)).otherwise(inter.cast(T.DoubleType()) / union.cast(T.DoubleType()))
 
 
 def ring_window_bits(s: str | Column, radius: int, n_bits: int, method: str = "md5") -> Column:
@@ -111,6 +117,42 @@ def ring_window_bits(s: str | Column, radius: int, n_bits: int, method: str = "m
     return F.array_sort(F.array_distinct(bits))
 
 
+def n_words(n_bits: int) -> int:
+    """64-bit words needed for ``n_bits`` positions."""
+    return (int(n_bits) + 63) // 64
+
+
+def packed_words(bits: str | Column, n_bits: int) -> list[Column]:
+    """Pack an on-bit array into ``ceil(n_bits / 64)`` BIGINT words.
+
+    Word ``j`` holds bits ``64j .. 64j+63`` (bit ``b`` is ``1 << (b - 64j)``;
+    bit 63 is the sign bit, which ``bit_count`` counts like any other).  Done
+    once per record; every pair then costs ``AND`` + ``bit_count`` per word.
+    """
+    bits = col_(bits)
+    one = F.lit(1).cast(T.LongType())
+    zero = F.lit(0).cast(T.LongType())
+
+    def merge_for(j: int):
+        lo, hi = 64 * j, 64 * (j + 1)
+
+        def merge(acc: Column, b: Column) -> Column:
+            hit = (b >= lo) & (b < hi)
+            return acc.bitwiseOR(F.when(hit, F.call_function("shiftleft", one, (b - lo).cast("int"))).otherwise(zero))
+        return merge
+
+    return [F.aggregate(bits, zero, merge_for(j)) for j in range(n_words(n_bits))]
+
+
+def packed_intersection(a_words: list[Column], b_words: list[Column]) -> Column:
+    """|A ∩ B| of two packed fingerprints: Σ bit_count(a_j & b_j)."""
+    terms = [F.bit_count(a.bitwiseAND(b)).cast(T.LongType()) for a, b in zip(a_words, b_words)]
+    total = terms[0]
+    for t in terms[1:]:
+        total = total + t
+    return total
+
+
 def bits_to_text(c: str | Column) -> Column:
     """Comma-joined on-bits, for stable comparison of array results."""
     return F.array_join(F.transform(col_(c), lambda x: x.cast("string")), ",")

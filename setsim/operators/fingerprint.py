@@ -58,13 +58,18 @@ def valid_structures(df: DataFrame, col: str = "canonical_smiles",
 def fingerprint_structures(structures: DataFrame, id_col: str = "chembl_id",
                            col: str = "canonical_smiles", radius: int = DEFAULT_RADIUS,
                            n_bits: int = DEFAULT_N_BITS, valid_pattern: str | None = None,
-                           method: str = "md5") -> DataFrame:
+                           method: str = "md5", partitions: int | None = None) -> DataFrame:
     """fingerprints of the valid structures only (invalid rows dropped).
 
-    The failure count is ``fingerprint_counts`` (or the Observation of the
-    export); this keeps the operator a pure, lazy DataFrame.
+    Validity is tested on the string (cheap) before any hashing.  With
+    ``partitions``, the valid rows are hash-partitioned by id first so the
+    hashing — the expensive part — runs on that many tasks whatever the
+    layout of the input (a few large files, a broadcast join, …).  The
+    failure count is ``fingerprint_counts`` (or the export's Observation).
     """
-    valid = valid_structures(structures, col, valid_pattern)
+    valid = valid_structures(structures, col, valid_pattern).select(id_col, col)
+    if partitions:
+        valid = valid.repartition(int(partitions), id_col)
     return valid.select(F.col(id_col).alias("chembl_id"),
                         ring_window_bits(F.col(col), radius, n_bits, method).alias(BITS_COL))
 

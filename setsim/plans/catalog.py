@@ -71,9 +71,8 @@ class Workspace:
     def fingerprints(self) -> DataFrame:
         if "fingerprints" not in self._made:
             path = scratch_path(self.spark, "fingerprints")
-            fp_all = fingerprint.string_fingerprint(self.structures)
-            parts = self.spark.sparkContext.defaultParallelism * 2
-            written, _ = writers.export_fingerprints(fp_all, path, partitions=parts)
+            written, _ = writers.export_fingerprints(self.structures, path,
+                                                     partitions=similarity.target_partitions(self.spark))
             self.n_fingerprints = written
             self._made["fingerprints"] = (self.spark.read.parquet(path) if written
                                           else self.spark.createDataFrame([], schemas.FINGERPRINTS))
@@ -188,7 +187,7 @@ def q_topk_similarity(spark, d):
 def q_fingerprints_export(spark, d):
     ws = _ws(spark, d)
     path = scratch_path(spark, "fingerprints_export")
-    written, _ = writers.export_fingerprints(fingerprint.fingerprint_batch(ws.structures), path)
+    written, _ = writers.export_fingerprints(ws.structures, path, partitions=similarity.target_partitions(spark))
     if not written:
         return spark.createDataFrame([], "chembl_id string, fingerprint_on_bits string")
     return _text_bits(spark.read.parquet(path), "chembl_id")

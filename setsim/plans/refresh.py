@@ -10,6 +10,8 @@ from files instead of recomputation.
 
 from __future__ import annotations
 
+import time
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +30,15 @@ class RefreshResult:
     views: dict[str, DataFrame] = field(default_factory=dict)
     fingerprint_failures: int = 0
     fk_violations: int = 0
+    seconds: dict[str, float] = field(default_factory=dict)
+
+    @contextmanager
+    def timed(self, step: str):
+        t0 = time.perf_counter()
+        try:
+            yield
+        finally:
+            self.seconds[step] = round(time.perf_counter() - t0, 3)
 
     def report(self, spark: SparkSession) -> DataFrame:
         """``(table_name, row_count)`` of every output."""
@@ -51,13 +62,15 @@ def full_refresh(spark: SparkSession, release: dict[str, DataFrame], out_dir: st
     join = writers._join
 
     # K3: extract the release.
-    ingest = writers.run_ingestion(release, join(out, "ingested"))
+    with res.timed("ingest"):
+        ingest = writers.run_ingestion(release, join(out, "ingested"))
     for name, (_, rows) in ingest.items():
         res.counts[f"ingested/{name}"] = rows
 
     # Conformed bronze tables, written and read back.
-    bronze, counts = conform.run_load(readers.read_release(spark, join(out, "ingested")),
-                                      join(out, "bronze"), on_violation)
+    with res.timed("load_bronze"):
+        bronze, counts = conform.run_load(readers.read_release(spark, join(out, "ingested")),
+                                          join(out, "bronze"), on_violation)
     for name, rows in counts.items():
         res.counts[f"bronze.{name}"] = rows
     res.tables.update({f"bronze.{n}": t for n, t in bronze.items()})
@@ -65,16 +78,18 @@ def full_refresh(spark: SparkSession, release: dict[str, DataFrame], out_dir: st
 
     # Dimension.
     dim_path = join(out, "gold/dim_molecule")
-    res.counts["gold.dim_molecule"] = writers.write_counted(mart.populate_dim_molecule(md, cp, cs), dim_path)
+    with res.timed("dim_molecule"):
+        res.counts["gold.dim_molecule"] = writers.write_counted(mart.populate_dim_molecule(md, cp, cs), dim_path)
     dim = spark.read.parquet(dim_path)
     res.tables["gold.dim_molecule"] = dim
 
     # F3 + K4, once: every later step reads the written fingerprints.
     structures = readers.fetch_structures(md, cs)
-    fp_all = fingerprint.string_fingerprint(structures, radius=radius, n_bits=n_bits, method=method)
     fp_path = join(out, "fingerprints")
-    n_fp = spark.sparkContext.defaultParallelism * 2
-    written, failed = writers.export_fingerprints(fp_all, fp_path, partitions=n_fp)
+    with res.timed("fingerprints"):
+        written, failed = writers.export_fingerprints(
+            structures, fp_path, partitions=similarity.target_partitions(spark),
+            radius=radius, n_bits=n_bits, method=method)
     res.counts["fingerprints"] = written
     res.fingerprint_failures = failed
     if written == 0:
@@ -85,27 +100,29 @@ def full_refresh(spark: SparkSession, release: dict[str, DataFrame], out_dir: st
     # T2 + T5 + L8: sources, top-k, fact.
     sources = similarity.select_source_molecules(fps, count)
     parts = similarity.target_partitions(spark, written, count)
-    top = similarity.compute_top_k(sources, fps, k, count, n_bits, parts)
-    # The fact is staged (bounded: count × k rows) so the FK check reads the
-    # written rows instead of recomputing the search.
-    staged, _ = mart.write_fact_similarity(top, join(out, "gold/_fact_staged"))
-    bad = quality.fk_violations(staged, dim).select("source_chembl_id", "target_chembl_id").distinct()
-    res.fk_violations = bad.count()
-    if fk_mode == "fail" and res.fk_violations:
-        raise ValueError(f"fact_similarity: {res.fk_violations} rows break the FK to dim_molecule")
-    if fk_mode == "drop" and res.fk_violations:
-        staged = staged.join(F.broadcast(bad), ["source_chembl_id", "target_chembl_id"], "left_anti")
-    fact, rows = mart.write_fact_similarity(staged, join(out, "gold/fact_similarity"))
+    with res.timed("top_k_fact"):
+        top = similarity.compute_top_k(sources, fps, k, count, n_bits, parts)
+        # The fact is staged (bounded: count × k rows) so the FK check reads
+        # the written rows instead of recomputing the search.
+        staged, _ = mart.write_fact_similarity(top, join(out, "gold/_fact_staged"))
+        bad = quality.fk_violations(staged, dim).select("source_chembl_id", "target_chembl_id").distinct()
+        res.fk_violations = bad.count()
+        if fk_mode == "fail" and res.fk_violations:
+            raise ValueError(f"fact_similarity: {res.fk_violations} rows break the FK to dim_molecule")
+        if fk_mode == "drop" and res.fk_violations:
+            staged = staged.join(F.broadcast(bad), ["source_chembl_id", "target_chembl_id"], "left_anti")
+        fact, rows = mart.write_fact_similarity(staged, join(out, "gold/fact_similarity"))
     res.counts["gold.fact_similarity"] = rows
     res.tables["gold.fact_similarity"] = fact
 
     # T3 + K5: full score tables, one directory per source.
     if full_tables:
-        full = similarity.compute_full_similarity(sources, fps, count, n_bits, parts)
-        res.counts["full_similarity"] = writers.write_full_similarity(
-            full, join(out, "full_similarity"), n_targets=written, n_sources=count)
+        with res.timed("full_similarity"):
+            full = similarity.compute_full_similarity(sources, fps, count, n_bits, parts)
+            res.counts["full_similarity"] = writers.write_full_similarity(
+                full, join(out, "full_similarity"), n_targets=written, n_sources=count)
 
-    # K7: views.
+    # K7: views (published as temp views; evaluated by their readers).
     if pivot_ids is None:
         pivot_ids = [r[0] for r in sources.select("chembl_id").orderBy("chembl_id").limit(10).collect()]
     res.views = mart.create_views(fact, dim, pivot_ids)

@@ -66,24 +66,28 @@ def run_ingestion(release: dict[str, DataFrame], output_dir: str,
     return report
 
 
-def export_fingerprints(fingerprints: DataFrame, path: str, partitions: int | None = None) -> tuple[int, int]:
-    """K4: write ``(chembl_id, fingerprint_on_bits)`` and return ``(written, failed)``.
-
-    ``fingerprints`` holds every input row with NULL bits where the structure
-    was invalid; those are counted, not written.  An input without any valid
-    row writes nothing.  Rows are hash-partitioned by id and sorted inside
-    each file, which is the layout the similarity join reads back.
+def export_fingerprints(structures: DataFrame, path: str, partitions: int | None = None,
+                        id_col: str = "chembl_id", col: str = "canonical_smiles",
+                        **fingerprint_kw) -> tuple[int, int]:
+    """K4: fingerprint ``structures`` and write ``(chembl_id, fingerprint_on_bits)``;
+    returns ``(written, failed)``.
+
+    One pass: an Observation counts valid and invalid structures while the
+    valid ones are hashed and written.  Validity is a test on the string, so
+    the emptiness probe (no valid row -> no output at all) hashes nothing.
+    Rows are hash-partitioned by id before hashing (``partitions`` tasks) and
+    sorted by id inside each file.
     """
+    from setsim.operators.fingerprint import fingerprint_structures, is_valid_structure
+
     obs = Observation("fingerprint_export")
-    valid = F.col("fingerprint_on_bits").isNotNull()
-    counted = fingerprints.observe(obs, F.count(F.when(valid, 1)).alias("written"),
-                                   F.count(F.when(~valid, 1)).alias("failed"))
-    out = counted.filter(valid).select("chembl_id", "fingerprint_on_bits")
-    if fingerprints.filter(valid).select("chembl_id").isEmpty():
-        failed = fingerprints.filter(~valid).count()
-        return 0, int(failed)
-    if partitions:
-        out = out.repartition(int(partitions), "chembl_id")
+    pattern = fingerprint_kw.get("valid_pattern")
+    flagged = structures.select(id_col, col, is_valid_structure(col, pattern).alias("_valid"))
+    observed = flagged.observe(obs, F.count(F.when(F.col("_valid"), 1)).alias("written"),
+                               F.count(F.when(~F.col("_valid"), 1)).alias("failed"))
+    if flagged.filter(F.col("_valid")).select(id_col).isEmpty():
+        return 0, int(flagged.count())
+    out = fingerprint_structures(observed, id_col, col, partitions=partitions, **fingerprint_kw)
     out.sortWithinPartitions("chembl_id").write.mode("overwrite").parquet(path)
     got = obs.get
     return int(got["written"]), int(got["failed"])
