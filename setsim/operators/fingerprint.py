@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from setsim.functions import bucket_hash, digest28, is_blank, ring_window_bits
+from setsim.session import materialize
 
 # Fixed defaults of the reference: radius 2, 2,048 bits.
 DEFAULT_RADIUS = 2
@@ -108,7 +109,7 @@ def _pad10(c: Column) -> Column:
 
 
 def graph_fingerprint(nodes: DataFrame, edges: DataFrame, radius: int = DEFAULT_RADIUS,
-                      n_bits: int = DEFAULT_N_BITS) -> DataFrame:
+                      n_bits: int = DEFAULT_N_BITS, materialize_rounds: bool = True) -> DataFrame:
     """``(graph_id, fingerprint_on_bits)`` for labelled graphs.
 
     ``nodes(graph_id, node_id, label)``, ``edges(graph_id, a, b)`` (undirected).
@@ -120,32 +121,39 @@ def graph_fingerprint(nodes: DataFrame, edges: DataFrame, radius: int = DEFAULT_
     costs no more memory than any other.  The fingerprint is the set of all
     identifiers of all rounds modulo ``n_bits``; a graph's bit set has at most
     ``n_bits`` members, so its partial aggregate is bounded too.
+
+    With ``materialize_rounds`` (default) the directed edge list and each
+    round's identifiers are written to the shared checkpoint folder, so the
+    plan of round k does not contain rounds 0..k-1 (eager: runs jobs).
     """
-    ids = nodes.select("graph_id", "node_id",
-                       digest28(F.concat(F.lit("0|"), F.col("label"))).alias("h"))
-    both = (edges.select("graph_id", F.col("a").alias("node_id"), F.col("b").alias("nbr"))
-            .unionByName(edges.select("graph_id", F.col("b").alias("node_id"), F.col("a").alias("nbr"))))
-    rounds = [ids.select("graph_id", "h")]
-    current = ids
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name) if materialize_rounds else df
+
+    modulus = F.lit(n_bits).cast("bigint")
+    current = keep(nodes.select("graph_id", "node_id",
+                                digest28(F.concat(F.lit("0|"), F.col("label"))).alias("h")), "graph_round0")
+    both = keep(edges.select("graph_id", F.col("a").alias("node_id"), F.col("b").alias("nbr"))
+                .unionByName(edges.select("graph_id", F.col("b").alias("node_id"), F.col("a").alias("nbr"))),
+                "graph_edges")
+    bit_parts = [current.select("graph_id", F.pmod("h", modulus).alias("bit"))]
     for k in range(1, radius + 1):
         nbr_ids = current.select("graph_id", F.col("node_id").alias("nbr"),
                                  digest28(_pad10(F.col("h"))).alias("nh"))
         agg = (both.join(nbr_ids, ["graph_id", "nbr"])
                .groupBy("graph_id", "node_id")
                .agg(F.count(F.lit(1)).alias("deg"), F.sum("nh").alias("nsum")))
-        nxt = (current.join(agg, ["graph_id", "node_id"], "left")
-               .select("graph_id", "node_id",
-                       digest28(F.concat_ws("|", F.lit(str(k)), F.col("h").cast("string"),
-                                            F.coalesce(F.col("deg"), F.lit(0)).cast("string"),
-                                            F.coalesce(F.col("nsum"), F.lit(0)).cast("string"))).alias("h")))
-        rounds.append(nxt.select("graph_id", "h"))
-        current = nxt
-    allh = rounds[0]
-    for r in rounds[1:]:
-        allh = allh.unionByName(r)
-    bits = allh.select("graph_id", F.pmod(F.col("h"), F.lit(n_bits).cast("bigint")).alias("bit"))
-    return (bits.groupBy("graph_id")
-            .agg(F.array_sort(F.collect_set("bit")).alias(BITS_COL)))
+        key = F.concat_ws("|", F.lit(str(k)), F.col("h").cast("string"),
+                          F.coalesce(F.col("deg"), F.lit(0)).cast("string"),
+                          F.coalesce(F.col("nsum"), F.lit(0)).cast("string"))
+        current = keep(current.join(agg, ["graph_id", "node_id"], "left")
+                       .select("graph_id", "node_id", digest28(key).alias("h")), f"graph_round{k}")
+        bit_parts.append(current.select("graph_id", F.pmod("h", modulus).alias("bit")))
+    bits = bit_parts[0]
+    for part in bit_parts[1:]:
+        bits = bits.unionByName(part)
+    # collect_set is partially aggregated per task and holds at most n_bits
+    # values per graph, whatever the graph's size.
+    return bits.groupBy("graph_id").agg(F.array_sort(F.collect_set("bit")).alias(BITS_COL))
 
 
 __all__ = [

@@ -58,9 +58,12 @@ def pack_fingerprints(fingerprinted: DataFrame, n_bits: int = DEFAULT_N_BITS) ->
     """
     if PACKED_PREFIX + "0" in fingerprinted.columns:
         return fingerprinted
+    # Declared non-nullable (coalesce with a literal): the pair loop then
+    # carries no null branches, which keeps its generated code small.
+    zero = F.lit(0).cast("bigint")
     words = packed_words(BITS_COL, n_bits)
-    return fingerprinted.select("chembl_id", F.size(BITS_COL).alias("n_on"),
-                                *[w.alias(f"{PACKED_PREFIX}{j}") for j, w in enumerate(words)])
+    return fingerprinted.select("chembl_id", F.coalesce(F.size(BITS_COL), F.lit(0)).alias("n_on"),
+                                *[F.coalesce(w, zero).alias(f"{PACKED_PREFIX}{j}") for j, w in enumerate(words)])
 
 
 def word_count(packed: DataFrame) -> int:
@@ -101,7 +104,8 @@ def target_partitions(spark, n_targets: int | None = None, n_sources: int = DEFA
 
 
 def score_pairs(sources: DataFrame, targets: DataFrame, n_sources: int = DEFAULT_SOURCE_COUNT,
-                n_bits: int = DEFAULT_N_BITS, partitions: int | None = None) -> DataFrame:
+                n_bits: int = DEFAULT_N_BITS, partitions: int | None = None,
+                broadcast_bytes: int | None = None) -> DataFrame:
     """T3 core: ``(source_chembl_id, target_chembl_id, similarity_score)`` for
     every source against every target with a different id (M6).
 
@@ -117,7 +121,7 @@ def score_pairs(sources: DataFrame, targets: DataFrame, n_sources: int = DEFAULT
     # nested-loop join, the packing would be re-evaluated for every pair.
     tgt = _side(pack_fingerprints(targets, n_bits).repartition(int(partitions), "chembl_id"), "target")
     src = _side(pack_fingerprints(sources, n_bits), "source")
-    limit = broadcast_limit(spark)
+    limit = broadcast_bytes if broadcast_bytes is not None else broadcast_limit(spark)
     if source_bytes_bound(n_sources, n_bits) <= limit:
         return _pairs(src, tgt)
     # Too many sources for one broadcast: number them and run bounded chunks.

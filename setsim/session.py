@@ -66,6 +66,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/setsim/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: cuts the lineage (a lost executor re-reads files instead of
+    recomputing the plan) and gives later stages real file statistics."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.sparkContext.defaultParallelism))
 
