@@ -68,26 +68,35 @@ def run_ingestion(release: dict[str, DataFrame], output_dir: str,
 
 def export_fingerprints(structures: DataFrame, path: str, partitions: int | None = None,
                         id_col: str = "chembl_id", col: str = "canonical_smiles",
-                        **fingerprint_kw) -> tuple[int, int]:
+                        radius: int | None = None, n_bits: int | None = None,
+                        valid_pattern: str | None = None, method: str = "md5") -> tuple[int, int]:
     """K4: fingerprint ``structures`` and write ``(chembl_id, fingerprint_on_bits)``;
     returns ``(written, failed)``.
 
-    One pass: an Observation counts valid and invalid structures while the
-    valid ones are hashed and written.  Validity is a test on the string, so
-    the emptiness probe (no valid row -> no output at all) hashes nothing.
-    Rows are hash-partitioned by id before hashing (``partitions`` tasks) and
-    sorted by id inside each file.
+    One pass.  Rows are hash-partitioned by id first (``partitions`` tasks,
+    so the hashing runs on all of them whatever the input layout); the
+    Observation that counts valid and invalid structures sits after that
+    exchange, in the write's own stage, where Spark applies each task's
+    update once even if a lost executor forces earlier stages to re-run.
+    Validity is a test on the string, so the emptiness probe (no valid row
+    -> no output at all) hashes nothing.
     """
-    from setsim.operators.fingerprint import fingerprint_structures, is_valid_structure
+    from setsim.operators.fingerprint import DEFAULT_N_BITS, DEFAULT_RADIUS, is_valid_structure
+    from setsim.functions import ring_window_bits
 
+    radius = DEFAULT_RADIUS if radius is None else radius
+    n_bits = DEFAULT_N_BITS if n_bits is None else n_bits
+    flagged = structures.select(id_col, col, is_valid_structure(col, valid_pattern).alias("_valid"))
+    if flagged.filter(F.col("_valid")).select(id_col).isEmpty():
+        return 0, int(flagged.count())
+    if partitions:
+        flagged = flagged.repartition(int(partitions), id_col)
     obs = Observation("fingerprint_export")
-    pattern = fingerprint_kw.get("valid_pattern")
-    flagged = structures.select(id_col, col, is_valid_structure(col, pattern).alias("_valid"))
     observed = flagged.observe(obs, F.count(F.when(F.col("_valid"), 1)).alias("written"),
                                F.count(F.when(~F.col("_valid"), 1)).alias("failed"))
-    if flagged.filter(F.col("_valid")).select(id_col).isEmpty():
-        return 0, int(flagged.count())
-    out = fingerprint_structures(observed, id_col, col, partitions=partitions, **fingerprint_kw)
+    out = observed.filter(F.col("_valid")).select(
+        F.col(id_col).alias("chembl_id"),
+        ring_window_bits(F.col(col), radius, n_bits, method).alias("fingerprint_on_bits"))
     out.sortWithinPartitions("chembl_id").write.mode("overwrite").parquet(path)
     got = obs.get
     return int(got["written"]), int(got["failed"])
