@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from setsim import schemas
 from setsim.functions import blank_to_null, nan_to_null, strict_whole_number
 from setsim.schemas import TableSpec
-from setsim.sources.writers import _join, write_counted
+from setsim.sources.writers import _join, run_concurrently, write_counted
 
 ON_VIOLATION = ("fail", "drop", "report")
 
@@ -114,10 +114,14 @@ LOADERS = {
 def run_load(release: dict[str, DataFrame], output_dir: str | None = None,
              on_violation: str = "fail") -> tuple[dict[str, DataFrame], dict[str, int | None]]:
     """Load all four tables; returns the tables and their row counts."""
-    tables, counts = {}, {}
-    for name in LOADERS:
+    def one(name: str):
         path = _join(output_dir, name) if output_dir else None
-        tables[name], counts[name] = load_table(release[name], schemas.BRONZE[name], path, on_violation)
+        return name, load_table(release[name], schemas.BRONZE[name], path, on_violation)
+
+    # Independent tables: their write jobs run concurrently.
+    tables, counts = {}, {}
+    for name, (table, rows) in run_concurrently(one, list(LOADERS)):
+        tables[name], counts[name] = table, rows
     return tables, counts
 
 
