@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from setsim import fixtures  # noqa: E402
 from setsim.operators import fingerprint, similarity  # noqa: E402
 from setsim.plans.refresh import full_refresh  # noqa: E402
-from setsim.session import get_spark  # noqa: E402
+from setsim.session import get_spark, materialize  # noqa: E402
 
 
 def _noop(df) -> None:
@@ -72,8 +72,7 @@ def main() -> None:
     times["warm_fingerprints"] = round(warm_fp, 3)
     times["warm_score_all_pairs"] = round(warm_pairs, 3)
     t = time.perf_counter()
-    nodes = fixtures.binding(spark, sf_dir, "graph_nodes")
-    edges = fixtures.binding(spark, sf_dir, "graph_edges")
+    nodes, edges = fixtures.graph_inputs(spark, sf_dir, keep=materialize)
     _noop(fingerprint.graph_fingerprint(nodes, edges))
     times["graph_fingerprint"] = round(time.perf_counter() - t, 3)
 

@@ -87,14 +87,34 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name)).select(*_SCAN_COLUMNS[name])
 
 
-def binding(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One binding as a DataFrame (lazy; Spark prunes and pushes down)."""
+def binding(spark: SparkSession, sf_dir: str, name: str, inputs: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One binding as a DataFrame (lazy; Spark prunes and pushes down).
+
+    ``inputs`` supplies already-built dependencies (e.g. written graph nodes
+    for the edge binding) instead of re-deriving them.
+    """
+    inputs = inputs or {}
     args = {}
     for dep in RAW_INPUTS[name]:
-        args[dep] = binding(spark, sf_dir, dep) if dep in RAW_SQL else driver_table(spark, sf_dir, dep)
+        if dep in inputs:
+            args[dep] = inputs[dep]
+        elif dep in RAW_SQL:
+            args[dep] = binding(spark, sf_dir, dep)
+        else:
+            args[dep] = driver_table(spark, sf_dir, dep)
     return spark.sql(RAW_SQL[name], **args)
 
 
+def graph_inputs(spark: SparkSession, sf_dir: str, keep=None) -> tuple[DataFrame, DataFrame]:
+    """``(nodes, edges)`` of the graph binding; with ``keep`` (e.g. the
+    ``materialize`` helper) the node numbering is computed once and the edges
+    are derived from the kept nodes."""
+    nodes = binding(spark, sf_dir, "graph_nodes")
+    if keep is not None:
+        nodes = keep(nodes, "graph_nodes")
+    return nodes, binding(spark, sf_dir, "graph_edges", {"graph_nodes": nodes})
+
+
 def raw_release(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four release extracts, keyed by table name (without ``raw_``)."""
     names = ("chembl_id_lookup", "molecule_dictionary", "compound_properties", "compound_structures")

@@ -23,7 +23,7 @@ from setsim.functions import bits_to_text
 from setsim.operators import conform, fingerprint, mart, quality, similarity
 from setsim.plans.oracle import PIVOT_IDS
 from setsim.plans.refresh import full_refresh
-from setsim.session import scratch_path
+from setsim.session import materialize, scratch_path
 from setsim.sources import readers, writers
 
 COUNT = similarity.DEFAULT_SOURCE_COUNT
@@ -252,8 +252,7 @@ def q_fingerprint_bit_counts(spark, d):
 
 
 def q_graph_fingerprint(spark, d):
-    nodes = fixtures.binding(spark, d, "graph_nodes")
-    edges = fixtures.binding(spark, d, "graph_edges")
+    nodes, edges = fixtures.graph_inputs(spark, d, keep=materialize)
     return _text_bits(fingerprint.graph_fingerprint(nodes, edges), "graph_id")
 
 
