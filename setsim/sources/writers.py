@@ -90,8 +90,7 @@ def export_fingerprints(structures: DataFrame, path: str, partitions: int | None
     Validity is a test on the string, so the emptiness probe (no valid row
     -> no output at all) hashes nothing.
     """
-    from setsim.operators.fingerprint import DEFAULT_N_BITS, DEFAULT_RADIUS, is_valid_structure
-    from setsim.functions import ring_window_bits
+    from setsim.operators.fingerprint import DEFAULT_N_BITS, DEFAULT_RADIUS, is_valid_structure, window_bits
 
     radius = DEFAULT_RADIUS if radius is None else radius
     n_bits = DEFAULT_N_BITS if n_bits is None else n_bits
@@ -103,9 +102,7 @@ def export_fingerprints(structures: DataFrame, path: str, partitions: int | None
     obs = Observation("fingerprint_export")
     observed = flagged.observe(obs, F.count(F.when(F.col("_valid"), 1)).alias("written"),
                                F.count(F.when(~F.col("_valid"), 1)).alias("failed"))
-    out = observed.filter(F.col("_valid")).select(
-        F.col(id_col).alias("chembl_id"),
-        ring_window_bits(F.col(col), radius, n_bits, method).alias("fingerprint_on_bits"))
+    out = window_bits(observed.filter(F.col("_valid")), id_col, col, radius, n_bits, method)
     out.sortWithinPartitions("chembl_id").write.mode("overwrite").parquet(path)
     got = obs.get
     return int(got["written"]), int(got["failed"])
