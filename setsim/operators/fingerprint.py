@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from setsim.functions import bucket_hash, digest28, is_blank, ring_window_bits
+from setsim.functions import bucket_hash, digest28, is_blank
 from setsim.session import materialize
 
 # Fixed defaults of the reference: radius 2, 2,048 bits.

@@ -120,3 +120,17 @@ def test_pk_and_fk_checks(spark):
     with pytest.raises(ValueError):
         quality.enforce(quality.fk_violations(fact, dim), what="FK")
     assert PySparkException is not None
+
+
+def test_cli_refresh_reports_counts(spark, capsys):
+    import json
+    from conftest import SF_SMOKE
+    from setsim.__main__ import main
+    assert main(["--sf-dir", SF_SMOKE, "--fk-mode", "report", "--no-full-tables"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["rows"]["gold.fact_similarity"] == 1000
+    # Every fetched structure is either fingerprinted or counted as failed; the
+    # fetch is a subset of the bronze structures (NULL structures never fetch).
+    assert 0 < out["rows"]["fingerprints"]
+    assert out["rows"]["fingerprints"] + out["fingerprint_failures"] <= out["rows"]["bronze.compound_structures"]
+    assert "full_similarity" not in out["rows"]
