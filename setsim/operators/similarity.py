@@ -86,6 +86,16 @@ def broadcast_limit(spark) -> int:
     return max(val, 8 * 1024 * 1024)
 
 
+def check_bound(sources: DataFrame, n_sources: int) -> None:
+    """Prove the declared bound of the broadcast side before broadcasting it:
+    reads at most ``n_sources + 1`` rows; more rows than declared is an error
+    (never silently truncated)."""
+    seen = sources.limit(int(n_sources) + 1).count()
+    if seen > int(n_sources):
+        raise ValueError(f"sources exceed their declared bound of {n_sources} rows; "
+                         "pass the real bound (chunked broadcast handles large ones)")
+
+
 def _side(packed: DataFrame, role: str) -> DataFrame:
     w = word_count(packed)
     return packed.select(F.col("chembl_id").alias(f"{role}_chembl_id"), F.col("n_on").alias(f"{role}_n_on"),
@@ -115,6 +125,7 @@ def score_pairs(sources: DataFrame, targets: DataFrame, n_sources: int = DEFAULT
     from it, never from the data.
     """
     spark = sources.sparkSession
+    check_bound(sources, n_sources)
     if partitions is None:
         partitions = target_partitions(spark, None, n_sources)
     # The exchange after packing matters: in one codegen stage with the

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from setsim.operators import conform, fingerprint, mart, quality, similarity
-from setsim.session import scratch_path
+from setsim.session import materialize, scratch_path
 from setsim.sources import readers, writers
 
 
@@ -101,7 +101,9 @@ def full_refresh(spark: SparkSession, release: dict[str, DataFrame], out_dir: st
     # full tables are produced, every pair is scored exactly once: the fact
     # is ranked from the written scores (a partial WindowGroupLimit per file,
     # k+1 rows per source and task shuffled) instead of re-scoring them.
-    sources = similarity.select_source_molecules(fps, count)
+    # The selected sources are written once (count rows) and shared by the
+    # full tables, the fact and the views.
+    sources = materialize(similarity.select_source_molecules(fps, count), "sources")
     parts = similarity.target_partitions(spark, written, count)
     if full_tables:
         full_path = join(out, "full_similarity")

@@ -156,3 +156,9 @@ def test_two_hop_matches_brute_force(spark):
         m, ms = best(src)
         n, ns = best(m)
         assert got[src] == (m, ms, n, ns)
+
+
+def test_broadcast_bound_is_checked_not_truncated(spark):
+    fps = fps_frame(spark, [(f"ID{i}", [i]) for i in range(5)])
+    with pytest.raises(ValueError):
+        similarity.score_pairs(fps, fps, n_sources=3, partitions=2)
