@@ -184,6 +184,34 @@ def rank_top_k(scored: DataFrame, k: int = DEFAULT_K, flag: bool = True) -> Data
             .filter(F.col("rank") <= k))
 
 
+def rank_top_k_prefiltered(scored: DataFrame, k: int = DEFAULT_K, buckets: int = 4096) -> DataFrame:
+    """T4 over a *stored* score table: the same rows and flags as
+    ``rank_top_k``, but only a thin top slice of each source is sorted.
+
+    Pass 1 counts pairs per (source, score bucket) — a partial hash
+    aggregate, no sort, at most ``sources × buckets`` rows out.  For each
+    source the highest bucket whose running count (from the top) reaches k+1
+    is exactly the bucket of the (k+1)-th score: a pair in a higher bucket
+    scores strictly more, and at most k pairs do.  Pass 2 keeps the pairs in
+    that bucket or above (every pair the ranking and the flag can use) and
+    ranks them.  Exact for any data; a bucket full of ties only makes the
+    kept slice larger, never wrong.  Worth it when ``scored`` is read from
+    files (two scans) rather than recomputed.
+    """
+    bucket = F.least(F.floor(F.col("similarity_score") * buckets), F.lit(buckets - 1)).cast("int")
+    hist = scored.select("source_chembl_id", bucket.alias("_b")).groupBy("source_chembl_id", "_b").count()
+    from_top = (Window.partitionBy("source_chembl_id").orderBy(F.col("_b").desc())
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cutoff = (hist.withColumn("_cum", F.sum("count").over(from_top))
+              .filter(F.col("_cum") >= k + 1)
+              .groupBy("source_chembl_id").agg(F.max("_b").alias("_cut")))
+    # At most one cutoff row per source (bounded by the source count).
+    kept = (scored.join(F.broadcast(cutoff), "source_chembl_id", "left")
+            .filter(F.col("_cut").isNull() | (bucket >= F.col("_cut")))
+            .drop("_cut"))
+    return rank_top_k(kept, k)
+
+
 def compute_top_k(sources: DataFrame, targets: DataFrame, k: int = DEFAULT_K,
                   n_sources: int = DEFAULT_SOURCE_COUNT, n_bits: int = DEFAULT_N_BITS,
                   partitions: int | None = None) -> DataFrame:

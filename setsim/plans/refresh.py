@@ -99,8 +99,9 @@ def full_refresh(spark: SparkSession, release: dict[str, DataFrame], out_dir: st
 
     # T2 + T3/K5 + T5/L8: sources, full score tables, top-k fact.  When the
     # full tables are produced, every pair is scored exactly once: the fact
-    # is ranked from the written scores (a partial WindowGroupLimit per file,
-    # k+1 rows per source and task shuffled) instead of re-scoring them.
+    # is ranked from the written scores (a bucket count finds each source's
+    # (k+1)-th score bucket, only that top slice is sorted) instead of
+    # re-scoring them.
     # The selected sources are written once (count rows) and shared by the
     # full tables, the fact and the views.
     sources = materialize(similarity.select_source_molecules(fps, count), "sources")
@@ -112,7 +113,7 @@ def full_refresh(spark: SparkSession, release: dict[str, DataFrame], out_dir: st
             res.counts["full_similarity"] = writers.write_full_similarity(
                 full, full_path, n_targets=written, n_sources=count)
         scores = spark.read.parquet(full_path)
-        top = similarity.rank_top_k(scores, k).select(*mart.FACT_COLUMNS)
+        top = similarity.rank_top_k_prefiltered(scores, k).select(*mart.FACT_COLUMNS)
     else:
         top = similarity.compute_top_k(sources, fps, k, count, n_bits, parts)
     with res.timed("top_k_fact"):

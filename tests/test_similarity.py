@@ -162,3 +162,19 @@ def test_broadcast_bound_is_checked_not_truncated(spark):
     fps = fps_frame(spark, [(f"ID{i}", [i]) for i in range(5)])
     with pytest.raises(ValueError):
         similarity.score_pairs(fps, fps, n_sources=3, partitions=2)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_prefiltered_ranking_equals_plain(spark, seed):
+    import random
+    rnd = random.Random(seed)
+    rows = []
+    for s in range(6):
+        n = rnd.choice([3, 9, 10, 11, 40])               # fewer / exactly / more than k+1
+        for t in range(n):
+            score = rnd.choice([0.0, 0.25, 0.5, 0.5, 0.75, 1.0, rnd.random()])  # many ties
+            rows.append((f"S{s}", f"T{t:03d}", score))
+    df = scored_frame(spark, rows)
+    a = sorted(map(tuple, similarity.rank_top_k(df, 10).collect()))
+    b = sorted(map(tuple, similarity.rank_top_k_prefiltered(df, 10).collect()))
+    assert a == b
