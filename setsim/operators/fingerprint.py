@@ -173,14 +173,18 @@ def graph_fingerprint(nodes: DataFrame, edges: DataFrame, radius: int = DEFAULT_
     for k in range(1, radius + 1):
         nbr_ids = current.select("graph_id", F.col("node_id").alias("nbr"),
                                  digest28(_pad10(F.col("h"))).alias("nh"))
-        agg = (both.join(nbr_ids, ["graph_id", "nbr"])
-               .groupBy("graph_id", "node_id")
-               .agg(F.count(F.lit(1)).alias("deg"), F.sum("nh").alias("nsum")))
-        key = F.concat_ws("|", F.lit(str(k)), F.col("h").cast("string"),
-                          F.coalesce(F.col("deg"), F.lit(0)).cast("string"),
-                          F.coalesce(F.col("nsum"), F.lit(0)).cast("string"))
-        current = keep(current.join(agg, ["graph_id", "node_id"], "left")
-                       .select("graph_id", "node_id", digest28(key).alias("h")), f"graph_round{k}")
+        # One grouping per round: each node's own identifier travels as a
+        # "self" row next to its neighbour rows, so no join back is needed.
+        from_nbrs = both.join(nbr_ids, ["graph_id", "nbr"]).select(
+            "graph_id", "node_id", F.lit(None).cast("bigint").alias("own"), "nh")
+        selves = current.select("graph_id", "node_id", F.col("h").alias("own"),
+                                F.lit(None).cast("bigint").alias("nh"))
+        agg = (from_nbrs.unionByName(selves).groupBy("graph_id", "node_id")
+               .agg(F.max("own").alias("own"), F.count("nh").alias("deg"),
+                    F.coalesce(F.sum("nh"), F.lit(0)).alias("nsum")))
+        key = F.concat_ws("|", F.lit(str(k)), F.col("own").cast("string"),
+                          F.col("deg").cast("string"), F.col("nsum").cast("string"))
+        current = keep(agg.select("graph_id", "node_id", digest28(key).alias("h")), f"graph_round{k}")
         bit_parts.append(current.select("graph_id", F.pmod("h", modulus).alias("bit")))
     bits = bit_parts[0]
     for part in bit_parts[1:]:
