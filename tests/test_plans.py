@@ -1,15 +1,14 @@
 """Plan shape: the properties the design relies on, asserted on the physical plan."""
 
+import contextlib
+import io
+
 from conftest import SF_SMOKE
+from setsim.operators import fingerprint
 from setsim.plans import catalog
 
 
-
-
-
 def _explain(df):
-    import io
-    import contextlib
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain()
@@ -19,7 +18,22 @@ def _explain(df):
 def test_topk_plan(spark):
     text = _explain(catalog.q_topk_similarity(spark, SF_SMOKE))
     assert "BroadcastNestedLoopJoin" in text
-    assert "WindowGroupLimit" in text and "Partial" in text or "WindowGroupLimit" in text
+    # Partial top-(k+1) before the shuffle, final after it.
+    assert "row_number(), 11, Partial" in text and "row_number(), 11, Final" in text
+    assert text.index("row_number(), 11, Final") < text.index("Exchange hashpartitioning(source_chembl_id")
+    assert text.index("Exchange hashpartitioning(source_chembl_id") < text.index("row_number(), 11, Partial")
+    # Targets are packed below their exchange (never inside the join's stage).
+    assert text.index("Exchange hashpartitioning(chembl_id") < text.index("aggregate(fingerprint_on_bits")
+    # Sources: bounded top-n, broadcast.
+    assert "BroadcastExchange IdentityBroadcastMode" in text and "TakeOrderedAndProject(limit=100" in text
+    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
+def test_fingerprint_plan_has_one_exchange(spark):
+    ws = catalog.Workspace.get(spark, SF_SMOKE)
+    text = _explain(fingerprint.fingerprint_structures(ws.structures, partitions=4))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "partial_collect_set" in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
 
 
