@@ -46,6 +46,10 @@ class TableSpec:
 
 S, I, L, D, H, B = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.ShortType(), T.BooleanType()
 
+# Table names, column names, types, keys, VARCHAR limits and
+# whole-number columns of the conformed and mart tables, as the reference
+# defines them (NUMERIC as DOUBLE, see the module docstring).
+
 ID_LOOKUP = TableSpec(
     "chembl_id_lookup",
     (Col("chembl_id", S, max_len=20), Col("entity_type", S, max_len=50),
