@@ -131,3 +131,32 @@ def test_graph_fingerprint_lazy_equals_materialized(spark):
     b = fingerprint.graph_fingerprint(nd, ed, materialize_rounds=False).collect()
     assert a == b
     assert F is not None
+
+
+def _py_graph_bits(nodes, edges, radius=2, n_bits=2048):
+    h = {(g, n): _h28("0|" + lab) for g, n, lab in nodes}
+    allh = {}
+    for (g, _), v in h.items():
+        allh.setdefault(g, set()).add(v % n_bits)
+    nbrs = {}
+    for g, a, b in edges:
+        nbrs.setdefault((g, a), []).append((g, b))
+        nbrs.setdefault((g, b), []).append((g, a))
+    for k in range(1, radius + 1):
+        h = {node: _h28(f"{k}|{own}|{len(nbrs.get(node, []))}|"
+                        f"{sum(_h28(str(h[m]).zfill(10)) for m in nbrs.get(node, []))}")
+             for node, own in h.items()}
+        for (g, _), v in h.items():
+            allh[g].add(v % n_bits)
+    return {g: sorted(v) for g, v in allh.items()}
+
+
+def test_graph_hub_node(spark):
+    # One hub with 200 neighbours: its neighbourhood is a partial sum/count,
+    # not a collected list; the result must still follow the rule exactly.
+    nodes = [(7, 0, "HUB")] + [(7, i, f"L{i % 4}") for i in range(1, 201)]
+    edges = [(7, 0, i) for i in range(1, 201)]
+    nd = spark.createDataFrame(nodes, "graph_id long, node_id int, label string")
+    ed = spark.createDataFrame(edges, "graph_id long, a int, b int")
+    got = {r.graph_id: r.fingerprint_on_bits for r in fingerprint.graph_fingerprint(nd, ed).collect()}
+    assert got == _py_graph_bits(nodes, edges)
