@@ -2,16 +2,20 @@
 
 Plan shape for "score chosen sources against every record":
 
-* the sources are a bounded set (``count`` rows, each at most ``n_bits``
-  bits), so they are broadcast — after an explicit size check; beyond the
-  threshold they are processed in broadcast-sized chunks whose results are
-  unioned, never shipped whole;
-* the targets stream through a BroadcastNestedLoopJoin on ``source <> target``,
-  hash-partitioned by id into enough tasks to spread the pair work;
-* top-k per source is ``row_number() <= k+1`` over ``(score DESC, target)``
-  which Spark plans as a partial WindowGroupLimit *before* the shuffle, so only
-  k+1 rows per source and task are exchanged, then the tie flag is a second
-  window over the same partitioning (no extra exchange).
+* every fingerprint is packed once into ``n_bits/64`` non-nullable BIGINT
+  words, so a pair costs ``W`` AND + ``bit_count`` in generated code;
+* the sources are a bounded set (``count`` rows), so they are broadcast —
+  after the bound is checked on the data; beyond the broadcast threshold they
+  are processed in broadcast-sized chunks whose results are unioned;
+* the targets are packed, hash-partitioned by id into enough tasks to spread
+  the pair work, and stream through a BroadcastNestedLoopJoin on
+  ``source <> target``;
+* top-k per source is ``row_number() <= k+1`` over ``(score DESC, target)``,
+  planned as a partial WindowGroupLimit *before* the shuffle (k+1 rows per
+  source and task are exchanged); the tie flag is a second window over the
+  same partitioning.  Over stored scores, ``rank_top_k_prefiltered`` first
+  finds each source's (k+1)-th score bucket with a hash aggregate and sorts
+  only the slice above it (exact).
 """
 
 from __future__ import annotations
@@ -34,12 +38,12 @@ PACKED_PREFIX = "w"
 
 def select_source_molecules(fingerprinted: DataFrame, count: int = DEFAULT_SOURCE_COUNT,
                             id_col: str = "chembl_id") -> DataFrame:
-    """The first ``count`` fingerprinted rows in id (text) order.
+    """The first ``count`` fingerprinted rows in id (text) order (M5).
 
-    Plans as TakeOrderedAndProject: each task keeps its best ``count`` rows,
-    the driver merges ``count × tasks`` rows.  Pass rows that are *valid*
-    structures (cheap filter) and fingerprint after the limit to avoid
-    hashing everything twice.
+    Takes the fingerprint table, where invalid structures are already absent,
+    so failures are skipped before counting.  Plans as TakeOrderedAndProject:
+    each task keeps its best ``count`` rows and one task merges them, so the
+    result is bounded by ``count`` whatever the table size.
     """
     return fingerprinted.orderBy(F.col(id_col).asc()).limit(int(count))
 
