@@ -73,7 +73,8 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: no footer-reading job to infer it again.
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def default_parallelism(spark: SparkSession) -> int:
