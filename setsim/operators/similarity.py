@@ -107,9 +107,11 @@ def _side(packed: DataFrame, role: str) -> DataFrame:
 
 
 def target_partitions(spark, n_targets: int | None = None, n_sources: int = DEFAULT_SOURCE_COUNT,
-                      pairs_per_task: int = 20_000_000) -> int:
-    """Tasks for the pair stage: enough that each scores ~``pairs_per_task``
-    pairs, and at least the cluster's parallelism."""
+                      pairs_per_task: int = 5_000_000) -> int:
+    """Tasks for the pair stage: at least the cluster's parallelism, and
+    enough that each task scores at most ~``pairs_per_task`` pairs.  5 M pairs
+    keep a task's top-k sort buffer near 200 MB (about 40 bytes per pair row),
+    inside a typical per-task execution-memory share, so it rarely spills."""
     base = max(int(spark.sparkContext.defaultParallelism),
                int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     if n_targets is None:
