@@ -276,6 +276,15 @@ def q_topk_single_source(spark, d):
     return similarity.top_k_single_source(_ws(spark, d).fingerprints(), 5)
 
 
+def q_sample_csv_top5(spark, d):
+    """The sample flow end to end: sample -> CSV -> read -> fingerprint ->
+    top 5 of the first sampled record among the rest of the sample."""
+    path = writers.save_csv(q_sample_structures(spark, d), scratch_path(spark, "sample_flow_csv"))
+    sample = readers.load_molecules_csv(spark, path)
+    fps = fingerprint.fingerprint_structures(sample, partitions=similarity.target_partitions(spark))
+    return similarity.top_k_single_source(fps, 5)
+
+
 # -- views ------------------------------------------------------------------------
 
 def q_avg_similarity_per_source(spark, d):
@@ -352,6 +361,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "full_similarity": q_full_similarity,
         "topk_similarity": q_topk_similarity,
         "topk_single_source": q_topk_single_source,
+        "sample_csv_top5": q_sample_csv_top5,
         "avg_similarity_per_source": q_avg_similarity_per_source,
         "avg_alogp_deviation_per_source": q_avg_alogp_deviation_per_source,
         "similarity_pivot": q_similarity_pivot,

@@ -67,6 +67,8 @@ CTE.update({
         "SELECT md.chembl_id, cs.canonical_smiles FROM molecule_dictionary md "
         "JOIN compound_structures cs ON md.molregno = cs.molregno WHERE cs.canonical_smiles IS NOT NULL"),
     "fp_all": f"SELECT chembl_id, CASE WHEN {_VALID} THEN {_FP} END AS bits FROM structures",
+    "sample": "SELECT chembl_id, canonical_smiles FROM structures ORDER BY chembl_id LIMIT 2000",
+    "sample_fp": f"SELECT chembl_id, {_FP} AS bits FROM sample WHERE {_VALID}",
     "fp": "SELECT chembl_id, bits FROM fp_all WHERE bits IS NOT NULL",
     "src": f"SELECT chembl_id, bits FROM fp ORDER BY chembl_id LIMIT {COUNT}",
     "scored": (
@@ -119,7 +121,7 @@ _DEPS: dict[str, tuple[str, ...]] = {
     "compound_properties": ("raw_compound_properties",),
     "compound_structures": ("raw_compound_structures",),
     "structures": ("molecule_dictionary", "compound_structures"),
-    "fp_all": ("structures",), "fp": ("fp_all",), "src": ("fp",), "scored": ("src", "fp"),
+    "fp_all": ("structures",), "fp": ("fp_all",), "sample": ("structures",), "sample_fp": ("sample",), "src": ("fp",), "scored": ("src", "fp"),
     "ranked": ("scored",), "flagged": ("ranked",), "fact": ("flagged",),
     "dim": ("molecule_dictionary", "compound_properties", "compound_structures"),
     "best": ("fact",), "hop_scored": ("best", "fp"), "hop": ("hop_scored",),
@@ -332,6 +334,13 @@ def oracle_sql() -> dict[str, str]:
             f"(ORDER BY {_tanimoto('s.bits', 't.bits')} DESC, t.chembl_id) AS r "
             "FROM (SELECT * FROM fp ORDER BY chembl_id LIMIT 1) s JOIN fp t ON s.chembl_id <> t.chembl_id) "
             "WHERE r <= 5", "fp"),
+        "sample_csv_top5": with_ctes(
+            "SELECT source_chembl_id, target_chembl_id, similarity_score, CAST(r AS INT) AS rank FROM ("
+            "SELECT s.chembl_id AS source_chembl_id, t.chembl_id AS target_chembl_id, "
+            f"{_tanimoto('s.bits', 't.bits')} AS similarity_score, row_number() OVER "
+            f"(ORDER BY {_tanimoto('s.bits', 't.bits')} DESC, t.chembl_id) AS r "
+            "FROM (SELECT * FROM sample_fp ORDER BY chembl_id LIMIT 1) s JOIN sample_fp t ON s.chembl_id <> t.chembl_id) "
+            "WHERE r <= 5", "sample_fp"),
         # views
         "avg_similarity_per_source": with_ctes(
             f"SELECT source_chembl_id, {_round('avg(similarity_score)')} AS avg_similarity_score FROM fact "
