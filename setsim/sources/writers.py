@@ -120,7 +120,15 @@ def write_full_similarity(scored: DataFrame, uri: str, n_targets: int | None = N
     """
     files_per_source = max(1, math.ceil((n_targets or rows_per_file) / rows_per_file))
     salt = F.pmod(F.xxhash64("target_chembl_id"), F.lit(files_per_source))
-    parts = max(1, n_sources * files_per_source)
+    # Each (source, salt) group lands in exactly one task, so every source
+    # has files_per_source files whatever the task count; tasks are sized to
+    # ~rows_per_file rows, at least the cluster's parallelism, at most one
+    # per group.
+    groups = max(1, n_sources * files_per_source)
+    total = max(1, n_sources * (n_targets or rows_per_file))
+    parallelism = max(int(scored.sparkSession.sparkContext.defaultParallelism),
+                      int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    parts = min(groups, max(parallelism, math.ceil(total / rows_per_file)))
     laid_out = (scored.repartition(parts, F.col("source_chembl_id"), salt)
                 .sortWithinPartitions("source_chembl_id", "target_chembl_id"))
     return write_counted(laid_out.select("source_chembl_id", "target_chembl_id", "similarity_score"), uri,
