@@ -160,3 +160,11 @@ def test_graph_hub_node(spark):
     ed = spark.createDataFrame(edges, "graph_id long, a int, b int")
     got = {r.graph_id: r.fingerprint_on_bits for r in fingerprint.graph_fingerprint(nd, ed).collect()}
     assert got == _py_graph_bits(nodes, edges)
+
+
+def test_column_helper_equals_exploded_operator(spark):
+    from setsim.functions import ring_window_bits
+    df = _structs(spark, [("A", "CC(=O)OC1=CC=CC=C1C(=O)O"), ("B", "x"), ("C", "ab c")])
+    col_form = {r.chembl_id: r.b for r in df.select("chembl_id", ring_window_bits("canonical_smiles", 2, 2048).alias("b")).collect()}
+    op_form = {r.chembl_id: r.fingerprint_on_bits for r in fingerprint.fingerprint_structures(df).collect()}
+    assert col_form == op_form
