@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from setsim.functions import n_words, packed_intersection, packed_words, tanimoto, tanimoto_from_sizes
 from setsim.operators.fingerprint import BITS_COL, DEFAULT_N_BITS
+from setsim.session import default_parallelism
 
 # Fixed defaults of the reference: 100 sources, top 10.
 DEFAULT_SOURCE_COUNT = 100
@@ -112,8 +113,7 @@ def target_partitions(spark, n_targets: int | None = None, n_sources: int = DEFA
     enough that each task scores at most ~``pairs_per_task`` pairs.  5 M pairs
     keep a task's top-k sort buffer near 200 MB (about 40 bytes per pair row),
     inside a typical per-task execution-memory share, so it rarely spills."""
-    base = max(int(spark.sparkContext.defaultParallelism),
-               int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    base = default_parallelism(spark)
     if n_targets is None:
         return base
     return max(base, math.ceil(n_targets * max(1, n_sources) / pairs_per_task))

@@ -23,7 +23,7 @@ from setsim.functions import bits_to_text
 from setsim.operators import conform, fingerprint, mart, quality, similarity
 from setsim.plans.oracle import PIVOT_IDS
 from setsim.plans.refresh import full_refresh
-from setsim.session import materialize, scratch_path
+from setsim.session import app_id, materialize, scratch_path
 from setsim.sources import readers, writers
 
 COUNT = similarity.DEFAULT_SOURCE_COUNT
@@ -46,7 +46,7 @@ class Workspace:
 
     @classmethod
     def get(cls, spark: SparkSession, sf_dir: str) -> "Workspace":
-        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        key = (app_id(spark), os.path.abspath(sf_dir))
         with cls._lock:
             if key not in cls._cache:
                 cls._cache[key] = Workspace(spark, sf_dir)

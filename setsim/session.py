@@ -42,24 +42,42 @@ def get_spark(master: str | None = None, app_name: str = "setsim",
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no context
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint directory; set a local one only if none is set."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         # Unset only in local runs and tests: use a fresh private directory.
         configured = tempfile.mkdtemp(prefix="setsim-ckpt-")
+    if sc is None:
+        spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint directory."""
     base = checkpoint_dir(spark)
@@ -78,7 +96,11 @@ def materialize(df, name: str):
 
 
 def default_parallelism(spark: SparkSession) -> int:
-    return max(1, int(spark.sparkContext.defaultParallelism))
+    """Cluster parallelism: the larger of the default parallelism and the
+    shuffle partition count (the latter alone under Spark Connect)."""
+    sc = _context(spark)
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, shuffle, int(sc.defaultParallelism) if sc is not None else 1)
 
 
 def table_path(sf_dir: str, name: str) -> str:

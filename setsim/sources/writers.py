@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from setsim.session import default_parallelism
 from setsim.sources.readers import EXTRACT_COLUMNS, scan_extract
 
 
@@ -126,8 +127,7 @@ def write_full_similarity(scored: DataFrame, uri: str, n_targets: int | None = N
     # per group.
     groups = max(1, n_sources * files_per_source)
     total = max(1, n_sources * (n_targets or rows_per_file))
-    parallelism = max(int(scored.sparkSession.sparkContext.defaultParallelism),
-                      int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    parallelism = default_parallelism(scored.sparkSession)
     parts = min(groups, max(parallelism, math.ceil(total / rows_per_file)))
     laid_out = (scored.repartition(parts, F.col("source_chembl_id"), salt)
                 .sortWithinPartitions("source_chembl_id", "target_chembl_id"))
