@@ -134,3 +134,25 @@ def test_cli_refresh_reports_counts(spark, capsys):
     assert 0 < out["rows"]["fingerprints"]
     assert out["rows"]["fingerprints"] + out["fingerprint_failures"] <= out["rows"]["bronze.compound_structures"]
     assert "full_similarity" not in out["rows"]
+
+
+def test_not_null_and_length_reports(spark):
+    md = spark.createDataFrame(
+        [(1, "C1", "n", "t", None, None, None), (None, None, "x" * 300, "t", None, None, None)],
+        "molregno long, chembl_id string, pref_name string, molecule_type string, max_phase double, "
+        "therapeutic_flag smallint, withdrawn_flag smallint")
+    nn = {r.column_name: r.null_count for r in quality.not_null_violations({"molecule_dictionary": md}).collect()}
+    assert nn == {"molregno": 1, "chembl_id": 1}
+    ln = {r.column_name: (r.max_length, r.too_long) for r in quality.length_violations({"molecule_dictionary": md}).collect()}
+    assert ln == {"chembl_id": (20, 0), "pref_name": (255, 1), "molecule_type": (50, 0)}
+
+
+def test_not_null_drop_mode(spark):
+    raw = spark.createDataFrame([(1, "C1", "n", "t", 1.0, 0.0, 0.0), (2, "", "n", "t", 1.0, 0.0, 0.0)],
+                                "molregno long, chembl_id string, pref_name string, molecule_type string, "
+                                "max_phase double, therapeutic_flag double, withdrawn_flag double")
+    # '' loads as NULL, which breaks NOT NULL on chembl_id: dropped, reported, or an error.
+    assert [r.molregno for r in conform.load_molecule_dictionary(raw, on_violation="drop").collect()] == [1]
+    assert conform.load_molecule_dictionary(raw, on_violation="report").count() == 2
+    with pytest.raises(Exception):
+        conform.load_molecule_dictionary(raw).collect()
