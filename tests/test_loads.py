@@ -156,3 +156,13 @@ def test_not_null_drop_mode(spark):
     assert conform.load_molecule_dictionary(raw, on_violation="report").count() == 2
     with pytest.raises(Exception):
         conform.load_molecule_dictionary(raw).collect()
+
+
+def test_refresh_fails_on_fk_gaps_by_default(spark):
+    # The fixture has structures without properties (no dimension row), some of
+    # which rank among the top-k: the store's FK would reject the fact.
+    from conftest import SF_SMOKE
+    from setsim import fixtures
+    from setsim.plans.refresh import full_refresh
+    with pytest.raises(ValueError, match="FK"):
+        full_refresh(spark, fixtures.raw_release(spark, SF_SMOKE), full_tables=False)
