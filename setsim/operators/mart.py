@@ -51,7 +51,9 @@ def write_fact_similarity(top_k: DataFrame, path: str) -> tuple[DataFrame, int]:
     never overwritten while a job reads it (M11).
     """
     from setsim.sources.writers import write_counted
-    rows = write_counted(fact_rows(top_k).coalesce(1), path)
+    # repartition(1), not coalesce(1): the ranking stage above stays parallel;
+    # only the bounded fact (count × k rows) is moved into one file.
+    rows = write_counted(fact_rows(top_k).repartition(1), path)
     return top_k.sparkSession.read.parquet(path), rows
 
 

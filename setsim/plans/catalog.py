@@ -87,7 +87,7 @@ class Workspace:
 
     def fact(self) -> DataFrame:
         return self._written("fact", lambda: mart.fact_rows(similarity.compute_top_k(
-            self.sources(), self.fingerprints(), K, COUNT, N_BITS, self.pair_partitions())).coalesce(1))
+            self.sources(), self.fingerprints(), K, COUNT, N_BITS, self.pair_partitions())).repartition(1))
 
     def dim(self) -> DataFrame:
         return self._written("dim", lambda: mart.populate_dim_molecule(
