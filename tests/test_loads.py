@@ -166,3 +166,14 @@ def test_refresh_fails_on_fk_gaps_by_default(spark):
     from setsim.plans.refresh import full_refresh
     with pytest.raises(ValueError, match="FK"):
         full_refresh(spark, fixtures.raw_release(spark, SF_SMOKE), full_tables=False)
+
+
+def test_object_store_uri_and_release_roundtrip(spark):
+    assert writers.upload_uri("bucket", "/refresh/fingerprints.parquet") == "s3a://bucket/refresh/fingerprints.parquet"
+    out = scratch_path(spark, "t_release")
+    writers.run_ingestion(_release(spark), out)
+    back = readers.read_release(spark, out)
+    assert {t: back[t].count() for t in back} == {
+        "chembl_id_lookup": 2, "molecule_dictionary": 1, "compound_properties": 3, "compound_structures": 1}
+    cols = readers.read_parquet_columns(spark, f"{out}/compound_properties.parquet", ["molregno", "alogp"])
+    assert cols.columns == ["molregno", "alogp"] and cols.count() == 3
