@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from setsim.llm import decontaminate, jaccard_join, langid, pii, quality, substring_dedup
+from setsim.llm import (
+    decontaminate,
+    jaccard_join,
+    langid,
+    mixing,
+    pii,
+    quality,
+    sharding,
+    substring_dedup,
+    topk_search,
+)
 from setsim.llm.common import table
 
 
@@ -14,10 +24,22 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.exact_topk(table(spark, sf_dir, "embeddings"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeats_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 

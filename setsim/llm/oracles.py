@@ -29,6 +29,36 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_
 FROM doc_words AS d LEFT JOIN covered AS c USING (doc_id) LEFT JOIN found AS f USING (doc_id)
 """
 
+#: Weight size ** 0.5, one epoch, seed 17.
+OP2 = r"""
+WITH sized AS (SELECT *, coalesce(strlen(text), 0) + 1 AS bytes,
+    '17:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) AS name FROM documents),
+per_source AS (SELECT source, sum(bytes)::DOUBLE AS size FROM sized GROUP BY source),
+rated AS (SELECT source, sqrt(size) / sum(sqrt(size)) OVER () * sum(size) OVER () / size AS rate FROM per_source),
+stepped AS (
+  SELECT source, list_transform(range(0, 200), lambda k: list_sum(list_transform(range(0, k + 1),
+         lambda j: exp(j * ln(rate) - rate - lgamma(j + 1))))) AS steps FROM rated),
+drawn AS (
+  SELECT s.*, len(list_filter(t.steps, lambda c: c <= ('0x' || substr(md5(s.name), 1, 13))::BIGINT / 4503599627370496.0)) AS n
+  FROM sized AS s JOIN stepped AS t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, text, lang, source, n_chars, c::INT AS copy,
+       ('0x' || substr(md5(name || ':' || c), 1, 13))::BIGINT AS shuffle_key
+FROM drawn, unnest(range(1, n + 1)) AS u(c)
+"""
+
+OP3 = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
 OP4 = r"""
 WITH words AS (
   SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
@@ -48,4 +78,4 @@ FROM words LEFT JOIN lost USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op4_substring_dedup": OP4}
+    return {"op1_decontamination": OP1, "op2_mixing": OP2, "op3_topk_search": OP3, "op4_substring_dedup": OP4}
