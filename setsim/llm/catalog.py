@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from setsim.llm import (
     decontaminate,
+    html_extract,
     jaccard_join,
     langid,
     mixing,
@@ -48,6 +49,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extraction_digest(table(spark, sf_dir, "pages"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
