@@ -78,23 +78,10 @@ def row_slices(batches: Iterator[pa.RecordBatch], text_col: str,
             yield batch.slice(start), raw.slice(start).to_pylist()
 
 
-#: Bytes A-Z to a-z, all else unchanged.
-LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-
-
-class WordHash(dict):
-    """Memo word -> 64-bit hash; emptied when it grows past ``limit`` words."""
-
-    limit = 1_000_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+#: White space bytes to a space; FOLD also takes A-Z to a-z.
+GAPS = bytes(32 if 9 <= c <= 13 else c for c in range(256))
+FOLD = bytes(c + 32 if 65 <= c <= 90 else g for c, g in enumerate(GAPS))
+_CHUNK = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -111,6 +98,48 @@ def multipliers(n: int, salt: int) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(struct.pack("<qq", salt, i)) | 1 for i in range(n)], np.uint64)
 
 
+def _byte_values() -> np.ndarray:
+    values = multipliers(256, 20)
+    values[32] = 0
+    return values
+
+
+class WordHasher:
+    """64-bit hashes of the words of texts, in numpy: the sum over a word's bytes
+    of a random value for the byte times a power for its place."""
+
+    def __init__(self, table: bytes):
+        self.table, self.values = table, _byte_values()
+        self.powers = self._powers(1 << 10)
+
+    @staticmethod
+    def _powers(n: int) -> np.ndarray:
+        return np.cumprod(np.full(n, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
+
+    def __call__(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all words in order, and the number of words of each text."""
+        buf = np.frombuffer((b" ".join(t or b"" for t in texts) + b" ").translate(self.table), np.uint8)
+        sizes = np.array([len(t or b"") + 1 for t in texts], np.int64)
+        solid = buf != 32
+        edge = np.flatnonzero(solid[1:] != solid[:-1]) + 1
+        if len(solid) and solid[0]:
+            edge = np.concatenate([[0], edge])
+        starts, ends = edge[::2], edge[1::2]
+        out = np.empty(len(starts), np.uint64)
+        i = 0
+        while i < len(starts):  # chunks of whole words
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + _CHUNK, "right")))
+            low, high = starts[i], ends[j - 1]
+            s = starts[i:j] - low
+            place = np.arange(high - low) - np.repeat(s, np.diff(s, append=high - low))
+            if (most := int(place.max())) >= len(self.powers):
+                self.powers = self._powers(2 * most)
+            out[i:j] = np.add.reduceat(self.values[buf[low:high]] * self.powers[place], s)
+            i = j
+        counts = np.diff(np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)])))
+        return mix(out + (ends - starts).astype(np.uint64)), counts
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """64-bit hashes as Spark longs."""
     return x.view(np.int64)

@@ -8,11 +8,12 @@ documents that share one get into one candidate group.  Within a candidate
 group every pair goes through the prefix, length, positional and suffix
 filters and is verified once by its exact intersection.
 
-Scale.  Documents with equal sets are one class.  Before the shuffle each task
-combines its own prefix rows, so that a hot n-gram sends one row for each text
-slice and not one for each document.  Candidate groups travel in bins of
-bounded bytes; a larger group is cut into blocks, and its block pairs are tasks
-of their own.  A task returns a spanning forest of the links it verified, never
+Scale.  Documents with equal sets are one class.  Prefixes are longer than that
+by n/8 n-grams, so that similar sets share n/8 and more of them; a class that
+shares fewer with all others together drops out before any pair is formed.  The
+rows of an n-gram that a task finds shared by itself are salted, so that a hot
+one is no hot group.  Candidate groups travel in bins of bounded bytes; a larger
+group is cut by set size and then into blocks, whose pairs are tasks of their own.  A task returns a spanning forest of the links it verified, never
 all pairs of a group; pairs that are already connected need no check, which
 loses no component.
 
@@ -31,22 +32,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from setsim.llm.common import LOWER, WordHash, drop_step, mix, multipliers, row_slices, signed, write_step
+from setsim.llm.common import FOLD, WordHasher, drop_step, mix, multipliers, row_slices, signed, write_step
 from setsim.llm.graph import components
 
 SHINGLE = 4
 PERCENT = 85
 BUCKET_BITS = 16
-BLOCK_BYTES = 8 << 20
-SLICE_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
+SLICE_BYTES = 6 << 20
 
 
-def shingle_sets(texts: list[bytes | None], hashes: WordHash, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingle_sets(texts: list[bytes | None], hashes: WordHasher, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of each text: hashes, the text each belongs to (both
     sorted by text, then hash) and the set sizes."""
-    words = [t.translate(LOWER).split() if t else [] for t in texts]
-    counts = np.array([len(w) for w in words], np.int64)
-    flat = hashes.of([w for ws in words for w in ws])
+    flat, counts = hashes(texts)
     m = multipliers(width, width)
     short = (counts > 0) & (counts < width)
     starts = np.concatenate([[0], np.cumsum(counts)])
@@ -66,8 +65,11 @@ def shingle_sets(texts: list[bytes | None], hashes: WordHash, width: int) -> tup
     if not h:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
     h, of = np.concatenate(h), np.concatenate(of)
-    order = np.lexsort((h, of))
+    order = np.argsort(of, kind="stable")
     h, of = h[order], of[order]
+    ends = np.cumsum(np.bincount(of, minlength=len(texts)))
+    for a, b in zip(ends - np.diff(ends, prepend=0), ends, strict=True):
+        h[a:b].sort()
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
     h, of = h[new], of[new]
@@ -90,7 +92,7 @@ def _profile(text_col: str, id_col: str, width: int):
     """Per row its class and set size (kind 0); per task the n-gram counts by
     hash bucket (kind 1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, ids = WordHash(), None
+        hashes, ids = WordHasher(FOLD), None
         count = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch, texts in row_slices(batches, text_col, SLICE_BYTES):
             h, _, sizes = shingle_sets(texts, hashes, width)
@@ -108,12 +110,24 @@ def _profile(text_col: str, id_col: str, width: int):
     return run
 
 
-def _prefix_rows(shared, text_col: str, width: int, percent: int):
-    """Prefix n-grams of each class, combined by slice: an n-gram that several
-    classes of the slice share links them here and goes out once."""
+def extra_prefix(n):
+    """Prefix n-grams beyond the first that can be missed: similar sets share
+    this many and one in their longer prefixes."""
+    return n // 8
+
+
+def shared_least(n, percent: int):
+    """How many prefix n-grams of a set any similar set must share with it."""
+    return 1 + extra_prefix(-(-percent * n // 100))
+
+
+def _prefix_rows(shared, width: int, percent: int):
+    """Rows (gram, salt, cls, n) for the prefix n-grams of each class.  An n-gram
+    that several classes of the slice share is settled: its rows carry a salt
+    that spreads them, and one row of its smallest class stands for them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, freq = WordHash(), shared.value
-        for _, texts in row_slices(batches, text_col, SLICE_BYTES):
+        hashes, freq = WordHasher(FOLD), shared.value
+        for _, texts in row_slices(batches, "text", SLICE_BYTES):
             h, of, sizes = shingle_sets(texts, hashes, width)
             names = set_classes(h, sizes)
             _, first = np.unique(names, return_index=True)
@@ -122,36 +136,41 @@ def _prefix_rows(shared, text_col: str, width: int, percent: int):
             keep &= sizes > 0
             mask = keep[of]
             h, of = h[mask], of[mask]
-            order = np.lexsort((h, freq[(h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)], of))
-            h, of = h[order], of[order]
-            start = np.cumsum(np.where(keep, sizes, 0)) - np.where(keep, sizes, 0)
-            mask = np.arange(len(h)) - start[of] < prefix_length(sizes[of], percent)
-            gram, cls = signed(h[mask]), names[of[mask]]
+            often = freq[(h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+            ends = np.cumsum(np.where(keep, sizes, 0))
+            reach = prefix_length(sizes, percent) + extra_prefix(sizes)
+            first = [ends[k] - sizes[k] + np.argsort(often[ends[k] - sizes[k]:ends[k]], kind="stable")[:reach[k]]
+                     for k in np.flatnonzero(keep)]
+            first = np.concatenate([np.zeros(0, np.int64), *first])
+            gram, cls, n = signed(h[first]), names[of[first]], sizes[of[first]]
             order = np.lexsort((cls, gram))
-            gram, cls = gram[order], cls[order]
+            gram, cls, n = gram[order], cls[order], n[order]
             lead = np.ones(len(gram), bool)
             lead[1:] = gram[1:] != gram[:-1]
-            pivot = cls[np.flatnonzero(lead)][np.cumsum(lead) - 1] if len(gram) else cls
-            pairs = np.unique(np.stack([cls[~lead], pivot[~lead]]), axis=1) if (~lead).any() else np.zeros((2, 0), np.int64)
-            none = np.ones(int(lead.sum()), bool)
+            head = np.flatnonzero(lead)
+            several = np.diff(head, append=len(gram)) > 1
+            settled = several[np.cumsum(lead) - 1] if len(gram) else lead
+            salt = np.where(settled, 1 + (mix(cls.view(np.uint64)) >> np.uint64(50)).astype(np.int64), 0)
+            stand = head[several]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([gram[lead], pairs[0]])), pa.array(np.concatenate([cls[lead], pairs[0]])),
-                 pa.array(np.concatenate([cls[lead], pairs[1]]),
-                          mask=np.concatenate([none, np.zeros(pairs.shape[1], bool)]))],
-                ["gram", "cls", "other"])
+                [pa.array(np.concatenate([gram, gram[stand]])),
+                 pa.array(np.concatenate([salt, np.zeros(len(stand), np.int64)]).astype(np.int32)),
+                 pa.array(np.concatenate([cls, cls[stand]])),
+                 pa.array(np.concatenate([n, np.zeros(len(stand), np.int64)]).astype(np.int32))],
+                ["gram", "salt", "cls", "n"])
     return run
 
 
-def _class_sets(text_col: str, width: int):
-    """Rows (grp, bi, bj, side, cls, grams): the set of a class as bytes."""
+def _class_sets(width: int):
+    """Rows (cls, places, grams): the set of a class as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
-        for batch, texts in row_slices(batches, text_col, SLICE_BYTES):
+        hashes = WordHasher(FOLD)
+        for batch, texts in row_slices(batches, "text", SLICE_BYTES):
             h, _, sizes = shingle_sets(texts, hashes, width)
             ends = np.cumsum(sizes)
             cls = batch.column(batch.schema.names.index("cls")).to_numpy()
             same = set_classes(h, sizes) == cls  # an id that repeats with another text
-            names = ("comp", "blocks", "cls")
+            names = ("cls", "places")
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.names.index(c)).filter(pa.array(same)) for c in names),
                  pa.array([h[e - n:e].tobytes() for e, n, ok in zip(ends, sizes, same, strict=True) if ok], pa.binary())],
@@ -159,15 +178,16 @@ def _class_sets(text_col: str, width: int):
     return run
 
 
-def link_forest(names: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None, freq: np.ndarray,
-                percent: int = PERCENT) -> list[tuple[int, int]]:
+def link_forest(names: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None, later: np.ndarray,
+                freq: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links that connect what all links among ``sets`` connect.  With ``side``
-    only pairs of different sides count."""
+    only pairs of different sides count; two ``later`` sets meet in another task."""
     n = np.array([len(s) for s in sets], np.int64)
     by_size = np.lexsort((names, n))
     names, n = names[by_size], n[by_size]
     sets = [sets[i] for i in by_size]
     side = side[by_size] if side is not None else None
+    later = later[by_size]
     flat = np.concatenate(sets)
     universe, ranks = np.unique(flat, return_inverse=True)
     rare = np.lexsort((universe, freq[(universe >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]))
@@ -207,6 +227,8 @@ def link_forest(names: np.ndarray, sets: list[np.ndarray], side: np.ndarray | No
         back = np.repeat(first[own] - (np.cumsum(runs) - runs), runs) + np.arange(runs.sum())
         y, j, i = e_set[back], e_pos[back], np.repeat(e_pos[own], runs)
         ok = 100 * n[y] >= percent * n[x]  # length
+        if later[x]:
+            ok &= ~later[y]
         if side is not None:
             ok &= side[y] != side[x]
         y, j, i = y[ok], j[ok], i[ok]
@@ -237,18 +259,67 @@ def link_forest(names: np.ndarray, sets: list[np.ndarray], side: np.ndarray | No
 
 def _verify(shared, percent: int):
     def run(group: pa.Table) -> pa.Table:
-        names = group.column("cls").to_numpy()
-        names, first = np.unique(names, return_index=True)
+        names, first = np.unique(group.column("cls").to_numpy(), return_index=True)
         grams = group.column("grams").take(pa.array(first)).to_pylist()
-        side = group.column("side").to_numpy()[first]
+        side, later = (group.column(c).to_numpy()[first] for c in ("side", "later"))
         two = group.column("bi")[0].as_py() != group.column("bj")[0].as_py()
-        forest = link_forest(names, [np.frombuffer(g, np.uint64) for g in grams], side if two else None,
+        forest = link_forest(names, [np.frombuffer(g, np.uint64) for g in grams], side if two else None, later,
                              shared.value, percent)
         a, b = zip(*forest, strict=True) if forest else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
     return run
 
 
+def _near(grams: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) between classes that share a prefix n-gram, among classes that
+    share enough of them with others to be similar to any.  Whoever shares too
+    few drops out, and is not counted when the others are judged again."""
+    enough = F.col("shared") >= shared_least_sql("n", percent)
+    group = Window.partitionBy("gram", "salt")
+    rows = write_step(grams.withColumn("low", F.min("cls").over(group)).withColumn("high", F.max("cls").over(group))
+                      .filter("n > 0 and (salt > 0 or low <> high)").select("gram", "cls", "n"), "jaccard-shared")
+    alive = write_step(rows.groupBy("cls").agg(F.countDistinct("gram").alias("shared"), F.first("n").alias("n"))
+                       .filter(enough).select("cls"), "jaccard-alive")
+    left = write_step(rows.join(alive, "cls").distinct(), "jaccard-left")
+    drop_step(rows, alive)
+    pivots = write_step(left.groupBy("gram").agg(F.min("cls").alias("pivot"), F.max("cls").alias("high"))
+                        .filter("pivot <> high").select("gram", "pivot"), "jaccard-pivots")
+    tied = write_step(left.join(pivots, "gram").select("cls", "pivot", "n"), "jaccard-tied")
+    alive = write_step(tied.groupBy("cls").agg(F.count("*").alias("shared"), F.first("n").alias("n"))
+                       .filter(enough).select("cls"), "jaccard-alive")
+    drop_step(left, pivots)
+    # The pivot itself may have dropped out; it then only names the group.
+    return tied.join(alive, "cls").select(F.col("cls").alias("a"), F.col("pivot").alias("b")).filter("a <> b").distinct()
+
+
+def shared_least_sql(n: str, percent: int):
+    return 1 + F.floor(F.ceil(F.col(n) * percent / 100) / 8)
+
+
+def _places(members: DataFrame, percent: int, block_bytes: int) -> DataFrame:
+    """``members`` with ``places``: where the set of a class is compared.  Small
+    groups share bins; a large one is cut by set size into bands so that similar
+    sets lie in one band or in neighbouring ones, and a heavy band into blocks."""
+    weight = write_step(members.groupBy("comp").agg(F.sum("n").alias("w")), "jaccard-weights")
+    small = weight.filter(F.col("w") * 8 <= block_bytes).agg(F.sum("w")).first()[0] or 0
+    n_bins = max(1, -(-8 * small // block_bytes))
+    step = -float(np.log(percent / 100 - 0.001))
+    wide = write_step(members.join(weight, "comp").withColumn("band", F.floor(F.log("n") / step)).withColumn(
+        "at", F.explode(F.when(F.col("w") * 8 <= block_bytes, F.array(F.struct(
+            F.pmod(F.xxhash64("comp"), F.lit(n_bins)).alias("grp"), F.lit(-2).cast("long").alias("unit"),
+            F.lit(False).alias("later")))).otherwise(F.array(
+                F.struct(F.col("comp").alias("grp"), F.col("band").alias("unit"), F.lit(False).alias("later")),
+                F.struct(F.col("comp").alias("grp"), (F.col("band") - 1).alias("unit"), F.lit(True).alias("later"))))))
+        .select("id", "cls", "n", "at.*"), "jaccard-units")
+    heavy = write_step(wide.filter("unit > -2").groupBy("grp", "unit").agg(
+        F.ceil(F.sum("n") * 8 / block_bytes).alias("blocks")).filter("blocks > 1"), "jaccard-heavy")
+    placed = write_step(
+        wide.join(heavy, ["grp", "unit"], "left").groupBy("id", "cls").agg(F.collect_list(F.struct(
+            "grp", "unit", "later", F.coalesce("blocks", F.lit(1)).alias("blocks"))).alias("places")), "jaccard-places")
+    drop_step(weight, wide, heavy)
+    return placed
+
+
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
                        percent: int = PERCENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``(id_col, n_shingles, component_id)`` for every row of ``docs``."""
@@ -264,40 +335,33 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     rows = profile.filter("kind = 0").select("id", "cls", "n")
 
     grams = source.filter("id is not null").select("text").mapInArrow(
-        _prefix_rows(shared, "text", width, percent), "gram bigint, cls bigint, other bigint")
-    pivot = F.min(F.when(F.col("other").isNull(), F.col("cls"))).over(Window.partitionBy("gram"))
-    near = write_step(grams.select(F.col("cls").alias("a"), F.coalesce("other", pivot).alias("b"))
-                      .filter("a <> b").distinct(), "jaccard-near")
+        _prefix_rows(shared, width, percent), "gram bigint, salt int, cls bigint, n int")
+    near = write_step(_near(grams, percent), "jaccard-near")
     groups = components(near)
-    drop_step(near)
 
     classes = rows.filter("id is not null and n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     members = write_step(classes.join(groups.withColumnRenamed("node", "cls"), "cls"), "jaccard-members")
-    weight = members.groupBy("comp").agg(F.ceil(F.sum("n") * 8 / block_bytes).alias("blocks"), F.sum("n").alias("w"))
-    weight = write_step(weight, "jaccard-weights")
-    small = weight.filter("blocks <= 1").agg(F.sum("w")).first()[0] or 0
-    n_bins = max(1, -(-8 * small // block_bytes))
-    sized = write_step(members.join(weight.select("comp", "blocks"), "comp").select("id", "comp", "cls", "blocks"),
-                       "jaccard-sized")
-    sets = source.join(sized, "id").select("comp", "blocks", "cls", "text").mapInArrow(
-        _class_sets("text", width), "comp bigint, blocks bigint, cls bigint, grams binary")
-    side = F.pmod(F.xxhash64("cls"), F.col("blocks"))
-    whole = F.col("blocks") <= 1
-    tasks = sets.withColumn("side", F.when(whole, F.lit(0).cast("long")).otherwise(side)).withColumn(
-        "other", F.explode(F.when(whole, F.array(F.lit(0).cast("long")))
-                           .otherwise(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))).select(
-        F.when(whole, F.pmod(F.xxhash64("comp"), F.lit(n_bins))).otherwise(F.col("comp")).alias("grp"), whole.alias("whole"),
-        F.least("side", "other").alias("bi"), F.greatest("side", "other").alias("bj"), "side", "cls", "grams")
-    links = write_step(tasks.groupBy("grp", "whole", "bi", "bj").applyInArrow(
+    drop_step(near, groups)
+    placed = _places(members, percent, block_bytes)
+    drop_step(members)
+    sets = source.join(placed, "id").select("cls", "places", "text").mapInArrow(
+        _class_sets(width), "cls bigint, places array<struct<grp:bigint,unit:bigint,later:boolean,blocks:bigint>>, grams binary")
+    tasks = sets.withColumn("at", F.explode("places")).select("cls", "grams", "at.*") \
+        .withColumn("side", F.pmod(F.xxhash64("cls"), F.col("blocks"))) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
+        .select("grp", "unit", F.least("side", "other").alias("bi"), F.greatest("side", "other").alias("bj"),
+                "side", "later", "cls", "grams")
+    links = write_step(tasks.groupBy("grp", "unit", "bi", "bj").applyInArrow(
         _verify(shared, percent), "a bigint, b bigint"), "jaccard-links")
     linked = components(links)
+    drop_step(links, placed)
 
     least = rows.filter("id is not null").groupBy("cls").agg(F.min("id").alias("least"))
     rooted = write_step(least.join(linked, F.col("cls") == F.col("node"), "left")
                         .select("cls", "least", F.coalesce("comp", "cls").alias("root")), "jaccard-roots")
     firsts = write_step(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "jaccard-firsts")
     names = write_step(rooted.join(firsts, "root").select("cls", "component_id"), "jaccard-names")
-    drop_step(members, weight, sized, links, linked, groups, rooted, firsts)
+    drop_step(linked, rooted, firsts)
     return rows.join(names, "cls", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("id")).when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
@@ -305,5 +369,5 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each linked group stays: the one with the smallest id."""
-    gone = jaccard_components(docs).filter("doc_id <> component_id").select("doc_id")
+    gone = jaccard_components(docs).filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
