@@ -54,12 +54,12 @@ def rates(docs: DataFrame, source_col: str, text_col: str, weights: dict[str, fl
     """(source, rate, low, steps) for each source; written, so that its size is
     known to the planner that may broadcast it."""
     size = F.coalesce(F.octet_length(text_col), F.lit(0)) + 1
-    sizes = write_step(docs.groupBy(F.col(source_col).alias("mix_source")).agg(F.sum(size).alias("size")), "mix-sizes")
+    sizes = write_step(docs.groupBy(F.col(source_col).alias("_mix_source")).agg(F.sum(size).alias("size")), "mix-sizes")
     if weights is None:
         weight = F.pow(F.col("size").cast("double"), F.lit(alpha))
     else:
         pairs = [F.lit(v) for kv in weights.items() for v in (kv[0], float(kv[1]))]
-        weight = F.coalesce(F.element_at(F.create_map(*pairs), F.coalesce("mix_source", F.lit("\0"))), F.lit(0.0))
+        weight = F.coalesce(F.element_at(F.create_map(*pairs), F.coalesce("_mix_source", F.lit("\0"))), F.lit(0.0))
     weighed = sizes.withColumn("weight", weight)
     total, scale = weighed.agg(F.sum("size"), F.sum("weight")).first()
     rate = F.col("weight") / F.lit(float(scale or 1)) * F.lit(float((total or 0) * epochs)) / F.col("size")
@@ -69,11 +69,11 @@ def rates(docs: DataFrame, source_col: str, text_col: str, weights: dict[str, fl
             found = [poisson_steps(r) for r in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.int32()),
-                 pa.array([f[1] for f in found], pa.list_(pa.float64()))], ["mix_source", "rate", "low", "steps"])
+                 pa.array([f[1] for f in found], pa.list_(pa.float64()))], ["_mix_source", "_rate", "_low", "_steps"])
 
-    kind = sizes.schema["mix_source"].dataType.simpleString()
-    return write_step(weighed.select("mix_source", rate.alias("rate")).mapInArrow(
-        run, f"mix_source {kind}, rate double, low int, steps array<double>"), "mix-rates")
+    kind = sizes.schema["_mix_source"].dataType.simpleString()
+    return write_step(weighed.select("_mix_source", rate.alias("_rate")).mapInArrow(
+        run, f"_mix_source {kind}, _rate double, _low int, _steps array<double>"), "mix-rates")
 
 
 def mix_sources(docs: DataFrame, *, weights: dict[str, float] | None = None, alpha: float = ALPHA, epochs: float = 1.0,
@@ -85,12 +85,12 @@ def mix_sources(docs: DataFrame, *, weights: dict[str, float] | None = None, alp
     per_source = rates(docs, source_col, text_col, weights, alpha, epochs)
     name = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")),
                        F.md5(F.coalesce(text_col, F.lit(""))))
-    uniform = _hash52("mix_name") / F.lit(float(1 << 52))
-    drawn = docs.select(*columns).withColumn("mix_name", name).withColumn("mix_u", uniform).join(
-        per_source, F.col(source_col).eqNullSafe(F.col("mix_source"))).withColumn(
-        "mix_n", F.col("low") + F.size(F.filter("steps", lambda s: s <= F.col("mix_u"))))
-    copies = drawn.filter("mix_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("mix_n"))))
-    key = _hash52(F.concat_ws(":", "mix_name", F.col("copy").cast("string"))).alias("shuffle_key")
+    uniform = _hash52("_mix_name") / F.lit(float(1 << 52))
+    drawn = docs.select(*columns).withColumn("_mix_name", name).withColumn("_mix_u", uniform).join(
+        per_source, F.col(source_col).eqNullSafe(F.col("_mix_source"))).withColumn(
+        "_mix_n", F.col("_low") + F.size(F.filter("_steps", lambda s: s <= F.col("_mix_u"))))
+    copies = drawn.filter("_mix_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n"))))
+    key = _hash52(F.concat_ws(":", "_mix_name", F.col("copy").cast("string"))).alias("shuffle_key")
     return copies.select(*columns, "copy", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 

@@ -56,7 +56,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` with its size and key columns."""
     text, ident = F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     return docs.drop(*_RESULT).withColumns({
-        "size": (F.octet_length(text) + ROW_OVERHEAD).cast("long"), "text_key": _hash60(text), "id_key": _hash60(ident)})
+        "size": (F.octet_length(text) + ROW_OVERHEAD).cast("long"), "_text_key": _hash60(text), "_id_key": _hash60(ident)})
 
 
 @dataclass
@@ -107,14 +107,14 @@ def find_splitters(keys: DataFrame, n_parts: int, total: int, slack: float) -> l
     """The ``n_parts - 1`` splitters; ``slack`` is the tolerance in bytes."""
     found, inside = [], {}
     start = [_Bracket(total * i, 0, 0, 0) for i in range(1, n_parts)]
-    for _, b, value, size, n in _narrow(keys, None, "text_key", {0: start}, n_parts):
+    for _, b, value, size, n in _narrow(keys, None, "_text_key", {0: start}, n_parts):
         before, after = b.target - b.bytes_below * n_parts, (b.bytes_below + size) * n_parts - b.target
         if min(before, after) <= slack * n_parts:
             found.append(Splitter(value, -1, b.rows_below) if before <= after
                          else Splitter(value + 1, -1, b.rows_below + n))
         else:
             inside.setdefault(value, []).append(_Bracket(b.target, 0, b.bytes_below, b.rows_below))
-    for text, b, value, size, n in _narrow(keys, "text_key", "id_key", inside, n_parts):
+    for text, b, value, size, n in _narrow(keys, "_text_key", "_id_key", inside, n_parts):
         before, after = b.target - b.bytes_below * n_parts, (b.bytes_below + size) * n_parts - b.target
         found.append(Splitter(text, value, b.rows_below) if before <= after else Splitter(text, value + 1, b.rows_below + n))
     return sorted(found, key=lambda s: (s.text, s.row))
@@ -131,9 +131,9 @@ def _lookup(spark, splitters: list[Splitter]) -> tuple[DataFrame, int]:
         by_spot.setdefault(s.text >> shift, []).append({"text": s.text, "row": s.row})
     for spot in range(1 << bits):
         near = by_spot.get(spot, [])
-        rows.append({"spot": spot, "base": base, "near": near})
+        rows.append({"_spot": spot, "_base": base, "_near": near})
         base += len(near)
-    schema = "array<struct<spot:bigint,base:int,near:array<struct<text:bigint,row:bigint>>>>"
+    schema = "array<struct<_spot:bigint,_base:int,_near:array<struct<text:bigint,row:bigint>>>>"
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), schema))), shift
 
 
@@ -142,23 +142,23 @@ def shard(docs: DataFrame, n_shards: int = N_SHARDS, *, id_col: str = "doc_id",
     """``docs`` with ``size``, ``shard`` and ``slot``; a task holds one range of
     one shard, in key order."""
     spark = docs.sparkSession
-    keys = write_step(keyed(docs, id_col, text_col).select("text_key", "id_key", "size"), "shard-keys")
+    keys = write_step(keyed(docs, id_col, text_col).select("_text_key", "_id_key", "size"), "shard-keys")
     total = keys.agg(F.sum("size")).first()[0] or 0
     parts_of = max(1, -(-total // (n_shards * part_bytes)))
     n_parts = n_shards * parts_of
     splitters = find_splitters(keys, n_parts, total, tolerance * total / n_shards) if total else []
     lookup, shift = _lookup(spark, splitters)
-    part = F.col("base") + F.size(F.filter("near", lambda s: (s["text"] < F.col("text_key")) | (
-        (s["text"] == F.col("text_key")) & (s["row"] <= F.col("id_key")))))
+    part = F.col("_base") + F.size(F.filter("_near", lambda s: (s["text"] < F.col("_text_key")) | (
+        (s["text"] == F.col("_text_key")) & (s["row"] <= F.col("_id_key")))))
     below = [0, *(s.rows_below for s in splitters), *([0] * (n_parts - 1 - len(splitters)))]
     offset = F.from_json(F.lit(json.dumps([b - below[k - k % parts_of] for k, b in enumerate(below)])), "array<bigint>")
     columns = [c for c in docs.columns if c not in _RESULT]
-    placed = keyed(docs, id_col, text_col).withColumn("spot", F.shiftright("text_key", shift)) \
-        .join(F.broadcast(lookup), "spot").withColumn("part", part)  # at most 4 rows a splitter
-    order = Window.partitionBy("part").orderBy("text_key", "id_key")
+    placed = keyed(docs, id_col, text_col).withColumn("_spot", F.shiftright("_text_key", shift)) \
+        .join(F.broadcast(lookup), "_spot").withColumn("_part", part)  # at most 4 rows a splitter
+    order = Window.partitionBy("_part").orderBy("_text_key", "_id_key")
     return placed.withColumn("slot", F.row_number().over(order) - 1).select(
-        *columns, "size", F.floor(F.col("part") / parts_of).cast("int").alias("shard"),
-        (F.get(offset, F.col("part")) + F.col("slot")).cast("long").alias("slot"))
+        *columns, "size", F.floor(F.col("_part") / parts_of).cast("int").alias("shard"),
+        (F.get(offset, F.col("_part")) + F.col("slot")).cast("long").alias("slot"))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
