@@ -1,0 +1,170 @@
+"""Decontamination, substring dedup, Jaccard join, personal data: against plain restatements."""
+
+import brute
+import pytest
+from conftest import prose
+from pyspark.sql import functions as F
+
+from setsim.llm import decontaminate, jaccard_join, pii, substring_dedup
+from setsim.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+ITEMS = "item_id long, text string"
+
+
+def id_text(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, SF, "documents")
+
+
+def check_contamination(got, docs, items):
+    want = brute.contamination(docs, items)
+    for r in got.collect():
+        n, hit, found = want[r["doc_id"]]
+        assert (r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) == (n, hit, len(found), hit > 0)
+        assert r["items_sha256"] == brute.sha(",".join(found))
+
+
+def test_contamination_on_the_documents(spark, docs):
+    items = table(spark, SF, "benchmark")
+    check_contamination(decontaminate.contamination_digest(docs, items), id_text(docs),
+                        [tuple(r) for r in items.select("item_id", "text").collect()])
+
+
+def test_contamination_edges(spark, edge, none, edge_rows):
+    items = [(100, prose(1, 40)), (10, prose(4, 13)), (10, prose(4, 13)), (11, "one TWO"), (12, None), (13, "..."),
+             (9, "a a a"), (None, prose(2, 30))]
+    bench = spark.createDataFrame(items, ITEMS)
+    got = decontaminate.find_contamination(edge, bench)
+    assert set(edge.columns) <= set(got.columns) and got.count() == 21
+    known = [i for i in items if i[0] is not None]
+    check_contamination(decontaminate.contamination_digest(edge, spark.createDataFrame(known, ITEMS)),
+                        [(r[0], r[1]) for r in edge_rows], known)
+    unnamed = {r["doc_id"]: r for r in got.collect()}[4]
+    assert unnamed["n_hit"] == 30 and unnamed["items"] == []
+    assert decontaminate.contamination_digest(none, bench).count() == 0
+    free = decontaminate.contamination_digest(edge, spark.createDataFrame([], ITEMS))
+    assert free.filter("n_hit > 0 or n_items > 0").count() == 0 and free.count() == 21
+
+
+def test_contamination_in_several_automata_is_the_same(spark, edge):
+    items = spark.createDataFrame([(k, prose(k, 30)) for k in range(1, 5)], ITEMS)
+    one = decontaminate.find_contamination(edge.select("doc_id", "text"), items)
+    many = decontaminate.find_contamination(edge.select("doc_id", "text"), items, max_pattern_bytes=500)
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+
+
+def test_contamination_spans_point_into_the_original(spark):
+    text = "Ünï — Start, ONE; two three!  four five six seven eight nine ten... end é"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    item = spark.createDataFrame([(7, "one two three four five six seven eight nine ten")], ITEMS)
+    (span,) = decontaminate.find_contamination(docs, item).first()["spans"]
+    assert text[span["start"]:span["end"]] == "ONE; two three!  four five six seven eight nine ten"
+
+
+def check_repeats(got, docs):
+    want = brute.repeats(docs)
+    for r in got.collect():
+        n, gone, kept = want[r["doc_id"]]
+        assert (r["n_words"], r["n_removed"], r["kept_sha256"]) == (n, gone, brute.sha(kept)), r["doc_id"]
+
+
+def test_repeats_on_the_documents(docs):
+    check_repeats(substring_dedup.repeats_digest(docs), id_text(docs))
+
+
+def test_repeats_edges(edge, none, edge_rows, spark):
+    check_repeats(substring_dedup.repeats_digest(edge), [(r[0], r[1]) for r in edge_rows])
+    assert substring_dedup.repeats_digest(none).count() == 0
+    text = prose(8, 40)
+    odd = spark.createDataFrame([(None, text), (5, text), (5, "x " + text), (6, text)], "doc_id long, text string")
+    got = {(r["doc_id"], r["n_words"]): r["n_removed"] for r in substring_dedup.remove_repeats(odd).collect()}
+    assert got == {(None, 40): 0, (5, 40): 0, (5, 41): 0, (6, 40): 40}
+
+
+@pytest.mark.parametrize("rounds", [2, 3])
+def test_more_rounds_change_nothing(edge, edge_rows, rounds):
+    plain = {i: v for i, v in brute.repeats([(r[0], r[1]) for r in edge_rows]).items()}
+    got = substring_dedup.remove_repeats(edge, rounds=rounds).collect()
+    assert all((r["n_words"], r["n_removed"], r["kept"]) == plain[r["doc_id"]] for r in got)
+
+
+def test_equal_windows_have_equal_anchors():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    passage = rng.integers(1, 50, 60)
+    words, doc, begin, end = [], [], [], []
+    for d in range(12):
+        text = np.concatenate([rng.integers(1, 9, rng.integers(0, 30)), passage, rng.integers(1, 9, rng.integers(0, 30))])
+        begin.append(sum(map(len, words)))
+        words.append(text)
+        doc += [d] * len(text)
+        end.append(begin[-1] + len(text))
+    flat = np.concatenate(words).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for rounds in (1, 2, 3):
+        best = substring_dedup.anchors(flat, np.array(doc), np.array(begin), np.array(end), 13, rounds)
+        seen = {}
+        for i in np.flatnonzero(best):
+            assert seen.setdefault(flat[i:i + 13].tobytes(), best[i]) == best[i]
+
+
+def check_classes(got, docs):
+    want = brute.jaccard_classes(docs)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == want
+
+
+def test_jaccard_on_the_documents(docs):
+    check_classes(jaccard_join.jaccard_components(docs), id_text(docs))
+
+
+def test_jaccard_edges(edge, none, edge_rows):
+    check_classes(jaccard_join.jaccard_components(edge), [(r[0], r[1]) for r in edge_rows])
+    assert jaccard_join.jaccard_components(none).count() == 0
+    kept = jaccard_join.keep_first(edge.select("doc_id", "text"))
+    assert 2 not in {r["doc_id"] for r in kept.collect()}
+
+
+def test_jaccard_of_a_large_group_in_many_blocks(spark):
+    base = prose(9, 150, 10_000).split()
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for k in range(i % 7):
+            w[(i * 31 + k * 17) % 150] = f"x{i}_{k}"
+        rows.append((i, " ".join(w[:150 - i % 5])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check_classes(jaccard_join.jaccard_components(df, block_bytes=8000), rows)
+
+
+def test_pii_on_the_documents(docs):
+    texts = dict(id_text(docs))
+    for r in pii.pii_digest(docs).collect():
+        want = brute.pii(texts[r["doc_id"]])
+        assert r["base_sha256"] == brute.sha(",".join(want))
+        assert [s for s in r["spans"].split(",") if s and not s.startswith("iban")] == want
+        assert r["n_email"] == sum(w.startswith("email") for w in want)
+
+
+def test_pii_edges(edge, none, spark):
+    texts = {r["doc_id"]: r["text"] for r in edge.collect()}
+    for r in pii.pii_digest(edge).collect():
+        assert r["base_sha256"] == brute.sha(",".join(brute.pii(texts[r["doc_id"]])))
+    assert pii.pii_digest(none).count() == 0
+    hard = ["é😀 a@b.c_x@d.e, 1.2.3.4.5.6.7.8 999.1.1.1 4539 1488 0343 6467x", "0.0.0.0 00255.1.1.256 a@b@c.d..e",
+            "x@y.z " * 700, "1" * 30000 + " " + "a" * 50000 + " 1-" * 1000, "+1+2 +44 20 7946 0958 +1-", "a@b 1.2.3 +", None]
+    rows = spark.createDataFrame(list(enumerate(hard)), "doc_id long, text string")
+    for r in pii.pii_digest(rows).collect():
+        assert r["base_sha256"] == brute.sha(",".join(brute.pii(hard[r["doc_id"]])))
+
+
+def test_iban_needs_its_checksum_and_context_lifts_the_score(spark):
+    rows = spark.createDataFrame([(1, "bank GB82 WEST 1234 5698 7654 32"), (2, "GB82WEST12345698765432."), (3, "GB83WEST12345698765432")],
+                                 "doc_id long, text string")
+    got = {r["doc_id"]: r["pii"] for r in pii.find_pii(rows).collect()}
+    assert [s["kind"] for s in got[1]] == ["iban"] and (got[1][0]["start"], got[1][0]["end"]) == (5, 32)
+    assert got[3] == [] and got[1][0]["score"] > got[2][0]["score"]
+    assert pii.find_pii(rows, least_score=0.9).filter(F.size("pii") > 0).count() == 1
