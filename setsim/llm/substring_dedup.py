@@ -34,10 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from setsim.llm.common import WordHash, drop_step, mix, multipliers, row_slices, signed, write_step
+from setsim.llm.common import GAPS, WordHasher, drop_step, mix, multipliers, row_slices, signed, write_step
 
 WINDOW = 13
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
 _FAR = 1 << 40
 
 
@@ -131,11 +131,10 @@ def anchors(words: np.ndarray, doc: np.ndarray, begin: np.ndarray, end: np.ndarr
     return best
 
 
-def _flat(texts: list[bytes | None], hashes: WordHash):
-    words = [t.split() if t else [] for t in texts]
-    counts = np.array([len(w) for w in words], np.int64)
+def _flat(texts: list[bytes | None], hashes: WordHasher):
+    words, counts = hashes(texts)
     end = np.cumsum(counts)
-    return hashes.of([w for ws in words for w in ws]), np.repeat(np.arange(len(texts)), counts), end - counts, end
+    return words, np.repeat(np.arange(len(texts)), counts), end - counts, end
 
 
 def _anchor_rows(window: int, rounds: int):
@@ -144,7 +143,7 @@ def _anchor_rows(window: int, rounds: int):
     settled: its rows are spread over other keys (``settled``), and one row of
     the smallest id with no windows stands for them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
+        hashes = WordHasher(GAPS)
         for batch, texts in row_slices(batches, "text", SLICE_BYTES):
             ids = batch.column(batch.schema.names.index("id")).to_numpy()
             words, doc, begin, end = _flat(texts, hashes)
@@ -164,11 +163,14 @@ def _anchor_rows(window: int, rounds: int):
             tail = np.concatenate([head[1:], [len(key)]]) - 1 if len(head) else head
             shared = (who[tail] != who[head])[group] if len(head) else np.zeros(0, bool)
             lone = head[shared[head]] if len(head) else head
+            alone, lone_who, lone_first = key[lone], who[lone], first[lone]
+            back = np.argsort(order)  # in text order the rows compress better
+            key, who, first, count, shared = key[back], who[back], first[back], count[back], shared[back]
             spread = mix(who.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + first.astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(np.concatenate([np.where(shared, spread, key), key[lone]]))),
-                 pa.array(np.concatenate([who, who[lone]])),
-                 pa.array(np.concatenate([first, first[lone]]).astype(np.int32)),
+                [pa.array(signed(np.concatenate([np.where(shared, spread, key), alone]))),
+                 pa.array(np.concatenate([who, lone_who])),
+                 pa.array(np.concatenate([first, lone_first]).astype(np.int32)),
                  pa.array(np.concatenate([count, np.zeros(len(lone), np.int64)]).astype(np.int32)),
                  pa.array(np.concatenate([shared, np.zeros(len(lone), bool)]))],
                 ["key", "id", "first", "count", "settled"])
@@ -179,7 +181,7 @@ def _window_rows(window: int):
     """Rows (h1, h2, id, version, at, settled) of the candidate windows; a window
     that a smaller id of the slice holds is settled here."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
+        hashes = WordHasher(GAPS)
         m1, m2 = multipliers(window, 1), multipliers(window, 2)
         for batch, texts in row_slices(batches, "text", SLICE_BYTES):
             get = lambda c: batch.column(batch.schema.names.index(c))  # noqa: E731, B023
@@ -206,6 +208,8 @@ def _window_rows(window: int):
             new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
             who = ids[row]
             settled = who != who[np.flatnonzero(new)][np.cumsum(new) - 1] if len(at) else new
+            back = np.argsort(order)
+            h1, h2, row, at, who, settled = h1[back], h2[back], row[back], at[back], who[back], settled[back]
             spread = mix(who.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at.astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(signed(np.where(settled, spread, h1))), pa.array(signed(h2)), pa.array(who),
