@@ -11,9 +11,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: what counts as "blank" when a structure is stripped; the same
-# characters Python's str.strip removes for ASCII text.
-BLANK_PATTERN = r"^[ \t\n\r\f\x0B]*$"
+# Fixed value: what counts as "blank" when a structure is stripped: the
+# white space of Unicode and the four ASCII separators.
+BLANK_PATTERN = (r"^[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]*$")
 
 
 def col_(c: str | Column) -> Column:
@@ -97,24 +97,23 @@ def tanimoto_from_sizes(inter: Column, size_a: Column, size_b: Column) -> Column
 def ring_window_bits(s: str | Column, radius: int, n_bits: int, method: str = "md5") -> Column:
     """Sorted distinct bit positions of all ring windows of a string.
 
-    For every radius ``r`` in ``0..radius`` and every 1-based position ``i``
-    the window ``s[i-r .. i+r]`` (clipped to the string) is keyed as
-    ``"r:window"`` and hashed to a bit.  Runs as higher-order functions on
-    the JVM; no Python.
+    For every radius ``r`` in ``0..radius`` and every position the window of
+    ``r`` characters to either side (clipped to the string) is keyed as
+    ``"r:window"`` and hashed to a bit.  The string is cut into characters
+    once and a window copies only its own, so a text costs time in proportion
+    to its length; each distinct window is hashed once.  Runs on the JVM.
     """
-    s = col_(s)
-    n = F.length(s)
-
-    def per_radius(r: Column) -> Column:
-        def per_pos(i: Column) -> Column:
-            start = F.greatest(i - r, F.lit(1))
-            stop = F.least(i + r, n)
-            window = s.substr(start, stop - start + 1)
-            return bucket_hash(F.concat(r.cast("string"), F.lit(":"), window), n_bits, method)
-        return F.transform(F.sequence(F.lit(1), n), per_pos)
-
-    bits = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(radius)), per_radius))
-    return F.array_sort(F.array_distinct(bits))
+    def windows(chars: Column) -> Column:
+        def per_radius(r: int) -> Column:
+            around = F.transform(chars, lambda _, i: F.array_join(
+                F.slice(chars, F.greatest(i + 1 - r, F.lit(1)), F.least(i, F.lit(r)) + 1 + r), ""))
+            keys = F.array_distinct(around) if r else F.array_distinct(chars)
+            return F.transform(keys, lambda w: bucket_hash(F.concat(F.lit(f"{r}:"), w), n_bits, method))
+        return F.concat(*(per_radius(r) for r in range(radius + 1)))
+
+    # The one-element array binds the characters to a name for the lambdas.
+    bound = F.transform(F.array(F.split(col_(s), "")), windows)
+    return F.array_sort(F.array_distinct(F.flatten(bound)))
 
 
 def n_words(n_bits: int) -> int:

@@ -22,13 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from setsim.functions import bucket_hash, digest28, is_blank
+from setsim.functions import bucket_hash, digest28, is_blank, ring_window_bits
 from setsim.session import materialize
 
 # Fixed defaults of the reference: radius 2, 2,048 bits.
 DEFAULT_RADIUS = 2
 DEFAULT_N_BITS = 2048
 BITS_COL = "fingerprint_on_bits"
+# Structures that one task hashes (about 0.3 ms each).
+ROWS_PER_TASK = 50_000
 
 
 def is_valid_structure(c: str | Column, valid_pattern: str | None = None) -> Column:
@@ -45,44 +47,17 @@ def window_bits(valid: DataFrame, id_col: str = "chembl_id", col: str = "canonic
                 radius: int = DEFAULT_RADIUS, n_bits: int = DEFAULT_N_BITS,
                 method: str = "md5") -> DataFrame:
     """``(chembl_id, fingerprint_on_bits)``, one row per input row, for rows
-    already known to be valid.
-
-    The (radius, position) grid of each string is exploded into rows and
-    hashed by generated code; the bits are regrouped per input row by a
-    partial ``collect_set`` (at most ``n_bits`` values per row, whatever the
-    string's length — whole texts stream, no ``3 × length`` array is built).
-    Rows are tagged so a repeated id keeps one fingerprint per row; the tag
-    grouping is satisfied by a preceding hash partitioning on the id, so it
-    adds no exchange.
-    """
-    s, i, r = F.col("_s"), F.col("_i"), F.col("_r")
-    n = F.length(s)
-    tagged = valid.select(F.col(id_col).alias("chembl_id"), F.col(col).alias("_s"),
-                          F.monotonically_increasing_id().alias("_row"))
-    pos = tagged.select("chembl_id", "_row", "_s", F.explode(F.sequence(F.lit(1), n)).alias("_i"))
-    grid = pos.select("chembl_id", "_row", "_s", "_i",
-                      F.explode(F.array(*[F.lit(k) for k in range(radius + 1)])).alias("_r"))
-    start = F.greatest(i - r, F.lit(1))
-    stop = F.least(i + r, n)
-    key = F.concat(r.cast("string"), F.lit(":"), s.substr(start, stop - start + 1))
-    bits = grid.select("chembl_id", "_row", bucket_hash(key, n_bits, method).alias("_bit"))
-    return (bits.groupBy("chembl_id", "_row")
-            .agg(F.array_sort(F.collect_set("_bit")).alias(BITS_COL))
-            .select("chembl_id", BITS_COL))
+    already known to be valid.  Row-local: no exchange, no row tags, so a
+    repeated id keeps one fingerprint per row whatever Spark re-runs."""
+    return valid.select(F.col(id_col).alias("chembl_id"), ring_window_bits(col, radius, n_bits, method).alias(BITS_COL))
 
 
 def string_fingerprint(df: DataFrame, id_col: str = "chembl_id", col: str = "canonical_smiles",
                        radius: int = DEFAULT_RADIUS, n_bits: int = DEFAULT_N_BITS,
-                       valid_pattern: str | None = None, method: str = "md5",
-                       partitions: int | None = None) -> DataFrame:
+                       valid_pattern: str | None = None, method: str = "md5") -> DataFrame:
     """``(chembl_id, fingerprint_on_bits)`` for every row; NULL bits when invalid."""
-    valid = is_valid_structure(col, valid_pattern)
-    good = df.filter(valid).select(id_col, col)
-    if partitions:
-        good = good.repartition(int(partitions), id_col)
-    bad = df.filter(~valid).select(F.col(id_col).alias("chembl_id"),
-                                   F.lit(None).cast(T.ArrayType(T.LongType())).alias(BITS_COL))
-    return window_bits(good, id_col, col, radius, n_bits, method).unionByName(bad)
+    bits = F.when(is_valid_structure(col, valid_pattern), ring_window_bits(col, radius, n_bits, method))
+    return df.select(F.col(id_col).alias("chembl_id"), bits.alias(BITS_COL))
 
 
 def valid_structures(df: DataFrame, col: str = "canonical_smiles",
@@ -98,10 +73,11 @@ def fingerprint_structures(structures: DataFrame, id_col: str = "chembl_id",
     """fingerprints of the valid structures only (invalid rows dropped).
 
     Validity is tested on the string (cheap) before any hashing.  With
-    ``partitions``, the valid rows are hash-partitioned by id first so the
-    hashing — the expensive part — runs on that many tasks whatever the
-    layout of the input (a few large files, a broadcast join, …).  The
-    failure count is ``fingerprint_counts`` (or the export's Observation).
+    ``partitions`` (``tasks_for`` the rows), the valid rows are
+    hash-partitioned by id first so the hashing — the expensive part — is
+    spread whatever the layout of the input (a few large files, a broadcast
+    join, …).  The failure count is ``fingerprint_counts`` (or the export's
+    Observation).
     """
     valid = valid_structures(structures, col, valid_pattern).select(id_col, col)
     if partitions:
@@ -117,12 +93,6 @@ def fingerprint_counts(structures: DataFrame, col: str = "canonical_smiles",
                           F.count(F.when(~valid, 1)).cast("bigint").alias("failed"))
 
 
-def fingerprint_batch(structures: DataFrame, **kw) -> DataFrame:
-    """the export shape ``(chembl_id, fingerprint_on_bits)``; NULL bits mark
-    the rows that failed (they are counted, not written, by the export)."""
-    return string_fingerprint(structures, **kw)
-
-
 def bit_counts(fingerprints: DataFrame, n_bits: int = DEFAULT_N_BITS) -> DataFrame:
     """set-bit count and width of each fingerprint (+ the largest bit)."""
     bits = F.col(BITS_COL)
@@ -196,6 +166,6 @@ def graph_fingerprint(nodes: DataFrame, edges: DataFrame, radius: int = DEFAULT_
 
 __all__ = [
     "BITS_COL", "DEFAULT_N_BITS", "DEFAULT_RADIUS", "bit_counts", "bucket_hash",
-    "fingerprint_batch", "fingerprint_counts", "fingerprint_structures", "graph_fingerprint",
+    "fingerprint_counts", "fingerprint_structures", "graph_fingerprint",
     "is_valid_structure", "string_fingerprint", "valid_structures", "window_bits", "T",
 ]

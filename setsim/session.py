@@ -64,7 +64,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset only in local runs and tests: use a fresh private directory.
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local[") and master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        # One machine: a fresh private directory.
         configured = tempfile.mkdtemp(prefix="setsim-ckpt-")
     if sc is None:
         spark.conf.set("spark.checkpoint.dir", configured)
@@ -95,6 +98,12 @@ def materialize(df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tasks_for(spark: SparkSession, rows: int, rows_per_task: int) -> int:
+    """Tasks that follow the data: about ``rows_per_task`` rows each, and at
+    least one for each core as long as there are rows to share."""
+    return max(1, -(-int(rows) // rows_per_task), min(int(rows), default_parallelism(spark)))
+
+
 def default_parallelism(spark: SparkSession) -> int:
     """Cluster parallelism: the larger of the default parallelism and the
     shuffle partition count (the latter alone under Spark Connect)."""
