@@ -5,22 +5,27 @@ rules that survive that trip are applied here as column expressions:
 
 * every empty string becomes NULL (so do NULL and NaN; whitespace stays),
 * listed columns are whole numbers: ``24.0 -> 24``, a fraction is an error,
-* VARCHAR(n) and NOT NULL are constraints: ``fail`` (error, the store's
-  behaviour), ``drop`` (remove the row) or ``report`` (leave it; see
+* every whole-number target takes whole numbers only, keys included,
+* VARCHAR(n), NOT NULL and the key are constraints: ``fail`` (error, the
+  store's behaviour), ``drop`` (remove the row) or ``report`` (leave it; see
   ``quality``).
 
 A load is a projection + ``write.mode("overwrite")`` into a fresh path; a
-truncate is the overwrite itself.
+truncate is the overwrite itself.  Constraints hold at the write: the table
+that ``load_table`` hands out was written, and checked, as a whole.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from setsim import schemas
 from setsim.functions import blank_to_null, nan_to_null, strict_whole_number
+from setsim.operators import quality
 from setsim.schemas import TableSpec
 from setsim.sources.writers import _join, run_concurrently, write_counted
 
@@ -35,52 +40,74 @@ def _conform_column(df: DataFrame, spec: TableSpec, name: str) -> Column:
         c = blank_to_null(c)
     elif isinstance(src_type, (T.DoubleType, T.FloatType)):
         c = nan_to_null(c)
-    if name in spec.int_columns:
+    whole = name in spec.int_columns or isinstance(col.dtype, T.IntegralType)
+    if whole and isinstance(src_type, T.FractionalType):
         return strict_whole_number(c, col.dtype, f"{spec.name}.{name}")
     return c.cast(col.dtype)
 
 
-def _violation(spec: TableSpec) -> Column | None:
-    """A boolean column, true where a row breaks NOT NULL or VARCHAR(n)."""
+def _violation(raw: DataFrame, spec: TableSpec) -> Column | None:
+    """A boolean over the raw columns, true where a row breaks NOT NULL or VARCHAR(n)."""
     checks = []
     for c in spec.columns:
+        value = _conform_column(raw, spec, c.name)
         if not c.nullable:
-            checks.append(F.col(c.name).isNull())
+            checks.append(value.isNull())
         if c.max_len is not None:
-            checks.append(F.coalesce(F.length(c.name) > c.max_len, F.lit(False)))
-    if not checks:
-        return None
-    out = checks[0]
-    for chk in checks[1:]:
-        out = out | chk
-    return out
+            checks.append(F.coalesce(F.length(value) > c.max_len, F.lit(False)))
+    return reduce(lambda a, b: a | b, checks) if checks else None
+
+
+def _fraction(raw: DataFrame, spec: TableSpec) -> Column | None:
+    """True where a whole-number column holds a fraction."""
+    checks = [F.coalesce(F.col(c.name) != F.floor(c.name), F.lit(False)) for c in spec.columns
+              if isinstance(c.dtype, T.IntegralType) and isinstance(raw.schema[c.name].dataType, T.FractionalType)]
+    return reduce(lambda a, b: a | b, checks) if checks else None
 
 
 def conform(raw: DataFrame, spec: TableSpec, on_violation: str = "fail") -> DataFrame:
-    """L1: project to the table's columns and apply the load typing rules."""
+    """L1: project to the table's columns and apply the load typing rules.  In
+    every mode a fraction in a whole-number column is an error."""
     if on_violation not in ON_VIOLATION:
         raise ValueError(f"on_violation must be one of {ON_VIOLATION}")
-    typed = raw.select(*[_conform_column(raw, spec, n).alias(n) for n in spec.names])
-    bad = _violation(spec)
-    if bad is None or on_violation == "report":
-        return typed
-    if on_violation == "drop":
-        return typed.filter(~bad)
-    # fail: raise inside the task on the first offending row, like the store.
-    guard = F.when(bad, F.raise_error(F.lit(f"constraint violated in {spec.name}")))
-    first = spec.names[0]
-    return typed.select(F.coalesce(guard.cast(typed.schema[first].dataType), F.col(first)).alias(first),
-                        *spec.names[1:])
+    bad, fraction = _violation(raw, spec), _fraction(raw, spec)
+    # A filter on every checked column: no projection or count above it can
+    # prune it, and it raises on the first offending row, like the store.
+    def broken(what: str) -> Column:
+        return F.raise_error(F.lit(f"{what} in {spec.name}")).cast("boolean")
+
+    if fraction is not None:
+        raw = raw.filter(F.when(fraction, broken("non-integral value")).otherwise(F.lit(True)))
+    if bad is not None and on_violation == "drop":
+        raw = raw.filter(~bad)
+    if bad is not None and on_violation == "fail":
+        raw = raw.filter(F.when(bad, broken("constraint violated")).otherwise(F.lit(True)))
+    return raw.select(*[_conform_column(raw, spec, n).alias(n) for n in spec.names])
+
+
+def _one_row_per_key(table: DataFrame, spec: TableSpec) -> DataFrame:
+    """The smallest row of each key (combined before the shuffle)."""
+    rest = [n for n in spec.names if n not in spec.key]
+    return table.groupBy(*spec.key).agg(F.min(F.struct(*rest)).alias("_row")).select(
+        *spec.key, "_row.*").select(*spec.names)
 
 
 def load_table(raw: DataFrame, spec: TableSpec, path: str | None = None,
                on_violation: str = "fail") -> tuple[DataFrame, int | None]:
-    """L1 with the write: overwrite ``path`` and return ``(table, rows)``."""
+    """L1 with the write: overwrite ``path`` and return ``(table, rows)``.  Keys
+    are checked on what was written: ``fail`` raises on a key that repeats,
+    ``drop`` keeps one row of each key."""
     table = conform(raw, spec, on_violation)
+    if spec.key and on_violation == "drop":
+        table = _one_row_per_key(table, spec)
     if path is None:
         return table, None
     rows = write_counted(table, path)
-    return table.sparkSession.read.parquet(path), rows
+    written = table.sparkSession.read.schema(table.schema).parquet(path)
+    if spec.key and on_violation == "fail":
+        quality.enforce(quality.pk_violations({spec.name: written}, {spec.name: spec}), "duplicate_keys",
+                        f"primary key of {spec.name}")
+    return written, rows
 
 
 def load_chembl_id_lookup(raw: DataFrame, **kw) -> DataFrame:

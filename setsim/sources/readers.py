@@ -9,8 +9,6 @@ table key, so "the first n rows" is deterministic.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,26 +45,6 @@ def scan_extract(release: dict[str, DataFrame], table: str, limit: int | None =
     return _first(df, ORDER_KEY[table], limit)
 
 
-def ingest_chembl_id_lookup(release, limit=None) -> DataFrame:
-    """4-column projection of the id lookup."""
-    return scan_extract(release, "chembl_id_lookup", limit)
-
-
-def ingest_molecule_dictionary(release, limit=None) -> DataFrame:
-    """7-column projection of the dictionary."""
-    return scan_extract(release, "molecule_dictionary", limit)
-
-
-def ingest_compound_properties(release, limit=None) -> DataFrame:
-    """S3: 10-column projection of the properties."""
-    return scan_extract(release, "compound_properties", limit)
-
-
-def ingest_compound_structures(release, limit=None) -> DataFrame:
-    """4-column projection of the structures, NULL structures removed."""
-    return scan_extract(release, "compound_structures", limit)
-
-
 def structures_with_ids(dictionary: DataFrame, structures: DataFrame) -> DataFrame:
     """Dictionary ⋈ structures on molregno, non-NULL structure only."""
     d = dictionary.select("molregno", "chembl_id")
@@ -101,6 +79,16 @@ def fetch_structures_page(dictionary: DataFrame, structures: DataFrame, offset:
     return df.orderBy("chembl_id").offset(int(offset)).limit(int(batch_size))
 
 
+def fetch_structures_after(dictionary: DataFrame, structures: DataFrame, last_id: str | None,
+                           batch_size: int) -> DataFrame:
+    """S7 by key: the page that follows ``last_id``.  Each task keeps one page at
+    most, however far the reading has come (an offset keeps all rows before)."""
+    df = structures_with_ids(dictionary, structures)
+    if last_id is not None:
+        df = df.filter(F.col("chembl_id") > last_id)
+    return df.orderBy("chembl_id").limit(int(batch_size))
+
+
 def read_parquet_columns(spark: SparkSession, path: str, columns: list[str],
                          schema: T.StructType | None = None) -> DataFrame:
     """Parquet scan of chosen columns (the reader splits files into tasks)."""
@@ -110,8 +98,7 @@ def read_parquet_columns(spark: SparkSession, path: str, columns: list[str],
 
 def read_release(spark: SparkSession, input_dir: str) -> dict[str, DataFrame]:
     """A release stored as one Parquet dataset per table (as written by K3)."""
-    return {name: spark.read.parquet(os.path.join(input_dir, f"{name}.parquet"))
-            for name in EXTRACT_COLUMNS}
+    return {name: spark.read.parquet(f"{input_dir.rstrip('/')}/{name}.parquet") for name in EXTRACT_COLUMNS}
 
 
 def read_release_jdbc(spark: SparkSession, url: str, properties: dict, key_bounds: dict[str, tuple[int, int]],
@@ -151,11 +138,16 @@ def load_molecules_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def preview_tables(release: dict[str, DataFrame], n: int = 5) -> DataFrame:
-    """The first ``n`` rows (by key) of each table: table, position, key."""
+    """The first ``n`` whole rows (by key) of each table, one row for each
+    value: table, row key, column, value as text (fractions to four places)."""
     parts = []
     for table, key in ORDER_KEY.items():
-        top = _first(release[table].select(key), key, n)
-        parts.append(top.select(F.lit(table).alias("table_name"), F.col(key).cast("string").alias("row_key")))
+        top = _first(release[table], key, n)
+        text = [F.col(f.name).cast("decimal(38,4)").cast("string") if isinstance(f.dataType, T.FractionalType)
+                else F.col(f.name).cast("string") for f in top.schema.fields]
+        values = F.array(*(F.struct(F.lit(f.name).alias("column_name"), v.alias("value"))
+                           for f, v in zip(top.schema.fields, text, strict=True)))
+        parts.append(top.select(F.lit(table).alias("table_name"), F.col(key).cast("string").alias("row_key"), F.inline(values)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -164,7 +156,6 @@ def preview_tables(release: dict[str, DataFrame], n: int = 5) -> DataFrame:
 
 __all__ = [
     "EXTRACT_COLUMNS", "ORDER_KEY", "fetch_structures", "fetch_structures_page",
-    "ingest_chembl_id_lookup", "ingest_compound_properties", "ingest_compound_structures",
-    "ingest_molecule_dictionary", "load_molecules_csv", "preview_tables", "pull_sample",
+    "load_molecules_csv", "preview_tables", "pull_sample",
     "read_parquet_columns", "read_release", "read_release_jdbc", "scan_extract", "structures_with_ids", "schemas",
 ]
