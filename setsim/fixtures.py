@@ -57,7 +57,18 @@ RAW_SQL = {
         "ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS node_id, "
         "l_returnflag || l_linestatus || CAST(floor(l_quantity / 10) AS INT) AS label FROM {lineitem}"
     ),
-    "graph_edges": "SELECT graph_id, node_id - 1 AS a, node_id AS b FROM {graph_nodes} WHERE node_id > 1",
+    # Every third line also hangs on the first one, so that graphs branch and close rings.
+    "graph_edges": (
+        "SELECT graph_id, node_id - 1 AS a, node_id AS b FROM {graph_nodes} WHERE node_id > 1 "
+        "UNION ALL SELECT graph_id, 1 AS a, node_id AS b FROM {graph_nodes} WHERE node_id > 2 AND node_id % 3 = 0"
+    ),
+    # The dictionary with repeated keys (another id) and missing ids.
+    "raw_dictionary_with_faults": (
+        "SELECT molregno, CASE WHEN molregno % 31 = 0 THEN '' ELSE chembl_id END AS chembl_id, pref_name, molecule_type, "
+        "max_phase, therapeutic_flag, withdrawn_flag FROM {raw_molecule_dictionary} "
+        "UNION ALL SELECT molregno, 'A' || chembl_id, pref_name, molecule_type, max_phase, therapeutic_flag, withdrawn_flag "
+        "FROM {raw_molecule_dictionary} WHERE molregno % 7 = 0"
+    ),
     # Named pairs for the pairwise comparison: each part with its successor key.
     "compare_pairs": "SELECT 'P' || p_partkey AS id_a, 'P' || (p_partkey + 1) AS id_b FROM {part}",
 }
@@ -71,6 +82,7 @@ RAW_INPUTS = {
     "graph_nodes": ("lineitem",),
     "graph_edges": ("graph_nodes",),
     "compare_pairs": ("part",),
+    "raw_dictionary_with_faults": ("raw_molecule_dictionary",),
 }
 
 # Column projection pushed into each driver-table scan.

@@ -1,9 +1,8 @@
 """The gold mart: dimension and fact (L7, L8) and the analytic views (V1–V6).
 
-The fact table is bounded by construction (``count × k`` rows), the dimension
-is as large as the release.  Every view that joins them therefore broadcasts
-the fact side (or something derived from it) and streams the dimension once,
-so the dimension is never shuffled.
+The fact holds ``count × k`` rows, the dimension is as large as the release.
+A view that needs both reads the dimension once; the joins carry no hint, so
+Spark broadcasts the fact side where its size allows and shuffles where not.
 """
 
 from __future__ import annotations
@@ -12,8 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from setsim import schemas
 from setsim.operators.fingerprint import DEFAULT_N_BITS
-from setsim.operators.similarity import rank_top_k, score_pairs
+from setsim.operators.similarity import compute_top_k, packed_table
+from setsim.session import materialize
 
 FACT_COLUMNS = ["source_chembl_id", "target_chembl_id", "similarity_score",
                 "has_duplicates_of_last_largest_score"]
@@ -51,10 +52,8 @@ def write_fact_similarity(top_k: DataFrame, path: str) -> tuple[DataFrame, int]:
     never overwritten while a job reads it (M11).
     """
     from setsim.sources.writers import write_counted
-    # repartition(1), not coalesce(1): the ranking stage above stays parallel;
-    # only the bounded fact (count × k rows) is moved into one file.
-    rows = write_counted(fact_rows(top_k).repartition(1), path)
-    return top_k.sparkSession.read.parquet(path), rows
+    rows = write_counted(fact_rows(top_k), path)
+    return top_k.sparkSession.read.schema(schemas.FACT_SIMILARITY.struct).parquet(path), rows
 
 
 # ---------------------------------------------------------------------------
@@ -66,25 +65,20 @@ def avg_similarity_per_source(fact: DataFrame) -> DataFrame:
     return fact.groupBy("source_chembl_id").agg(F.avg("similarity_score").alias("avg_similarity_score"))
 
 
-def _dim_side(dim: DataFrame, ids: DataFrame, id_col: str, *cols: str) -> DataFrame:
-    """Dimension rows for a bounded id set: the ids are broadcast, the
-    dimension is streamed once (BroadcastHashJoin, build side = ids)."""
-    return dim.select("chembl_id", *cols).join(
-        F.broadcast(ids.select(F.col(id_col).alias("chembl_id")).distinct()), "chembl_id")
-
-
 def avg_alogp_deviation_per_source(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """V2: mean |alogp(target) − alogp(source)|; pairs with a NULL alogp on
-    either side are left out, a source without any pair vanishes."""
-    f = fact.select("source_chembl_id", "target_chembl_id")
-    src = _dim_side(dim, f, "source_chembl_id", "alogp").select(
-        F.col("chembl_id").alias("source_chembl_id"), F.col("alogp").alias("source_alogp"))
-    tgt = _dim_side(dim, f, "target_chembl_id", "alogp").select(
-        F.col("chembl_id").alias("target_chembl_id"), F.col("alogp").alias("target_alogp"))
-    joined = (f.join(F.broadcast(src), "source_chembl_id").join(F.broadcast(tgt), "target_chembl_id")
-              .filter(F.col("source_alogp").isNotNull() & F.col("target_alogp").isNotNull()))
-    return joined.groupBy("source_chembl_id").agg(
-        F.avg(F.abs(F.col("target_alogp") - F.col("source_alogp"))).alias("avg_alogp_deviation"))
+    either side are left out, a source without any pair vanishes.
+
+    Each pair goes to the dimension as two rows, one for each of its ids, so
+    that one join brings both values."""
+    roles = F.array(F.struct(F.lit("s").alias("role"), F.col("source_chembl_id").alias("chembl_id")),
+                    F.struct(F.lit("t").alias("role"), F.col("target_chembl_id").alias("chembl_id")))
+    asked = fact.select("source_chembl_id", "target_chembl_id", F.inline(roles))
+    value = lambda role: F.max(F.when(F.col("role") == role, F.col("alogp")))
+    pairs = asked.join(dim.select("chembl_id", "alogp"), "chembl_id").groupBy(
+        "source_chembl_id", "target_chembl_id").agg(F.abs(value("t") - value("s")).alias("deviation"))
+    return pairs.filter(F.col("deviation").isNotNull()).groupBy("source_chembl_id").agg(
+        F.avg("deviation").alias("avg_alogp_deviation"))
 
 
 def similarity_pivot(fact: DataFrame, source_ids: list[str]) -> DataFrame:
@@ -118,20 +112,17 @@ def similarity_chain(fact: DataFrame) -> DataFrame:
     )
 
 
-def similarity_two_hop(fact: DataFrame, fingerprinted: DataFrame, n_sources: int = 100,
-                       n_bits: int = DEFAULT_N_BITS, partitions: int | None = None) -> DataFrame:
+def similarity_two_hop(fact: DataFrame, fingerprinted: DataFrame, n_bits: int = DEFAULT_N_BITS) -> DataFrame:
     """V5: each source's best match, and *that match's* own best match among
-    all fingerprinted records (itself excluded).
-
-    Only the matched ids (at most one per source, so ``n_sources``) are
-    searched again: a second bounded broadcast against all targets, top-1.
-    """
+    all fingerprinted records (itself excluded).  The matched ids are searched
+    like any other sources."""
     best = _best_two(fact).filter(F.col("rank") == 1).select(
         "source_chembl_id", F.col("target_chembl_id").alias("most_similar_target"),
         F.col("similarity_score").alias("most_similar_score"))
-    matched = fingerprinted.join(
-        F.broadcast(best.select(F.col("most_similar_target").alias("chembl_id")).distinct()), "chembl_id")
-    hop = rank_top_k(score_pairs(matched, fingerprinted, n_sources, n_bits, partitions), 1, flag=False)
+    packed = packed_table(fingerprinted, n_bits)
+    matched = materialize(packed.join(best.select(F.col("most_similar_target").alias("chembl_id")).distinct(), "chembl_id"),
+                          "matched")
+    hop = compute_top_k(matched, packed, 1, n_bits=n_bits, flag=False)
     hop = hop.select(F.col("source_chembl_id").alias("most_similar_target"),
                      F.col("target_chembl_id").alias("next_most_similar_target"),
                      F.col("similarity_score").alias("next_most_similar_score"))
@@ -145,9 +136,8 @@ def avg_similarity_grouped(fact: DataFrame, dim: DataFrame) -> DataFrame:
     aromatic_rings), per heavy_atoms, overall — as GROUPING SETS
     ((id), ROLLUP(heavy_atoms, aromatic_rings)); NULL labels print 'TOTAL'
     (a genuine NULL attribute prints 'TOTAL' too, as in the view)."""
-    sd = _dim_side(dim, fact, "source_chembl_id", "aromatic_rings", "heavy_atoms")
     joined = fact.select("source_chembl_id", "similarity_score").join(
-        F.broadcast(sd.withColumnRenamed("chembl_id", "source_chembl_id")), "source_chembl_id")
+        dim.select(F.col("chembl_id").alias("source_chembl_id"), "aromatic_rings", "heavy_atoms"), "source_chembl_id")
     sets = [[F.col("source_chembl_id")],
             [F.col("heavy_atoms"), F.col("aromatic_rings")],
             [F.col("heavy_atoms")],
@@ -172,15 +162,30 @@ VIEWS = {
 }
 
 
-def create_views(fact: DataFrame, dim: DataFrame, pivot_ids: list[str]) -> dict[str, DataFrame]:
-    """K7: publish the five views as temp views (create or replace)."""
-    views = {
+def build_views(fact: DataFrame, dim: DataFrame, pivot_ids: list[str]) -> dict[str, DataFrame]:
+    return {
         "vw_avg_similarity_per_source": avg_similarity_per_source(fact),
         "vw_avg_alogp_deviation_per_source": avg_alogp_deviation_per_source(fact, dim),
         "similarity_pivot": similarity_pivot(fact, pivot_ids),
         "similarity_chain": similarity_chain(fact),
         "avg_similarity_grouped": avg_similarity_grouped(fact, dim),
     }
+
+
+def create_views(fact: DataFrame, dim: DataFrame, pivot_ids: list[str], out_dir: str | None = None) -> dict[str, DataFrame]:
+    """K7: publish the five views (create or replace) as temp views and, with
+    ``out_dir``, as Parquet tables that outlive the session; the temp views then
+    read those tables."""
+    views = build_views(fact, dim, pivot_ids)
+    if out_dir is not None:
+        from setsim.sources.writers import _join, run_concurrently
+
+        def publish(name: str) -> tuple[str, DataFrame]:
+            path = _join(out_dir, name)
+            views[name].write.mode("overwrite").parquet(path)
+            return name, fact.sparkSession.read.schema(views[name].schema).parquet(path)
+
+        views = dict(run_concurrently(publish, list(views)))
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return views

@@ -1,40 +1,48 @@
 """Set-similarity search.
 
-Plan shape for "score chosen sources against every record":
+Plan shape for "score chosen sources against every record", the same for ten
+sources and for a million:
 
 * every fingerprint is packed once into ``n_bits/64`` non-nullable BIGINT
-  words, so a pair costs ``W`` AND + ``bit_count`` in generated code;
-* the sources are a bounded set (``count`` rows), so they are broadcast —
-  after the bound is checked on the data; beyond the broadcast threshold they
-  are processed in broadcast-sized chunks whose results are unioned;
-* the targets are packed, hash-partitioned by id into enough tasks to spread
-  the pair work, and stream through a BroadcastNestedLoopJoin on
-  ``source <> target``;
-* top-k per source is ``row_number() <= k+1`` over ``(score DESC, target)``,
-  planned as a partial WindowGroupLimit *before* the shuffle (k+1 rows per
-  source and task are exchanged); the tie flag is a second window over the
-  same partitioning.  Over stored scores, ``rank_top_k_prefiltered`` first
-  finds each source's (k+1)-th score bucket with a hash aggregate and sorts
-  only the slice above it (exact).
+  words (stored with the table, ``pack_fingerprints``), so a pair costs ``W``
+  AND + ``bit_count`` in generated code;
+* pairs form block by block: a source hashes into one of ``B`` blocks and is
+  copied to the ``T`` target blocks, a target hashes into one of ``T`` and is
+  copied to the ``B`` source blocks; the two meet in an equi-join on
+  ``(source block, target block)``.  B and T follow the row counts.  Spark
+  broadcasts the sources where they are small and sorts both sides where not;
+* top-k per source first takes a floor from one slice of the target blocks (the
+  (k+1)-th best score there).  A pair whose sizes bound its score below the
+  floor, ``min(a, b) / max(a, b)`` (Swamidass & Baldi 2007), is not even
+  intersected, and a pair that scores below it is not sorted;
+* the rest is ``row_number() <= k+1`` over ``(score DESC, target)``, planned as
+  a partial WindowGroupLimit *before* the shuffle (k+1 rows per source and
+  task are exchanged); the tie flag is a second window over the same
+  partitioning.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from setsim.functions import n_words, packed_intersection, packed_words, tanimoto, tanimoto_from_sizes
 from setsim.operators.fingerprint import BITS_COL, DEFAULT_N_BITS
-from setsim.session import default_parallelism
+from setsim.session import default_parallelism, materialize
 
 # Fixed defaults of the reference: 100 sources, top 10.
 DEFAULT_SOURCE_COUNT = 100
 DEFAULT_K = 10
-# Upper bound of one id in bytes (VARCHAR(20) plus row overhead), for sizing.
-_ID_BYTES = 64
 PACKED_PREFIX = "w"
+# Sources that one block holds, and target blocks for each task (so that the
+# hash of the blocks spreads them evenly).
+SOURCE_BLOCK = 4096
+BLOCKS_PER_TASK = 4
+# Target blocks that give the floor: one in so many.
+FLOOR_SLICE = 16
 
 
 def select_source_molecules(fingerprinted: DataFrame, count: int = DEFAULT_SOURCE_COUNT,
@@ -44,9 +52,11 @@ def select_source_molecules(fingerprinted: DataFrame, count: int = DEFAULT_SOURC
     Takes the fingerprint table, where invalid structures are already absent,
     so failures are skipped before counting.  Plans as TakeOrderedAndProject:
     each task keeps its best ``count`` rows and one task merges them, so the
-    result is bounded by ``count`` whatever the table size.
+    result is bounded by ``count`` whatever the table size.  Rows that repeat
+    an id come in the order of their fingerprints.
     """
-    return fingerprinted.orderBy(F.col(id_col).asc()).limit(int(count))
+    rest = [F.col(c) for c in fingerprinted.columns if c != id_col]
+    return fingerprinted.orderBy(F.col(id_col).asc(), *rest).limit(int(count))
 
 
 def tanimoto_column(a: str = "source_bits", b: str = "target_bits", size_a: str | None = None,
@@ -75,30 +85,11 @@ def word_count(packed: DataFrame) -> int:
     return sum(1 for c in packed.columns if c.startswith(PACKED_PREFIX) and c[len(PACKED_PREFIX):].isdigit())
 
 
-def source_bytes_bound(count: int, n_bits: int = DEFAULT_N_BITS) -> int:
-    """Proven upper bound of the broadcast side: ``count`` rows of one id,
-    one size and ``ceil(n_bits / 64)`` 8-byte words."""
-    return int(count) * (n_words(n_bits) * 8 + 8 + _ID_BYTES)
-
-
-def broadcast_limit(spark) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        val = int(str(raw).lower().rstrip("b"))
-    except ValueError:
-        val = 10 * 1024 * 1024
-    # A disabled auto-broadcast (-1) still allows a checked, explicit one.
-    return max(val, 8 * 1024 * 1024)
-
-
-def check_bound(sources: DataFrame, n_sources: int) -> None:
-    """Prove the declared bound of the broadcast side before broadcasting it:
-    reads at most ``n_sources + 1`` rows; more rows than declared is an error
-    (never silently truncated)."""
-    seen = sources.limit(int(n_sources) + 1).count()
-    if seen > int(n_sources):
-        raise ValueError(f"sources exceed their declared bound of {n_sources} rows; "
-                         "pass the real bound (chunked broadcast handles large ones)")
+def packed_table(fingerprinted: DataFrame, n_bits: int = DEFAULT_N_BITS) -> DataFrame:
+    """The packed form, written once unless the table already is packed."""
+    if PACKED_PREFIX + "0" in fingerprinted.columns:
+        return fingerprinted
+    return materialize(pack_fingerprints(fingerprinted, n_bits), "packed")
 
 
 def _side(packed: DataFrame, role: str) -> DataFrame:
@@ -107,65 +98,85 @@ def _side(packed: DataFrame, role: str) -> DataFrame:
                          *[F.col(f"{PACKED_PREFIX}{j}").alias(f"{role}_{PACKED_PREFIX}{j}") for j in range(w)])
 
 
-def target_partitions(spark, n_targets: int | None = None, n_sources: int = DEFAULT_SOURCE_COUNT,
-                      pairs_per_task: int = 5_000_000) -> int:
-    """Tasks for the pair stage: at least the cluster's parallelism, and
-    enough that each task scores at most ~``pairs_per_task`` pairs.  5 M pairs
-    keep a task's top-k sort buffer near 200 MB (about 40 bytes per pair row),
-    inside a typical per-task execution-memory share, so it rarely spills."""
-    base = default_parallelism(spark)
-    if n_targets is None:
-        return base
-    return max(base, math.ceil(n_targets * max(1, n_sources) / pairs_per_task))
+@dataclass(frozen=True)
+class Blocks:
+    """How the pairs are cut: source blocks, target blocks, tasks."""
+
+    source: int
+    target: int
+    tasks: int
+
+
+def pair_blocks(spark, n_sources: int, n_targets: int, pairs_per_task: int = 5_000_000,
+                source_block: int = SOURCE_BLOCK, target_block: int | None = None) -> Blocks:
+    """Blocks for the pair stage.  5 M pairs keep a task's top-k sort buffer near
+    200 MB (about 40 bytes per pair row).  With ``target_block`` a task holds
+    whole blocks of that many targets instead (one output file for each)."""
+    by_source = max(1, math.ceil(n_sources / source_block))
+    if target_block is not None:
+        by_target = max(1, math.ceil(n_targets / target_block))
+        return Blocks(by_source, by_target, by_source * by_target)
+    pairs = max(1, n_targets) * max(1, n_sources)
+    tasks = max(min(default_parallelism(spark), max(1, n_targets)), math.ceil(pairs / pairs_per_task))
+    return Blocks(by_source, max(1, math.ceil(tasks * BLOCKS_PER_TASK / by_source)), tasks)
+
 
+def _block_of(id_col: str, n: int):
+    return F.pmod(F.xxhash64(id_col), F.lit(n))
 
-def score_pairs(sources: DataFrame, targets: DataFrame, n_sources: int = DEFAULT_SOURCE_COUNT,
-                n_bits: int = DEFAULT_N_BITS, partitions: int | None = None,
-                broadcast_bytes: int | None = None) -> DataFrame:
+
+def _copies(n: int):
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+
+def score_pairs(sources: DataFrame, targets: DataFrame, n_sources: int | None = None, n_targets: int | None = None,
+                n_bits: int = DEFAULT_N_BITS, blocks: Blocks | None = None, floors: DataFrame | None = None,
+                only_slice: int | None = None) -> DataFrame:
     """T3 core: ``(source_chembl_id, target_chembl_id, similarity_score)`` for
     every source against every target with a different id (M6).
 
-    Inputs are fingerprint tables (``chembl_id, fingerprint_on_bits``) or
-    their packed form.  ``n_sources`` is the declared upper bound of
-    ``sources`` (it is how the caller limited them); the broadcast is sized
-    from it, never from the data.
+    Inputs are fingerprint tables (``chembl_id, fingerprint_on_bits``), packed
+    and written here, or their stored packed form.  The row counts size the
+    blocks (they are counted when not given) and change no result.  With
+    ``floors(source_chembl_id, floor)`` pairs below their source's floor are
+    left out; with ``only_slice`` only that share of the target blocks is scored.
     """
     spark = sources.sparkSession
-    check_bound(sources, n_sources)
-    if partitions is None:
-        partitions = target_partitions(spark, None, n_sources)
-    # The exchange after packing matters: in one codegen stage with the
-    # nested-loop join, the packing would be re-evaluated for every pair.
-    tgt = _side(pack_fingerprints(targets, n_bits).repartition(int(partitions), "chembl_id"), "target")
-    src = _side(pack_fingerprints(sources, n_bits), "source")
-    limit = broadcast_bytes if broadcast_bytes is not None else broadcast_limit(spark)
-    if source_bytes_bound(n_sources, n_bits) <= limit:
-        return _pairs(src, tgt)
-    # Too many sources for one broadcast: number them and run bounded chunks.
-    per_chunk = max(1, limit // source_bytes_bound(1, n_bits))
-    numbered = src.withColumn("_rn", F.row_number().over(Window.orderBy("source_chembl_id")))
-    out = None
-    for lo in range(0, int(n_sources), per_chunk):
-        chunk = numbered.filter((F.col("_rn") > lo) & (F.col("_rn") <= lo + per_chunk)).drop("_rn")
-        part = _pairs(chunk, tgt)
-        out = part if out is None else out.unionByName(part)
-    return out
+    src, tgt = packed_table(sources, n_bits), packed_table(targets, n_bits)
+    if blocks is None:
+        n_sources = src.count() if n_sources is None else n_sources
+        n_targets = tgt.count() if n_targets is None else n_targets
+        blocks = pair_blocks(spark, n_sources, n_targets)
+    kept = blocks.target if only_slice is None else max(1, blocks.target // only_slice)
+    src, tgt = _side(src, "source"), _side(tgt, "target")
+    if floors is not None:
+        src = src.join(floors, "source_chembl_id", "left")
+    else:
+        src = src.withColumn("floor", F.lit(None).cast("double"))
+    src = src.withColumn("_b", _block_of("source_chembl_id", blocks.source)).withColumn("_t", _copies(kept))
+    tgt = tgt.withColumn("_t", _block_of("target_chembl_id", blocks.target)).filter(F.col("_t") < kept) \
+        .withColumn("_b", _copies(blocks.source)).repartition(blocks.tasks, "_b", "_t")
+    return _pairs(src, tgt)
 
 
 def _pairs(src: DataFrame, tgt: DataFrame) -> DataFrame:
     prefix = f"target_{PACKED_PREFIX}"
     w = sum(1 for c in tgt.columns if c.startswith(prefix) and c[len(prefix):].isdigit())
-    joined = tgt.join(F.broadcast(src), F.col("source_chembl_id") != F.col("target_chembl_id"), "inner")
+    small, large = F.least("source_n_on", "target_n_on"), F.greatest("source_n_on", "target_n_on")
+    able = F.col("floor").isNull() | (large == 0) | (
+        small.cast("double") / large.cast("double") >= F.col("floor"))
+    joined = tgt.join(src, ["_b", "_t"]).filter((F.col("source_chembl_id") != F.col("target_chembl_id")) & able)
     inter = packed_intersection([F.col(f"source_{PACKED_PREFIX}{j}") for j in range(w)],
                                 [F.col(f"target_{PACKED_PREFIX}{j}") for j in range(w)])
     # The intersection is projected once (its own Project, kept apart by
     # Catalyst because the score reads it twice); inlining it would triple
     # the generated code of the hottest loop.
-    counted = joined.select("source_chembl_id", "target_chembl_id", "source_n_on", "target_n_on",
+    counted = joined.select("source_chembl_id", "target_chembl_id", "source_n_on", "target_n_on", "floor",
                             inter.alias("inter"))
-    return counted.select("source_chembl_id", "target_chembl_id",
-                          tanimoto_from_sizes(F.col("inter"), F.col("source_n_on"), F.col("target_n_on"))
-                          .alias("similarity_score"))
+    scored = counted.select("source_chembl_id", "target_chembl_id", "floor",
+                            tanimoto_from_sizes(F.col("inter"), F.col("source_n_on"), F.col("target_n_on"))
+                            .alias("similarity_score"))
+    return scored.filter(F.col("floor").isNull() | (F.col("similarity_score") >= F.col("floor"))).drop("floor")
 
 
 def rank_top_k(scored: DataFrame, k: int = DEFAULT_K, flag: bool = True) -> DataFrame:
@@ -177,9 +188,7 @@ def rank_top_k(scored: DataFrame, k: int = DEFAULT_K, flag: bool = True) -> Data
     score equals it too (scores are sorted, so "any later row equals the k-th"
     is "the next row does").
     """
-    order = Window.partitionBy("source_chembl_id").orderBy(F.col("similarity_score").desc(),
-                                                           F.col("target_chembl_id").asc())
-    ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k + 1)
+    ranked = scored.withColumn("rank", F.row_number().over(_by_score())).filter(F.col("rank") <= k + 1)
     if not flag:
         return ranked.filter(F.col("rank") <= k)
     whole = Window.partitionBy("source_chembl_id")
@@ -190,61 +199,45 @@ def rank_top_k(scored: DataFrame, k: int = DEFAULT_K, flag: bool = True) -> Data
             .filter(F.col("rank") <= k))
 
 
-def rank_top_k_prefiltered(scored: DataFrame, k: int = DEFAULT_K, buckets: int = 4096) -> DataFrame:
-    """T4 over a *stored* score table: the same rows and flags as
-    ``rank_top_k``, but only a thin top slice of each source is sorted.
+def _by_score() -> Window:
+    return Window.partitionBy("source_chembl_id").orderBy(F.col("similarity_score").desc(),
+                                                          F.col("target_chembl_id").asc())
 
-    Pass 1 counts pairs per (source, score bucket) — a partial hash
-    aggregate, no sort, at most ``sources × buckets`` rows out.  For each
-    source the highest bucket whose running count (from the top) reaches k+1
-    is exactly the bucket of the (k+1)-th score: a pair in a higher bucket
-    scores strictly more, and at most k pairs do.  Pass 2 keeps the pairs in
-    that bucket or above (every pair the ranking and the flag can use) and
-    ranks them.  Exact for any data; a bucket full of ties only makes the
-    kept slice larger, never wrong.  Worth it when ``scored`` is read from
-    files (two scans) rather than recomputed.
-    """
-    bucket = F.least(F.floor(F.col("similarity_score") * buckets), F.lit(buckets - 1)).cast("int")
-    hist = scored.select("source_chembl_id", bucket.alias("_b")).groupBy("source_chembl_id", "_b").count()
-    from_top = (Window.partitionBy("source_chembl_id").orderBy(F.col("_b").desc())
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cutoff = (hist.withColumn("_cum", F.sum("count").over(from_top))
-              .filter(F.col("_cum") >= k + 1)
-              .groupBy("source_chembl_id").agg(F.max("_b").alias("_cut")))
-    # At most one cutoff row per source (bounded by the source count).
-    kept = (scored.join(F.broadcast(cutoff), "source_chembl_id", "left")
-            .filter(F.col("_cut").isNull() | (bucket >= F.col("_cut")))
-            .drop("_cut"))
-    return rank_top_k(kept, k)
-
-
-def compute_top_k(sources: DataFrame, targets: DataFrame, k: int = DEFAULT_K,
-                  n_sources: int = DEFAULT_SOURCE_COUNT, n_bits: int = DEFAULT_N_BITS,
-                  partitions: int | None = None) -> DataFrame:
-    """T4/T5: the fact rows ``(source, target, score, flag)`` for all sources."""
-    scored = score_pairs(sources, targets, n_sources, n_bits, partitions)
-    return rank_top_k(scored, k).select(
-        "source_chembl_id", "target_chembl_id", "similarity_score",
-        "has_duplicates_of_last_largest_score")
+
+def score_floors(scored: DataFrame, k: int) -> DataFrame:
+    """``(source_chembl_id, floor)``: the (k+1)-th best score of each source that
+    has so many; no row below it can be among the best k+1 of a larger table."""
+    return (scored.withColumn("_n", F.row_number().over(_by_score())).filter(F.col("_n") <= k + 1)
+            .groupBy("source_chembl_id").agg(F.min("similarity_score").alias("floor"), F.count("*").alias("_n"))
+            .filter(F.col("_n") == k + 1).select("source_chembl_id", "floor"))
 
 
-def compute_full_similarity(sources: DataFrame, targets: DataFrame,
-                            n_sources: int = DEFAULT_SOURCE_COUNT, n_bits: int = DEFAULT_N_BITS,
-                            partitions: int | None = None) -> DataFrame:
+def compute_top_k(sources: DataFrame, targets: DataFrame, k: int = DEFAULT_K, n_sources: int | None = None,
+                  n_targets: int | None = None, n_bits: int = DEFAULT_N_BITS, flag: bool = True) -> DataFrame:
+    """T4/T5: the fact rows ``(source, target, score, flag)`` for all sources."""
+    src, tgt = packed_table(sources, n_bits), packed_table(targets, n_bits)
+    blocks = pair_blocks(src.sparkSession, src.count() if n_sources is None else n_sources,
+                         tgt.count() if n_targets is None else n_targets)
+    floors = score_floors(score_pairs(src, tgt, blocks=blocks, only_slice=FLOOR_SLICE), k)
+    ranked = rank_top_k(score_pairs(src, tgt, blocks=blocks, floors=floors), k, flag)
+    return ranked.select("source_chembl_id", "target_chembl_id", "similarity_score",
+                         "has_duplicates_of_last_largest_score" if flag else "rank")
+
+
+def compute_full_similarity(sources: DataFrame, targets: DataFrame, n_sources: int | None = None,
+                            n_targets: int | None = None, n_bits: int = DEFAULT_N_BITS,
+                            blocks: Blocks | None = None) -> DataFrame:
     """Every other record's score for each source, zeros included (M9)."""
-    return score_pairs(sources, targets, n_sources, n_bits, partitions)
+    return score_pairs(sources, targets, n_sources, n_targets, n_bits, blocks)
 
 
 def top_k_single_source(fingerprinted: DataFrame, k: int = 5, source_id: str | None = None,
                         n_bits: int = DEFAULT_N_BITS) -> DataFrame:
-    """Top-``k`` preview of one source (the first by id unless given), no flag."""
-    if source_id is None:
-        src = select_source_molecules(fingerprinted, 1)
-    else:
-        src = fingerprinted.filter(F.col("chembl_id") == source_id).limit(1)
-    scored = score_pairs(src, fingerprinted, 1, n_bits)
-    return rank_top_k(scored, k, flag=False).select(
-        "source_chembl_id", "target_chembl_id", "similarity_score", "rank")
+    """Top-``k`` preview of one source (the first by id unless given), no flag.
+    Every row that holds a given id is searched."""
+    packed = packed_table(fingerprinted, n_bits)
+    src = select_source_molecules(packed, 1) if source_id is None else packed.filter(F.col("chembl_id") == source_id)
+    return compute_top_k(materialize(src, "source"), packed, k, 1, n_bits=n_bits, flag=False)
 
 
 def compare_pairs(pairs: DataFrame, fingerprinted: DataFrame, a: str = "id_a", b: str = "id_b") -> DataFrame:

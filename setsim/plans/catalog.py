@@ -23,12 +23,15 @@ from setsim.functions import bits_to_text
 from setsim.operators import conform, fingerprint, mart, quality, similarity
 from setsim.plans.oracle import PIVOT_IDS
 from setsim.plans.refresh import full_refresh
-from setsim.session import app_id, materialize, scratch_path
+from setsim.session import app_id, materialize, scratch_path, table_path, tasks_for
 from setsim.sources import readers, writers
 
 COUNT = similarity.DEFAULT_SOURCE_COUNT
 K = similarity.DEFAULT_K
 N_BITS = fingerprint.DEFAULT_N_BITS
+# Size of the sample and of its CSV; below the rows of the test tables, so that
+# the limit and its order show.
+SAMPLE = 500
 
 
 class Workspace:
@@ -42,6 +45,7 @@ class Workspace:
         self.sf_dir = sf_dir
         self.release = fixtures.raw_release(spark, sf_dir)
         self._made: dict[str, DataFrame] = {}
+        self._building = threading.RLock()
         self.n_fingerprints: int | None = None
 
     @classmethod
@@ -52,47 +56,50 @@ class Workspace:
                 cls._cache[key] = Workspace(spark, sf_dir)
             return cls._cache[key]
 
-    # -- bronze (lazy: projections of the bindings) -------------------------
+    # -- written once ---------------------------------------------------------
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        with self._building:
+            if name not in self._made:
+                self._made[name] = build()
+            return self._made[name]
+
     def bronze(self, name: str) -> DataFrame:
-        return conform.LOADERS[name](self.release[name])
+        """The conformed table, written and checked as a whole."""
+        return self._once(f"bronze-{name}", lambda: conform.load_table(
+            self.release[name], schemas.BRONZE[name], scratch_path(self.spark, f"bronze-{name}"))[0])
 
     @property
     def structures(self) -> DataFrame:
         return readers.fetch_structures(self.bronze("molecule_dictionary"), self.bronze("compound_structures"))
 
-    # -- written once ---------------------------------------------------------
-    def _written(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._made:
-            path = scratch_path(self.spark, name)
-            build().write.mode("overwrite").parquet(path)
-            self._made[name] = self.spark.read.parquet(path)
-        return self._made[name]
+    def tasks(self) -> int:
+        return tasks_for(self.spark, self.bronze("compound_structures").count(), fingerprint.ROWS_PER_TASK)
 
     def fingerprints(self) -> DataFrame:
-        if "fingerprints" not in self._made:
+        def build() -> DataFrame:
             path = scratch_path(self.spark, "fingerprints")
-            written, _ = writers.export_fingerprints(self.structures, path,
-                                                     partitions=similarity.target_partitions(self.spark))
-            self.n_fingerprints = written
-            self._made["fingerprints"] = (self.spark.read.parquet(path) if written
-                                          else self.spark.createDataFrame([], schemas.FINGERPRINTS))
-        return self._made["fingerprints"]
+            self.n_fingerprints, _ = writers.export_fingerprints(self.structures, path, partitions=self.tasks())
+            return self.spark.read.schema(schemas.FINGERPRINTS).parquet(path)
+        return self._once("fingerprints", build)
+
+    def packed(self) -> DataFrame:
+        return self._once("packed", lambda: similarity.packed_table(self.fingerprints(), N_BITS))
 
     def sources(self) -> DataFrame:
-        return similarity.select_source_molecules(self.fingerprints(), COUNT)
+        return self._once("sources", lambda: materialize(
+            similarity.select_source_molecules(self.packed(), COUNT), "sources"))
 
-    def pair_partitions(self) -> int:
-        self.fingerprints()
-        return similarity.target_partitions(self.spark, self.n_fingerprints, COUNT)
+    def top_k(self) -> DataFrame:
+        return similarity.compute_top_k(self.sources(), self.packed(), K, n_targets=self.n_fingerprints)
 
     def fact(self) -> DataFrame:
-        return self._written("fact", lambda: mart.fact_rows(similarity.compute_top_k(
-            self.sources(), self.fingerprints(), K, COUNT, N_BITS, self.pair_partitions())).repartition(1))
+        return self._once("fact", lambda: mart.write_fact_similarity(
+            self.top_k(), scratch_path(self.spark, "fact"))[0])
 
     def dim(self) -> DataFrame:
-        return self._written("dim", lambda: mart.populate_dim_molecule(
+        return self._once("dim", lambda: materialize(mart.populate_dim_molecule(
             self.bronze("molecule_dictionary"), self.bronze("compound_properties"),
-            self.bronze("compound_structures")))
+            self.bronze("compound_structures")), "dim"))
 
     def quality_tables(self) -> dict[str, DataFrame]:
         return {
@@ -125,7 +132,7 @@ def q_scan(table: str):
 
 def q_sample_structures(spark, d):
     ws = _ws(spark, d)
-    return readers.pull_sample(ws.bronze("molecule_dictionary"), ws.bronze("compound_structures"), 2000)
+    return readers.pull_sample(ws.bronze("molecule_dictionary"), ws.bronze("compound_structures"), SAMPLE)
 
 
 def q_fetch_structures(spark, d):
@@ -138,6 +145,12 @@ def q_structures_page(spark, d):
                                          offset=100, batch_size=500)
 
 
+def q_structures_after(spark, d):
+    ws = _ws(spark, d)
+    return readers.fetch_structures_after(ws.bronze("molecule_dictionary"), ws.bronze("compound_structures"),
+                                          "P1500", batch_size=300)
+
+
 def q_csv_roundtrip(spark, d):
     path = writers.save_csv(q_sample_structures(spark, d), scratch_path(spark, "sample_csv"))
     return readers.load_molecules_csv(spark, path)
@@ -175,31 +188,33 @@ def q_dim_molecule(spark, d):
     return _ws(spark, d).dim()
 
 
+def q_load_drop_dictionary(spark, d):
+    """A load that drops what breaks a constraint: repeated keys and missing ids."""
+    raw = fixtures.binding(spark, d, "raw_dictionary_with_faults")
+    path = scratch_path(spark, "bronze-dropped")
+    return conform.load_table(raw, schemas.MOLECULE_DICTIONARY, path, on_violation="drop")[0]
+
+
 def q_fact_similarity(spark, d):
     return _ws(spark, d).fact()
 
 
 def q_topk_similarity(spark, d):
-    ws = _ws(spark, d)
-    return similarity.compute_top_k(ws.sources(), ws.fingerprints(), K, COUNT, N_BITS, ws.pair_partitions())
+    return _ws(spark, d).top_k()
 
 
 def q_fingerprints_export(spark, d):
     ws = _ws(spark, d)
     path = scratch_path(spark, "fingerprints_export")
-    written, _ = writers.export_fingerprints(ws.structures, path, partitions=similarity.target_partitions(spark))
-    if not written:
-        return spark.createDataFrame([], "chembl_id string, fingerprint_on_bits string")
-    return _text_bits(spark.read.parquet(path), "chembl_id")
+    writers.export_fingerprints(ws.structures, path, partitions=ws.tasks())
+    return _text_bits(spark.read.schema(schemas.FINGERPRINTS).parquet(path), "chembl_id")
 
 
 def q_full_similarity_partitioned(spark, d):
     ws = _ws(spark, d)
     path = scratch_path(spark, "full_similarity")
-    full = similarity.compute_full_similarity(ws.sources(), ws.fingerprints(), COUNT, N_BITS,
-                                              ws.pair_partitions())
-    writers.write_full_similarity(full, path, n_targets=ws.n_fingerprints, n_sources=COUNT)
-    return spark.read.parquet(path).select("source_chembl_id", "target_chembl_id", "similarity_score")
+    writers.write_full_similarity(ws.sources(), ws.packed(), path, COUNT, ws.n_fingerprints)
+    return spark.read.schema(schemas.FULL_SCORES).parquet(path)
 
 
 def q_add_missing_column(spark, d):
@@ -251,6 +266,12 @@ def q_fingerprint_bit_counts(spark, d):
     return fingerprint.bit_counts(_ws(spark, d).fingerprints())
 
 
+def q_fingerprint_documents(spark, d):
+    """Whole texts through the ring windows, the longest ones too."""
+    docs = spark.read.parquet(table_path(d, "documents"))
+    return _text_bits(fingerprint.string_fingerprint(docs, "doc_id", "text").withColumnRenamed("chembl_id", "doc_id"), "doc_id")
+
+
 def q_graph_fingerprint(spark, d):
     nodes, edges = fixtures.graph_inputs(spark, d, keep=materialize)
     return _text_bits(fingerprint.graph_fingerprint(nodes, edges), "graph_id")
@@ -269,11 +290,11 @@ def q_select_sources(spark, d):
 
 def q_full_similarity(spark, d):
     ws = _ws(spark, d)
-    return similarity.compute_full_similarity(ws.sources(), ws.fingerprints(), COUNT, N_BITS, ws.pair_partitions())
+    return similarity.compute_full_similarity(ws.sources(), ws.packed(), n_targets=ws.n_fingerprints)
 
 
 def q_topk_single_source(spark, d):
-    return similarity.top_k_single_source(_ws(spark, d).fingerprints(), 5)
+    return similarity.top_k_single_source(_ws(spark, d).packed(), 5)
 
 
 def q_sample_csv_top5(spark, d):
@@ -281,7 +302,7 @@ def q_sample_csv_top5(spark, d):
     top 5 of the first sampled record among the rest of the sample."""
     path = writers.save_csv(q_sample_structures(spark, d), scratch_path(spark, "sample_flow_csv"))
     sample = readers.load_molecules_csv(spark, path)
-    fps = fingerprint.fingerprint_structures(sample, partitions=similarity.target_partitions(spark))
+    fps = fingerprint.fingerprint_structures(sample)
     return similarity.top_k_single_source(fps, 5)
 
 
@@ -302,13 +323,20 @@ def q_similarity_pivot(spark, d):
     return mart.similarity_pivot(_ws(spark, d).fact(), PIVOT_IDS)
 
 
+def q_published_pivot(spark, d):
+    """The pivot as the published table that later sessions read."""
+    ws = _ws(spark, d)
+    mart.create_views(ws.fact(), ws.dim(), PIVOT_IDS, scratch_path(spark, "views"))
+    return spark.table("similarity_pivot")
+
+
 def q_similarity_chain(spark, d):
     return mart.similarity_chain(_ws(spark, d).fact())
 
 
 def q_similarity_two_hop(spark, d):
     ws = _ws(spark, d)
-    return mart.similarity_two_hop(ws.fact(), ws.fingerprints(), COUNT, N_BITS, ws.pair_partitions())
+    return mart.similarity_two_hop(ws.fact(), ws.packed())
 
 
 def q_avg_similarity_grouped(spark, d):
@@ -324,6 +352,27 @@ def q_refresh_report(spark, d):
     return res.report(spark)
 
 
+def _refreshed(spark, d):
+    """A refresh of a release whose ids look like numbers."""
+    ws = _ws(spark, d)
+
+    def build() -> DataFrame:
+        release = dict(ws.release)
+        release["molecule_dictionary"] = release["molecule_dictionary"].withColumn(
+            "chembl_id", F.lpad(F.col("molregno").cast("string"), 6, "0"))
+        ws.refreshed = full_refresh(spark, release, fk_mode="drop")
+        return ws.refreshed.tables["gold.fact_similarity"]
+    return ws._once("refresh", build), ws
+
+
+def q_refresh_fact(spark, d):
+    return _refreshed(spark, d)[0]
+
+
+def q_refresh_full_similarity(spark, d):
+    return _refreshed(spark, d)[1].refreshed.tables["full_similarity"]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_id_lookup": q_scan("chembl_id_lookup"),
@@ -333,6 +382,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sample_structures": q_sample_structures,
         "fetch_structures": q_fetch_structures,
         "structures_page": q_structures_page,
+        "structures_after": q_structures_after,
         "csv_roundtrip": q_csv_roundtrip,
         "preview_tables": q_preview_tables,
         "parquet_roundtrip": q_parquet_roundtrip,
@@ -342,6 +392,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_properties": q_bronze("compound_properties"),
         "bronze_structures": q_bronze("compound_structures"),
         "bronze_counts": q_bronze_counts,
+        "load_drop_dictionary": q_load_drop_dictionary,
         "dim_molecule": q_dim_molecule,
         "fact_similarity": q_fact_similarity,
         "fingerprints_export": q_fingerprints_export,
@@ -352,6 +403,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fk_violations": q_fk_violations,
         "length_violations": q_length_violations,
         "string_fingerprint": q_string_fingerprint,
+        "fingerprint_documents": q_fingerprint_documents,
         "graph_fingerprint": q_graph_fingerprint,
         "fingerprint_structures": q_fingerprint_structures,
         "fingerprint_failures": q_fingerprint_failures,
@@ -365,8 +417,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "avg_similarity_per_source": q_avg_similarity_per_source,
         "avg_alogp_deviation_per_source": q_avg_alogp_deviation_per_source,
         "similarity_pivot": q_similarity_pivot,
+        "published_pivot": q_published_pivot,
         "similarity_chain": q_similarity_chain,
         "similarity_two_hop": q_similarity_two_hop,
         "avg_similarity_grouped": q_avg_similarity_grouped,
         "refresh_report": q_refresh_report,
+        "refresh_fact": q_refresh_fact,
+        "refresh_full_similarity": q_refresh_full_similarity,
     }

@@ -15,6 +15,7 @@ N_BITS = 2048
 RADIUS = 2
 COUNT = 100
 K = 10
+SAMPLE = 500
 
 # The ten pivot sources of the similarity pivot view (the first
 # ten fingerprintable ids in text order at sf0.01).
@@ -67,7 +68,7 @@ CTE.update({
         "SELECT md.chembl_id, cs.canonical_smiles FROM molecule_dictionary md "
         "JOIN compound_structures cs ON md.molregno = cs.molregno WHERE cs.canonical_smiles IS NOT NULL"),
     "fp_all": f"SELECT chembl_id, CASE WHEN {_VALID} THEN {_FP} END AS bits FROM structures",
-    "sample": "SELECT chembl_id, canonical_smiles FROM structures ORDER BY chembl_id LIMIT 2000",
+    "sample": f"SELECT chembl_id, canonical_smiles FROM structures ORDER BY chembl_id LIMIT {SAMPLE}",
     "sample_fp": f"SELECT chembl_id, {_FP} AS bits FROM sample WHERE {_VALID}",
     "fp": "SELECT chembl_id, bits FROM fp_all WHERE bits IS NOT NULL",
     "src": f"SELECT chembl_id, bits FROM fp ORDER BY chembl_id LIMIT {COUNT}",
@@ -86,11 +87,12 @@ CTE.update({
         "SELECT source_chembl_id, target_chembl_id, similarity_score, "
         "COALESCE(similarity_score = kth AND nxt = kth, false) AS has_duplicates_of_last_largest_score "
         f"FROM flagged WHERE rk <= {K}"),
+    # What a molecule needs: a property row and a structure; its own columns come from two tables.
+    "structured": "SELECT DISTINCT molregno FROM compound_structures WHERE canonical_smiles IS NOT NULL",
     "dim": (
-        "SELECT md.chembl_id, md.molecule_type, cp.mw_freebase, cp.alogp, cp.psa, CAST(NULL AS DOUBLE) AS cx_logp, "
-        "CAST(NULL AS VARCHAR) AS molecular_species, cp.full_mwt, cp.aromatic_rings, cp.heavy_atoms "
-        "FROM molecule_dictionary md JOIN compound_properties cp ON md.molregno = cp.molregno "
-        "JOIN compound_structures cs ON md.molregno = cs.molregno WHERE cs.canonical_smiles IS NOT NULL"),
+        "SELECT chembl_id, molecule_type, mw_freebase, alogp, psa, NULL::DOUBLE AS cx_logp, NULL::VARCHAR AS molecular_species, "
+        "full_mwt, aromatic_rings, heavy_atoms FROM molecule_dictionary NATURAL JOIN compound_properties "
+        "WHERE molregno IN (FROM structured)"),
     "best": (
         "SELECT source_chembl_id, target_chembl_id, similarity_score FROM (SELECT *, row_number() OVER "
         "(PARTITION BY source_chembl_id ORDER BY similarity_score DESC, target_chembl_id) AS r FROM fact) WHERE r = 1"),
@@ -115,7 +117,7 @@ CTE.update({
 _DEPS: dict[str, tuple[str, ...]] = {
     "graph_nodes": (), "graph_edges": ("graph_nodes",), "compare_pairs": (),
     "raw_chembl_id_lookup": (), "raw_molecule_dictionary": (), "raw_compound_properties": (),
-    "raw_compound_structures": (),
+    "raw_compound_structures": (), "raw_dictionary_with_faults": ("raw_molecule_dictionary",),
     "chembl_id_lookup": ("raw_chembl_id_lookup",),
     "molecule_dictionary": ("raw_molecule_dictionary",),
     "compound_properties": ("raw_compound_properties",),
@@ -123,7 +125,7 @@ _DEPS: dict[str, tuple[str, ...]] = {
     "structures": ("molecule_dictionary", "compound_structures"),
     "fp_all": ("structures",), "fp": ("fp_all",), "sample": ("structures",), "sample_fp": ("sample",), "src": ("fp",), "scored": ("src", "fp"),
     "ranked": ("scored",), "flagged": ("ranked",), "fact": ("flagged",),
-    "dim": ("molecule_dictionary", "compound_properties", "compound_structures"),
+    "structured": ("compound_structures",), "dim": ("molecule_dictionary", "compound_properties", "structured"),
     "best": ("fact",), "hop_scored": ("best", "fp"), "hop": ("hop_scored",),
     "fact_fk_ok": ("fact", "dim"),
     "both_edges": ("graph_edges",), "h0": ("graph_nodes",),
@@ -175,6 +177,8 @@ def _extract(table: str, cols: str, where: str = "") -> str:
     return with_ctes(f"SELECT {cols} FROM raw_{table}{where}", f"raw_{table}")
 
 
+# The columns of each extract, and below the VARCHAR limits, keys
+# and NOT NULL columns of the tables.
 _COLS = {
     "chembl_id_lookup": "chembl_id, entity_type, entity_id, status",
     "molecule_dictionary": "molregno, chembl_id, pref_name, molecule_type, max_phase, therapeutic_flag, withdrawn_flag",
@@ -244,6 +248,41 @@ def _pivot_sql(ids: list[str]) -> str:
                      "GROUP BY target_chembl_id", "fact")
 
 
+# The fractional columns of the extracts.
+_FRACTIONS = {"entity_id", "max_phase", "therapeutic_flag", "withdrawn_flag", "mw_freebase", "full_mwt", "alogp", "hba",
+              "hbd", "psa", "aromatic_rings", "heavy_atoms", "qed_weighted"}
+
+
+def _grouped_sql() -> str:
+    """One statement for each level: a source, both attributes, one, none."""
+    known = ("SELECT chembl_id AS id, heavy_atoms AS h, aromatic_rings + heavy_atoms AS rh, aromatic_rings AS r, "
+             "similarity_score AS score FROM fact JOIN dim ON chembl_id = source_chembl_id")
+    level = lambda i, rh, h, keys: (
+        f"SELECT {i} AS source_chembl_id, {rh} AS aromatic_rings_plus_heavy_atoms, {h} AS heavy_atoms, "
+        f"{_round('avg(score)')} AS avg_similarity_score FROM ({known}){' GROUP BY ' + keys if keys else ''}")
+    text = "ifnull({}::VARCHAR, 'TOTAL')".format
+    return with_ctes(" UNION ALL ".join((
+        level("id", "'TOTAL'", "'TOTAL'", "id"), level("'TOTAL'", text("any_value(rh)"), text("h"), "h, r"),
+        level("'TOTAL'", "'TOTAL'", text("h"), "h"), level("'TOTAL'", "'TOTAL'", "'TOTAL'", ""))), "fact", "dim")
+
+
+def _preview_sql() -> str:
+    parts = []
+    for table, cols in _COLS.items():
+        key = "chembl_id" if table == "chembl_id_lookup" else "molregno"
+        where = " WHERE canonical_smiles IS NOT NULL" if table == "compound_structures" else ""
+        for c in cols.split(", "):
+            value = (f"CASE WHEN isfinite({c}) THEN {c}::DECIMAL(38,4) END" if c in _FRACTIONS else c)
+            parts.append(f"SELECT '{table}' AS table_name, {key}::VARCHAR AS row_key, '{c}' AS column_name, "
+                         f"({value})::VARCHAR AS value FROM (FROM raw_{table}{where} ORDER BY {key} LIMIT 5)")
+    return with_ctes(" UNION ALL ".join(parts), *(f"raw_{t}" for t in _COLS))
+
+
+def _numbered(sql: str) -> str:
+    """The same statement over a dictionary whose ids look like numbers."""
+    return sql.replace("'P' || p_partkey AS chembl_id, CASE", "lpad(p_partkey::VARCHAR, 6, '0') AS chembl_id, CASE")
+
+
 def oracle_sql() -> dict[str, str]:
     fp_text = _bits_text("bits")
     return {
@@ -253,25 +292,14 @@ def oracle_sql() -> dict[str, str]:
         "scan_properties": _extract("compound_properties", _COLS["compound_properties"]),
         "scan_structures": _extract("compound_structures", _COLS["compound_structures"],
                                     " WHERE canonical_smiles IS NOT NULL"),
-        "sample_structures": with_ctes("SELECT chembl_id, canonical_smiles FROM structures "
-                                       "ORDER BY chembl_id LIMIT 2000", "structures"),
+        "sample_structures": with_ctes("FROM sample", "sample"),
         "fetch_structures": with_ctes("SELECT chembl_id, canonical_smiles FROM structures", "structures"),
         "structures_page": with_ctes("SELECT chembl_id, canonical_smiles FROM structures "
                                      "ORDER BY chembl_id LIMIT 500 OFFSET 100", "structures"),
-        "csv_roundtrip": with_ctes("SELECT chembl_id, canonical_smiles FROM structures "
-                                   "ORDER BY chembl_id LIMIT 2000", "structures"),
-        "preview_tables": with_ctes(
-            " UNION ALL ".join([
-                "(SELECT 'chembl_id_lookup' AS table_name, chembl_id AS row_key FROM raw_chembl_id_lookup "
-                "ORDER BY chembl_id LIMIT 5)",
-                "(SELECT 'molecule_dictionary', CAST(molregno AS VARCHAR) FROM raw_molecule_dictionary "
-                "ORDER BY molregno LIMIT 5)",
-                "(SELECT 'compound_properties', CAST(molregno AS VARCHAR) FROM raw_compound_properties "
-                "ORDER BY molregno LIMIT 5)",
-                "(SELECT 'compound_structures', CAST(molregno AS VARCHAR) FROM raw_compound_structures "
-                "WHERE canonical_smiles IS NOT NULL ORDER BY molregno LIMIT 5)"]),
-            "raw_chembl_id_lookup", "raw_molecule_dictionary", "raw_compound_properties",
-            "raw_compound_structures"),
+        "structures_after": with_ctes("SELECT chembl_id, canonical_smiles FROM structures WHERE chembl_id > 'P1500' "
+                                      "ORDER BY chembl_id LIMIT 300", "structures"),
+        "csv_roundtrip": with_ctes("FROM sample", "sample"),
+        "preview_tables": _preview_sql(),
         # sinks / loads
         "parquet_roundtrip": with_ctes(f"SELECT {_COLS['molecule_dictionary']} FROM molecule_dictionary",
                                        "molecule_dictionary"),
@@ -290,6 +318,12 @@ def oracle_sql() -> dict[str, str]:
         "bronze_structures": with_ctes(f"SELECT {_COLS['compound_structures']} FROM compound_structures",
                                        "compound_structures"),
         "bronze_counts": with_ctes(_count_rows([(t, t) for t in _COLS]), *_COLS),
+        "load_drop_dictionary": with_ctes(
+            f"SELECT {_COLS['molecule_dictionary']} FROM (SELECT molregno, min(chembl_id) AS chembl_id, "
+            "min(nullif(pref_name, '')) AS pref_name, min(nullif(molecule_type, '')) AS molecule_type, "
+            "min(CASE WHEN isfinite(max_phase) THEN max_phase END) AS max_phase, "
+            "min(therapeutic_flag)::SMALLINT AS therapeutic_flag, min(withdrawn_flag)::SMALLINT AS withdrawn_flag "
+            "FROM raw_dictionary_with_faults WHERE chembl_id <> '' GROUP BY molregno)", "raw_dictionary_with_faults"),
         "dim_molecule": with_ctes("SELECT * FROM dim", "dim"),
         "fact_similarity": with_ctes(_FACT_FULL, "fact"),
         "fingerprints_export": with_ctes(f"SELECT chembl_id, {fp_text} AS fingerprint_on_bits FROM fp", "fp"),
@@ -316,6 +350,16 @@ def oracle_sql() -> dict[str, str]:
         "fingerprint_bit_counts": with_ctes(
             f"SELECT chembl_id, CAST(len(bits) AS INT) AS num_on_bits, CAST({N_BITS} AS INT) AS n_bits, "
             "list_max(bits) AS max_bit FROM fp", "fp"),
+        "fingerprint_documents": (
+            "WITH chars AS (SELECT doc_id, unnest(string_split(text, '')) AS c, generate_subscripts(string_split(text, ''), 1) AS i "
+            f"FROM documents WHERE NOT regexp_matches(text, '{BLANK_PATTERN}')), "
+            "near AS (SELECT doc_id, c, coalesce(lag(c, 1) OVER w, '') AS b1, coalesce(lag(c, 2) OVER w, '') AS b2, "
+            "coalesce(lead(c, 1) OVER w, '') AS a1, coalesce(lead(c, 2) OVER w, '') AS a2 FROM chars "
+            "WINDOW w AS (PARTITION BY doc_id ORDER BY i)), "
+            "keys AS (SELECT DISTINCT doc_id, unnest(['0:' || c, '1:' || b1 || c || a1, '2:' || b2 || b1 || c || a1 || a2]) AS k "
+            "FROM near), "
+            f"bits AS (SELECT doc_id, list_sort(list(DISTINCT {_h28('k')} % {N_BITS})) AS b FROM keys GROUP BY doc_id) "
+            f"SELECT d.doc_id, {_bits_text('b')} AS fingerprint_on_bits FROM documents d LEFT JOIN bits USING (doc_id)"),
         "graph_fingerprint": with_ctes(
             f"SELECT graph_id, {_bits_text(f'list_sort(list_distinct(list(h % {N_BITS})))')} AS fingerprint_on_bits "
             "FROM graph_all_h GROUP BY graph_id", "graph_all_h"),
@@ -346,31 +390,29 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT source_chembl_id, {_round('avg(similarity_score)')} AS avg_similarity_score FROM fact "
             "GROUP BY source_chembl_id", "fact"),
         "avg_alogp_deviation_per_source": with_ctes(
-            f"SELECT fs.source_chembl_id, {_round('avg(abs(t.alogp - s.alogp))')} AS avg_alogp_deviation "
-            "FROM fact fs JOIN dim s ON fs.source_chembl_id = s.chembl_id JOIN dim t ON fs.target_chembl_id = t.chembl_id "
-            "WHERE s.alogp IS NOT NULL AND t.alogp IS NOT NULL GROUP BY fs.source_chembl_id", "fact", "dim"),
+            "SELECT source_chembl_id, " + _round("avg(gap)") + " AS avg_alogp_deviation FROM ("
+            "SELECT source_chembl_id, abs(value[target_chembl_id] - value[source_chembl_id]) AS gap FROM fact, "
+            "(SELECT map(list(chembl_id), list(alogp)) AS value FROM dim WHERE alogp IS NOT NULL)) "
+            "WHERE gap IS NOT NULL GROUP BY source_chembl_id", "fact", "dim"),
         "similarity_pivot": _pivot_sql(PIVOT_IDS),
         "similarity_chain": with_ctes(
-            "SELECT f.source_chembl_id, f.target_chembl_id AS most_similar_target, f.similarity_score AS "
-            "most_similar_score, s.target_chembl_id AS next_most_similar_target, s.similarity_score AS "
-            "next_most_similar_score FROM (SELECT *, row_number() OVER (PARTITION BY source_chembl_id ORDER BY "
-            "similarity_score DESC, target_chembl_id) AS r FROM fact) f LEFT JOIN (SELECT *, row_number() OVER "
-            "(PARTITION BY source_chembl_id ORDER BY similarity_score DESC, target_chembl_id) AS r FROM fact) s "
-            "ON f.source_chembl_id = s.source_chembl_id AND s.r = f.r + 1 WHERE f.r = 1", "fact"),
+            "SELECT source_chembl_id, best[1].t AS most_similar_target, -best[1].s AS most_similar_score, "
+            "best[2].t AS next_most_similar_target, -best[2].s AS next_most_similar_score FROM ("
+            "SELECT source_chembl_id, list_sort(list({'s': -similarity_score, 't': target_chembl_id}))[1:2] AS best "
+            "FROM fact GROUP BY source_chembl_id)", "fact"),
         "similarity_two_hop": with_ctes(
             "SELECT b.source_chembl_id, b.target_chembl_id AS most_similar_target, b.similarity_score AS "
             "most_similar_score, h.target_chembl_id AS next_most_similar_target, h.similarity_score AS "
             "next_most_similar_score FROM best b LEFT JOIN hop h ON b.target_chembl_id = h.source_chembl_id",
             "best", "hop"),
-        "avg_similarity_grouped": with_ctes(
-            "SELECT COALESCE(sd.chembl_id, 'TOTAL') AS source_chembl_id, "
-            "COALESCE(CAST(sd.aromatic_rings + sd.heavy_atoms AS VARCHAR), 'TOTAL') AS aromatic_rings_plus_heavy_atoms, "
-            "COALESCE(CAST(sd.heavy_atoms AS VARCHAR), 'TOTAL') AS heavy_atoms, "
-            f"{_round('avg(fs.similarity_score)')} AS avg_similarity_score "
-            "FROM fact fs JOIN dim sd ON fs.source_chembl_id = sd.chembl_id "
-            "GROUP BY GROUPING SETS ((sd.chembl_id), (sd.heavy_atoms, sd.aromatic_rings), (sd.heavy_atoms), ())",
-            "fact", "dim"),
+        "avg_similarity_grouped": _grouped_sql(),
+        "published_pivot": _pivot_sql(PIVOT_IDS),
         # end to end
+        "refresh_fact": _numbered(with_ctes(
+            "SELECT source_chembl_id, target_chembl_id, similarity_score, has_duplicates_of_last_largest_score "
+            "FROM fact_fk_ok", "fact_fk_ok")),
+        "refresh_full_similarity": _numbered(with_ctes(
+            "SELECT source_chembl_id, target_chembl_id, similarity_score FROM scored", "scored")),
         "refresh_report": with_ctes(_count_rows([
             ("ingested/chembl_id_lookup.parquet", "raw_chembl_id_lookup"),
             ("ingested/molecule_dictionary.parquet", "raw_molecule_dictionary"),

@@ -2,8 +2,8 @@
 
 Order of jobs (each a Spark job; the scheduler of the reference is not
 rebuilt): ingest -> bronze -> dimension -> fingerprints (once, written) ->
-top-k fact -> full score tables -> views.  Every intermediate is a written
-table under ``out_dir`` (default: a fresh folder in the shared checkpoint
+full score tables -> top-k fact -> views.  Every intermediate is a written
+table in a fresh folder under ``out_dir`` (default: the shared checkpoint
 directory), which both cuts lineage and lets a lost executor be recovered
 from files instead of recomputation.
 """
@@ -11,14 +11,15 @@ from files instead of recomputation.
 from __future__ import annotations
 
 import time
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from setsim import schemas
 from setsim.operators import conform, fingerprint, mart, quality, similarity
-from setsim.session import materialize, scratch_path
+from setsim.session import materialize, scratch_path, tasks_for
 from setsim.sources import readers, writers
 
 
@@ -46,28 +47,59 @@ class RefreshResult:
         return spark.createDataFrame(rows, "table_name string, row_count bigint")
 
 
+CURRENT = "CURRENT"
+
+
+def _fs(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def publish(spark: SparkSession, base: str, run: str) -> None:
+    """Point readers of ``base`` to the finished folder ``run``: a small file is
+    written beside the old pointer and renamed over it."""
+    target, fs = _fs(spark, writers._join(base, CURRENT))
+    fresh, _ = _fs(spark, writers._join(base, f"{CURRENT}-{uuid.uuid4().hex[:12]}"))
+    out = fs.create(fresh)
+    out.write(bytearray(run.encode()))
+    out.close()
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    overwrite = spark.sparkContext._gateway.new_array(rename, 1)
+    overwrite[0] = rename.OVERWRITE
+    spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(
+        fs.makeQualified(fresh), fs.makeQualified(target), overwrite)
+
+
 def full_refresh(spark: SparkSession, release: dict[str, DataFrame], out_dir: str | None = None,
                  count: int = similarity.DEFAULT_SOURCE_COUNT, k: int = similarity.DEFAULT_K,
                  radius: int = fingerprint.DEFAULT_RADIUS, n_bits: int = fingerprint.DEFAULT_N_BITS,
                  pivot_ids: list[str] | None = None, on_violation: str = "fail",
-                 fk_mode: str = "fail", full_tables: bool = True, method: str = "md5") -> RefreshResult:
+                 fk_mode: str = "fail", full_tables: bool = True, method: str = "md5",
+                 valid_pattern: str | None = None, limit: int | None = None) -> RefreshResult:
     """Run the whole refresh; returns counts, written tables and views.
 
+    Each refresh writes a fresh folder below ``out_dir``; readers find the last
+    finished one by ``current_refresh``, which changes only at the very end, so
+    a refresh that fails leaves the tables before it untouched and together.
+
     ``fk_mode``: ``fail`` raises if a fact row's source or target is missing
     from the dimension (the store's FK), ``drop`` removes such rows before
-    the fact is written, ``report`` keeps them and counts them.
+    the fact is written, ``report`` keeps them and counts them.  ``limit``
+    takes the first rows of each extract, for trial runs.
     """
-    out = out_dir or scratch_path(spark, "refresh")
+    base = out_dir or scratch_path(spark, "refresh")
+    run = f"refresh-{uuid.uuid4().hex[:12]}"
+    out = writers._join(base, run)
     res = RefreshResult(out)
     join = writers._join
 
     # K3: extract the release.
     with res.timed("ingest"):
-        ingest = writers.run_ingestion(release, join(out, "ingested"))
+        ingest = writers.run_ingestion(release, join(out, "ingested"), limit)
     for name, (_, rows) in ingest.items():
         res.counts[f"ingested/{name}"] = rows
 
-    # Conformed bronze tables, written and read back.
+    # Conformed bronze tables, written, checked and read back.
     with res.timed("load_bronze"):
         bronze, counts = conform.run_load(readers.read_release(spark, join(out, "ingested")),
                                           join(out, "bronze"), on_violation)
@@ -80,61 +112,75 @@ def full_refresh(spark: SparkSession, release: dict[str, DataFrame], out_dir: st
     dim_path = join(out, "gold/dim_molecule")
     with res.timed("dim_molecule"):
         res.counts["gold.dim_molecule"] = writers.write_counted(mart.populate_dim_molecule(md, cp, cs), dim_path)
-    dim = spark.read.parquet(dim_path)
+    dim = spark.read.schema(schemas.DIM_MOLECULE.struct).parquet(dim_path)
     res.tables["gold.dim_molecule"] = dim
+    if on_violation == "fail":
+        _check_table("dim_molecule", dim)
 
-    # F3 + K4, once: every later step reads the written fingerprints.
+    # F3 + K4, once: every later step reads the written fingerprints or their
+    # packed words, written once too.  Without any, the tables after are empty.
     structures = readers.fetch_structures(md, cs)
     fp_path = join(out, "fingerprints")
     with res.timed("fingerprints"):
+        tasks = tasks_for(spark, res.counts["bronze.compound_structures"], fingerprint.ROWS_PER_TASK)
         written, failed = writers.export_fingerprints(
-            structures, fp_path, partitions=similarity.target_partitions(spark),
-            radius=radius, n_bits=n_bits, method=method)
+            structures, fp_path, partitions=tasks, radius=radius, n_bits=n_bits, method=method,
+            valid_pattern=valid_pattern)
     res.counts["fingerprints"] = written
     res.fingerprint_failures = failed
-    if written == 0:
-        return res
-    fps = spark.read.parquet(fp_path)
+    fps = spark.read.schema(schemas.FINGERPRINTS).parquet(fp_path)
     res.tables["fingerprints"] = fps
+    with res.timed("pack"):
+        packed = similarity.packed_table(fps, n_bits)
+        sources = materialize(similarity.select_source_molecules(packed, count), "sources")
+        n_sources = min(count, written)
 
-    # T2 + T3/K5 + T5/L8: sources, full score tables, top-k fact.  When the
-    # full tables are produced, every pair is scored exactly once: the fact
-    # is ranked from the written scores (a bucket count finds each source's
-    # (k+1)-th score bucket, only that top slice is sorted) instead of
-    # re-scoring them.
-    # The selected sources are written once (count rows) and shared by the
-    # full tables, the fact and the views.
-    sources = materialize(similarity.select_source_molecules(fps, count), "sources")
-    parts = similarity.target_partitions(spark, written, count)
+    # Full score tables; T5/L8: top-k fact.
     if full_tables:
         full_path = join(out, "full_similarity")
         with res.timed("full_similarity"):
-            full = similarity.compute_full_similarity(sources, fps, count, n_bits, parts)
             res.counts["full_similarity"] = writers.write_full_similarity(
-                full, full_path, n_targets=written, n_sources=count)
-        scores = spark.read.parquet(full_path)
-        top = similarity.rank_top_k_prefiltered(scores, k).select(*mart.FACT_COLUMNS)
-    else:
-        top = similarity.compute_top_k(sources, fps, k, count, n_bits, parts)
+                sources, packed, full_path, n_sources, written, n_bits)
+        # The ids are folder names there: without a schema 007 would read as 7.
+        res.tables["full_similarity"] = spark.read.schema(schemas.FULL_SCORES).parquet(full_path)
     with res.timed("top_k_fact"):
-        # The fact is staged (bounded: count × k rows) so the FK check reads
-        # the written rows instead of recomputing the ranking.
+        top = similarity.compute_top_k(sources, packed, k, n_sources, written, n_bits)
+        # Staged, so the FK check reads the written rows, not the ranking again.
         staged, _ = mart.write_fact_similarity(top, join(out, "gold/_fact_staged"))
-        # Violations are bounded by the fact; written once, counted and
-        # (in drop mode) anti-joined without scanning the dimension again.
         bad = materialize(quality.fk_violations(staged, dim)
                           .select("source_chembl_id", "target_chembl_id").distinct(), "fk_violations")
         res.fk_violations = bad.count()
         if fk_mode == "fail" and res.fk_violations:
             raise ValueError(f"fact_similarity: {res.fk_violations} rows break the FK to dim_molecule")
         if fk_mode == "drop" and res.fk_violations:
-            staged = staged.join(F.broadcast(bad), ["source_chembl_id", "target_chembl_id"], "left_anti")
+            staged = staged.join(bad, ["source_chembl_id", "target_chembl_id"], "left_anti")
         fact, rows = mart.write_fact_similarity(staged, join(out, "gold/fact_similarity"))
+        if on_violation == "fail":
+            _check_table("fact_similarity", fact)
     res.counts["gold.fact_similarity"] = rows
     res.tables["gold.fact_similarity"] = fact
 
-    # K7: views (published as temp views; evaluated by their readers).
-    if pivot_ids is None:
-        pivot_ids = [r[0] for r in sources.select("chembl_id").orderBy("chembl_id").limit(10).collect()]
-    res.views = mart.create_views(fact, dim, pivot_ids)
+    # K7: views, written next to the tables.
+    with res.timed("views"):
+        if pivot_ids is None:
+            pivot_ids = [r[0] for r in sources.select("chembl_id").orderBy("chembl_id").limit(10).collect()]
+        res.views = mart.create_views(fact, dim, pivot_ids, join(out, "views"))
+    publish(spark, base, run)
     return res
+
+
+def _check_table(name: str, table: DataFrame) -> None:
+    """Keys and NOT NULL of a written mart table, enforced."""
+    quality.enforce(quality.pk_violations({name: table}), "duplicate_keys", f"primary key of {name}")
+    quality.enforce(quality.not_null_violations({name: table}), "null_count", f"NOT NULL of {name}")
+
+
+def current_refresh(spark: SparkSession, base: str) -> str:
+    """The folder of the last finished refresh below ``base``."""
+    path, fs = _fs(spark, writers._join(base, CURRENT))
+    stream = fs.open(path)
+    try:
+        name = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return writers._join(base, name)

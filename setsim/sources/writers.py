@@ -8,14 +8,12 @@ upload of the reference (K6).
 
 from __future__ import annotations
 
-import math
 import os
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from setsim.session import default_parallelism
 from setsim.sources.readers import EXTRACT_COLUMNS, scan_extract
 
 
@@ -83,21 +81,18 @@ def export_fingerprints(structures: DataFrame, path: str, partitions: int | None
     """K4: fingerprint ``structures`` and write ``(chembl_id, fingerprint_on_bits)``;
     returns ``(written, failed)``.
 
-    One pass.  Rows are hash-partitioned by id first (``partitions`` tasks,
-    so the hashing runs on all of them whatever the input layout); the
-    Observation that counts valid and invalid structures sits after that
-    exchange, in the write's own stage, where Spark applies each task's
-    update once even if a lost executor forces earlier stages to re-run.
-    Validity is a test on the string, so the emptiness probe (no valid row
-    -> no output at all) hashes nothing.
+    One pass: the input is read once, by the write.  With ``partitions``
+    (``tasks_for`` the rows) it is hash-partitioned by id first, so that the
+    hashing is spread whatever the input layout; the Observation that counts
+    valid and invalid structures sits in the write's own stage, where Spark
+    applies each task's update once even if a lost executor forces earlier
+    stages to re-run.  Without a valid row the folder holds no rows.
     """
     from setsim.operators.fingerprint import DEFAULT_N_BITS, DEFAULT_RADIUS, is_valid_structure, window_bits
 
     radius = DEFAULT_RADIUS if radius is None else radius
     n_bits = DEFAULT_N_BITS if n_bits is None else n_bits
     flagged = structures.select(id_col, col, is_valid_structure(col, valid_pattern).alias("_valid"))
-    if flagged.filter(F.col("_valid")).select(id_col).isEmpty():
-        return 0, int(flagged.count())
     if partitions:
         flagged = flagged.repartition(int(partitions), id_col)
     obs = Observation("fingerprint_export")
@@ -109,30 +104,32 @@ def export_fingerprints(structures: DataFrame, path: str, partitions: int | None
     return int(got["written"]), int(got["failed"])
 
 
-def write_full_similarity(scored: DataFrame, uri: str, n_targets: int | None = None,
-                          rows_per_file: int = 5_000_000, n_sources: int = 100) -> int:
-    """K5: the full score tables, one directory per source.
+# Targets that one file of a full score table holds, and sources whose files one
+# task writes: together they bound a task's sort at 16 M rows.
+ROWS_PER_FILE = 1_000_000
+SOURCES_PER_TASK = 16
+
+
+def write_full_similarity(sources: DataFrame, targets: DataFrame, uri: str, n_sources: int, n_targets: int,
+                          n_bits: int | None = None, rows_per_file: int = ROWS_PER_FILE,
+                          sources_per_task: int = SOURCES_PER_TASK) -> int:
+    """K5: the full score tables, one directory per source; returns the rows.
 
     Layout ``uri/source_chembl_id=<id>/part-*.parquet`` holding
-    ``(target_chembl_id, similarity_score)`` sorted by target.  Each source
-    is spread over ``ceil(n_targets / rows_per_file)`` files by a hash of the
-    target, so no single task writes a whole source and no task writes one
-    file per source.
+    ``(target_chembl_id, similarity_score)`` sorted by target.  A task scores one
+    block of sources against one block of targets and writes what it scored:
+    the pairs are never shuffled, and each source has one file for each block of
+    ``rows_per_file`` targets.
     """
-    files_per_source = max(1, math.ceil((n_targets or rows_per_file) / rows_per_file))
-    salt = F.pmod(F.xxhash64("target_chembl_id"), F.lit(files_per_source))
-    # Each (source, salt) group lands in exactly one task, so every source
-    # has files_per_source files whatever the task count; tasks are sized to
-    # ~rows_per_file rows, at least the cluster's parallelism, at most one
-    # per group.
-    groups = max(1, n_sources * files_per_source)
-    total = max(1, n_sources * (n_targets or rows_per_file))
-    parallelism = default_parallelism(scored.sparkSession)
-    parts = min(groups, max(parallelism, math.ceil(total / rows_per_file)))
-    laid_out = (scored.repartition(parts, F.col("source_chembl_id"), salt)
-                .sortWithinPartitions("source_chembl_id", "target_chembl_id"))
-    return write_counted(laid_out.select("source_chembl_id", "target_chembl_id", "similarity_score"), uri,
-                         partition_by=["source_chembl_id"], options={"maxRecordsPerFile": str(rows_per_file)})
+    from setsim.operators.fingerprint import DEFAULT_N_BITS
+    from setsim.operators.similarity import compute_full_similarity, pair_blocks
+
+    blocks = pair_blocks(sources.sparkSession, n_sources, n_targets, source_block=sources_per_task,
+                         target_block=rows_per_file)
+    scored = compute_full_similarity(sources, targets, n_sources, n_targets,
+                                     DEFAULT_N_BITS if n_bits is None else n_bits, blocks)
+    return write_counted(scored.sortWithinPartitions("source_chembl_id", "target_chembl_id"), uri,
+                         partition_by=["source_chembl_id"])
 
 
 def upload_uri(bucket: str, key: str, scheme: str = "s3a") -> str:

@@ -11,18 +11,18 @@ from setsim.sources import readers, writers
 
 
 def test_strict_whole_numbers(spark):
-    raw = spark.createDataFrame([(1, 24.0), (2, None), (3, 30.0), (4, float("nan"))], "k int, v double")
+    raw = spark.createDataFrame([(1, 7.0), (2, float("nan")), (3, None), (4, 12.0)], "k int, v double")
     from setsim.functions import strict_whole_number
     from pyspark.sql import types as T
     got = [r.v for r in raw.select(strict_whole_number("v", T.IntegerType()).alias("v")).orderBy(F.asc_nulls_last("v")).collect()]
-    assert got == [24, 30, None, None]
+    assert got == [7, 12, None, None]
 
 
 def test_fraction_is_an_error(spark):
     from setsim.functions import strict_whole_number
     from pyspark.sql import types as T
     raw = spark.createDataFrame([(24.5,)], "v double")
-    with pytest.raises(Exception):
+    with pytest.raises(PySparkException, match="non-integral"):
         raw.select(strict_whole_number("v", T.IntegerType())).collect()
 
 
@@ -59,34 +59,33 @@ def test_add_column_if_missing(spark):
 
 def _release(spark):
     return {
-        "chembl_id_lookup": _lookup(spark, [("C1", "A", 1.0, "X"), ("C2", "A", 2.0, "X")]),
+        "chembl_id_lookup": _lookup(spark, [(f"C{i}", "A", float(i), "X") for i in range(4)]),
         "molecule_dictionary": spark.createDataFrame(
-            [(1, "C1", "n", "t", 1.0, 0.0, 0.0)],
+            [(i, f"C{i}", "n", "t", 1.0, 0.0, 0.0) for i in range(5)],
             "molregno long, chembl_id string, pref_name string, molecule_type string, max_phase double, "
             "therapeutic_flag double, withdrawn_flag double"),
         "compound_properties": spark.createDataFrame(
-            [(i, 1.0, 2.0, 0.5, 1.0, 1.0, 3.0, 1.0, 10.0, 0.3) for i in range(3)],
+            [(i, 1.0, 2.0, 0.5, 1.0, 1.0, 3.0, 1.0, 10.0, 0.3) for i in range(6)],
             "molregno long, mw_freebase double, full_mwt double, alogp double, hba double, hbd double, psa double, "
             "aromatic_rings double, heavy_atoms double, qed_weighted double"),
         "compound_structures": spark.createDataFrame(
-            [(1, "CCO", "I", "K"), (2, None, "I", "K")],
+            [(1, "CCO", "I", "K"), (2, None, "I", "K"), (3, "NO", "I", "K")],
             "molregno long, canonical_smiles string, standard_inchi string, standard_inchi_key string"),
     }
 
 
 def test_scan_limit_and_null_filter(spark):
     rel = _release(spark)
-    assert readers.ingest_chembl_id_lookup(rel, limit=1).count() == 1
-    assert readers.ingest_chembl_id_lookup(rel).count() == 2
-    s = readers.ingest_compound_structures(rel).collect()
-    assert [r.molregno for r in s] == [1]
+    assert [r.chembl_id for r in readers.scan_extract(rel, "chembl_id_lookup", limit=2).collect()] == ["C0", "C1"]
+    assert readers.scan_extract(rel, "chembl_id_lookup").count() == 4
+    assert {r.molregno for r in readers.scan_extract(rel, "compound_structures").collect()} == {1, 3}
 
 
 def test_ingest_report_counts(spark):
     report = writers.run_ingestion(_release(spark), scratch_path(spark, "t_ingest"))
     assert {k: v[1] for k, v in report.items()} == {
-        "chembl_id_lookup.parquet": 2, "molecule_dictionary.parquet": 1,
-        "compound_properties.parquet": 3, "compound_structures.parquet": 1}
+        "chembl_id_lookup.parquet": 4, "molecule_dictionary.parquet": 5,
+        "compound_properties.parquet": 6, "compound_structures.parquet": 2}
 
 
 def test_parquet_roundtrip_new_dir(spark):
@@ -106,6 +105,9 @@ def test_page_offset_limit(spark):
     cs = spark.createDataFrame([(i, "CC") for i in range(10)], "molregno long, canonical_smiles string")
     page = readers.fetch_structures_page(md, cs, offset=2, batch_size=3).collect()
     assert [r.chembl_id for r in page] == ["C02", "C03", "C04"]
+    after = readers.fetch_structures_after(md, cs, "C01", batch_size=3).collect()
+    assert after == page
+    assert [r.chembl_id for r in readers.fetch_structures(md, cs, ordered=True).collect()] == [f"C{i:02d}" for i in range(10)]
 
 
 def test_pk_and_fk_checks(spark):
@@ -119,7 +121,6 @@ def test_pk_and_fk_checks(spark):
     assert [(r.fk_column, r.target_chembl_id) for r in fk] == [("target_chembl_id", "Z")]
     with pytest.raises(ValueError):
         quality.enforce(quality.fk_violations(fact, dim), what="FK")
-    assert PySparkException is not None
 
 
 def test_cli_refresh_reports_counts(spark, capsys):
@@ -174,6 +175,104 @@ def test_object_store_uri_and_release_roundtrip(spark):
     writers.run_ingestion(_release(spark), out)
     back = readers.read_release(spark, out)
     assert {t: back[t].count() for t in back} == {
-        "chembl_id_lookup": 2, "molecule_dictionary": 1, "compound_properties": 3, "compound_structures": 1}
+        "chembl_id_lookup": 4, "molecule_dictionary": 5, "compound_properties": 6, "compound_structures": 2}
     cols = readers.read_parquet_columns(spark, f"{out}/compound_properties.parquet", ["molregno", "alogp"])
-    assert cols.columns == ["molregno", "alogp"] and cols.count() == 3
+    assert cols.columns == ["molregno", "alogp"] and cols.count() == 6
+
+
+def _dictionary(spark, rows):
+    return spark.createDataFrame(rows, "molregno double, chembl_id string, pref_name string, molecule_type string, "
+                                       "max_phase double, therapeutic_flag double, withdrawn_flag double")
+
+
+def test_no_projection_or_count_passes_a_violation(spark):
+    good = (1.0, "C1", "n", "t", 1.0, 0.0, 0.0)
+    for bad in ((2.0, "C" * 21, "n", "t", 1.0, 0.0, 0.0), (2.0, None, "n", "t", 1.0, 0.0, 0.0),
+                (2.5, "C2", "n", "t", 1.0, 0.0, 0.0), (2.0, "C2", "n", "t", 1.0, 0.5, 0.0)):
+        table = conform.load_molecule_dictionary(_dictionary(spark, [good, bad]))
+        for use in (lambda t: t.count(), lambda t: t.select("pref_name").collect(), lambda t: t.select("max_phase").collect()):
+            with pytest.raises(PySparkException):
+                use(table)
+
+
+def test_keys_fail_drop_or_report_at_the_load(spark):
+    raw = _dictionary(spark, [(1.0, "B", "n", "t", 1.0, 0.0, 0.0), (1.0, "A", "n", "t", 1.0, 0.0, 0.0),
+                              (2.0, "C", "n", "t", 1.0, 0.0, 0.0)])
+    load = lambda mode: conform.load_table(raw, schemas.MOLECULE_DICTIONARY, scratch_path(spark, "t_keys"), mode)
+    with pytest.raises(ValueError, match="primary key"):
+        load("fail")
+    table, rows = load("drop")
+    assert rows == 2 and sorted((r.molregno, r.chembl_id) for r in table.collect()) == [(1, "A"), (2, "C")]
+    table, rows = load("report")
+    assert rows == 3 and quality.pk_violations({"molecule_dictionary": table}).first().duplicate_keys == 1
+
+
+def _small_release(spark, ids, structures=None):
+    n = len(ids)
+    return {
+        "chembl_id_lookup": _lookup(spark, [(i, "A", 1.0, "X") for i in ids]),
+        "molecule_dictionary": _dictionary(spark, [(float(k), i, "n", "t", 1.0, 0.0, 0.0) for k, i in enumerate(ids)]),
+        "compound_properties": spark.createDataFrame(
+            [(k, 1.0, 2.0, k / 8, 1.0, 1.0, 3.0, 1.0, 10.0, 0.25) for k in range(n)],
+            "molregno long, mw_freebase double, full_mwt double, alogp double, hba double, hbd double, psa double, "
+            "aromatic_rings double, heavy_atoms double, qed_weighted double"),
+        "compound_structures": spark.createDataFrame(
+            [(k, (structures or [f"CC{'ON'[k % 2]}C{'C' * k}" for k in range(n)])[k], "I", "K") for k in range(n)],
+            "molregno long, canonical_smiles string, standard_inchi string, standard_inchi_key string"),
+    }
+
+
+def test_refresh_keeps_ids_that_look_like_numbers_or_dates(spark):
+    from setsim.plans.refresh import current_refresh, full_refresh
+    ids = ["007", "010", "7", "2024-01-02", "1e3", "true", "00"]
+    base = scratch_path(spark, "t_refresh")
+    res = full_refresh(spark, _small_release(spark, ids), base, count=4, k=3)
+    sources = sorted(ids)[:4]
+    full = res.tables["full_similarity"].collect()
+    assert {(r.source_chembl_id, r.target_chembl_id) for r in full} == {(a, b) for a in sources for b in ids if a != b}
+    fact = res.tables["gold.fact_similarity"].collect()
+    assert {r.source_chembl_id for r in fact} == set(sources) and len(fact) == 12
+    assert res.views["similarity_chain"].count() == 4 and spark.table("similarity_chain").count() == 4
+    assert current_refresh(spark, base) == res.out_dir
+    # A later refresh that fails leaves the finished one in place.
+    broken = _small_release(spark, [*ids, "007"])
+    broken["molecule_dictionary"] = broken["molecule_dictionary"].withColumn("molregno", F.lit(1.0))
+    with pytest.raises(ValueError):
+        full_refresh(spark, broken, base)
+    assert current_refresh(spark, base) == res.out_dir
+    again = full_refresh(spark, _small_release(spark, ids[:3]), base, count=2, k=1, valid_pattern="^[CON]+$", method="xxhash64")
+    assert current_refresh(spark, base) == again.out_dir != res.out_dir
+
+
+def test_refresh_without_a_usable_structure_has_empty_tables(spark):
+    from setsim.plans.refresh import full_refresh
+    res = full_refresh(spark, _small_release(spark, ["A", "B"], [" ", "\t"]))
+    assert res.counts["fingerprints"] == res.counts["gold.fact_similarity"] == res.counts["full_similarity"] == 0
+    assert res.tables["full_similarity"].count() == res.tables["gold.fact_similarity"].count() == 0
+    assert all(v.filter("source_chembl_id <> 'TOTAL'" if "source_chembl_id" in v.columns else "true").count() == 0
+               for v in res.views.values())
+
+
+def test_refresh_takes_a_limit(spark):
+    from setsim.plans.refresh import full_refresh
+    res = full_refresh(spark, _small_release(spark, [f"M{i}" for i in range(9)]), limit=4, fk_mode="drop", full_tables=False)
+    assert res.counts["ingested/molecule_dictionary.parquet"] == 4
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder(spark, monkeypatch):
+    from setsim import session
+
+    class Context:
+        master = "spark://host:7077"
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.checkpoint_dir(Session())

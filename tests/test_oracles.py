@@ -49,8 +49,7 @@ def test_entry_runs(spark):
 
 
 def test_refresh_fact_equals_oracle_fact(spark, con):
-    """The refresh ranks the fact from its written full tables (bucket
-    prefilter); its rows and flags must equal the SQL statement of the fact."""
+    """The rows and flags of a refresh must equal the SQL statement of the fact."""
     from setsim import fixtures
     from setsim.plans.oracle import with_ctes
     from setsim.plans.refresh import full_refresh

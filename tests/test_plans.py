@@ -2,10 +2,12 @@
 
 import contextlib
 import io
+import re
 
 from conftest import SF_SMOKE
-from setsim.operators import fingerprint
+from setsim.operators import fingerprint, mart, quality, similarity
 from setsim.plans import catalog
+from setsim.session import tasks_for
 
 
 def _explain(df):
@@ -17,32 +19,53 @@ def _explain(df):
 
 def test_topk_plan(spark):
     text = _explain(catalog.q_topk_similarity(spark, SF_SMOKE))
-    assert "BroadcastNestedLoopJoin" in text
+    assert "NestedLoop" not in text and "CartesianProduct" not in text
     # Partial top-(k+1) before the shuffle, final after it.
     assert "row_number(), 11, Partial" in text and "row_number(), 11, Final" in text
-    assert text.index("row_number(), 11, Final") < text.index("Exchange hashpartitioning(source_chembl_id")
-    assert text.index("Exchange hashpartitioning(source_chembl_id") < text.index("row_number(), 11, Partial")
-    # Targets are packed below their exchange (never inside the join's stage).
-    assert text.index("Exchange hashpartitioning(chembl_id") < text.index("aggregate(fingerprint_on_bits")
-    # Sources: bounded top-n, broadcast.
-    assert "BroadcastExchange IdentityBroadcastMode" in text and "TakeOrderedAndProject(limit=100" in text
+    # The words are read from the stored packed table, never packed again.
+    assert "aggregate(fingerprint_on_bits" not in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
 
 
-def test_fingerprint_plan_has_one_exchange(spark):
+def _shape(df):
+    return re.findall(r"\w*(?:Join|Exchange)\b", _explain(df))
+
+
+def test_ten_and_many_sources_plan_alike(spark):
+    packed = catalog.Workspace.get(spark, SF_SMOKE).packed()
+    shapes = [_shape(similarity.score_pairs(packed, packed, n_sources=n, n_targets=10 ** 6)) for n in (10, 100_000)]
+    assert shapes[0] == shapes[1]
+
+
+def test_tasks_follow_the_pairs(spark):
+    few, many = (similarity.pair_blocks(spark, 100, n) for n in (10 ** 6, 10 ** 9))
+    assert many.tasks >= 500 * few.tasks and similarity.pair_blocks(spark, 100_000, 10 ** 9).source > 20
+    assert tasks_for(spark, 10 ** 9, 50_000) == 20_000 and tasks_for(spark, 0, 50_000) == 1
+
+
+def test_fingerprints_are_row_local(spark):
     ws = catalog.Workspace.get(spark, SF_SMOKE)
-    text = _explain(fingerprint.fingerprint_structures(ws.structures, partitions=4))
-    assert text.count("Exchange hashpartitioning") == 1
-    assert "partial_collect_set" in text
-    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+    rows = ws.bronze("compound_structures").select("molregno", "canonical_smiles")
+    text = _explain(fingerprint.fingerprint_structures(rows, "molregno"))
+    assert "Exchange" not in text and "monotonically_increasing_id" not in text and "EvalPython" not in text
+
 
+def test_full_score_tables_shuffle_no_pairs(spark):
+    packed = catalog.Workspace.get(spark, SF_SMOKE).packed()
+    blocks = similarity.pair_blocks(spark, 100, 10_000, source_block=16, target_block=1000)
+    text = _explain(similarity.compute_full_similarity(packed, packed, blocks=blocks)
+                    .sortWithinPartitions("source_chembl_id", "target_chembl_id"))
+    assert "Exchange" not in text[:text.index("Join")]
 
-def test_views_broadcast_fact_side(spark):
-    text = _explain(catalog.q_avg_alogp_deviation_per_source(spark, SF_SMOKE))
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+def test_dimension_is_read_once(spark):
+    ws = catalog.Workspace.get(spark, SF_SMOKE)
+    for df in (mart.avg_alogp_deviation_per_source(ws.fact(), ws.dim()), mart.avg_similarity_grouped(ws.fact(), ws.dim()),
+               quality.fk_violations(ws.fact(), ws.dim())):
+        assert _explain(df).count("/dim-") == 1
 
 
 def test_scan_prunes_columns(spark):
     text = _explain(catalog.q_fetch_structures(spark, SF_SMOKE))
-    assert "ReadSchema: struct<p_partkey:bigint" in text
-    assert "p_retailprice" not in text
+    assert "ReadSchema: struct<molregno:bigint,chembl_id:string>" in text
+    assert "ReadSchema: struct<molregno:bigint,canonical_smiles:string>" in text

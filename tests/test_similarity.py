@@ -7,92 +7,77 @@ from conftest import fps_frame, scored_frame
 from setsim.functions import tanimoto
 from setsim.operators import similarity
 
-ASPIRIN = [1, 5, 9, 33, 64, 65, 127, 128, 900, 2047]
-SALICYLIC = [1, 5, 9, 33, 64, 200, 1500]
-CAFFEINE = [2, 6, 10, 300, 301, 302, 1700, 1800]
+# Three bit sets: MANY and SOME share four bits, OTHER shares none with either.
+MANY = [0, 7, 63, 64, 190, 512, 1023, 1024, 2046, 2047]
+SOME = [0, 63, 64, 2047, 300, 301]
+OTHER = [3, 4, 5, 6, 70, 71, 72]
 
 
 def _pairs(spark, rows, src_id, **kw):
     fps = fps_frame(spark, rows)
-    sources = fps.filter(F.col("chembl_id") == src_id).limit(1)
-    return similarity.score_pairs(sources, fps, n_sources=1, partitions=2, **kw)
+    return similarity.score_pairs(fps.filter(F.col("chembl_id") == src_id).limit(1), fps, **kw)
 
 
 def test_identical_sets_score_one(spark):
-    df = fps_frame(spark, [("A", ASPIRIN)])
+    df = fps_frame(spark, [("A", MANY)])
     assert df.select(tanimoto("fingerprint_on_bits", "fingerprint_on_bits")).first()[0] == 1.0
 
 
 def test_tanimoto_is_symmetric_and_bounded(spark):
-    df = fps_frame(spark, [("A", ASPIRIN)]).crossJoin(
-        fps_frame(spark, [("B", CAFFEINE)]).withColumnRenamed("chembl_id", "b")
+    df = fps_frame(spark, [("A", MANY)]).crossJoin(
+        fps_frame(spark, [("B", SOME)]).withColumnRenamed("chembl_id", "b")
         .withColumnRenamed("fingerprint_on_bits", "bits_b"))
     ab, ba = df.select(tanimoto("fingerprint_on_bits", "bits_b"), tanimoto("bits_b", "fingerprint_on_bits")).first()
-    assert ab == ba and 0.0 <= ab <= 1.0
+    assert ab == ba == 4 / 12
 
 
 def test_packed_score_equals_set_intersection(spark):
-    rows = [("A", ASPIRIN), ("B", SALICYLIC), ("C", CAFFEINE), ("D", [63, 64, 127, 1983, 2047]), ("E", [0])]
+    rows = [("A", MANY), ("B", SOME), ("C", OTHER), ("D", [63, 64, 127, 1983, 2047]), ("E", [0])]
     got = {r.target_chembl_id: r.similarity_score for r in _pairs(spark, rows, "A").collect()}
     for tid, bits in rows[1:]:
-        a, b = set(ASPIRIN), set(bits)
+        a, b = set(MANY), set(bits)
         assert got[tid] == len(a & b) / len(a | b)
 
 
 def test_self_excluded_by_id(spark):
-    out = _pairs(spark, [("SRC", ASPIRIN), ("SRC", ASPIRIN)], "SRC").collect()
-    assert out == []
+    assert _pairs(spark, [("SRC", MANY), ("SRC", MANY)], "SRC").collect() == []
 
 
 def test_same_bits_other_id_scores_one(spark):
-    out = _pairs(spark, [("SRC", ASPIRIN), ("OTHER", ASPIRIN)], "SRC").collect()
-    assert [(r.target_chembl_id, r.similarity_score) for r in out] == [("OTHER", 1.0)]
+    out = _pairs(spark, [("SRC", MANY), ("TWIN", MANY)], "SRC").collect()
+    assert [(r.target_chembl_id, r.similarity_score) for r in out] == [("TWIN", 1.0)]
 
 
-def test_related_ranks_before_unrelated(spark):
-    fps = fps_frame(spark, [("SOURCE", ASPIRIN), ("SALICYLIC", SALICYLIC), ("CAFFEINE", CAFFEINE)])
-    top = similarity.compute_top_k(fps.filter("chembl_id = 'SOURCE'"), fps, k=10, n_sources=1, partitions=2)
-    rows = top.orderBy(F.desc("similarity_score")).collect()
-    assert rows[0].target_chembl_id == "SALICYLIC"
-    assert rows[0].similarity_score > rows[1].similarity_score
-    assert rows[1].similarity_score == 0.0  # zero scores are kept
+def test_near_ranks_before_unrelated_and_zero_is_kept(spark):
+    fps = fps_frame(spark, [("Q", MANY), ("NEAR", SOME), ("FAR", OTHER)])
+    rows = similarity.compute_top_k(fps.filter("chembl_id = 'Q'"), fps, k=10).orderBy(F.desc("similarity_score")).collect()
+    assert [(r.target_chembl_id, r.similarity_score) for r in rows] == [("NEAR", 4 / 12), ("FAR", 0.0)]
 
 
-def _flags(spark, scores):
+def _flags(spark, scores, k=10):
     # Ids are zero-padded so that text order (the tie order, M7) equals list order.
     rows = [("SRC", f"T{i:02d}", s) for i, s in enumerate(scores)]
-    out = similarity.rank_top_k(scored_frame(spark, rows), k=10).collect()
+    out = similarity.rank_top_k(scored_frame(spark, rows), k=k).collect()
     return {r.target_chembl_id: r.has_duplicates_of_last_largest_score for r in out}
 
 
-def test_flags_only_boundary_ties(spark):
-    scores = [0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.1, 0.1, 0.1, 0.05, 0.01, 0.001]
-    flags = _flags(spark, scores)
-    assert len(flags) == 10
-    assert flags["T08"] is True and flags["T09"] is True
-    assert flags["T00"] is False
-    assert sum(flags.values()) == 2  # T10/T11 tie too but fall outside the top 10
+def _expected_flags(scores, k):
+    """The rule restated: rows that equal the k-th score, if a later row does too."""
+    order = sorted(range(len(scores)), key=lambda i: (-scores[i], i))
+    top = order[:k]
+    tied = len(order) > k and scores[order[k]] == scores[order[k - 1]]
+    return {f"T{i:02d}": tied and scores[i] == scores[order[k - 1]] for i in top}
 
 
-def test_no_flag_when_boundary_unique(spark):
-    flags = _flags(spark, [round(0.9 - i * 0.08, 2) for i in range(12)])
-    assert not any(flags.values()) and len(flags) == 10
-
-
-def test_exactly_ten_targets_never_flagged(spark):
-    flags = _flags(spark, [0.5] * 10)
-    assert len(flags) == 10 and not any(flags.values())
-
-
-def test_fewer_than_ten_targets_never_flagged(spark):
-    flags = _flags(spark, [0.5] * 9)
-    assert len(flags) == 9 and not any(flags.values())
-
-
-def test_ties_above_boundary_not_flagged(spark):
-    # 0.9 twice inside the top 10, boundary 0.2 unique.
-    flags = _flags(spark, [0.9, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.1])
-    assert not any(flags.values())
+@pytest.mark.parametrize("k,scores", [
+    (10, [i / 64 for i in range(40, 20, -1)]),                       # all differ
+    (10, [0.75] * 3 + [0.5] * 4 + [0.25] * 9),                       # the cut falls inside ties
+    (10, [0.875, 0.875] + [i / 32 for i in range(20, 9, -1)]),       # ties above the cut only
+    (10, [0.125] * 10), (10, [0.125] * 4), (10, [0.125] * 11), (10, []),
+    (1, [0.5, 0.5]), (3, [0.25, 0.5, 0.5, 0.5, 0.5]), (3, [0.0, 0.0, 0.0, 0.0]),
+])
+def test_tie_flag_rule(spark, k, scores):
+    assert _flags(spark, scores, k) == _expected_flags(scores, k)
 
 
 def test_tie_order_is_target_id(spark):
@@ -101,40 +86,55 @@ def test_tie_order_is_target_id(spark):
     assert [r.target_chembl_id for r in out] == ["T1", "T2"]
 
 
-def test_two_sources_fifteen_identical_rows(spark):
-    fps = fps_frame(spark, [(f"CHEMBL{i}", ASPIRIN) for i in range(15)])
-    sources = similarity.select_source_molecules(fps, 2)
-    top = similarity.compute_top_k(sources, fps, k=10, n_sources=2, partitions=3).collect()
-    assert len(top) == 20
-    assert {r.source_chembl_id for r in top} == {"CHEMBL0", "CHEMBL1"}
-    # 14 equal candidates for 10 slots: every row ties at the boundary.
-    assert all(r.has_duplicates_of_last_largest_score for r in top)
+def test_every_row_ties_when_all_fingerprints_are_equal(spark):
+    fps = fps_frame(spark, [(f"X{i:02d}", SOME) for i in range(23)])
+    top = similarity.compute_top_k(similarity.select_source_molecules(fps, 3), fps, k=7).collect()
+    assert {r.source_chembl_id for r in top} == {"X00", "X01", "X02"} and len(top) == 21
+    assert all(r.has_duplicates_of_last_largest_score and r.similarity_score == 1.0 for r in top)
 
 
 def test_source_selection_is_first_ids_in_text_order(spark):
-    ids = [f"CHEMBL{i}" for i in range(200)]
-    fps = fps_frame(spark, [(i, [1]) for i in ids])
-    got = [r.chembl_id for r in similarity.select_source_molecules(fps, 100).collect()]
-    assert got == sorted(ids)[:100]
+    ids = [f"N{i}" for i in range(150)]
+    got = [r.chembl_id for r in similarity.select_source_molecules(fps_frame(spark, [(i, [1]) for i in ids]), 70).collect()]
+    assert got == sorted(ids)[:70]
+
 
+def test_source_selection_of_repeated_ids_is_decided(spark):
+    rows = [("A", [9]), ("A", [1]), ("A", [5]), ("B", [2])]
+    for part in (rows, rows[::-1]):
+        got = similarity.select_source_molecules(fps_frame(spark, part), 2).collect()
+        assert [(r.chembl_id, r.fingerprint_on_bits) for r in got] == [("A", [1]), ("A", [5])]
 
-@pytest.mark.parametrize("n", [50, 25])
+
+@pytest.mark.parametrize("n", [17, 40])
 def test_full_table_keeps_every_other_row(spark, n):
-    fps = fps_frame(spark, [(f"CHEMBL{i}", ASPIRIN) for i in range(n)])
-    full = similarity.compute_full_similarity(fps.filter("chembl_id = 'CHEMBL0'"), fps, n_sources=1, partitions=2)
+    fps = fps_frame(spark, [(f"X{i}", OTHER) for i in range(n)])
+    full = similarity.compute_full_similarity(fps.filter("chembl_id = 'X0'"), fps)
     assert full.count() == n - 1
     assert full.columns == ["source_chembl_id", "target_chembl_id", "similarity_score"]
 
 
-def test_chunked_broadcast_equals_single_broadcast(spark):
-    rows = [(f"ID{i:03d}", sorted({(i * 7 + j * 13) % 2048 for j in range(20)})) for i in range(40)]
+def _many(n, width=2048):
+    return [(f"ID{i:03d}", sorted({(i * 7 + j * 13 + j * j * (i % 5)) % width for j in range(5 + i % 23)})) for i in range(n)]
+
+
+@pytest.mark.parametrize("blocks", [similarity.Blocks(1, 1, 1), similarity.Blocks(5, 3, 4), similarity.Blocks(30, 50, 7)])
+def test_blocks_change_no_pair(spark, blocks):
+    rows = _many(40)
     fps = fps_frame(spark, rows)
     sources = similarity.select_source_molecules(fps, 12)
-    one = similarity.score_pairs(sources, fps, n_sources=12, partitions=3)
-    bound_one = similarity.source_bytes_bound(1)
-    chunked = similarity.score_pairs(sources, fps, n_sources=12, partitions=3, broadcast_bytes=5 * bound_one)
-    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, chunked.collect()))
-    assert chunked.count() == 12 * 39
+    got = {(r[0], r[1]): r[2] for r in similarity.score_pairs(sources, fps, blocks=blocks).collect()}
+    bits = {i: set(b) for i, b in rows}
+    assert got == {(s, t): len(bits[s] & bits[t]) / len(bits[s] | bits[t])
+                   for s in sorted(bits)[:12] for t in bits if s != t}
+
+
+@pytest.mark.parametrize("n,k", [(200, 10), (60, 1), (9, 10)])
+def test_floors_change_no_row_or_flag(spark, n, k):
+    fps = fps_frame(spark, _many(n, 64))
+    sources = similarity.select_source_molecules(fps, 15)
+    plain = similarity.rank_top_k(similarity.score_pairs(sources, fps), k).drop("rank")
+    assert sorted(map(tuple, similarity.compute_top_k(sources, fps, k).collect())) == sorted(map(tuple, plain.collect()))
 
 
 def test_two_hop_matches_brute_force(spark):
@@ -142,8 +142,8 @@ def test_two_hop_matches_brute_force(spark):
     fps = fps_frame(spark, rows)
     from setsim.operators import mart
     sources = similarity.select_source_molecules(fps, 5)
-    fact = similarity.compute_top_k(sources, fps, k=3, n_sources=5, partitions=2)
-    got = {r.source_chembl_id: tuple(r)[1:] for r in mart.similarity_two_hop(fact, fps, n_sources=5).collect()}
+    fact = similarity.compute_top_k(sources, fps, k=3)
+    got = {r.source_chembl_id: tuple(r)[1:] for r in mart.similarity_two_hop(fact, fps).collect()}
 
     bits = dict(rows)
 
@@ -156,25 +156,3 @@ def test_two_hop_matches_brute_force(spark):
         m, ms = best(src)
         n, ns = best(m)
         assert got[src] == (m, ms, n, ns)
-
-
-def test_broadcast_bound_is_checked_not_truncated(spark):
-    fps = fps_frame(spark, [(f"ID{i}", [i]) for i in range(5)])
-    with pytest.raises(ValueError):
-        similarity.score_pairs(fps, fps, n_sources=3, partitions=2)
-
-
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_prefiltered_ranking_equals_plain(spark, seed):
-    import random
-    rnd = random.Random(seed)
-    rows = []
-    for s in range(6):
-        n = rnd.choice([3, 9, 10, 11, 40])               # fewer / exactly / more than k+1
-        for t in range(n):
-            score = rnd.choice([0.0, 0.25, 0.5, 0.5, 0.75, 1.0, rnd.random()])  # many ties
-            rows.append((f"S{s}", f"T{t:03d}", score))
-    df = scored_frame(spark, rows)
-    a = sorted(map(tuple, similarity.rank_top_k(df, 10).collect()))
-    b = sorted(map(tuple, similarity.rank_top_k_prefiltered(df, 10).collect()))
-    assert a == b
