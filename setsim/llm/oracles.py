@@ -77,5 +77,59 @@ FROM words LEFT JOIN lost USING (doc_id)
 """
 
 
+OP6 = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS gram
+  FROM words, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams AS a JOIN grams AS b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 85 * ((SELECT n FROM sizes WHERE doc_id = a.doc_id) + (SELECT n FROM sizes WHERE doc_id = b.doc_id) - count(*))),
+reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach AS r JOIN links AS l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, min(r.b)) AS component_id
+FROM documents AS d LEFT JOIN sizes USING (doc_id) LEFT JOIN reach AS r ON r.a = d.doc_id GROUP BY d.doc_id, n
+"""
+
+_KINDS = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+           "len(list_filter(string_split(v, '.'), lambda p: p::HUGEINT > 255)) = 0"),
+    "card": (r"[0-9]([\x20-]?[0-9])+",
+             "len(d) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, len(d) + 1), lambda i: "
+             "CASE WHEN (len(d) - i) % 2 = 0 THEN d[i]::INT ELSE d[i]::INT * 2 - CASE WHEN d[i]::INT > 4 THEN 9 ELSE 0 END END)) % 10 = 0"),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "len(d) BETWEEN 10 AND 15"),
+}
+
+
+def _found(number: int, kind: str, pattern: str, check: str) -> str:
+    """Matches with their offsets: the pieces and matches before, and the piece between."""
+    return f"""
+SELECT doc_id, {number} AS k, '{kind}' AS kind, s AS start, s + length(v) AS stop FROM (
+  SELECT doc_id, v, regexp_replace(v, '[^0-9]', '', 'g') AS d,
+         (sum(length(p) + length(v)) OVER (PARTITION BY doc_id ORDER BY i) - length(v))::BIGINT AS s
+  FROM (SELECT doc_id, unnest(m) AS v, unnest(string_split_regex(text, '{pattern}')[1:len(m)]) AS p, generate_subscripts(m, 1) AS i
+        FROM (SELECT doc_id, text, regexp_extract_all(text, '{pattern}') AS m FROM documents WHERE text IS NOT NULL)))
+WHERE {check}"""
+
+
+#: The base kinds; the added IBAN spans are checked in the tests.
+OP7 = f"""
+WITH found AS ({" UNION ALL ".join(_found(n, k, *v) for n, (k, v) in enumerate(_KINDS.items()))}),
+listed AS (
+  SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+         count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS spans FROM found GROUP BY doc_id)
+SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip,
+       coalesce(n_card, 0)::BIGINT AS n_card, coalesce(n_phone, 0)::BIGINT AS n_phone,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans, 0::BIGINT AS n_iban
+FROM documents LEFT JOIN listed USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op2_mixing": OP2, "op3_topk_search": OP3, "op4_substring_dedup": OP4}
+    return {"op1_decontamination": OP1, "op2_mixing": OP2, "op3_topk_search": OP3, "op4_substring_dedup": OP4,
+            "op6_jaccard_join": OP6, "op7_pii": OP7}
