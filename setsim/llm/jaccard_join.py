@@ -344,7 +344,8 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     drop_step(near, groups)
     placed = _places(members, percent, block_bytes)
     drop_step(members)
-    sets = source.join(placed, "id").select("cls", "places", "text").mapInArrow(
+    # The same sort-merge join at every size.
+    sets = source.join(placed.hint("merge"), "id").select("cls", "places", "text").mapInArrow(
         _class_sets(width), "cls bigint, places array<struct<grp:bigint,unit:bigint,later:boolean,blocks:bigint>>, grams binary")
     tasks = sets.withColumn("at", F.explode("places")).select("cls", "grams", "at.*") \
         .withColumn("side", F.pmod(F.xxhash64("cls"), F.col("blocks"))) \
