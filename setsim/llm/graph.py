@@ -20,15 +20,17 @@ def components(edges: DataFrame) -> DataFrame:
     labels = write_step(both.groupBy(F.col("a").alias("node"))
                         .agg(F.min("b").alias("label"))
                         .select("node", F.least("node", "label").alias("label")), "labels")
+    none = F.lit(None).cast("long")
     while True:
-        near = both.join(labels, F.col("b") == F.col("node")).select(F.col("a").alias("node"), "label")
-        mins = write_step(near.union(labels).groupBy("node").agg(F.min("label").alias("label")), "labels-min")
+        near = both.join(labels, F.col("b") == F.col("node")).select(F.col("a").alias("node"), "label", none.alias("old"))
+        own = labels.select("node", "label", F.col("label").alias("old"))
+        mins = write_step(near.union(own).groupBy("node").agg(F.min("label").alias("label"), F.max("old").alias("old")),
+                          "labels-min")
         parent = mins.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        jumped = write_step(mins.join(parent, "label").select("node", F.col("up").alias("label")), "labels-jump")
-        changed = jumped.join(labels.withColumnRenamed("label", "old"), "node").filter("label <> old")
-        done = changed.isEmpty()
+        jumped = write_step(mins.join(parent, "label").select("node", F.col("up").alias("label"), "old"), "labels-jump")
+        done = jumped.filter("label <> old").isEmpty()
         drop_step(labels, mins)
         labels = jumped
         if done:
             drop_step(both)
-            return labels.withColumnRenamed("label", "comp")
+            return labels.select("node", F.col("label").alias("comp"))
