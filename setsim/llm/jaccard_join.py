@@ -38,8 +38,8 @@ from setsim.llm.graph import components
 SHINGLE = 4
 PERCENT = 85
 BUCKET_BITS = 16
-BLOCK_BYTES = 12 << 20
-SLICE_BYTES = 6 << 20
+BLOCK_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def shingle_sets(texts: list[bytes | None], hashes: WordHasher, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -369,6 +369,11 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each linked group stays: the one with the smallest id."""
-    gone = jaccard_components(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One document of each linked group stays: the one with the smallest id, and
+    one row of it where rows repeat an id and a text."""
+    found = write_step(jaccard_components(docs), "jaccard-found")
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    twice = found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id")
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    once = kept.join(twice, "doc_id", "left_anti").select(docs.columns)
+    return once.unionByName(kept.join(twice, "doc_id").select(docs.columns).dropDuplicates(["doc_id", "text"]))
