@@ -101,15 +101,27 @@ def read_release(spark: SparkSession, input_dir: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{input_dir.rstrip('/')}/{name}.parquet") for name in EXTRACT_COLUMNS}
 
 
+def text_ranges(column: str, bounds: list[str]) -> list[str]:
+    """Disjoint conditions on a text key that cover all its values, NULL too:
+    one for each range between sorted ``bounds``."""
+    quoted = ["'" + b.replace("'", "''") + "'" for b in sorted(set(bounds))]
+    if not quoted:
+        return ["1 = 1"]
+    inner = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(quoted, quoted[1:], strict=False)]
+    return [f"{column} < {quoted[0]} OR {column} IS NULL", *inner, f"{column} >= {quoted[-1]}"]
+
+
 def read_release_jdbc(spark: SparkSession, url: str, properties: dict, key_bounds: dict[str, tuple[int, int]],
-                      num_partitions: int = 64, schema_prefix: str = "") -> dict[str, DataFrame]:
+                      num_partitions: int = 64, schema_prefix: str = "",
+                      lookup_bounds: list[str] | None = None) -> dict[str, DataFrame]:
     """A release served by a database: one partitioned JDBC read per table.
 
     Tables keyed by ``molregno`` are read as ``num_partitions`` parallel range
     queries over ``key_bounds[table] = (lower, upper)`` (Spark's
-    ``partitionColumn`` reads); the id lookup, without a numeric key, is one
-    query.  Only the projected columns are fetched.  Not exercised by the
-    tests: no database may be started in this environment.
+    ``partitionColumn`` reads); the id lookup, whose key is text, as one query
+    for each range between ``lookup_bounds``.  Only the projected columns are
+    fetched.  Not exercised by the tests: no database may be started in this
+    environment.
     """
     out = {}
     for table, cols in EXTRACT_COLUMNS.items():
@@ -119,7 +131,8 @@ def read_release_jdbc(spark: SparkSession, url: str, properties: dict, key_bound
             df = spark.read.jdbc(url, name, column="molregno", lowerBound=int(lo), upperBound=int(hi),
                                  numPartitions=int(num_partitions), properties=properties)
         else:
-            df = spark.read.jdbc(url, name, properties=properties)
+            df = spark.read.jdbc(url, name, predicates=text_ranges(ORDER_KEY[table], lookup_bounds or []),
+                                 properties=properties)
         out[table] = df.select(*cols)
     return out
 

@@ -180,6 +180,13 @@ def test_object_store_uri_and_release_roundtrip(spark):
     assert cols.columns == ["molregno", "alogp"] and cols.count() == 6
 
 
+def test_text_ranges_cover_each_key_once(spark):
+    keys = spark.createDataFrame([(k,) for k in ["A", "C1", "C1x", "D'", "D'z", "Z", "", None]], "chembl_id string")
+    for bounds in ([], ["C1"], ["D'", "C1", "D'"]):
+        hits = [keys.filter(p).count() for p in readers.text_ranges("chembl_id", bounds)]
+        assert sum(hits) == 8 and len(hits) == len(set(bounds)) + 1
+
+
 def _dictionary(spark, rows):
     return spark.createDataFrame(rows, "molregno double, chembl_id string, pref_name string, molecule_type string, "
                                        "max_phase double, therapeutic_flag double, withdrawn_flag double")
