@@ -26,6 +26,9 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 #: A start tag ends an open element of these names, up to a boundary.
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"),
          "option": ("option",), "thead": ("tbody",), "tbody": ("thead", "tbody"), "body": ("head",)}
+#: What an end tag does not close across, unless it is one of these itself.
+_CELLS = frozenset(("td", "th", "table"))
+_STRUCTURE = frozenset(("table", "tbody", "thead", "tr", "td", "th", "body", "html"))
 _SCOPE = frozenset("html body div section article main aside nav header footer table ul ol dl td th form fieldset "
                    "blockquote li figure".split())
 
@@ -83,17 +86,19 @@ def _attributes(raw: str) -> tuple[frozenset, bool, str]:
 def parse(html: str) -> Page:
     """The node table of a page, whatever its markup."""
     page, stack, block, at = Page(), [0], 0, 0
+    silent = 0  # open elements whose text is not shown
 
     def say(raw: str) -> None:
-        if raw and not raw.isspace() and not any(page.tag[i] in SILENT for i in stack[-3:]) and not silent[0]:
+        if silent or not raw:
+            return
+        if not raw.isspace():
             page.texts.append((stack[-1], block, unescape(raw)))
-        elif raw and raw.isspace() and page.texts and page.texts[-1][1] == block:
+        elif page.texts and page.texts[-1][1] == block:
             page.texts.append((stack[-1], block, " "))
 
-    silent = [0]  # open silent elements
-
     def pop() -> None:
-        silent[0] -= page.tag[stack.pop()] in SILENT
+        nonlocal silent
+        silent -= page.tag[stack.pop()] in SILENT
 
     def close(names: tuple, scope: frozenset) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -118,8 +123,7 @@ def parse(html: str) -> Page:
         if tag in BLOCK:
             block += 1
         if m["close"]:
-            close((tag,), frozenset(("td", "th", "table")) if tag not in ("table", "tr", "td", "th", "tbody", "thead", "body", "html")
-                  else frozenset())
+            close((tag,), frozenset() if tag in _STRUCTURE else _CELLS)
             continue
         if tag == "html":
             continue
@@ -142,7 +146,7 @@ def parse(html: str) -> Page:
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I | re.A).search(html, at)
             at = len(html) if end is None else end.start()
-        silent[0] += tag in SILENT
+        silent += tag in SILENT
         stack.append(len(page.tag) - 1)
     say(html[at:])
     return page

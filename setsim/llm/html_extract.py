@@ -20,6 +20,7 @@ the result replaces.
 from __future__ import annotations
 
 import random
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 from setsim.llm.common import row_slices
 from setsim.llm.html_dom import Page, extract, node_features, parse
 
-N_PAGES = 260
+N_PAGES = 400
 DEPTH = 4
 BINS = 32
 
@@ -111,20 +112,31 @@ class _Writer:
         for _ in range(r.randint(1, 14)):
             kind = r.random()
             text = self.words(1, r.choice([2, 6, 60, 150]))
-            if kind < 0.72:
+            if kind < 0.6:
                 close = "</p>" if r.random() < 0.9 else ""
                 parts.append(f"<p>{text}{close}" if r.random() < 0.8 else f"<p><b>{text}<br>" if r.random() < 0.6
-                             else f'<p>{text} <a href="#">{self.words(1, 3)}</a> {self.words(1, 30)}</p>')
-            elif kind < 0.79:
+                             else f'<p>{text} <a href="#">{self.words(1, 3)}</a> <em>{self.words(1, 4)}</em> {self.words(1, 30)}</p>')
+            elif kind < 0.67:
                 parts.append(f"<h2>{self.words(1, 6)}</h2>")
-            elif kind < 0.85:
+            elif kind < 0.73:
                 parts.append("<ul>" + "".join(f"<li>{self.words(2, 14)}</li>" for _ in range(r.randint(1, 5))) + "</ul>")
-            elif kind < 0.89:
-                parts.append(f"<blockquote>{self.words(5, 40)}</blockquote>")
-            elif kind < 0.92:
-                parts.append(f"<table><tr><td>{self.words(1, 4)}</td><td>{self.words(1, 4)}</td></tr></table>")
+            elif kind < 0.79:
+                quote = self.words(2, 40)
+                parts.append(f"<blockquote>{quote if r.random() < 0.5 else f'<p>{quote}</p>'}</blockquote>")
+            elif kind < 0.83:
+                cells = lambda: "".join(f"<td>{self.words(1, 4)}</td>" for _ in range(2))
+                parts.append("<table>" + "".join(f"<tr>{cells()}</tr>" for _ in range(r.randint(1, 4))) + "</table>")
+            elif kind < 0.86:
+                parts.append(f"<pre>{self.words(1, 20)}</pre>")
+            elif kind < 0.9:
+                parts.append(f'<figure><img src="x"><figcaption>{self.words(2, 14)}</figcaption></figure>')
+            elif kind < 0.93:
+                parts.append(f"<{(t := r.choice(('div', 'section')))}><h3>{self.words(1, 5)}</h3><p>{text}</p></{t}>")
             else:
                 parts.append(r.choice((self.advert, self.notice, self.form))("out"))
+        if r.random() < 0.12:  # no container at all
+            return "".join(p if 'data-mark="out"' in p or "data-mark=out" in p else re.sub(r"^<(\w+)", r'<\1 data-mark="in"', p)
+                           for p in parts)
         return self.box(("article", "main", "div", "article", "section"),
                         ("article", "content", "post-body", "entry-content", "story", "main-text"), "".join(parts), "in")
 
@@ -174,7 +186,7 @@ class Trees:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, n_trees: int = 40, rate: float = 0.3, ridge: float = 2.0) -> Trees:
+def boost(x: np.ndarray, y: np.ndarray, n_trees: int = 60, rate: float = 0.3, ridge: float = 2.0) -> Trees:
     """Gradient boosting of the logistic loss with histogram splits."""
     edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
     binned = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T, strict=True)], axis=1)
