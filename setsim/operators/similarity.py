@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from setsim.functions import n_words, packed_intersection, packed_words, tanimoto, tanimoto_from_sizes
+from setsim.functions import packed_intersection, packed_words, tanimoto, tanimoto_from_sizes
 from setsim.operators.fingerprint import BITS_COL, DEFAULT_N_BITS
 from setsim.session import default_parallelism, materialize
 

@@ -2,8 +2,6 @@
 
 import hashlib
 
-from pyspark.sql import functions as F
-
 from setsim import schemas
 from setsim.operators import fingerprint
 from setsim.sources import writers
