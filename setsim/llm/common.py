@@ -50,11 +50,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fold(c: Column | str) -> Column:
-    """SHA-256 (lowercase hex) of a string column."""
-    return F.sha2(F.col(c) if isinstance(c, str) else c, 256)
-
-
 def held_out(doc_id: Column) -> Column:
     """Rows kept out of every fit: crc32 of the id as text leaves 2 mod 4."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))

@@ -21,6 +21,7 @@ from setsim.llm import (
     topk_search,
 )
 from setsim.llm.common import table
+from setsim.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
 
@@ -103,7 +104,8 @@ def test_topk_edges(spark):
     rows += [(i, hot) for i in range(330, 560)]
     rows += [(600, None), (650, []), (700, [1.0, None]), (750, [float("nan")]), (800, [float("inf")] * 6), (None, hot),
              (850, [1.0, 2.0]), (851, [0.0] * 6), (900, [0.0] * 6), (950, [-x for x in hot])]
-    df = spark.createDataFrame([*rows, rows[3], rows[400]], "vec_id long, embedding array<double>").withColumn("rep", F.lit(1)).withColumn("v", F.lit(2))
+    df = spark.createDataFrame([*rows, rows[3], rows[400]], "vec_id long, embedding array<double>")
+    df = df.withColumn("rep", F.lit(1)).withColumn("v", F.lit(2))
     for n_lists in (2, 3):
         check_topk(topk_search.exact_topk(df, n_lists=n_lists), rows)
     assert topk_search.exact_topk(df.filter("false")).count() == 0
@@ -142,6 +144,10 @@ def test_sharding_edges(edge, none, docs):
     check_shards(edge, 4)
     check_shards(docs, 40)
     assert sharding.shard(none).count() == 0
+    path = scratch_path(docs.sparkSession, "t_shards")
+    sharding.write_shards(sharding.shard(docs, 8), path)
+    back = docs.sparkSession.read.parquet(path)
+    assert back.count() == docs.count() and back.select("shard").distinct().count() == 8
     digest = sharding.shard_digest(edge)
     assert digest.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
 
