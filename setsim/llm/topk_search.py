@@ -3,12 +3,14 @@
 The score of a vector is its integer inner product with the query, a sum over
 ``n_lists`` stretches of the dimensions.  Each stretch is a list of its own:
 
-1. every list gives the best partial scores of each query and the smallest one;
-   sums of what was seen bound the k-th best score from below;
-2. that bound, spread evenly over the lists, is a safe cutoff: a vector that
+1. every list gives its best partial scores of each query; the vectors named get
+   the partial scores they lack, and the k-th best total bounds the k-th best of all
+   from below;
+2. that bound, spread evenly over the lists, is a safe cutoff: a vector whose total
    reaches the bound must reach the cutoff in some list.  It travels with the
    queries, and every list gives all entries that reach it;
-3. vectors that could still be among the best by what is known of them get their
+3. what was seen in every list is exact and lifts the bound; vectors that could still
+   reach it, with less than the cutoff in each list they were not seen in, get the
    missing partial scores exactly.
 
 Equal vectors are searched once.  Partial scores are computed block by block in
@@ -31,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from setsim.llm.common import write_step
+from setsim.llm.common import drop_step, write_step
 
 K = 5
 N_LISTS = 2
 ROW_BLOCK = 4096
 QUERY_BLOCK = 1024
+#: Entries of each list that phase 1 gathers for a query; more of them sharpen the cutoff.
+LIST_DEPTH = 64
 
 
 def quantized(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -48,20 +52,25 @@ def quantized(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * 256).cast("long")).alias("v"))
 
 
-def _pack(width: int):
-    """One row for a block: ids, the matrix and (where given) cutoffs, as bytes."""
-    def run(group: pa.Table) -> pa.Table:
-        names = group.column_names
-        flat = np.concatenate([c.flatten().to_numpy() for c in group.column("part").chunks])
-        cut = group.column("cut").to_numpy().astype(np.int64).tobytes() if "cut" in names else b""
-        return pa.table({
-            "list": group.column("list").slice(0, 1), "block": group.column("block").slice(0, 1),
-            "ids": pa.array([group.column("rep").to_numpy().astype(np.int64).tobytes()], pa.binary()),
-            "m": pa.array([flat.astype(np.int64).tobytes()], pa.binary()), "cut": pa.array([cut], pa.binary())})
-    return run
+def _pack(group: pa.Table) -> pa.Table:
+    """One row for a block: ids in order, the matrix and (where given) cutoffs, as bytes."""
+    group = group.sort_by("rep")
+    flat = group.column("part").combine_chunks().flatten().to_numpy()
+    cut = group.column("cut").to_numpy().astype(np.int64).tobytes() if "cut" in group.column_names else b""
+    return pa.table({
+        "list": group.column("list").slice(0, 1), "block": group.column("block").slice(0, 1),
+        "ids": pa.array([group.column("rep").to_numpy().astype(np.int64).tobytes()], pa.binary()),
+        "m": pa.array([flat.astype(np.int64).tobytes()], pa.binary()), "cut": pa.array([cut], pa.binary())})
+
+
+def _pack_pairs(group: pa.Table) -> pa.Table:
+    """One row for the pairs of a block of queries and a block of rows."""
+    raw = {c: pa.array([group.column(c).to_numpy().astype(np.int64).tobytes()], pa.binary()) for c in ("query", "rep")}
+    return pa.table({c: group.column(c).slice(0, 1) for c in ("list", "block", "q_block")} | raw)
 
 
 _PACKED = "list int, block bigint, ids binary, m binary, cut binary"
+_PAIRS = "list int, block bigint, q_block bigint, query binary, rep binary"
 
 
 def partial_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -82,34 +91,43 @@ def _blocks(batches: Iterator[pa.RecordBatch]):
                        partial_scores(q.reshape(len(q_ids), -1), x.reshape(len(x_ids), -1)))
 
 
-def _entries(part: int, query: np.ndarray, rep: np.ndarray, score: np.ndarray, least: np.ndarray) -> pa.RecordBatch:
+def _entries(part: int, query: np.ndarray, rep: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(query), part, np.int32)), pa.array(query), pa.array(rep), pa.array(score), pa.array(least)],
-        ["list", "query", "rep", "score", "least"])
+        [pa.array(np.full(len(query), part, np.int32)), pa.array(query), pa.array(rep), pa.array(score)],
+        ["list", "query", "rep", "score"])
 
 
-_ENTRY = "list int, query bigint, rep bigint, score bigint, least bigint"
+_ENTRY = "list int, query bigint, rep bigint, score bigint"
 
 
-def _local_best(k: int):
-    """Phase 1: the k best entries of each query in the block, and its smallest score."""
+def _local_best(depth: int):
+    """Phase 1: the best entries of each query in the block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, q_ids, x_ids, _, p in _blocks(batches):
-            take = min(k, len(x_ids))
+            take = min(depth, len(x_ids))
             top = np.argpartition(-p, take - 1, axis=1)[:, :take]
-            yield _entries(part, np.repeat(q_ids, take), x_ids[top].ravel(),
-                           np.take_along_axis(p, top, axis=1).ravel(), np.repeat(p.min(axis=1), take))
+            yield _entries(part, np.repeat(q_ids, take), x_ids[top].ravel(), np.take_along_axis(p, top, axis=1).ravel())
     return run
 
 
-def _reaching():
+def _reaching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Phase 2: every entry that reaches its query's cutoff."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, q_ids, x_ids, cut, p in _blocks(batches):
-            for a in range(0, len(q_ids), 128):
-                i, j = np.nonzero(p[a:a + 128] >= cut[a:a + 128, None])
-                yield _entries(part, q_ids[a + i], x_ids[j], p[a + i, j], np.zeros(len(i), np.int64))
-    return run
+    for part, q_ids, x_ids, cut, p in _blocks(batches):
+        for a in range(0, len(q_ids), 128):
+            i, j = np.nonzero(p[a:a + 128] >= cut[a:a + 128, None])
+            yield _entries(part, q_ids[a + i], x_ids[j], p[a + i, j])
+
+
+def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial scores of given pairs."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            q_ids, x_ids, query, rep = (np.frombuffer(r[c], np.int64) for c in ("q_ids", "x_ids", "query", "rep"))
+            q = np.frombuffer(r["q_m"], np.int64).reshape(len(q_ids), -1)
+            x = np.frombuffer(r["x_m"], np.int64).reshape(len(x_ids), -1)
+            for a in range(0, len(query), 1 << 15):
+                left, right = q[np.searchsorted(q_ids, query[a:a + (1 << 15)])], x[np.searchsorted(x_ids, rep[a:a + (1 << 15)])]
+                yield _entries(r["list"], query[a:a + (1 << 15)], rep[a:a + (1 << 15)], (left * right).sum(axis=1))
 
 
 def _by_query(*order) -> Window:
@@ -136,52 +154,66 @@ def exact_topk(vectors: DataFrame, *, queries: str = "vec_id % 50 = 0", k: int =
     row_blocks, query_blocks = max(1, -(-n_rows // ROW_BLOCK)), max(1, -(-n_asked // QUERY_BLOCK))
     part = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(n_lists - 1)), lambda j: F.slice("v", j * width + 1, F.lit(width))))
     lists = reps.select("rep", full.alias("v")).select("rep", part.alias("list", "part"))
-    block = lambda n: F.pmod(F.xxhash64("rep"), F.lit(n)).alias("block")
-    rows = write_step(lists.select("list", block(row_blocks), "rep", "part").groupBy("list", "block")
-                      .applyInArrow(_pack(width), _PACKED), "topk-rows")
-    q_lists = write_step(lists.join(asked, "rep"), "topk-queries")
 
-    def meet(packed: DataFrame) -> DataFrame:
+    def block(col: str, n: int):
+        return F.pmod(F.xxhash64(col), F.lit(n))
+
+    def packed(rows: DataFrame, n: int) -> DataFrame:
+        return rows.withColumn("block", block("rep", n)).groupBy("list", "block").applyInArrow(_pack, _PACKED)
+
+    rows = write_step(packed(lists.select("list", "rep", "part"), row_blocks), "topk-rows")
+    q_lists = write_step(lists.join(asked, "rep").select("list", "rep", "part"), "topk-queries")
+    q_packed = write_step(packed(q_lists, query_blocks), "topk-query-blocks")
+    x_side = rows.select("list", "block", F.col("ids").alias("x_ids"), F.col("m").alias("x_m"))
+
+    def q_side(blocks: DataFrame) -> DataFrame:
+        return blocks.select("list", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("m").alias("q_m"),
+                             F.col("cut").alias("q_cut"))
+
+    def meet(blocks: DataFrame) -> DataFrame:
         """Each block of queries with each block of rows of its list."""
-        q = packed.select("list", F.col("ids").alias("q_ids"), F.col("m").alias("q_m"), F.col("cut").alias("q_cut")) \
-            .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long"))))
-        return rows.select("list", "block", F.col("ids").alias("x_ids"), F.col("m").alias("x_m")).join(q, ["list", "block"])
-
-    packed = q_lists.select("list", block(query_blocks), "rep", "part").groupBy("list", "block").applyInArrow(_pack(width), _PACKED)
-    best = write_step(meet(packed).mapInArrow(_local_best(need), _ENTRY), "topk-best")
-    floors = write_step(best.groupBy("query", "list").agg(F.min("least").alias("least")), "topk-floors")
-    # Scores above the smallest of their list are at least 0, as the threshold needs.
-    lower = best.drop("least").join(floors, ["query", "list"]).groupBy("query", "rep").agg(
-        F.sum(F.col("score") - F.col("least")).alias("lower"))
-    bound = lower.withColumn("n", F.row_number().over(_by_query(F.desc("lower"), "rep"))).filter(F.col("n") <= need) \
-        .groupBy("query").agg(F.min("lower").alias("lower"), F.count("*").alias("n"))
-    cutoff = write_step(floors.join(bound, "query").select(
-        "query", "list", "least", F.when(F.col("n") < need, F.col("least")).otherwise(
-            F.col("least") + F.ceil(F.col("lower") / n_lists)).alias("cut")), "topk-cutoffs")
-    packed = q_lists.join(cutoff.withColumnRenamed("query", "rep"), ["rep", "list"]).select(
-        "list", block(query_blocks), "rep", "part", "cut").groupBy("list", "block").applyInArrow(_pack(width), _PACKED)
-    reached = write_step(meet(packed).mapInArrow(_reaching(), _ENTRY).drop("least"), "topk-reached")
-
-    # What is missing lies between the list's smallest score and its cutoff.
-    spans = cutoff.groupBy("query").agg(F.sum("least").alias("least_all"), F.sum(F.col("cut") - 1).alias("most_all"))
-    known = reached.join(cutoff, ["query", "list"]).groupBy("query", "rep").agg(
-        F.sum("score").alias("score"), F.sum("least").alias("least"), F.sum(F.col("cut") - 1).alias("most"),
-        F.collect_list("list").alias("lists"))
-    known = write_step(known.join(spans, "query").select(
-        "query", "rep", "score", "lists", (F.col("score") + F.col("least_all") - F.col("least")).alias("lower"),
-        (F.col("score") + F.col("most_all") - F.col("most")).alias("upper")), "topk-known")
-    bar = known.withColumn("n", F.row_number().over(_by_query(F.desc("lower"), "rep"))).filter(F.col("n") <= need) \
-        .groupBy("query").agg(F.when(F.count("*") >= need, F.min("lower")).alias("bar"))
-    able = write_step(known.join(bar, "query").filter("bar is null or upper >= bar").select("query", "rep", "score", "lists"), "topk-able")
-    gaps = able.filter(F.size("lists") < n_lists).select("query", "rep", F.explode(F.array_except(
-        F.sequence(F.lit(0), F.lit(n_lists - 1)), "lists")).alias("list"))
-    dot = F.aggregate(F.zip_with("x", "q", lambda a, b: a * b), F.lit(0).cast("long"), lambda acc, v: acc + v)
-    resolved = gaps.join(lists.withColumnRenamed("part", "x"), ["rep", "list"]) \
-        .join(q_lists.select(F.col("rep").alias("query"), "list", F.col("part").alias("q")), ["query", "list"]) \
-        .select("query", "rep", dot.alias("score"))
-    exact = able.select("query", "rep", "score").union(resolved).groupBy("query", "rep").agg(F.sum("score").alias("score"))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long")))
+        return x_side.join(q_side(blocks).withColumn("block", every), ["list", "block"])
+
+    def resolve(pairs: DataFrame) -> DataFrame:
+        """The partial scores of (query, rep, list)."""
+        blobs = pairs.select("list", block("rep", row_blocks).alias("block"), block("query", query_blocks).alias("q_block"),
+                             "query", "rep").groupBy("list", "block", "q_block").applyInArrow(_pack_pairs, _PAIRS)
+        return blobs.join(x_side, ["list", "block"]).join(q_side(q_packed), ["list", "q_block"]).mapInArrow(_exact, _ENTRY)
+
+    def missing(pairs: DataFrame) -> DataFrame:
+        """(query, rep, list) for the lists that ``pairs(query, rep, lists)`` lacks."""
+        every = F.sequence(F.lit(0), F.lit(n_lists - 1))
+        return pairs.filter(F.size("lists") < n_lists).select("query", "rep", F.explode(F.array_except(every, "lists")).alias("list"))
+
+    def totals(entries: DataFrame) -> DataFrame:
+        return entries.groupBy("query", "rep").agg(F.sum("score").alias("score"), F.collect_list("list").alias("lists"))
+
+    def kth(scored: DataFrame) -> DataFrame:
+        """(query, bound): the ``need``-th best total of the queries that have so many."""
+        return scored.withColumn("n", F.row_number().over(_by_query(F.desc("score"), "rep"))).filter(F.col("n") == need) \
+            .select("query", F.col("score").alias("bound"))
+
+    depth = max(1, -(-LIST_DEPTH // row_blocks))
+    first = write_step(totals(meet(q_packed).mapInArrow(_local_best(depth), _ENTRY)), "topk-first")
+    first_rest = resolve(missing(first)).select("query", "rep", "score")
+    bounds = write_step(kth(first.select("query", "rep", "score").union(first_rest).groupBy("query", "rep").agg(
+        F.sum("score").alias("score"))), "topk-bounds")
+    cut = F.coalesce(F.ceil(F.col("bound") / n_lists), F.lit(-(1 << 62)))
+    with_cut = q_lists.join(bounds.withColumnRenamed("query", "rep"), "rep", "left").select("list", "rep", "part", cut.alias("cut"))
+    reached = write_step(totals(meet(packed(with_cut, query_blocks)).mapInArrow(_reaching, _ENTRY)), "topk-reached")
+
+    whole = reached.filter(F.size("lists") == n_lists).select("query", "rep", "score")
+    bars = write_step(bounds.union(kth(whole)).groupBy("query").agg(F.min("bound").alias("cut"), F.max("bound").alias("bar")), "topk-bars")
+    # A list in which a vector was not seen adds less than the cutoff.
+    most = F.col("score") + (n_lists - F.size("lists")) * (F.ceil(F.col("cut") / n_lists) - 1)
+    able = write_step(reached.join(bars, "query", "left").filter(F.col("bar").isNull() | (most >= F.col("bar")))
+                      .select("query", "rep", "score", "lists"), "topk-able")
+    exact = able.select("query", "rep", "score").union(resolve(missing(able)).select("query", "rep", "score")) \
+        .groupBy("query", "rep").agg(F.sum("score").alias("score"))
     top = write_step(exact.withColumn("n", F.row_number().over(_by_query(F.desc("score"), "rep")))
                      .filter(F.col("n") <= need).drop("n"), "topk-top")
+    drop_step(base, reps, asked, rows, q_lists, q_packed, first, bounds, reached, bars, able)
 
     few = Window.partitionBy("rep").orderBy("vec_id")
     firsts = write_step(members.withColumn("n", F.row_number().over(few)).filter(F.col("n") <= need).drop("n"), "topk-firsts")
