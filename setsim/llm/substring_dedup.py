@@ -42,8 +42,8 @@ _FAR = 1 << 40
 
 
 def default_rounds(window: int) -> int:
-    """Rounds after which contexts still fit well inside a window."""
-    return max(1, int(np.log2(max(2, window / 6))))
+    """Rounds after which the contexts of most symbols still fit inside a window."""
+    return max(1, int(np.log2(max(2, window / 3))))
 
 
 class Symbols:
