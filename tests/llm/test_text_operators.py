@@ -1,13 +1,14 @@
 """Decontamination, substring dedup, Jaccard join, personal data: against plain restatements."""
 
-import brute
 import pytest
-from conftest import prose
 from pyspark.sql import functions as F
 
 from setsim.llm import decontaminate, jaccard_join, pii, substring_dedup
 from setsim.llm.common import table
 
+from . import brute
+from .conftest import prose
+
 SF = "/root/testdata/sf0.001"
 ITEMS = "item_id long, text string"
 
