@@ -11,11 +11,7 @@ sources and for a million:
   copied to the ``B`` source blocks; the two meet in an equi-join on
   ``(source block, target block)``.  B and T follow the row counts.  Spark
   broadcasts the sources where they are small and sorts both sides where not;
-* top-k per source first takes a floor from one slice of the target blocks (the
-  (k+1)-th best score there).  A pair whose sizes bound its score below the
-  floor, ``min(a, b) / max(a, b)`` (Swamidass & Baldi 2007), is not even
-  intersected, and a pair that scores below it is not sorted;
-* the rest is ``row_number() <= k+1`` over ``(score DESC, target)``, planned as
+* top-k per source is ``row_number() <= k+1`` over ``(score DESC, target)``, planned as
   a partial WindowGroupLimit *before* the shuffle (k+1 rows per source and
   task are exchanged); the tie flag is a second window over the same
   partitioning.
@@ -41,8 +37,6 @@ PACKED_PREFIX = "w"
 # hash of the blocks spreads them evenly).
 SOURCE_BLOCK = 4096
 BLOCKS_PER_TASK = 4
-# Target blocks that give the floor: one in so many.
-FLOOR_SLICE = 16
 
 
 def select_source_molecules(fingerprinted: DataFrame, count: int = DEFAULT_SOURCE_COUNT,
@@ -130,16 +124,13 @@ def _copies(n: int):
 
 
 def score_pairs(sources: DataFrame, targets: DataFrame, n_sources: int | None = None, n_targets: int | None = None,
-                n_bits: int = DEFAULT_N_BITS, blocks: Blocks | None = None, floors: DataFrame | None = None,
-                only_slice: int | None = None) -> DataFrame:
+                n_bits: int = DEFAULT_N_BITS, blocks: Blocks | None = None) -> DataFrame:
     """T3 core: ``(source_chembl_id, target_chembl_id, similarity_score)`` for
     every source against every target with a different id (M6).
 
     Inputs are fingerprint tables (``chembl_id, fingerprint_on_bits``), packed
     and written here, or their stored packed form.  The row counts size the
-    blocks (they are counted when not given) and change no result.  With
-    ``floors(source_chembl_id, floor)`` pairs below their source's floor are
-    left out; with ``only_slice`` only that share of the target blocks is scored.
+    blocks (they are counted when not given) and change no result.
     """
     spark = sources.sparkSession
     src, tgt = packed_table(sources, n_bits), packed_table(targets, n_bits)
@@ -147,36 +138,28 @@ def score_pairs(sources: DataFrame, targets: DataFrame, n_sources: int | None =
         n_sources = src.count() if n_sources is None else n_sources
         n_targets = tgt.count() if n_targets is None else n_targets
         blocks = pair_blocks(spark, n_sources, n_targets)
-    kept = blocks.target if only_slice is None else max(1, blocks.target // only_slice)
     src, tgt = _side(src, "source"), _side(tgt, "target")
-    if floors is not None:
-        src = src.join(floors, "source_chembl_id", "left")
-    else:
-        src = src.withColumn("floor", F.lit(None).cast("double"))
-    src = src.withColumn("_b", _block_of("source_chembl_id", blocks.source)).withColumn("_t", _copies(kept))
-    tgt = tgt.withColumn("_t", _block_of("target_chembl_id", blocks.target)).filter(F.col("_t") < kept) \
-        .withColumn("_b", _copies(blocks.source)).repartition(blocks.tasks, "_b", "_t")
+    # Both sides are laid out by block: whichever one a join streams keeps its tasks.
+    src = src.withColumn("_b", _block_of("source_chembl_id", blocks.source)).withColumn("_t", _copies(blocks.target)) \
+        .repartition(blocks.tasks, "_b", "_t")
+    tgt = tgt.withColumn("_t", _block_of("target_chembl_id", blocks.target)).withColumn("_b", _copies(blocks.source)) \
+        .repartition(blocks.tasks, "_b", "_t")
     return _pairs(src, tgt)
 
 
 def _pairs(src: DataFrame, tgt: DataFrame) -> DataFrame:
     prefix = f"target_{PACKED_PREFIX}"
     w = sum(1 for c in tgt.columns if c.startswith(prefix) and c[len(prefix):].isdigit())
-    small, large = F.least("source_n_on", "target_n_on"), F.greatest("source_n_on", "target_n_on")
-    able = F.col("floor").isNull() | (large == 0) | (
-        small.cast("double") / large.cast("double") >= F.col("floor"))
-    joined = tgt.join(src, ["_b", "_t"]).filter((F.col("source_chembl_id") != F.col("target_chembl_id")) & able)
     inter = packed_intersection([F.col(f"source_{PACKED_PREFIX}{j}") for j in range(w)],
                                 [F.col(f"target_{PACKED_PREFIX}{j}") for j in range(w)])
+    joined = tgt.join(src, ["_b", "_t"]).filter(F.col("source_chembl_id") != F.col("target_chembl_id"))
     # The intersection is projected once (its own Project, kept apart by
     # Catalyst because the score reads it twice); inlining it would triple
     # the generated code of the hottest loop.
-    counted = joined.select("source_chembl_id", "target_chembl_id", "source_n_on", "target_n_on", "floor",
-                            inter.alias("inter"))
-    scored = counted.select("source_chembl_id", "target_chembl_id", "floor",
-                            tanimoto_from_sizes(F.col("inter"), F.col("source_n_on"), F.col("target_n_on"))
-                            .alias("similarity_score"))
-    return scored.filter(F.col("floor").isNull() | (F.col("similarity_score") >= F.col("floor"))).drop("floor")
+    counted = joined.select("source_chembl_id", "target_chembl_id", "source_n_on", "target_n_on", inter.alias("inter"))
+    return counted.select("source_chembl_id", "target_chembl_id",
+                          tanimoto_from_sizes(F.col("inter"), F.col("source_n_on"), F.col("target_n_on"))
+                          .alias("similarity_score"))
 
 
 def rank_top_k(scored: DataFrame, k: int = DEFAULT_K, flag: bool = True) -> DataFrame:
@@ -204,22 +187,10 @@ def _by_score() -> Window:
                                                           F.col("target_chembl_id").asc())
 
 
-def score_floors(scored: DataFrame, k: int) -> DataFrame:
-    """``(source_chembl_id, floor)``: the (k+1)-th best score of each source that
-    has so many; no row below it can be among the best k+1 of a larger table."""
-    return (scored.withColumn("_n", F.row_number().over(_by_score())).filter(F.col("_n") <= k + 1)
-            .groupBy("source_chembl_id").agg(F.min("similarity_score").alias("floor"), F.count("*").alias("_n"))
-            .filter(F.col("_n") == k + 1).select("source_chembl_id", "floor"))
-
-
 def compute_top_k(sources: DataFrame, targets: DataFrame, k: int = DEFAULT_K, n_sources: int | None = None,
                   n_targets: int | None = None, n_bits: int = DEFAULT_N_BITS, flag: bool = True) -> DataFrame:
     """T4/T5: the fact rows ``(source, target, score, flag)`` for all sources."""
-    src, tgt = packed_table(sources, n_bits), packed_table(targets, n_bits)
-    blocks = pair_blocks(src.sparkSession, src.count() if n_sources is None else n_sources,
-                         tgt.count() if n_targets is None else n_targets)
-    floors = score_floors(score_pairs(src, tgt, blocks=blocks, only_slice=FLOOR_SLICE), k)
-    ranked = rank_top_k(score_pairs(src, tgt, blocks=blocks, floors=floors), k, flag)
+    ranked = rank_top_k(score_pairs(sources, targets, n_sources, n_targets, n_bits), k, flag)
     return ranked.select("source_chembl_id", "target_chembl_id", "similarity_score",
                          "has_duplicates_of_last_largest_score" if flag else "rank")
 

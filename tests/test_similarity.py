@@ -130,11 +130,17 @@ def test_blocks_change_no_pair(spark, blocks):
 
 
 @pytest.mark.parametrize("n,k", [(200, 10), (60, 1), (9, 10)])
-def test_floors_change_no_row_or_flag(spark, n, k):
-    fps = fps_frame(spark, _many(n, 64))
-    sources = similarity.select_source_molecules(fps, 15)
-    plain = similarity.rank_top_k(similarity.score_pairs(sources, fps), k).drop("rank")
-    assert sorted(map(tuple, similarity.compute_top_k(sources, fps, k).collect())) == sorted(map(tuple, plain.collect()))
+def test_top_k_matches_brute_force(spark, n, k):
+    rows = _many(n, 64)
+    fps = fps_frame(spark, rows)
+    got = similarity.compute_top_k(similarity.select_source_molecules(fps, 15), fps, k).collect()
+    bits = {i: set(b) for i, b in rows}
+    want = set()
+    for s in sorted(bits)[:15]:
+        scores = sorted((-len(bits[s] & bits[t]) / len(bits[s] | bits[t]), t) for t in bits if t != s)
+        tied = len(scores) > k and scores[k][0] == scores[k - 1][0]
+        want |= {(s, t, -x, tied and x == scores[k - 1][0]) for x, t in scores[:k]}
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
 def test_two_hop_matches_brute_force(spark):
