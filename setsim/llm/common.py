@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 from setsim.session import scratch_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep the Arrow batches between Spark and Python at 4 MiB, whatever the
+    length of the texts, unless the session asks for less."""
+    now = spark.conf.get(_BATCH, None)
+    if now is None or not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
 
 
 def write_step(df: DataFrame, name: str) -> DataFrame:
@@ -47,6 +58,7 @@ def drop_step(*steps: DataFrame) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -56,7 +68,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def row_slices(batches: Iterator[pa.RecordBatch], text_col: str,
-               max_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list]]:
+               max_bytes: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Cut Arrow batches into slices of at most ``max_bytes`` of text (one row
     at least), each with its texts as UTF-8 bytes or None."""
     for batch in batches:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from setsim.llm.common import row_slices, write_step
+from setsim.llm.common import row_slices, small_batches, write_step
 
 WINDOW = 10
 MAX_PATTERN_BYTES = 64 << 20
@@ -121,6 +121,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, text_col: str =
     """``docs`` with ``n_words``, ``n_hit``, ``items`` (sorted ids, as text) and
     ``spans`` (hit ranges as words and as code points of the original)."""
     spark = docs.sparkSession
+    small_batches(spark)
     blocks = pattern_blocks(benchmark, item_col, item_text_col, window, max_pattern_bytes)
     out = docs.drop(*_RESULT)
     kept = out.columns

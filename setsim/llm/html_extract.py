@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from setsim.llm.common import row_slices
+from setsim.llm.common import row_slices, small_batches
 from setsim.llm.html_dom import Page, extract, node_features, parse
 
 N_PAGES = 400
@@ -245,6 +245,7 @@ def decode(page: Page, log_odds: np.ndarray) -> np.ndarray:
 def extract_text(pages: DataFrame, trees: Trees | None = None, *, html_col: str = "html") -> DataFrame:
     """``pages`` with ``text`` and ``n_chars`` (its code points)."""
     trees = fit_trees() if trees is None else trees
+    small_batches(pages.sparkSession)
     kept = [c for c in pages.columns if c not in ("text", "n_chars")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from setsim.llm.common import held_out, mix, multipliers, row_slices
+from setsim.llm.common import held_out, mix, multipliers, row_slices, small_batches
 
 BITS = 15
 ORDERS = 3
@@ -198,6 +198,7 @@ def fit_language(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 def identify_language(docs: DataFrame, model: LanguageModel | None, *, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``."""
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     out = docs.select(*kept)
     if model is None:

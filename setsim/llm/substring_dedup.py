@@ -34,10 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from setsim.llm.common import GAPS, WordHasher, drop_step, mix, multipliers, row_slices, signed, write_step
+from setsim.llm.common import GAPS, WordHasher, drop_step, mix, multipliers, row_slices, signed, small_batches, write_step
 
 WINDOW = 13
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 3 << 20
 _FAR = 1 << 40
 
 
@@ -248,6 +248,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """``(id_col, n_words, n_removed, kept)`` for every row; ``kept`` holds the
     words that stay, joined by one space.  Ids are whole numbers."""
     rounds = default_rounds(window) if rounds is None else rounds
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     named = source.filter("id is not null")
     anchored = named.mapInArrow(_anchor_rows(window, rounds),
