@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from setsim.llm.common import FOLD, WordHasher, drop_step, mix, multipliers, row_slices, signed, write_step
+from setsim.llm.common import FOLD, WordHasher, drop_step, mix, multipliers, row_slices, signed, small_batches, write_step
 from setsim.llm.graph import components
 
 SHINGLE = 4
 PERCENT = 85
 BUCKET_BITS = 16
 BLOCK_BYTES = 8 << 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 20
 
 
 def shingle_sets(texts: list[bytes | None], hashes: WordHasher, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -324,6 +324,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                        percent: int = PERCENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``(id_col, n_shingles, component_id)`` for every row of ``docs``."""
     spark = docs.sparkSession
+    small_batches(spark)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
     profile = write_step(source.mapInArrow(_profile("text", "id", width),
@@ -370,10 +371,11 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each linked group stays: the one with the smallest id, and
-    one row of it where rows repeat an id and a text."""
-    found = write_step(jaccard_components(docs), "jaccard-found")
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    twice = found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    once = kept.join(twice, "doc_id", "left_anti").select(docs.columns)
-    return once.unionByName(kept.join(twice, "doc_id").select(docs.columns).dropDuplicates(["doc_id", "text"]))
+    one row of it where rows repeat an id and a text.  An id that several texts
+    share stays if any of them would; rows without an id stay."""
+    found = jaccard_components(docs).filter("doc_id is not null")
+    stays = write_step(found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("_stays")), "jaccard-stays")
+    # The same sort-merge join at every size; its layout serves the window too.
+    joined = docs.withColumn("_version", F.xxhash64("text")).join(stays.hint("merge"), "doc_id", "left").filter("doc_id is null or _stays")
+    again = Window.partitionBy("doc_id", "_version").orderBy(F.xxhash64(*docs.columns))
+    return joined.withColumn("_n", F.row_number().over(again)).filter("doc_id is null or _n = 1").select(docs.columns)
