@@ -1,7 +1,8 @@
 """The corpus pipeline: five stages over ``documents``, each one operator.
 
 1. the quality classifier's rejects go (op 9);
-2. of each group of near duplicates one document stays (op 6);
+2. of each group of near duplicates one document stays (the join of op 6, but on
+   5-word shingles and from a Jaccard of 0.8: op 6's own numbers bind its query only);
 3. documents that hold a benchmark window go (op 1);
 4. sources are mixed to target weights, copies included (op 2);
 5. what is left is put into shards (op 5).
@@ -21,6 +22,8 @@ from setsim.llm import decontaminate, jaccard_join, mixing, quality, sharding
 from setsim.llm.common import table, write_step
 
 ORACLE_SQL = None
+NEAR_SHINGLE = 5
+NEAR_PERCENT = 80
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +31,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.keep_first(docs)
+    return jaccard_join.keep_first(docs, width=NEAR_SHINGLE, percent=NEAR_PERCENT)
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

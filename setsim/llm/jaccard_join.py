@@ -369,11 +369,11 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         F.when(F.col("n") == 0, F.col("id")).when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
+def keep_first(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One document of each linked group stays: the one with the smallest id, and
     one row of it where rows repeat an id and a text.  An id that several texts
     share stays if any of them would; rows without an id stay."""
-    found = jaccard_components(docs).filter("doc_id is not null")
+    found = jaccard_components(docs, width=width, percent=percent).filter("doc_id is not null")
     stays = write_step(found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("_stays")), "jaccard-stays")
     # The same sort-merge join at every size; its layout serves the window too.
     joined = docs.withColumn("_version", F.xxhash64("text")).join(stays.hint("merge"), "doc_id", "left").filter("doc_id is null or _stays")

@@ -23,6 +23,8 @@ from setsim.llm import (
 from setsim.llm.common import table
 from setsim.session import scratch_path
 
+from . import brute
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -293,3 +295,25 @@ def test_pipeline_stages_keep_the_columns(spark, docs):
         assert stage(spark, docs, SF).columns == docs.columns
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.filter("false"), SF).count() == 0
+
+
+def test_near_duplicates_are_judged_at_five_words_and_four_fifths(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    sets = {r["doc_id"]: brute.shingles(r["text"], 5) for r in docs.collect()}
+    group = {i: i for i in sets}
+
+    def find(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    holders = defaultdict(list)
+    for i, s in sets.items():
+        for j, n in Counter(j for g in s for j in holders[g]).items():
+            if 10 * n >= 8 * (len(s) + len(sets[j]) - n):
+                a, b = find(i), find(j)
+                group[max(a, b)] = min(a, b)
+        for g in s:
+            holders[g].append(i)
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.keep_distinct(spark, docs, "").collect())
+    assert kept == sorted({find(i) for i in sets}) and len(kept) < jaccard_join.keep_first(docs).count()
