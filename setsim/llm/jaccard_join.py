@@ -13,14 +13,17 @@ by n/8 n-grams, so that similar sets share n/8 and more of them; a class that
 shares fewer with all others together drops out before any pair is formed.  The
 rows of an n-gram that a task finds shared by itself are salted, so that a hot
 one is no hot group.  Candidate groups travel in bins of bounded bytes; a larger
-group is cut by set size and then into blocks, whose pairs are tasks of their own.  A task returns a spanning forest of the links it verified, never
-all pairs of a group; pairs that are already connected need no check, which
-loses no component.
+group is cut by set size and then into blocks, whose pairs are tasks of their own.
+Every pair that passes the filters is verified, in one task only.  A task returns
+the number of links it verified for each class, in documents, and a spanning
+forest of them for the components; the number of links of a document is the sum
+over the tasks, plus the other documents of its class.
 
 Defined results: null, empty or wordless texts have an empty set and are linked
 with nothing; fewer words than the shingle length make one shingle; a row
 without an id takes part in no link and has a null ``component_id``; repeated
-rows share their class; extra columns are ignored.
+rows share their class and count as one document, while an id counts once in each
+class that its texts are in; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +42,7 @@ SHINGLE = 4
 PERCENT = 85
 BUCKET_BITS = 16
 BLOCK_BYTES = 8 << 20
+ZONES = 16
 SLICE_BYTES = 3 << 20
 
 
@@ -162,7 +166,7 @@ def _prefix_rows(shared, width: int, percent: int):
 
 
 def _class_sets(width: int):
-    """Rows (cls, places, grams): the set of a class as bytes."""
+    """Rows (cls, docs, places, grams): the set of a class as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHasher(FOLD)
         for batch, texts in row_slices(batches, "text", SLICE_BYTES):
@@ -170,7 +174,7 @@ def _class_sets(width: int):
             ends = np.cumsum(sizes)
             cls = batch.column(batch.schema.names.index("cls")).to_numpy()
             same = set_classes(h, sizes) == cls  # an id that repeats with another text
-            names = ("cls", "places")
+            names = ("cls", "docs", "places")
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.names.index(c)).filter(pa.array(same)) for c in names),
                  pa.array([h[e - n:e].tobytes() for e, n, ok in zip(ends, sizes, same, strict=True) if ok], pa.binary())],
@@ -178,13 +182,14 @@ def _class_sets(width: int):
     return run
 
 
-def link_forest(names: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None, later: np.ndarray,
-                freq: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links that connect what all links among ``sets`` connect.  With ``side``
-    only pairs of different sides count; two ``later`` sets meet in another task."""
+def link_counts(names: np.ndarray, sets: list[np.ndarray], docs: np.ndarray, side: np.ndarray | None, later: np.ndarray,
+                freq: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """All links among ``sets``: the names, for each the number of ``docs`` in the
+    sets it is linked with, and links that connect what all of them connect.  With
+    ``side`` only pairs of different sides count; two ``later`` sets meet in another task."""
     n = np.array([len(s) for s in sets], np.int64)
     by_size = np.lexsort((names, n))
-    names, n = names[by_size], n[by_size]
+    names, n, docs = names[by_size], n[by_size], docs[by_size]
     sets = [sets[i] for i in by_size]
     side = side[by_size] if side is not None else None
     later = later[by_size]
@@ -216,8 +221,12 @@ def link_forest(names: np.ndarray, sets: list[np.ndarray], side: np.ndarray | No
             i = parent[i]
         return i
 
+    # Suffix: the n-grams of each set by zone of the order bound every overlap.
+    zones = np.zeros((len(n), ZONES), np.int32)
+    cuts = np.sort(flat)[np.linspace(0, len(flat), ZONES + 1)[1:-1].astype(np.int64)]
+    np.add.at(zones, (owner, np.searchsorted(cuts, flat, side="right")), 1)
     mark = np.zeros(len(universe), bool)
-    forest = []
+    linked, forest = np.zeros(len(n), np.int64), []
     for x in range(len(n)):
         own = mine[bounds[x]:bounds[x + 1]]
         own = own[first[own] < own]
@@ -235,38 +244,41 @@ def link_forest(names: np.ndarray, sets: list[np.ndarray], side: np.ndarray | No
         need = -(-percent * (n[x] + n[y]) // (100 + percent))
         # Positional: shared n-grams stand before both, at both or after both.
         poor = np.minimum(i, j) + 1 + np.minimum(n[x] - i, n[y] - j) - 1 < need
-        cand = np.setdiff1d(y, y[poor])[::-1]
-        if not len(cand):
-            continue
+        cand = np.setdiff1d(y, y[poor])
+        least = -(-percent * (n[x] + n[cand]) // (100 + percent))
+        fit = np.minimum(zones[cand], zones[x]).sum(axis=1) >= least
+        cand, least = cand[fit], least[fit]
         mine_x = flat[starts[x]:ends[x]]
-        cuts = mine_x[np.linspace(0, n[x], 9)[1:-1].astype(np.int64)]
-        zones_x = np.diff(np.searchsorted(mine_x, cuts), prepend=0, append=n[x])
         mark[mine_x] = True
-        for k in range(0, len(cand), 64):
-            for c in cand[k:k + 64].tolist():
-                if root(c) == root(x):
-                    continue
-                set_y = flat[starts[c]:ends[c]]
-                least = -(-percent * (n[x] + n[c]) // (100 + percent))
-                # Suffix: zones between common cut points bound the overlap.
-                zones = np.diff(np.searchsorted(set_y, cuts), prepend=0, append=n[c])
-                if np.minimum(zones, zones_x).sum() >= least and np.count_nonzero(mark[set_y]) >= least:
-                    parent[root(x)] = root(c)
-                    forest.append((int(names[x]), int(names[c])))
+        for k in range(0, len(cand), 1024):
+            c = cand[k:k + 1024]
+            before = np.cumsum(n[c]) - n[c]
+            both = np.add.reduceat(mark[flat[np.repeat(starts[c] - before, n[c]) + np.arange(n[c].sum())]], before, dtype=np.int64)
+            c = c[both >= least[k:k + 1024]]
+            linked[x] += docs[c].sum()
+            linked[c] += docs[x]
+            for y in c.tolist():
+                if root(y) != root(x):
+                    parent[root(x)] = root(y)
+                    forest.append((int(names[x]), int(names[y])))
         mark[mine_x] = False
-    return forest
+    return names, linked, forest
 
 
 def _verify(shared, percent: int):
+    """Rows (a, null, links): the links of class a in documents; rows (a, b, 0): the forest."""
     def run(group: pa.Table) -> pa.Table:
         names, first = np.unique(group.column("cls").to_numpy(), return_index=True)
         grams = group.column("grams").take(pa.array(first)).to_pylist()
-        side, later = (group.column(c).to_numpy()[first] for c in ("side", "later"))
+        docs, side, later = (group.column(c).to_numpy()[first] for c in ("docs", "side", "later"))
         two = group.column("bi")[0].as_py() != group.column("bj")[0].as_py()
-        forest = link_forest(names, [np.frombuffer(g, np.uint64) for g in grams], side if two else None, later,
-                             shared.value, percent)
+        names, linked, forest = link_counts(names, [np.frombuffer(g, np.uint64) for g in grams], docs, side if two else None,
+                                            later, shared.value, percent)
+        some = linked > 0
         a, b = zip(*forest, strict=True) if forest else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        return pa.table({"a": pa.array([*names[some].tolist(), *a], pa.int64()),
+                         "b": pa.array([*([None] * int(some.sum())), *b], pa.int64()),
+                         "links": pa.array([*linked[some].tolist(), *([0] * len(a))], pa.int64())})
     return run
 
 
@@ -310,11 +322,11 @@ def _places(members: DataFrame, percent: int, block_bytes: int) -> DataFrame:
             F.lit(False).alias("later")))).otherwise(F.array(
                 F.struct(F.col("comp").alias("grp"), F.col("band").alias("unit"), F.lit(False).alias("later")),
                 F.struct(F.col("comp").alias("grp"), (F.col("band") - 1).alias("unit"), F.lit(True).alias("later"))))))
-        .select("id", "cls", "n", "at.*"), "jaccard-units")
+        .select("id", "cls", "docs", "n", "at.*"), "jaccard-units")
     heavy = write_step(wide.filter("unit > -2").groupBy("grp", "unit").agg(
         F.ceil(F.sum("n") * 8 / block_bytes).alias("blocks")).filter("blocks > 1"), "jaccard-heavy")
     placed = write_step(
-        wide.join(heavy, ["grp", "unit"], "left").groupBy("id", "cls").agg(F.collect_list(F.struct(
+        wide.join(heavy, ["grp", "unit"], "left").groupBy("id", "cls", "docs").agg(F.collect_list(F.struct(
             "grp", "unit", "later", F.coalesce("blocks", F.lit(1)).alias("blocks"))).alias("places")), "jaccard-places")
     drop_step(weight, wide, heavy)
     return placed
@@ -322,7 +334,8 @@ def _places(members: DataFrame, percent: int, block_bytes: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
                        percent: int = PERCENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``(id_col, n_shingles, component_id)`` for every row of ``docs``."""
+    """``(id_col, n_shingles, n_links, component_id)`` for every row of ``docs``;
+    ``n_links`` counts the other documents that it is linked with."""
     spark = docs.sparkSession
     small_batches(spark)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -340,32 +353,39 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     near = write_step(_near(grams, percent), "jaccard-near")
     groups = components(near)
 
-    classes = rows.filter("id is not null and n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"))
+    classes = write_step(rows.filter("id is not null and n > 0").groupBy("cls", "id").agg(F.first("n").alias("n")).groupBy("cls").agg(
+        F.min("id").alias("id"), F.first("n").alias("n"), F.count("*").alias("docs")), "jaccard-classes")
     members = write_step(classes.join(groups.withColumnRenamed("node", "cls"), "cls"), "jaccard-members")
     drop_step(near, groups)
     placed = _places(members, percent, block_bytes)
     drop_step(members)
     # The same sort-merge join at every size.
-    sets = source.join(placed.hint("merge"), "id").select("cls", "places", "text").mapInArrow(
-        _class_sets(width), "cls bigint, places array<struct<grp:bigint,unit:bigint,later:boolean,blocks:bigint>>, grams binary")
-    tasks = sets.withColumn("at", F.explode("places")).select("cls", "grams", "at.*") \
+    sets = source.join(placed.hint("merge"), "id").select("cls", "docs", "places", "text").mapInArrow(
+        _class_sets(width),
+        "cls bigint, docs bigint, places array<struct<grp:bigint,unit:bigint,later:boolean,blocks:bigint>>, grams binary")
+    tasks = sets.withColumn("at", F.explode("places")).select("cls", "docs", "grams", "at.*") \
         .withColumn("side", F.pmod(F.xxhash64("cls"), F.col("blocks"))) \
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
         .select("grp", "unit", F.least("side", "other").alias("bi"), F.greatest("side", "other").alias("bj"),
-                "side", "later", "cls", "grams")
+                "side", "later", "cls", "docs", "grams")
     links = write_step(tasks.groupBy("grp", "unit", "bi", "bj").applyInArrow(
-        _verify(shared, percent), "a bigint, b bigint"), "jaccard-links")
-    linked = components(links)
-    drop_step(links, placed)
+        _verify(shared, percent), "a bigint, b bigint, links bigint"), "jaccard-links")
+    linked = components(links.filter("b is not null"))
+    counts = links.filter("b is null").groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("links"))
+    degrees = write_step(classes.join(counts, "cls", "left").select(
+        "cls", (F.coalesce("links", F.lit(0)) + F.col("docs") - 1).alias("n_links")), "jaccard-degrees")
+    drop_step(links, placed, classes)
 
     least = rows.filter("id is not null").groupBy("cls").agg(F.min("id").alias("least"))
     rooted = write_step(least.join(linked, F.col("cls") == F.col("node"), "left")
                         .select("cls", "least", F.coalesce("comp", "cls").alias("root")), "jaccard-roots")
     firsts = write_step(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "jaccard-firsts")
-    names = write_step(rooted.join(firsts, "root").select("cls", "component_id"), "jaccard-names")
-    drop_step(linked, rooted, firsts)
+    names = write_step(rooted.join(firsts, "root").join(degrees, "cls", "left")
+                       .select("cls", "component_id", "n_links"), "jaccard-names")
+    drop_step(linked, rooted, firsts, degrees)
     return rows.join(names, "cls", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+        F.coalesce(F.when(F.col("id").isNotNull(), F.col("n_links")), F.lit(0)).alias("n_links"),
         F.when(F.col("n") == 0, F.col("id")).when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from setsim.llm import decontaminate, jaccard_join, pii, substring_dedup
+from setsim.llm import catalog, decontaminate, jaccard_join, pii, substring_dedup
 from setsim.llm.common import table
 
 from . import brute
@@ -141,6 +141,28 @@ def test_jaccard_of_a_large_group_in_many_blocks(spark):
     check_classes(jaccard_join.jaccard_components(df, block_bytes=8000), rows)
 
 
+def check_links(got, docs, percent=85):
+    sets = {doc: brute.shingles(text) for doc, text in docs}
+    want = {a: sum(a != b and 100 * len(s & t) >= percent * len(s | t) for b, t in sets.items()) if s else 0 for a, s in sets.items()}
+    assert {r["doc_id"]: r["n_links"] for r in got.collect()} == want
+    return want
+
+
+def test_jaccard_counts_every_link(spark, edge, edge_rows, docs):
+    check_links(jaccard_join.jaccard_components(edge), [(r[0], r[1]) for r in edge_rows])
+    check_links(catalog.op6_jaccard_links(spark, SF), id_text(docs))
+    base, rows = prose(11, 150, 10_000).split(), []
+    for i in range(60):
+        w = list(base)
+        for k in range(i % 7):
+            w[(i * 31 + k * 17) % 150] = f"x{i}_{k}"
+        rows += [(100 * i + k, " ".join(w[:150 - i % 5])) for k in range(1 + i % 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for block_bytes in (8000, 8 << 20):
+        want = check_links(jaccard_join.jaccard_components(df, block_bytes=block_bytes), rows)
+    assert sum(want.values()) > 10 * len(rows)
+
+
 def test_pii_on_the_documents(docs):
     texts = dict(id_text(docs))
     for r in pii.pii_digest(docs).collect():
