@@ -5,16 +5,19 @@ equal texts stand together.  A small table of keys and sizes is written once;
 each round counts the exact bytes and rows below the probes of every open
 bracket (at most 2**16 probes in all) and narrows the brackets, until each
 splitter is known.  A splitter stands between two texts where that meets the
-tolerance; else, as inside a large group of copies, between two rows.  Rows then
-cross the network once, straight to their place.
+tolerance; else, as inside a large group of copies, between two rows; and inside
+a large group of rows equal in id and text after an exact number of them.  Rows
+then cross the network once, straight to their place; only rows of groups that
+are cut that way are written before, to be numbered: by the task that wrote them,
+then within it, so that no task takes a whole group.
 
 ``parts_of`` cuts a shard into ranges of about ``part_bytes``, the tasks of that
 exchange; slots stay gapless because the histograms count the rows below each
 range.
 
 Defined results: a null text has no bytes and hashes like the empty text; a null
-id hashes like an empty one; rows equal in id and text share a key and stay
-together; an empty table gives an empty result; extra columns pass through
+id hashes like an empty one; rows equal in id and text share a key, and which of
+them a splitter parts is open; an empty table gives an empty result; extra columns pass through
 unless named like a result column, which replaces them.
 """
 
@@ -41,11 +44,13 @@ _RESULT = ("size", "shard", "slot")
 
 @dataclass(frozen=True)
 class Splitter:
-    """Rows with (text_key, id_key) from (text, row) on lie to its right."""
+    """Rows with (text_key, id_key) from (text, row) on lie to its right, without
+    the first ``copies`` of those at (text, row)."""
 
     text: int
     row: int
     rows_below: int
+    copies: int = 0
 
 
 def _hash60(value: Column) -> Column:
@@ -116,8 +121,12 @@ def find_splitters(keys: DataFrame, n_parts: int, total: int, slack: float) -> l
             inside.setdefault(value, []).append(_Bracket(b.target, 0, b.bytes_below, b.rows_below))
     for text, b, value, size, n in _narrow(keys, "_text_key", "_id_key", inside, n_parts):
         before, after = b.target - b.bytes_below * n_parts, (b.bytes_below + size) * n_parts - b.target
-        found.append(Splitter(text, value, b.rows_below) if before <= after else Splitter(text, value + 1, b.rows_below + n))
-    return sorted(found, key=lambda s: (s.text, s.row))
+        copies = 0 if before <= after else n
+        if min(before, after) > slack * n_parts:
+            copies = min(n, (2 * before * n + size * n_parts) // (2 * size * n_parts))  # the nearest row
+        found.append(Splitter(text, value, b.rows_below + copies, copies) if copies < n
+                     else Splitter(text, value + 1, b.rows_below + n))
+    return sorted(found, key=lambda s: (s.text, s.row, s.copies))
 
 
 def _lookup(spark, splitters: list[Splitter]) -> tuple[DataFrame, int]:
@@ -128,15 +137,26 @@ def _lookup(spark, splitters: list[Splitter]) -> tuple[DataFrame, int]:
     rows, base = [], 0
     by_spot: dict[int, list] = {}
     for s in splitters:
-        by_spot.setdefault(s.text >> shift, []).append({"text": s.text, "row": s.row})
+        by_spot.setdefault(s.text >> shift, []).append({"text": s.text, "row": s.row, "copies": s.copies})
     for spot in range(1 << bits):
         near = by_spot.get(spot, [])
         rows.append({"_spot": spot, "_base": base, "_near": near})
         base += len(near)
-    schema = "array<struct<_spot:bigint,_base:int,_near:array<struct<text:bigint,row:bigint>>>>"
+    schema = "array<struct<_spot:bigint,_base:int,_near:array<struct<text:bigint,row:bigint,copies:bigint>>>>"
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), schema))), shift
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_copy``: their place among the rows of their key, from 0."""
+    # Written once, so that counts and numbers see the same rows in the same tasks.
+    rows = write_step(rows.withColumns({"_task": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "shard-copies")
+    key = ["_text_key", "_id_key"]
+    counts = rows.groupBy(*key, "_task").count()  # one row for each key and task
+    first = counts.withColumn("_first", F.sum("count").over(Window.partitionBy(*key).orderBy("_task")) - F.col("count"))
+    own = Window.partitionBy(*key, "_task").orderBy("_at")
+    return rows.join(first.drop("count"), [*key, "_task"]).withColumn("_copy", F.col("_first") + F.row_number().over(own) - 1)
+
+
 def shard(docs: DataFrame, n_shards: int = N_SHARDS, *, id_col: str = "doc_id", text_col: str = "text",
           tolerance: float = TOLERANCE, part_bytes: int = PART_BYTES) -> DataFrame:
     """``docs`` with ``size``, ``shard`` and ``slot``; a task holds one range of
@@ -149,13 +169,21 @@ def shard(docs: DataFrame, n_shards: int = N_SHARDS, *, id_col: str = "doc_id",
     splitters = find_splitters(keys, n_parts, total, tolerance * total / n_shards) if total else []
     lookup, shift = _lookup(spark, splitters)
     part = F.col("_base") + F.size(F.filter("_near", lambda s: (s["text"] < F.col("_text_key")) | (
-        (s["text"] == F.col("_text_key")) & (s["row"] <= F.col("_id_key")))))
+        (s["text"] == F.col("_text_key")) & ((s["row"] < F.col("_id_key")) | (
+            (s["row"] == F.col("_id_key")) & (s["copies"] <= F.col("_copy")))))))
     below = [0, *(s.rows_below for s in splitters), *([0] * (n_parts - 1 - len(splitters)))]
     offset = F.from_json(F.lit(json.dumps([b - below[k - k % parts_of] for k, b in enumerate(below)])), "array<bigint>")
     columns = [c for c in docs.columns if c not in _RESULT]
     placed = keyed(docs, id_col, text_col).withColumn("_spot", F.shiftright("_text_key", shift)) \
-        .join(F.broadcast(lookup), "_spot").withColumn("_part", part)  # at most 4 rows a splitter
-    order = Window.partitionBy("_part").orderBy("_text_key", "_id_key")
+        .join(F.broadcast(lookup), "_spot")  # at most 4 rows a splitter
+    if any(s.copies for s in splitters):
+        cut = F.exists("_near", lambda s: (s["copies"] > 0) & (s["text"] == F.col("_text_key")) & (s["row"] == F.col("_id_key")))
+        whole = placed.filter(~cut).withColumn("_copy", F.lit(0).cast("long"))
+        placed = whole.unionByName(_numbered(placed.filter(cut)).select(whole.columns))
+    else:
+        placed = placed.withColumn("_copy", F.lit(0).cast("long"))
+    placed = placed.withColumn("_part", part)
+    order = Window.partitionBy("_part").orderBy("_text_key", "_id_key", "_copy")
     return placed.withColumn("slot", F.row_number().over(order) - 1).select(
         *columns, "size", F.floor(F.col("_part") / parts_of).cast("int").alias("shard"),
         (F.get(offset, F.col("_part")) + F.col("slot")).cast("long").alias("slot"))

@@ -166,6 +166,15 @@ def test_sharding_splits_a_hot_group_only(spark):
     assert all(of[i] == of[i + 1] for i in range(0, 2000, 2))
 
 
+def test_sharding_splits_a_group_of_equal_rows(spark):
+    rows = [(i, f"other {i}") for i in range(600)] + [(None, "same text")] * 300 + [(7, "mixed copies of one document")] * 100
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for part_bytes in (1 << 30, 500):
+        shards = check_shards(df, 10, part_bytes)
+        sizes = [sum(r["size"] for r in m) for m in shards.values()]
+        assert len(sizes) == 10 and max(sizes) < 1.05 * sum(sizes) / 10
+
+
 # -- extraction -----------------------------------------------------------------
 
 @pytest.fixture(scope="module")
