@@ -18,7 +18,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements whose content is no markup.
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
 #: Elements that never hold visible article text.
-SILENT = frozenset("script style title textarea iframe noembed noframes template noscript head svg math select option "
+SILENT = frozenset("script style title textarea iframe noembed noframes template head select option "
                    "button object audio video canvas".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table "
@@ -26,6 +26,8 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 #: A start tag ends an open element of these names, up to a boundary.
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"),
          "option": ("option",), "thead": ("tbody",), "tbody": ("thead", "tbody"), "body": ("head",)}
+#: What leaves an open head open.
+_HEAD = frozenset("title meta link style script base basefont bgsound template noscript noframes".split())
 #: What an end tag does not close across, unless it is one of these itself.
 _CELLS = frozenset(("td", "th", "table"))
 _STRUCTURE = frozenset(("table", "tbody", "thead", "tr", "td", "th", "body", "html"))
@@ -89,6 +91,8 @@ def parse(html: str) -> Page:
     silent = 0  # open elements whose text is not shown
 
     def say(raw: str) -> None:
+        if raw and not raw.isspace() and page.tag[stack[-1]] == "head":
+            pop()
         if silent or not raw:
             return
         if not raw.isspace():
@@ -127,6 +131,8 @@ def parse(html: str) -> Page:
             continue
         if tag == "html":
             continue
+        if page.tag[stack[-1]] == "head" and tag not in _HEAD:
+            pop()
         if tag in BLOCK:
             close(("p",), _SCOPE)
         if tag in _ENDS:

@@ -232,6 +232,23 @@ def test_extraction_edges(spark, trees):
     assert html_extract.extract_text(df.filter("false"), trees).count() == 0
 
 
+def test_no_hard_rule_drops_article_text(trees):
+    def whole(html):
+        page = html_dom.parse(html)
+        return html_dom.extract(page, np.ones(len(page.tag), bool))
+
+    head = "<html><head><title>no</title><meta charset=utf-8><script>no</script><style>no</style>"
+    assert whole(head + "<article><p>One.<p>Two.</article>") == "One.\nTwo."
+    assert whole(head + "<noscript><style>no</style><img src=x>no</noscript><link href=x><h1>T</h1>") == "T"
+    assert whole(head + "\n Words at once <p>One.") == "Words at once\nOne."
+    assert whole(head + "</head><body><p>One.") == whole(head + "<body><p>One.") == "One."
+    assert whole("<p>If <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then</p>") == "If x=2 then"
+    assert whole("<p>a <svg><title>no</title><text>b</text></svg> <noscript>c</noscript></p>") == "a b c"
+    page = html_extract._Writer(5).page()
+    bare = page.replace("</head>", "").replace("<body>", "")
+    assert extract(trees, page) and (bare == page or extract(trees, bare) == extract(trees, page))
+
+
 # -- classifiers ------------------------------------------------------------------
 
 def test_quality_on_held_out_rows(spark):
