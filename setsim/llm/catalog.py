@@ -14,9 +14,12 @@ from setsim.llm import (
     mixing,
     pii,
     quality,
+    ranked_search,
     sharding,
     substring_dedup,
+    token_align,
     topk_search,
+    toxicity,
 )
 from setsim.llm.common import table
 
@@ -66,5 +69,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}

@@ -130,6 +130,31 @@ FROM documents LEFT JOIN listed USING (doc_id)
 """
 
 
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP12 = f"""
+WITH d AS (
+  SELECT *, len(w) AS n FROM (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS w FROM documents) WHERE len(w) > 0),
+total AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM d),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest({_TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL))
+  GROUP BY ALL),
+postings AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM postings, total GROUP BY term, nn),
+scored AS (
+  SELECT item_id, r, doc_id,
+         sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * nn) // ll))))::BIGINT AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term), total GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 AND doc_id IS NOT NULL QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_decontamination": OP1, "op2_mixing": OP2, "op3_topk_search": OP3, "op4_substring_dedup": OP4,
-            "op6_jaccard_join": OP6, "op7_pii": OP7}
+            "op6_jaccard_join": OP6, "op7_pii": OP7,
+            "op12_ranked_search": OP12}
