@@ -34,10 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setsim.llm.common import drop_step, row_slices, small_batches, write_step
+from setsim.session import tasks_for
 
 EXAMPLES = {0: 6000, 1: 3000}
 MAX_TERMS = 1024
@@ -45,10 +46,12 @@ LEAST_Z = 4.0
 PREFIXES = (4, 5, 6)
 NEIGHBOURS = 15
 BLOCK = 64
+FIRST_BLOCKS = 4
 SOFT = 0.1
 _WORDS = re.compile(r"[^\W\d_]+")
 _CHUNK = 1 << 18
 _KNOWN_WORDS = 1 << 18
+ROWS_PER_TASK = 20_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -108,17 +111,31 @@ def _vectors(vocabulary):
     return run
 
 
+def _frequencies(n_terms: int):
+    """(t, n): the rows of a task that hold each term."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(n_terms, np.int64)
+        for batch in batches:
+            held += np.bincount(batch.column(batch.schema.names.index("terms")).flatten().to_numpy(), minlength=n_terms)
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(held[some])], ["t", "n"])
+    return run
+
+
 class Index:
     """Block-max inverted index over unit vectors, and exact nearest examples."""
 
     def __init__(self, ids, labels, rows, terms, weights, n_terms):
         """``rows`` (ascending), ``terms``, ``weights``: the vectors' entries."""
         n = len(ids)
-        # Examples with the same heaviest term side by side, so that blocks differ.
-        lead = np.zeros(n, np.int64)
-        heavy = np.lexsort((weights, rows))
-        lead[rows[heavy]] = terms[heavy]  # the last, heaviest entry of a row stays
-        order = np.lexsort((ids, lead))
+        # Examples with the same heaviest terms side by side, so that blocks differ.
+        heavy = np.lexsort((terms, -weights, rows))
+        first = np.searchsorted(rows, np.arange(n))
+        lead = np.full((3, n), -1, np.int64)
+        for j in range(3):
+            some = np.flatnonzero(np.bincount(rows, minlength=n) > j)
+            lead[j, some] = terms[heavy[first[some] + j]]
+        order = np.lexsort((ids, lead[2], lead[1], lead[0]))
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
         self.ids, self.labels = ids[order], labels[order]
@@ -134,38 +151,43 @@ class Index:
 
     def _open(self, terms, weights, blocks) -> tuple[np.ndarray, np.ndarray]:
         """Slots of the blocks that share a term, with their cosines."""
+        blocks = np.sort(blocks)
         key = (terms[:, None] * self.n_blocks + blocks).ravel()
         first, size = self.first[key], self.first[key + 1] - self.first[key]
         stop = np.cumsum(size)
         at = np.repeat(first - (stop - size), size) + np.arange(stop[-1])
         slot = self.slot[at]
-        spot = np.searchsorted(np.sort(blocks), slot // BLOCK) * BLOCK + slot % BLOCK
+        spot = np.repeat(np.tile(np.arange(len(blocks)), len(terms)), size) * BLOCK + slot % BLOCK
         score = np.bincount(spot, self.weight[at] * np.repeat(np.repeat(weights, len(blocks)), size), len(blocks) * BLOCK)
         hit = np.flatnonzero(score)
-        return np.sort(blocks)[hit // BLOCK] * BLOCK + hit % BLOCK, score[hit]
+        return blocks[hit // BLOCK] * BLOCK + hit % BLOCK, score[hit]
 
     def nearest(self, terms, weights, k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Slots and cosines of the k nearest examples that share a term; ``without``: an id left out."""
-        bound = weights @ self.maxima[terms]
+        bound = np.einsum("i,ij->j", weights, self.maxima[terms])
         order = np.argsort(-bound, kind="stable")
         order = order[:int(np.count_nonzero(bound > 0))]
-        slots, scores, bar, done, step = [], [], 0.0, 0, 2
+        slots, scores, bar, done = [], [], 0.0, 0
+        # A few best blocks give a bar; those that can still reach it follow in one go.
         while done < len(order) and bound[order[done]] >= bar - 1e-9:
-            blocks = order[done:done + step]
+            blocks = order[done:done + FIRST_BLOCKS] if not done else order[done:]
             blocks = blocks[bound[blocks] >= bar - 1e-9]
-            done, step = done + len(blocks), 2 * step
+            done += len(blocks)
             slot, score = self._open(terms, weights, blocks)
             if without is not None:
                 other = self.ids[slot] != without
                 slot, score = slot[other], score[other]
-            slots.append(slot)
-            scores.append(score)
+            near = score >= bar - 1e-9
+            slots.append(slot[near])
+            scores.append(score[near])
             held = np.concatenate(scores)
             if len(held) >= k:
                 bar = float(np.partition(held, len(held) - k)[len(held) - k])
         if not slots:
             return np.zeros(0, np.int64), np.zeros(0)
         slot, score = np.concatenate(slots), np.concatenate(scores)
+        near = score >= bar - 1e-9
+        slot, score = slot[near], score[near]
         best = np.lexsort((self.ids[slot], -np.round(score, 9)))[:k]
         return slot[best], score[best]
 
@@ -205,6 +227,7 @@ class Model:
     def __init__(self, index: Index | None, idf: np.ndarray, scale: np.ndarray, alone: float, k: int):
         self.index, self.idf, self.scale, self.alone, self.k = index, idf, scale, alone, k
         self.curve: np.ndarray | None = None
+        self.n_rows = 1
 
     def votes(self, terms, tfs, without: int | None = None):
         """Slots, cosines and vote features; None without neighbours."""
@@ -283,11 +306,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     totals = {r[0]: r[1] for r in chosen.groupBy("label").count().collect()}
     total = np.array([totals.get(0, 0), totals.get(1, 0)], np.float64)
     prior = float(total[1] / total.sum()) if total.sum() else 0.0
-    order = Window.partitionBy("label").orderBy("spread", "doc")
-    most = F.when(F.col("label") == 1, bound[1]).otherwise(bound[0])
-    picked = write_step(chosen.withColumn("spread", F.xxhash64(F.lit("examples"), "doc"))
-                        .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= most)
-                        .select("doc", "version", "label"), "toxic-examples")
+    first = [chosen.filter(F.col("label") == x).orderBy(F.xxhash64(F.lit("examples"), "doc"), "doc").limit(bound[x]) for x in (0, 1)]
+    picked = write_step(first[0].union(first[1]), "toxic-examples")
     n = np.minimum(total, [bound[0], bound[1]])
     names = []
     if n.min() > 0:
@@ -298,7 +318,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     vectors = write_step(source.mapInArrow(
         _vectors(vocabulary), "doc long, version long, held_out boolean, terms array<int>, tfs array<long>"), "toxic-vectors")
     model = _fit(vectors, picked, names, n, total, prior, k)
-    scored = vectors.mapInArrow(_scored(spark.sparkContext.broadcast(model)),
+    # The vectors are few bytes and much work: spread by rows, not by size.
+    tasks = tasks_for(spark, model.n_rows, ROWS_PER_TASK)
+    scored = vectors.repartition(tasks, F.xxhash64("doc", "version")).mapInArrow(_scored(spark.sparkContext.broadcast(model)),
                                 "doc long, held_out boolean, score double, near_ids array<long>, near_labels array<int>, "
                                 "near_cosines array<double>")
     drop_step(chosen, picked)
@@ -310,9 +332,10 @@ def _fit(vectors: DataFrame, picked: DataFrame, names: list[str], n: np.ndarray,
     if not names:
         return Model(None, np.zeros(0), np.ones(2), prior, k)
     df = np.zeros(len(names))
-    for t, c in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():
+    for t, c in vectors.mapInArrow(_frequencies(len(names)), "t int, n long").groupBy("t").agg(F.sum("n")).collect():
         df[t] = c
-    idf = np.log((1.0 + vectors.count()) / (1.0 + df)) + 1.0
+    n_rows = vectors.count()
+    idf = np.log((1.0 + n_rows) / (1.0 + df)) + 1.0
     # At most the examples' bound times the vocabulary's.
     held = vectors.join(picked, ["doc", "version"]).select("doc", "label", "terms", "tfs").dropDuplicates(["doc"]).orderBy("doc").toArrow()
     ids, labels = held.column("doc").to_numpy(), held.column("label").to_numpy().astype(np.int64)
@@ -332,6 +355,7 @@ def _fit(vectors: DataFrame, picked: DataFrame, names: list[str], n: np.ndarray,
     renamed = np.cumsum(~bare) - 1
     index = Index(ids[keep], labels[keep], renamed[np.repeat(np.arange(len(ids)), size)], terms, weights, len(names))
     model = Model(index, idf, scale, alone, k)
+    model.n_rows = n_rows
     x, y, weight = [], [], []
     for i in keep.tolist():
         at = slice(stop[i], stop[i + 1])
