@@ -69,6 +69,14 @@ RAW_SQL = {
         "UNION ALL SELECT molregno, 'A' || chembl_id, pref_name, molecule_type, max_phase, therapeutic_flag, withdrawn_flag "
         "FROM {raw_molecule_dictionary} WHERE molregno % 7 = 0"
     ),
+    # Records of a CSV with more columns than are asked for, in another order: quotes,
+    # commas and line breaks inside values, and notes that break a record when unquoted.
+    "csv_records": (
+        "SELECT CASE WHEN p_partkey % 97 = 5 THEN p_name || ',' || p_type ELSE p_name || ', \"' || p_brand || '\"' END AS note, "
+        "CASE WHEN p_partkey % 5 = 0 THEN p_name || chr(10) || p_brand WHEN p_partkey % 5 = 1 THEN '  ' || p_name || ' ' "
+        "ELSE p_name || chr(92) || p_type END AS canonical_smiles, p_partkey AS molregno, 'P' || p_partkey AS chembl_id, "
+        "p_partkey % 97 = 5 AS broken FROM {part}"
+    ),
     # Named pairs for the pairwise comparison: each part with its successor key.
     "compare_pairs": "SELECT 'P' || p_partkey AS id_a, 'P' || (p_partkey + 1) AS id_b FROM {part}",
 }
@@ -82,6 +90,7 @@ RAW_INPUTS = {
     "graph_nodes": ("lineitem",),
     "graph_edges": ("graph_nodes",),
     "compare_pairs": ("part",),
+    "csv_records": ("part",),
     "raw_dictionary_with_faults": ("raw_molecule_dictionary",),
 }
 

@@ -156,6 +156,27 @@ def q_csv_roundtrip(spark, d):
     return readers.load_molecules_csv(spark, path)
 
 
+def _csv_by_name(spark, d) -> readers.CsvRows:
+    """A folder of CSV files with other columns and another order than asked for,
+    and records whose unquoted commas break them."""
+    rows = fixtures.binding(spark, d, "csv_records")
+    path = scratch_path(spark, "csv_by_name")
+    names = [c for c in rows.columns if c != "broken"]
+    writers.save_csv(rows.filter("not broken").select(*names), path)
+    # Written as one column, a record is not quoted.
+    record = F.translate(F.concat_ws(",", *names), "\n", " ").alias(",".join(names))
+    rows.filter("broken").select(record).write.mode("append").options(**writers.CSV_OPTIONS).option("sep", ";").csv(path)
+    return readers.read_csv_by_name(spark, path, readers.SAMPLE_COLUMNS)
+
+
+def q_csv_by_name(spark, d):
+    return _csv_by_name(spark, d).good
+
+
+def q_csv_quarantine(spark, d):
+    return _csv_by_name(spark, d).broken
+
+
 def q_preview_tables(spark, d):
     ws = _ws(spark, d)
     ingested = {t: readers.scan_extract(ws.release, t) for t in readers.EXTRACT_COLUMNS}
@@ -195,6 +216,16 @@ def q_load_drop_dictionary(spark, d):
     return conform.load_table(raw, schemas.MOLECULE_DICTIONARY, path, on_violation="drop")[0]
 
 
+def q_load_audit(spark, d):
+    """What the loads counted while they wrote: the faulty dictionary with its
+    repeated keys dropped, and the structures."""
+    release = {"molecule_dictionary": fixtures.binding(spark, d, "raw_dictionary_with_faults"),
+               "compound_structures": _ws(spark, d).release["compound_structures"]}
+    return conform.audit_report(spark, {
+        n: conform.load_audited(raw, schemas.BRONZE[n], scratch_path(spark, f"audit-{n}"), on_violation="drop")
+        for n, raw in release.items()})
+
+
 def q_fact_similarity(spark, d):
     return _ws(spark, d).fact()
 
@@ -384,6 +415,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "structures_page": q_structures_page,
         "structures_after": q_structures_after,
         "csv_roundtrip": q_csv_roundtrip,
+        "csv_by_name": q_csv_by_name,
+        "csv_quarantine": q_csv_quarantine,
         "preview_tables": q_preview_tables,
         "parquet_roundtrip": q_parquet_roundtrip,
         "ingest_counts": q_ingest_counts,
@@ -393,6 +426,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_structures": q_bronze("compound_structures"),
         "bronze_counts": q_bronze_counts,
         "load_drop_dictionary": q_load_drop_dictionary,
+        "load_audit": q_load_audit,
         "dim_molecule": q_dim_molecule,
         "fact_similarity": q_fact_similarity,
         "fingerprints_export": q_fingerprints_export,

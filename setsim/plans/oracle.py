@@ -115,7 +115,7 @@ CTE.update({
 })
 
 _DEPS: dict[str, tuple[str, ...]] = {
-    "graph_nodes": (), "graph_edges": ("graph_nodes",), "compare_pairs": (),
+    "graph_nodes": (), "graph_edges": ("graph_nodes",), "compare_pairs": (), "csv_records": (),
     "raw_chembl_id_lookup": (), "raw_molecule_dictionary": (), "raw_compound_properties": (),
     "raw_compound_structures": (), "raw_dictionary_with_faults": ("raw_molecule_dictionary",),
     "chembl_id_lookup": ("raw_chembl_id_lookup",),
@@ -299,6 +299,10 @@ def oracle_sql() -> dict[str, str]:
         "structures_after": with_ctes("SELECT chembl_id, canonical_smiles FROM structures WHERE chembl_id > 'P1500' "
                                       "ORDER BY chembl_id LIMIT 300", "structures"),
         "csv_roundtrip": with_ctes("FROM sample", "sample"),
+        "csv_by_name": with_ctes("SELECT chembl_id, canonical_smiles FROM csv_records WHERE NOT broken", "csv_records"),
+        "csv_quarantine": with_ctes(
+            "SELECT concat_ws(',', note, replace(canonical_smiles, chr(10), ' '), molregno, chembl_id) AS record "
+            "FROM csv_records WHERE broken", "csv_records"),
         "preview_tables": _preview_sql(),
         # sinks / loads
         "parquet_roundtrip": with_ctes(f"SELECT {_COLS['molecule_dictionary']} FROM molecule_dictionary",
@@ -324,6 +328,19 @@ def oracle_sql() -> dict[str, str]:
             "min(CASE WHEN isfinite(max_phase) THEN max_phase END) AS max_phase, "
             "min(therapeutic_flag)::SMALLINT AS therapeutic_flag, min(withdrawn_flag)::SMALLINT AS withdrawn_flag "
             "FROM raw_dictionary_with_faults WHERE chembl_id <> '' GROUP BY molregno)", "raw_dictionary_with_faults"),
+        "load_audit": with_ctes(
+            "SELECT 'molecule_dictionary' AS table_name, c AS check_name, k AS column_name, "
+            "CASE c WHEN 'duplicate_keys' THEN repeated ELSE 0 END::BIGINT AS violations "
+            "FROM (SELECT count(*) AS repeated FROM (SELECT molregno FROM raw_dictionary_with_faults WHERE chembl_id <> '' "
+            "GROUP BY molregno HAVING count(*) > 1)), (VALUES ('not_null', 'molregno'), ('not_null', 'chembl_id'), "
+            "('length', 'chembl_id'), ('length', 'pref_name'), ('length', 'molecule_type'), ('duplicate_keys', NULL), "
+            "('null_key_rows', NULL)) AS checks(c, k) UNION ALL "
+            "SELECT 'compound_structures', c, k, CASE c WHEN 'not_null' THEN no_key WHEN 'length' THEN long_key "
+            "WHEN 'duplicate_keys' THEN n - n_keys ELSE no_key END::BIGINT "
+            "FROM (SELECT count(*) AS n, count(DISTINCT molregno) AS n_keys, count(*) - count(molregno) AS no_key, "
+            "count(*) FILTER (length(standard_inchi_key) > 27) AS long_key FROM compound_structures), "
+            "(VALUES ('not_null', 'molregno'), ('length', 'standard_inchi_key'), ('duplicate_keys', NULL), "
+            "('null_key_rows', NULL)) AS checks(c, k)", "raw_dictionary_with_faults", "compound_structures"),
         "dim_molecule": with_ctes("SELECT * FROM dim", "dim"),
         "fact_similarity": with_ctes(_FACT_FULL, "fact"),
         "fingerprints_export": with_ctes(f"SELECT chembl_id, {fp_text} AS fingerprint_on_bits FROM fp", "fp"),

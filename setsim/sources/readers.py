@@ -9,6 +9,8 @@ table key, so "the first n rows" is deterministic.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -137,17 +139,50 @@ def read_release_jdbc(spark: SparkSession, url: str, properties: dict, key_bound
     return out
 
 
-SAMPLE_CSV_SCHEMA = T.StructType([
-    T.StructField("chembl_id", T.StringType()),
-    T.StructField("canonical_smiles", T.StringType()),
-])
+SAMPLE_COLUMNS = ["chembl_id", "canonical_smiles"]
+
+
+@dataclass(frozen=True)
+class CsvRows:
+    """``good``: the named columns of the whole records; ``broken``: the text of
+    the records whose number of fields is not the header's, or whose quotes do not close."""
+
+    good: DataFrame
+    broken: DataFrame
+
+
+def read_csv_by_name(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True) -> CsvRows:
+    """The named columns of a CSV with a header, wherever they stand in it.
+
+    Quotes are doubled inside quoted values (RFC 4180); a quoted value may span
+    lines.  Values are text, unquoted empty ones NULL, white space kept.  A column
+    that the header lacks is an error, and so is a folder whose files differ in
+    their headers: values never end up under another name.  With ``multi_line`` a
+    file is read by one task; without it Spark splits files, and a line break
+    inside quotes breaks the record.
+    """
+    options = {"header": True, "multiLine": multi_line, "escape": '"', "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False}
+    header = spark.read.options(**options).csv(path).columns
+    if missing := [c for c in columns if c not in header]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(header)}")
+    record = "_record"
+    while record in header:
+        record += "_"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, record]])
+    # Without column pruning every field of a record is counted.
+    rows = spark.read.options(**options, enforceSchema=False, columnPruning=False, mode="PERMISSIVE",
+                              columnNameOfCorruptRecord=record).schema(schema).csv(path)
+    # Spark reads no record text without one of the columns: a test that is always true names one.
+    rows = rows.filter(F.coalesce(F.length(header[0]), F.lit(0)) >= 0)
+    found = F.col(record).isNotNull()
+    return CsvRows(rows.filter(~found).select(*columns), rows.filter(found).select(F.col(record).alias("record")))
 
 
 def load_molecules_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header and the two named columns."""
-    return (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False).schema(SAMPLE_CSV_SCHEMA).csv(path)
-            .select("chembl_id", "canonical_smiles"))
+    """The two sample columns, by name; broken records are left out
+    (``read_csv_by_name`` gives them)."""
+    return read_csv_by_name(spark, path, SAMPLE_COLUMNS).good
 
 
 def preview_tables(release: dict[str, DataFrame], n: int = 5) -> DataFrame:
@@ -169,6 +204,6 @@ def preview_tables(release: dict[str, DataFrame], n: int = 5) -> DataFrame:
 
 __all__ = [
     "EXTRACT_COLUMNS", "ORDER_KEY", "fetch_structures", "fetch_structures_page",
-    "load_molecules_csv", "preview_tables", "pull_sample",
+    "CsvRows", "load_molecules_csv", "preview_tables", "pull_sample", "read_csv_by_name",
     "read_parquet_columns", "read_release", "read_release_jdbc", "scan_extract", "structures_with_ids", "schemas",
 ]

@@ -42,7 +42,8 @@ def save_to_parquet(df: DataFrame, output_dir: str, filename: str) -> str:
     return path
 
 
-CSV_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# Quotes are doubled, not escaped: a structure may hold backslashes.
+CSV_OPTIONS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def save_csv(df: DataFrame, path: str) -> str:
