@@ -283,3 +283,56 @@ def test_a_cluster_needs_a_shared_checkpoint_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="checkpoint"):
         session.checkpoint_dir(Session())
+
+
+def test_audit_counts_what_a_load_writes(spark):
+    rows = [(1.0, "B", "n", "t", 1.0, 0.0, 0.0), (1.0, "A", "n", "t", 1.0, 0.0, 0.0), (2.0, "C" * 21, "n", "t", 1.0, 0.0, 0.0),
+            (None, "D", "n", "t", 1.0, 0.0, 0.0), (3.0, None, "n", "t", 1.0, 0.0, 0.0), (None, "E", "n", "t", 1.0, 0.0, 0.0)]
+    raw = _dictionary(spark, rows)
+    load = lambda mode: conform.load_audited(raw, schemas.MOLECULE_DICTIONARY, scratch_path(spark, "t_audit"), mode)
+    kept = load("report")
+    assert kept.rows == 6 and kept.buckets is None
+    assert {k: v for k, v in kept.audit.items() if v} == {"rows": 6, "null:molregno": 2, "null:chembl_id": 1, "long:chembl_id": 1,
+                                                          "duplicate_keys": 1, "null_key_rows": 2}
+    dropped = load("drop")
+    assert dropped.rows == 1 and {k: v for k, v in dropped.audit.items() if v} == {"rows": 1, "duplicate_keys": 1}
+    assert [tuple(r)[:2] for r in dropped.table.collect()] == [(1, "A")]
+    report = conform.audit_report(spark, {"molecule_dictionary": kept})
+    assert {(r.check_name, r.column_name, r.violations) for r in report.filter("violations > 0").collect()} == {
+        ("not_null", "molregno", 2), ("not_null", "chembl_id", 1), ("length", "chembl_id", 1), ("duplicate_keys", None, 1),
+        ("null_key_rows", None, 2)}
+
+
+def test_a_repeated_key_is_found_wherever_its_rows_are(spark):
+    raw = _dictionary(spark, [(float(i % 500), f"C{i}", "n", "t", 1.0, 0.0, 0.0) for i in range(501)]).repartition(7)
+    with pytest.raises(ValueError, match="1 keys repeat"):
+        conform.load_table(raw, schemas.MOLECULE_DICTIONARY, scratch_path(spark, "t_repeat"), buckets=3)
+
+
+def test_refresh_takes_up_an_unfinished_run(spark, monkeypatch):
+    from setsim.operators import similarity
+    from setsim.plans import refresh
+    release, base = _small_release(spark, [f"M{i}" for i in range(9)]), scratch_path(spark, "t_resume")
+    pack = similarity.pack_fingerprints
+
+    def killed(*args):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(similarity, "pack_fingerprints", killed)
+    with pytest.raises(KeyboardInterrupt):
+        refresh.full_refresh(spark, release, base, count=3, k=2)
+    monkeypatch.setattr(similarity, "pack_fingerprints", pack)
+    started = refresh._read_text(spark, f"{base}/{refresh.STARTED}").split("\n")[0]
+    with pytest.raises(FileNotFoundError):
+        refresh.current_refresh(spark, base)
+    # Other parameters, or no wish to resume: a run of its own.
+    other = refresh.full_refresh(spark, release, scratch_path(spark, "t_resume"), count=3, k=2, resume=True)
+    assert other.resumed == []
+    done = refresh.full_refresh(spark, release, base, count=3, k=2, resume=True)
+    assert done.out_dir.endswith(started) and done.resumed == ["ingest", "load_bronze", "dim_molecule", "fingerprints"]
+    assert set(done.seconds) == {"pack", "full_similarity", "top_k_fact", "views"}
+    assert done.counts == other.counts and refresh.current_refresh(spark, base) == done.out_dir
+    for name, table in done.tables.items():
+        assert sorted(map(str, table.collect())) == sorted(map(str, other.tables[name].collect())), name
+    # A finished run is not taken up again.
+    assert refresh.full_refresh(spark, release, base, count=3, k=2, resume=True).resumed == []

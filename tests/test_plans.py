@@ -5,9 +5,11 @@ import io
 import re
 
 from conftest import SF_SMOKE
-from setsim.operators import fingerprint, mart, quality, similarity
+from setsim import schemas
+from setsim.operators import conform, fingerprint, mart, quality, similarity
 from setsim.plans import catalog
 from setsim.session import tasks_for
+from setsim.sources import readers
 
 
 def _explain(df):
@@ -69,3 +71,20 @@ def test_scan_prunes_columns(spark):
     text = _explain(catalog.q_fetch_structures(spark, SF_SMOKE))
     assert "ReadSchema: struct<molregno:bigint,chembl_id:string>" in text
     assert "ReadSchema: struct<molregno:bigint,canonical_smiles:string>" in text
+
+
+def test_joins_on_the_key_of_bronze_tables_exchange_nothing(spark):
+    ws = catalog.Workspace.get(spark, SF_SMOKE)
+    md, cp, cs = (ws.bronze(n) for n in ("molecule_dictionary", "compound_properties", "compound_structures"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (mart.populate_dim_molecule(md, cp, cs), readers.fetch_structures(md, cs)):
+            text = _explain(df)
+            assert "SortMergeJoin" in text and "Exchange" not in text and "Bucketed: true" in text
+        # A later session declares the layout again.
+        path = cs.inputFiles()[0].rsplit("/", 1)[0]
+        again = conform.attach(spark, schemas.COMPOUND_STRUCTURES, path, 4)
+        assert "Exchange" not in _explain(md.join(again, "molregno")) and again.count() == cs.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
