@@ -4,15 +4,18 @@ A source of ``size`` bytes and weight ``w`` has the mean repetition rate
 ``w * total / size`` (sizes are UTF-8 bytes and one more for each row).  Each row
 inverts the Poisson distribution of its source's rate at a uniform number hashed
 from seed, id and text, is repeated that often, and all copies are shuffled
-globally by a second hash.  The outcome depends on the rows and the seed alone.
+globally by a second hash.  Rows equal in id and text are numbered, by task and
+then within it, and all but the first hash their number too: each has a draw and
+places of its own.  The outcome depends on the rows and the seed alone.
 
 Without given weights a source weighs ``size ** alpha``; given weights are
 scaled to sum to one over the sources at hand, and a source without one weighs 0.
 
-Defined results: null sources are one source, null texts have no bytes; rows
-equal in id and text repeat equally often; a rate of 0 drops its source (that is
-its weight); an empty table gives an empty result; extra columns pass through
-unless named ``copy`` or ``shuffle_key``, which the result replaces.
+Defined results: null sources are one source, null texts have no bytes; a null id
+hashes like an empty one; which of the rows equal in id and text has which number
+is open; a rate of 0 drops its source (that is its weight); an empty table gives
+an empty result; extra columns pass through unless named ``copy`` or
+``shuffle_key``, which the result replaces.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from math import lgamma
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from setsim.llm.common import write_step
@@ -83,15 +86,38 @@ def mix_sources(docs: DataFrame, *, weights: dict[str, float] | None = None, alp
     ``shuffle_key``, by which each task's rows are sorted."""
     columns = [c for c in docs.columns if c not in _RESULT]
     per_source = rates(docs, source_col, text_col, weights, alpha, epochs)
-    name = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")),
-                       F.md5(F.coalesce(text_col, F.lit(""))))
-    uniform = _hash52("_mix_name") / F.lit(float(1 << 52))
-    drawn = docs.select(*columns).withColumn("_mix_name", name).withColumn("_mix_u", uniform).join(
-        per_source, F.col(source_col).eqNullSafe(F.col("_mix_source"))).withColumn(
-        "_mix_n", F.col("_low") + F.size(F.filter("_steps", lambda s: s <= F.col("_mix_u"))))
-    copies = drawn.filter("_mix_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n"))))
-    key = _hash52(F.concat_ws(":", "_mix_name", F.col("copy").cast("string"))).alias("shuffle_key")
-    return copies.select(*columns, "copy", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    # The columns of the input as one struct: none of its names can meet ours.
+    rows = docs.select(F.struct(*columns).alias("row"))
+    source, ident, text = (F.col("row").getField(c) for c in (source_col, id_col, text_col))
+    name = F.concat_ws(":", F.lit(str(seed)), F.coalesce(ident.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit(""))))
+    named = _numbered(rows.withColumn("name", name))
+    named = named.withColumn("name", F.when(F.col("nth") > 0, F.concat_ws(":", "name", (F.col("nth") + 1).cast("string")))
+                             .otherwise(F.col("name")))
+    uniform = _hash52("name") / F.lit(float(1 << 52))
+    drawn = named.withColumn("u", uniform).join(per_source, source.eqNullSafe(F.col("_mix_source"))).withColumn(
+        "times", F.col("_low") + F.size(F.filter("_steps", lambda s: s <= F.col("u"))))
+    copies = drawn.filter("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    key = _hash52(F.concat_ws(":", "name", F.col("copy").cast("string"))).alias("shuffle_key")
+    return copies.select("row.*", "copy", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``nth``: 0, and from 1 on for the further rows of a name.  Only
+    rows whose name repeats are written and numbered."""
+    first = F.lit(0).cast("long")
+    repeats = write_step(rows.groupBy(F.xxhash64("name").alias("mark")).count().filter("count > 1").select("mark"), "mix-repeats")
+    if repeats.isEmpty():
+        return rows.withColumn("nth", first)
+    marked = rows.withColumn("mark", F.xxhash64("name"))
+    single = marked.join(repeats, "mark", "left_anti").withColumn("nth", first)
+    # Written once, so that counts and numbers see the same rows in the same tasks.
+    again = write_step(marked.join(repeats, "mark", "left_semi").withColumns(
+        {"task": F.spark_partition_id(), "place": F.monotonically_increasing_id()}), "mix-again")
+    counts = again.groupBy("name", "task").count()  # one row for each name and task
+    before = counts.withColumn("before", F.sum("count").over(Window.partitionBy("name").orderBy("task")) - F.col("count"))
+    within = F.row_number().over(Window.partitionBy("name", "task").orderBy("place"))
+    numbered = again.join(before.drop("count"), ["name", "task"]).withColumn("nth", F.col("before") + within - 1)
+    return single.unionByName(numbered.select(single.columns))
 
 
 def remix(docs: DataFrame) -> DataFrame:
