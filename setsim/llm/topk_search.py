@@ -17,11 +17,12 @@ Equal vectors are searched once.  Partial scores are computed block by block in
 numpy, queries in blocks against blocks of rows; no score of a vector below the
 cutoff leaves its task.
 
-Defined results: vectors that are null or empty, hold a null or a component that
-is not finite, or have no id take no part; shorter vectors count as ending in
-zeros; rows that repeat id and vector count once; a query's own id is never
+Defined results: vectors that are null, hold a null or a component that is not
+finite, or have no id take no part; shorter vectors count as ending in zeros, an
+empty one as zeros only; rows that repeat id and vector count once; a query's own id is never
 among its results; ties go to the smaller id; extra columns are ignored.
-Components must stay below 2**40 in absolute value.
+Scores are 64-bit: where the greatest component of a query times that of a row,
+times the dimensions, reaches 2**63, the search raises OverflowError.
 """
 
 from __future__ import annotations
@@ -46,8 +47,7 @@ LIST_DEPTH = 64
 def quantized(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, v): floor(256 x) of every component of the vectors that take part."""
     x = F.transform(F.col(vector_col), lambda c: c.cast("double"))
-    ok = F.size(x) > 0
-    ok &= F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    ok = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     return vectors.filter(F.col(id_col).isNotNull() & F.coalesce(ok, F.lit(False))).select(
         F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * 256).cast("long")).alias("v"))
 
@@ -140,7 +140,13 @@ def exact_topk(vectors: DataFrame, *, queries: str = "vec_id % 50 = 0", k: int =
     which the SQL condition ``queries`` on ``vec_id`` holds."""
     base = quantized(vectors, id_col, vector_col)
     base = write_step(base.withColumn("key", F.md5(F.concat_ws(",", F.transform("v", lambda c: c.cast("string"))))), "topk-base")
-    dim = base.agg(F.max(F.size("v"))).first()[0] or n_lists
+    # In doubles, where floor() has not reached the ends of a long: no sum may pass one.
+    most = F.array_max(F.transform("v", lambda c: F.abs(c.cast("double"))))
+    asks = F.coalesce(F.expr(queries), F.lit(False))
+    dim, most_x, most_q = base.agg(F.max(F.size("v")), F.max(most), F.max(F.when(asks, most))).first()
+    dim = dim or n_lists
+    if (most_x or 0.0) * (most_q or 0.0) * dim >= 2.0 ** 63 or (most_x or 0.0) >= 2.0 ** 62:
+        raise OverflowError(f"scores of {dim} components up to {most_q:.0f} and {most_x:.0f} may pass 64 bits")
     width = -(-dim // n_lists)
     full = F.transform(F.sequence(F.lit(0), F.lit(width * n_lists - 1)), lambda i: F.coalesce(F.get("v", i), F.lit(0).cast("long")))
     # Zero-padded vectors can coincide with others; that only searches them twice.
