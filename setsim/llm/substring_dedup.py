@@ -21,8 +21,8 @@ with the number of text slices and not with its documents.
 
 Defined results: a null or empty text has no words; texts shorter than the
 window keep all words; a row without an id neither loses words nor makes others
-lose any; rows of equal id never remove each other's words; extra columns are
-ignored.
+lose any; rows of equal id never remove each other's words; bytes that are not
+valid UTF-8 are kept as they are; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ from setsim.llm.common import GAPS, WordHasher, drop_step, mix, multipliers, row
 WINDOW = 13
 SLICE_BYTES = 3 << 20
 _FAR = 1 << 40
+TAG = (1 << 15) - 1
 
 
 def default_rounds(window: int) -> int:
@@ -138,14 +139,15 @@ def _flat(texts: list[bytes | None], hashes: WordHasher):
 
 
 def _anchor_rows(window: int, rounds: int):
-    """Rows (key, id, first, count): ``count`` windows of a document from word
+    """Rows (key, id, tag, first, count): ``count`` windows of a document from word
     ``first`` on with one anchor.  An anchor that documents of the slice share is
-    settled: its rows are spread over other keys (``settled``), and one row of
-    the smallest id with no windows stands for them."""
+    settled: its rows are spread over other keys, and one row of the smallest id
+    with no windows stands for them.  ``tag``: bits of the text's hash, which keep
+    the texts of an id apart, and in the lowest bit whether the row is settled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHasher(GAPS)
         for batch, texts in row_slices(batches, "text", SLICE_BYTES):
-            ids = batch.column(batch.schema.names.index("id")).to_numpy()
+            ids, version = (batch.column(batch.schema.names.index(c)).to_numpy() for c in ("id", "version"))
             words, doc, begin, end = _flat(texts, hashes)
             best = anchors(words, doc, begin, end, window, rounds)
             lead = np.flatnonzero((best != 0) & np.concatenate([[True], (best[1:] != best[:-1]) | (doc[1:] != doc[:-1])])) \
@@ -155,7 +157,7 @@ def _anchor_rows(window: int, rounds: int):
             key, owner = best[lead], doc[lead]
             order = np.lexsort((ids[owner], key))
             key, owner, first, count = key[order], owner[order], (lead - begin[doc[lead]])[order], (stop - lead)[order]
-            who = ids[owner]
+            who, text = ids[owner], version[owner] & TAG
             new = np.ones(len(key), bool)
             new[1:] = key[1:] != key[:-1]
             group = np.cumsum(new) - 1
@@ -165,15 +167,15 @@ def _anchor_rows(window: int, rounds: int):
             lone = head[shared[head]] if len(head) else head
             alone, lone_who, lone_first = key[lone], who[lone], first[lone]
             back = np.argsort(order)  # in text order the rows compress better
-            key, who, first, count, shared = key[back], who[back], first[back], count[back], shared[back]
+            key, who, text, first, count, shared = key[back], who[back], text[back], first[back], count[back], shared[back]
             spread = mix(who.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + first.astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(signed(np.concatenate([np.where(shared, spread, key), alone]))),
                  pa.array(np.concatenate([who, lone_who])),
+                 pa.array(np.concatenate([text << 1 | shared, np.zeros(len(lone), np.int64)]).astype(np.int32)),
                  pa.array(np.concatenate([first, lone_first]).astype(np.int32)),
-                 pa.array(np.concatenate([count, np.zeros(len(lone), np.int64)]).astype(np.int32)),
-                 pa.array(np.concatenate([shared, np.zeros(len(lone), bool)]))],
-                ["key", "id", "first", "count", "settled"])
+                 pa.array(np.concatenate([count, np.zeros(len(lone), np.int64)]).astype(np.int32))],
+                ["key", "id", "tag", "first", "count"])
     return run
 
 
@@ -192,7 +194,7 @@ def _window_rows(window: int):
             row = np.repeat(np.arange(len(texts)), ranges.value_lengths().to_numpy())
             flat = ranges.flatten()
             first, count = flat.field("first").to_numpy().astype(np.int64), flat.field("count").to_numpy().astype(np.int64)
-            # Ranges of another text under the same id may reach past this one.
+            # Ranges of another text under the same id and tag may reach past this one.
             count = np.clip(np.minimum(count, end[row] - begin[row] - window + 1 - first), 0, None)
             row = np.repeat(row, count)
             at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
@@ -235,10 +237,10 @@ def _cut(window: int, kept_cols: list[str]):
                     left = words
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(left))
-                kept.append(b" ".join(left).decode())
+                kept.append(b" ".join(left))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.names.index(c)) for c in kept_cols), pa.array(n_words, pa.int64()),
-                 pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+                 pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary())],
                 [*kept_cols, "n_words", "n_removed", "kept"])
     return run
 
@@ -249,26 +251,25 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     words that stay, joined by one space.  Ids are whole numbers."""
     rounds = default_rounds(window) if rounds is None else rounds
     small_batches(docs.sparkSession)
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
     named = source.filter("id is not null")
     anchored = named.mapInArrow(_anchor_rows(window, rounds),
-                                "key bigint, id bigint, first int, count int, settled boolean")
+                                "key bigint, id bigint, tag int, first int, count int")
     group = Window.partitionBy("key")
     ranges = write_step(
         anchored.withColumn("low", F.min("id").over(group)).withColumn("high", F.max("id").over(group))
-        .filter("count > 0 and (settled or low <> high)")
-        .groupBy("id").agg(F.collect_list(F.struct("first", "count")).alias("ranges")), "repeats-ranges")
-    version = F.xxhash64("text").alias("version")
-    windows = named.join(ranges, "id").select("id", version, "text", "ranges").mapInArrow(
+        .filter("count > 0 and (tag % 2 = 1 or low <> high)")
+        .groupBy("id", F.shiftright("tag", 1).cast("long").alias("tag")).agg(F.collect_list(F.struct("first", "count")).alias("ranges")), "repeats-ranges")
+    windows = named.withColumn("tag", F.col("version").bitwiseAND(TAG)).join(ranges, ["id", "tag"]).select("id", "version", "text", "ranges").mapInArrow(
         _window_rows(window), "h1 bigint, h2 bigint, id bigint, version bigint, at int, settled boolean")
     marks = write_step(
         windows.withColumn("low", F.min("id").over(Window.partitionBy("h1", "h2")))
         .filter("settled or id > low")
         .groupBy("id", "version").agg(F.collect_set("at").alias("marks")), "repeats-marks")
     drop_step(ranges)
-    return source.select("id", "text", version).join(marks, ["id", "version"], "left").select(
-        "id", "text", "marks").mapInArrow(_cut(window, ["id"]), "id bigint, n_words bigint, n_removed bigint, kept string") \
-        .withColumnRenamed("id", id_col)
+    return source.join(marks, ["id", "version"], "left").select(
+        "id", "text", "marks").mapInArrow(_cut(window, ["id"]), "id bigint, n_words bigint, n_removed bigint, kept binary").select(
+        F.col("id").alias(id_col), "n_words", "n_removed", F.col("kept").cast("string").alias("kept"))
 
 
 def repeats_digest(docs: DataFrame) -> DataFrame:
