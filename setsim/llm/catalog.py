@@ -45,12 +45,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns of its SQL; ``op6_jaccard_links`` has the number of links too."""
-    return op6_jaccard_links(spark, sf_dir).drop("n_links")
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
 def op6_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    """The join under its earlier second name."""
+    return op6_jaccard_join(spark, sf_dir)
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

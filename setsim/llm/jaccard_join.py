@@ -101,16 +101,16 @@ def _profile(text_col: str, id_col: str, width: int):
         for batch, texts in row_slices(batches, text_col, SLICE_BYTES):
             h, _, sizes = shingle_sets(texts, hashes, width)
             count += np.bincount((h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(count))
-            ids = batch.column(batch.schema.names.index(id_col))
+            ids, version = (batch.column(batch.schema.names.index(c)) for c in (id_col, "version"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(texts), np.int32)), ids, pa.array(set_classes(h, sizes)), pa.array(sizes)],
-                ["kind", "id", "cls", "n"])
+                [pa.array(np.zeros(len(texts), np.int32)), ids, version, pa.array(set_classes(h, sizes)), pa.array(sizes)],
+                ["kind", "id", "version", "cls", "n"])
         if ids is None:
             return
         used = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(len(used), np.int32)), pa.nulls(len(used), ids.type),
-             pa.array(used), pa.array(count[used])], ["kind", "id", "cls", "n"])
+            [pa.array(np.ones(len(used), np.int32)), pa.nulls(len(used), ids.type), pa.array(np.zeros(len(used), np.int64)),
+             pa.array(used), pa.array(count[used])], ["kind", "id", "version", "cls", "n"])
     return run
 
 
@@ -336,17 +336,24 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                        percent: int = PERCENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``(id_col, n_shingles, n_links, component_id)`` for every row of ``docs``;
     ``n_links`` counts the other documents that it is linked with."""
+    return _rows_with_components(docs, id_col, text_col, width, percent, block_bytes).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "n_links", "component_id")
+
+
+def _rows_with_components(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, block_bytes: int) -> DataFrame:
+    """(id, version, n, root, n_links, component_id) for every row; ``version``: a hash
+    of its text, ``root``: a name of its group (two groups can have one smallest id)."""
     spark = docs.sparkSession
     small_batches(spark)
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
     profile = write_step(source.mapInArrow(_profile("text", "id", width),
-                                           f"kind int, id {id_type}, cls bigint, n bigint"), "jaccard-profile")
+                                           f"kind int, id {id_type}, version bigint, cls bigint, n bigint"), "jaccard-profile")
     freq = np.zeros(1 << BUCKET_BITS, np.int64)
     for bucket, count in profile.filter("kind = 1").groupBy("cls").agg(F.sum("n")).collect():  # 2**16 rows at most
         freq[bucket] = count
     shared = spark.sparkContext.broadcast(freq)
-    rows = profile.filter("kind = 0").select("id", "cls", "n")
+    rows = profile.filter("kind = 0").select("id", "version", "cls", "n")
 
     grams = source.filter("id is not null").select("text").mapInArrow(
         _prefix_rows(shared, width, percent), "gram bigint, salt int, cls bigint, n int")
@@ -381,21 +388,27 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                         .select("cls", "least", F.coalesce("comp", "cls").alias("root")), "jaccard-roots")
     firsts = write_step(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "jaccard-firsts")
     names = write_step(rooted.join(firsts, "root").join(degrees, "cls", "left")
-                       .select("cls", "component_id", "n_links"), "jaccard-names")
+                       .select("cls", "root", "component_id", "n_links"), "jaccard-names")
     drop_step(linked, rooted, firsts, degrees)
     return rows.join(names, "cls", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+        "id", "version", "n", "root",
         F.coalesce(F.when(F.col("id").isNotNull(), F.col("n_links")), F.lit(0)).alias("n_links"),
         F.when(F.col("n") == 0, F.col("id")).when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def keep_first(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One document of each linked group stays: the one with the smallest id, and
-    one row of it where rows repeat an id and a text.  An id that several texts
-    share stays if any of them would; rows without an id stay."""
-    found = jaccard_components(docs, width=width, percent=percent).filter("doc_id is not null")
-    stays = write_step(found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("_stays")), "jaccard-stays")
+def keep_first(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """One row of each linked group stays: one with the smallest id, and of the
+    texts that this id has in the group the one of the smallest hash; of rows that
+    repeat an id and a text, one.  Rows without words are linked with nothing, and
+    rows without an id take no part: each text of the former and all of the latter stay."""
+    found = _rows_with_components(docs, id_col, text_col, width, percent, BLOCK_BYTES).filter("id = component_id")
+    stays = write_step(
+        found.groupBy("id", "root", F.when(F.col("n") == 0, F.col("version")).alias("bare")).agg(
+            F.min("version").alias("version")).select("id", "version"), "jaccard-stays")
+    # The columns of the input as one struct: none of its names can meet ours.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"))
     # The same sort-merge join at every size; its layout serves the window too.
-    joined = docs.withColumn("_version", F.xxhash64("text")).join(stays.hint("merge"), "doc_id", "left").filter("doc_id is null or _stays")
-    again = Window.partitionBy("doc_id", "_version").orderBy(F.xxhash64(*docs.columns))
-    return joined.withColumn("_n", F.row_number().over(again)).filter("doc_id is null or _n = 1").select(docs.columns)
+    joined = rows.join(stays.withColumn("stays", F.lit(True)).hint("merge"), ["id", "version"], "left").filter("id is null or stays")
+    again = Window.partitionBy("id", "version").orderBy(F.xxhash64("row"))
+    return joined.withColumn("nth", F.row_number().over(again)).filter("id is null or nth = 1").select("row.*")

@@ -32,7 +32,8 @@ FROM doc_words AS d LEFT JOIN covered AS c USING (doc_id) LEFT JOIN found AS f U
 #: Weight size ** 0.5, one epoch, seed 17.
 OP2 = r"""
 WITH sized AS (SELECT *, coalesce(strlen(text), 0) + 1 AS bytes,
-    '17:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) AS name FROM documents),
+    '17:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) || CASE WHEN nth > 1 THEN ':' || nth ELSE '' END AS name
+    FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, coalesce(text, '')) AS nth FROM documents)),
 per_source AS (SELECT source, sum(bytes)::DOUBLE AS size FROM sized GROUP BY source),
 rated AS (SELECT source, sqrt(size) / sum(sqrt(size)) OVER () * sum(size) OVER () / size AS rate FROM per_source),
 stepped AS (
@@ -49,7 +50,7 @@ FROM drawn, unnest(range(1, n + 1)) AS u(c)
 OP3 = r"""
 WITH v AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
@@ -90,7 +91,8 @@ links AS (
   HAVING 100 * count(*) >= 85 * ((SELECT n FROM sizes WHERE doc_id = a.doc_id) + (SELECT n FROM sizes WHERE doc_id = b.doc_id) - count(*))),
 reach AS (
   SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach AS r JOIN links AS l ON r.b = l.a)
-SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, min(r.b)) AS component_id
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, min(r.b)) AS component_id,
+       (SELECT count(*) FROM links WHERE a = d.doc_id)::BIGINT AS n_links
 FROM documents AS d LEFT JOIN sizes USING (doc_id) LEFT JOIN reach AS r ON r.a = d.doc_id GROUP BY d.doc_id, n
 """
 
@@ -156,5 +158,5 @@ FROM scored WHERE score > 0 AND doc_id IS NOT NULL QUALIFY rank <= 10
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_decontamination": OP1, "op2_mixing": OP2, "op3_topk_search": OP3, "op4_substring_dedup": OP4,
-            "op6_jaccard_join": OP6, "op7_pii": OP7,
+            "op6_jaccard_join": OP6, "op6_jaccard_links": OP6, "op7_pii": OP7,
             "op12_ranked_search": OP12}

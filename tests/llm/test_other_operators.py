@@ -40,10 +40,12 @@ def plain_copies(rows, seed=17):
     for _, text, source in rows:
         size[source] += len((text or "").encode()) + 1
     scale, total = sum(math.sqrt(s) for s in size.values()), sum(size.values())
-    out = Counter()
+    out, seen = Counter(), Counter()
     for doc, text, source in rows:
         rate = math.sqrt(size[source]) / scale * total / size[source]
         name = f"{seed}:{'' if doc is None else doc}:{hashlib.md5((text or '').encode()).hexdigest()}"
+        seen[name] += 1
+        name += f":{seen[name]}" if seen[name] > 1 else ""
         u = int(hashlib.md5(name.encode()).hexdigest()[:13], 16) / 2 ** 52
         n, p, below = 0, math.exp(-rate), math.exp(-rate)
         while below <= u:
@@ -73,6 +75,33 @@ def test_mixing_meets_given_weights(spark):
     assert first != sorted(first)
 
 
+def test_equal_rows_are_drawn_each_for_itself(spark):
+    """A third of all rows equal in id and text: their source keeps its share of the bytes."""
+    rows = [(None, "the same text", "a")] * 4000 + [(i, f"text {i:08d}", "b") for i in range(8000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix_sources(df).collect()
+    size = {s: sum(len(t) + 1 for _, t, x in rows if x == s) for s in "ab"}
+    for s in "ab":
+        target = math.sqrt(size[s]) / sum(map(math.sqrt, size.values())) * sum(size.values())
+        copies = target / size[s] * sum(x == s for *_, x in rows)
+        mixed = sum(len(r["text"]) + 1 for r in got if r["source"] == s)
+        # Five standard errors of a Poisson number of copies.
+        assert abs(mixed / target - 1) < 5 / math.sqrt(copies)
+    assert Counter((r["doc_id"], r["copy"]) for r in got) == plain_copies(rows)
+    # Their copies are spread over the order too.
+    assert len({r["shuffle_key"] for r in got}) == len(got)
+
+
+def test_mixing_keeps_columns_of_clashing_names(spark):
+    names = ["name", "u", "times", "nth", "mark", "task", "place", "row", "_mix_source", "_rate", "_low", "_steps", "before", "count"]
+    df = spark.createDataFrame([(i % 3, "t", "s") for i in range(30)], "doc_id long, text string, source string")
+    for k, n in enumerate(names):
+        df = df.withColumn(n, F.lit(k))
+    got = mixing.mix_sources(df, epochs=3.0)
+    assert got.count() > 0 and set(got.columns) == {*df.columns, "copy", "shuffle_key"}
+    assert all(r[n] == k for r in got.collect() for k, n in enumerate(names))
+
+
 @pytest.mark.parametrize("rate", [0.0, 0.3, 1.0, 7.5, 900.0])
 def test_poisson_steps(rate):
     low, steps = mixing.poisson_steps(rate)
@@ -86,7 +115,7 @@ def test_poisson_steps(rate):
 def plain_topk(rows, k=5):
     v = {}
     for i, x in rows:
-        if i is not None and x and all(c is not None and math.isfinite(c) for c in x):
+        if i is not None and x is not None and all(c is not None and math.isfinite(c) for c in x):
             v[i] = [math.floor(256 * c) for c in x]
     out = {}
     for q in (i for i in v if i % 50 == 0):
@@ -114,6 +143,17 @@ def test_topk_edges(spark):
     check_topk(topk_search.exact_topk(df.filter("vec_id in (0, 7, 50)")), [rows[0], rows[7], rows[50]])
 
 
+def test_scores_that_may_pass_64_bits_are_an_error(spark):
+    big = float(2 ** 28)
+    rows = [(0, [big, big]), (1, [big, big]), (2, [big / 2, 1.0])]
+    df = lambda r: spark.createDataFrame(r, "vec_id long, embedding array<double>")
+    with pytest.raises(OverflowError):
+        topk_search.exact_topk(df(rows))
+    with pytest.raises(OverflowError):
+        topk_search.exact_topk(df([(0, [1e300]), (1, [1.0])]))
+    check_topk(topk_search.exact_topk(df(fits := [(0, [2.0 ** 16, 2.0 ** 16]), (1, [big, 1.0]), (2, [1.0, big]), (3, [-big, big])])), fits)
+
+
 def test_partial_scores_stay_exact_beyond_doubles():
     q = np.array([[2 ** 31 + 1, 3]])
     assert topk_search.partial_scores(q, q)[0, 0] == (2 ** 31 + 1) ** 2 + 9
@@ -306,7 +346,7 @@ def test_pipeline_is_its_stages(spark, docs):
     labels, benchmark = table(spark, SF, "labels"), table(spark, SF, "benchmark")
     good = {r["doc_id"] for r in quality.quality_digest(docs, labels).filter("predicted = 1").collect()}
     left = docs.filter(F.col("doc_id").isin(list(good)))
-    joined = jaccard_join.jaccard_components(left)
+    joined = jaccard_join.jaccard_components(left, width=corpus_pipeline.NEAR_SHINGLE, percent=corpus_pipeline.NEAR_PERCENT)
     left = left.filter(F.col("doc_id").isin([r["doc_id"] for r in joined.filter("doc_id = component_id").collect()]))
     dirty = decontaminate.contamination_digest(left, benchmark).filter("contaminated").collect()
     left = left.filter(~F.col("doc_id").isin([r["doc_id"] for r in dirty]))

@@ -1,5 +1,8 @@
 """Decontamination, substring dedup, Jaccard join, personal data: against plain restatements."""
 
+import hashlib
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,6 +90,29 @@ def test_repeats_edges(edge, none, edge_rows, spark):
     assert got == {(None, 40): 0, (5, 40): 0, (5, 41): 0, (6, 40): 40}
 
 
+def test_repeats_in_bytes_that_are_not_utf8(spark):
+    text = " ".join(f"w{i}" for i in range(30)).encode()
+    rows = [(1, text), (2, b"\xff\xfe " + text + b" \x80"), (3, b"\xc3")]
+    df = spark.createDataFrame(rows, "doc_id long, raw binary").select("doc_id", F.col("raw").cast("string").alias("text"))
+    got = {r["doc_id"]: r for r in substring_dedup.remove_repeats(df).withColumn("raw", F.col("kept").cast("binary")).select(
+        "doc_id", "n_words", "n_removed", "raw").collect()}
+    assert (got[2]["n_words"], got[2]["n_removed"], bytes(got[2]["raw"])) == (32, 30, b"\xff\xfe \x80")
+    assert bytes(got[3]["raw"]) == b"\xc3" and got[1]["n_removed"] == 0
+    digest = {r["doc_id"]: r["kept_sha256"] for r in substring_dedup.repeats_digest(df).collect()}
+    assert digest[2] == hashlib.sha256(b"\xff\xfe \x80").hexdigest()
+
+
+def test_texts_of_one_id_are_kept_apart(spark):
+    """A third of all rows under one id: each text loses its own words only."""
+    parts = [" ".join(f"p{i}x{k}" for k in range(15)) for i in range(60)]
+    rows = [(i, t) for i, t in enumerate(parts)] + [(1000, parts[i] + f" tail{i} " + " ".join(f"q{i}x{k}" for k in range(i % 9)))
+                                                    for i in range(60)] + [(2000 + i, prose(i, 20)) for i in range(60)]
+    got = Counter((r["doc_id"], r["kept"]) for r in substring_dedup.remove_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert all(got[1000, " ".join([f"tail{i}"] + [f"q{i}x{k}" for k in range(i % 9)])] == 1 for i in range(60))
+    assert all(got[i, t] == 1 for i, t in enumerate(parts))
+
+
 @pytest.mark.parametrize("rounds", [1, 3])
 def test_the_number_of_rounds_changes_nothing(edge, edge_rows, rounds):
     plain = {i: v for i, v in brute.repeats([(r[0], r[1]) for r in edge_rows]).items()}
@@ -129,6 +155,19 @@ def test_jaccard_edges(edge, none, edge_rows):
     assert kept == sorted({c for _, c in brute.jaccard_classes([(r[0], r[1]) for r in edge_rows]).values()})
 
 
+def test_keep_first_by_id_and_text_with_clashing_names(spark):
+    base, other = prose(21, 80), prose(22, 80)
+    near = base + " tail"
+    rows = [(1, base), (5, near), (5, other), (5, other), (7, other + " x"), (None, base), (8, None), (8, ""), (8, ""), (3, near), (9, prose(23, 50)), (9, prose(24, 50))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for k, n in enumerate(["_n", "_stays", "_version", "id", "version", "stays", "row", "nth", "cls", "n", "bare"]):
+        df = df.withColumn(n, F.lit(k))
+    got = jaccard_join.keep_first(df)
+    assert got.columns == df.columns and all(tuple(r)[2:] == tuple(range(11)) for r in got.collect())
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(
+        [(1, base), (5, other), (None, base), (8, None), (8, ""), (9, prose(23, 50)), (9, prose(24, 50))], key=str)
+
+
 def test_jaccard_of_a_large_group_in_many_blocks(spark):
     base = prose(9, 150, 10_000).split()
     rows = []
