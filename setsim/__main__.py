@@ -34,8 +34,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--fk-mode", choices=["fail", "drop", "report"], default="fail")
     ap.add_argument("--on-violation", choices=["fail", "drop", "report"], default="fail")
     ap.add_argument("--valid-pattern", default=None, help="regular expression that a usable structure matches")
-    ap.add_argument("--method", choices=["md5", "xxhash64"], default="md5", help="hash of the fingerprint windows")
+    ap.add_argument("--method", choices=["md5", "xxhash64", "rolling"], default="md5", help="hash of the fingerprint windows")
     ap.add_argument("--limit", type=int, default=None, help="first rows of each extract only (trial run)")
+    ap.add_argument("--resume", action="store_true", help="take up the unfinished run below --out")
     ap.add_argument("--no-full-tables", action="store_true", help="skip the full score tables")
     args = ap.parse_args(argv)
 
@@ -45,8 +46,8 @@ def main(argv: list[str] | None = None) -> int:
     res = full_refresh(spark, release, out_dir=args.out, count=args.count, k=args.k, radius=args.radius,
                        n_bits=args.n_bits, on_violation=args.on_violation, fk_mode=args.fk_mode,
                        full_tables=not args.no_full_tables, method=args.method,
-                       valid_pattern=args.valid_pattern, limit=args.limit)
-    print(json.dumps({"out": res.out_dir, "rows": res.counts, "seconds": res.seconds,
+                       valid_pattern=args.valid_pattern, limit=args.limit, resume=args.resume)
+    print(json.dumps({"out": res.out_dir, "rows": res.counts, "seconds": res.seconds, "resumed": res.resumed,
                       "fingerprint_failures": res.fingerprint_failures, "fk_violations": res.fk_violations}))
     return 0
 

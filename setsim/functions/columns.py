@@ -103,6 +103,9 @@ def ring_window_bits(s: str | Column, radius: int, n_bits: int, method: str = "m
     once and a window copies only its own, so a text costs time in proportion
     to its length; each distinct window is hashed once.  Runs on the JVM.
     """
+    if method == "rolling":
+        return rolling_window_bits(s, radius, n_bits)
+
     def windows(chars: Column) -> Column:
         def per_radius(r: int) -> Column:
             around = F.transform(chars, lambda _, i: F.array_join(
@@ -116,31 +119,75 @@ def ring_window_bits(s: str | Column, radius: int, n_bits: int, method: str = "m
     return F.array_sort(F.array_distinct(F.flatten(bound)))
 
 
+#: The window hash by arithmetic: a prime below 2**31 and the factors of the
+#: window within, the character that joins on the left and the one on the right.
+ROLLING_PRIME = 2_147_483_647
+ROLLING_FACTORS = (48_271, 69_621, 1_583_458_089)
+
+
+def rolling_window_bits(s: str | Column, radius: int, n_bits: int) -> Column:
+    """Sorted distinct bit positions of all ring windows, hashed by arithmetic.
+
+    A window of radius ``r`` has the hash of the window of ``r - 1`` within it,
+    extended by the code points of the two characters that join:
+    ``(h * M + (left + 1) * A + (right + 1) * B + r) mod P``, where a side beyond the
+    string adds nothing; radius 0 is ``(code * A + 1) mod P``.  No window is ever
+    copied, joined or hashed as text, so that a position costs the same at every
+    radius.  All terms stay below 2**63.
+    """
+    m, a, b = (F.lit(x).cast(T.LongType()) for x in ROLLING_FACTORS)
+    prime = F.lit(ROLLING_PRIME).cast(T.LongType())
+
+    def bound(value: Column, use) -> Column:
+        """``use(value)`` with the value computed once, not for each element."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def extended(codes: Column, inner: Column, r: int) -> Column:
+        def joins(i: Column) -> Column:
+            return F.coalesce(F.get(codes, i), F.lit(0).cast(T.LongType()))
+        return F.transform(inner, lambda h, i: (h * m + joins(i - r) * a + joins(i + r) * b + r) % prime)
+
+    def levels(codes: Column, inner: Column, r: int) -> Column:
+        if r > radius:
+            return inner
+        return bound(extended(codes, inner, r), lambda h: F.concat(inner, levels(codes, h, r + 1)))
+
+    # Code points and one, so that 0 stands for no character.
+    codes = F.transform(F.split(col_(s), ""), lambda c: F.ascii(c).cast(T.LongType()) + 1)
+    hashes = bound(codes, lambda c: bound(
+        F.transform(c, lambda x: ((x - 1) * a + 1) % prime), lambda h: levels(c, h, 1)))
+    return F.sort_array(F.array_distinct(F.transform(hashes, lambda h: h % F.lit(n_bits).cast(T.LongType()))))
+
+
 def n_words(n_bits: int) -> int:
     """64-bit words needed for ``n_bits`` positions."""
     return (int(n_bits) + 63) // 64
 
 
-def packed_words(bits: str | Column, n_bits: int) -> list[Column]:
-    """Pack an on-bit array into ``ceil(n_bits / 64)`` BIGINT words.
+def packed_words(bits: str | Column, n_bits: int) -> Column:
+    """Pack an on-bit array into an array of ``ceil(n_bits / 64)`` BIGINT words.
 
     Word ``j`` holds bits ``64j .. 64j+63`` (bit ``b`` is ``1 << (b - 64j)``;
-    bit 63 is the sign bit, which ``bit_count`` counts like any other).  Done
-    once per record; every pair then costs ``AND`` + ``bit_count`` per word.
+    bit 63 is the sign bit, which ``bit_count`` counts like any other).  The bits,
+    positions from 0 on, are folded once in ascending order: the fold carries the
+    words that are done, and the number and bits of the one it is in.  Done once per
+    record; every pair then costs ``AND`` + ``bit_count`` per word.
     """
-    bits = col_(bits)
-    one = F.lit(1).cast(T.LongType())
-    zero = F.lit(0).cast(T.LongType())
+    zero, one, size = F.lit(0).cast(T.LongType()), F.lit(1).cast(T.LongType()), n_words(n_bits)
 
-    def merge_for(j: int):
-        lo, hi = 64 * j, 64 * (j + 1)
+    def closed(state: Column, upto: Column) -> Column:
+        """The words before ``upto``: the one at hand and the empty ones after it."""
+        return F.concat(state["done"], F.array(state["bits"]), F.array_repeat(zero, upto - state["word"] - 1))
 
-        def merge(acc: Column, b: Column) -> Column:
-            hit = (b >= lo) & (b < hi)
-            return acc.bitwiseOR(F.when(hit, F.call_function("shiftleft", one, (b - lo).cast("int"))).otherwise(zero))
-        return merge
+    def step(state: Column, b: Column) -> Column:
+        word = F.shiftright(b, 6).cast(T.IntegerType())
+        bit = F.call_function("shiftleft", one, b.bitwiseAND(F.lit(63).cast(T.LongType())).cast(T.IntegerType()))
+        same = state["word"] == word
+        return F.struct(F.when(same, state["done"]).otherwise(closed(state, word)).alias("done"), word.alias("word"),
+                        F.when(same, state["bits"].bitwiseOR(bit)).otherwise(bit).alias("bits"))
 
-    return [F.aggregate(bits, zero, merge_for(j)) for j in range(n_words(n_bits))]
+    start = F.struct(F.array().cast("array<bigint>").alias("done"), F.lit(0).alias("word"), zero.alias("bits"))
+    return F.aggregate(F.sort_array(col_(bits)), start, step, lambda s: F.slice(closed(s, F.lit(size)), 1, size))
 
 
 def packed_intersection(a_words: list[Column], b_words: list[Column]) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from setsim import schemas
+from setsim.functions import key_filter
 from setsim.operators.fingerprint import DEFAULT_N_BITS
 from setsim.operators.similarity import compute_top_k, packed_table
 from setsim.session import materialize
@@ -120,8 +121,11 @@ def similarity_two_hop(fact: DataFrame, fingerprinted: DataFrame, n_bits: int =
         "source_chembl_id", F.col("target_chembl_id").alias("most_similar_target"),
         F.col("similarity_score").alias("most_similar_score"))
     packed = packed_table(fingerprinted, n_bits)
-    matched = materialize(packed.join(best.select(F.col("most_similar_target").alias("chembl_id")).distinct(), "chembl_id"),
-                          "matched")
+    # Written: the filter, the search and the result all read it.
+    best = materialize(best, "best-matches")
+    wanted = best.select(F.col("most_similar_target").alias("chembl_id")).distinct()
+    can_match = key_filter(wanted, "chembl_id")
+    matched = materialize(packed.filter(can_match(F.col("chembl_id"))).join(wanted, "chembl_id"), "matched")
     hop = compute_top_k(matched, packed, 1, n_bits=n_bits, flag=False)
     hop = hop.select(F.col("source_chembl_id").alias("most_similar_target"),
                      F.col("target_chembl_id").alias("next_most_similar_target"),

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from setsim.functions import packed_intersection, packed_words, tanimoto, tanimoto_from_sizes
+from setsim.functions import key_filter, n_words, packed_intersection, packed_words, tanimoto, tanimoto_from_sizes
 from setsim.operators.fingerprint import BITS_COL, DEFAULT_N_BITS
 from setsim.session import default_parallelism, materialize
 
@@ -70,9 +70,10 @@ def pack_fingerprints(fingerprinted: DataFrame, n_bits: int = DEFAULT_N_BITS) ->
     # Declared non-nullable (coalesce with a literal): the pair loop then
     # carries no null branches, which keeps its generated code small.
     zero = F.lit(0).cast("bigint")
-    words = packed_words(BITS_COL, n_bits)
-    return fingerprinted.select("chembl_id", F.coalesce(F.size(BITS_COL), F.lit(0)).alias("n_on"),
-                                *[F.coalesce(w, zero).alias(f"{PACKED_PREFIX}{j}") for j, w in enumerate(words)])
+    packed = fingerprinted.select("chembl_id", F.coalesce(F.size(BITS_COL), F.lit(0)).alias("n_on"),
+                                  packed_words(BITS_COL, n_bits).alias("words"))
+    return packed.select("chembl_id", "n_on", *[F.coalesce(F.get("words", F.lit(j)), zero).alias(f"{PACKED_PREFIX}{j}")
+                                                for j in range(n_words(n_bits))])
 
 
 def word_count(packed: DataFrame) -> int:
@@ -211,9 +212,16 @@ def top_k_single_source(fingerprinted: DataFrame, k: int = 5, source_id: str | N
     return compute_top_k(materialize(src, "source"), packed, k, 1, n_bits=n_bits, flag=False)
 
 
-def compare_pairs(pairs: DataFrame, fingerprinted: DataFrame, a: str = "id_a", b: str = "id_b") -> DataFrame:
-    """Scores for named id pairs (two equi-joins with the fingerprints)."""
-    fa = fingerprinted.select(F.col("chembl_id").alias(a), F.col(BITS_COL).alias("bits_a"))
-    fb = fingerprinted.select(F.col("chembl_id").alias(b), F.col(BITS_COL).alias("bits_b"))
-    return (pairs.select(a, b).join(fa, a).join(fb, b)
+def compare_pairs(pairs: DataFrame, fingerprinted: DataFrame, a: str = "id_a", b: str = "id_b",
+                  n_pairs: int | None = None) -> DataFrame:
+    """Scores for named id pairs (two equi-joins with the fingerprints, each
+    read through a filter of the ids that its side of the pairs names)."""
+    named = pairs.select(a, b)
+    n_pairs = named.count() if n_pairs is None else n_pairs
+
+    def side(name: str, bits: str) -> DataFrame:
+        can_match = key_filter(named, name, n_pairs)
+        return fingerprinted.filter(can_match(F.col("chembl_id"))).select(F.col("chembl_id").alias(name), F.col(BITS_COL).alias(bits))
+
+    return (named.join(side(a, "bits_a"), a).join(side(b, "bits_b"), b)
             .select(a, b, tanimoto("bits_a", "bits_b").alias("similarity_score")))

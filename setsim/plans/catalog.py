@@ -289,6 +289,11 @@ def q_fingerprint_structures(spark, d):
     return _text_bits(_ws(spark, d).fingerprints(), "chembl_id")
 
 
+def q_fingerprint_rolling(spark, d):
+    ws = _ws(spark, d)
+    return _text_bits(fingerprint.fingerprint_structures(ws.structures, partitions=ws.tasks(), method="rolling"), "chembl_id")
+
+
 def q_fingerprint_failures(spark, d):
     return fingerprint.fingerprint_counts(_ws(spark, d).structures)
 
@@ -440,6 +445,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fingerprint_documents": q_fingerprint_documents,
         "graph_fingerprint": q_graph_fingerprint,
         "fingerprint_structures": q_fingerprint_structures,
+        "fingerprint_rolling": q_fingerprint_rolling,
         "fingerprint_failures": q_fingerprint_failures,
         "fingerprint_bit_counts": q_fingerprint_bit_counts,
         "tanimoto_pairs": q_tanimoto_pairs,

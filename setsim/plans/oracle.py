@@ -71,6 +71,10 @@ CTE.update({
     "sample": f"SELECT chembl_id, canonical_smiles FROM structures ORDER BY chembl_id LIMIT {SAMPLE}",
     "sample_fp": f"SELECT chembl_id, {_FP} AS bits FROM sample WHERE {_VALID}",
     "fp": "SELECT chembl_id, bits FROM fp_all WHERE bits IS NOT NULL",
+    # windows hashed by arithmetic: one list for each radius
+    "ring0": (
+        "SELECT *, list_transform(c, lambda x: (x * 69621 + 1) % 2147483647) AS h0 FROM (SELECT chembl_id, "
+        f"list_transform(string_split({_T}, ''), lambda x: unicode(x)::BIGINT) AS c FROM structures WHERE {_VALID})"),
     "src": f"SELECT chembl_id, bits FROM fp ORDER BY chembl_id LIMIT {COUNT}",
     "scored": (
         "SELECT s.chembl_id AS source_chembl_id, t.chembl_id AS target_chembl_id, "
@@ -131,6 +135,13 @@ _DEPS: dict[str, tuple[str, ...]] = {
     "both_edges": ("graph_edges",), "h0": ("graph_nodes",),
 }
 
+_DEPS["ring0"] = ("structures",)
+for _k in range(1, RADIUS + 1):
+    CTE[f"ring{_k}"] = (
+        f"SELECT *, list_transform(h{_k - 1}, lambda h, i: (h * 48271 + CASE WHEN i > {_k} THEN c[i - {_k}] + 1 ELSE 0 END * 69621 "
+        f"+ CASE WHEN i + {_k} <= len(c) THEN c[i + {_k}] + 1 ELSE 0 END * 1583458089 + {_k}) % 2147483647) AS h{_k} FROM ring{_k - 1}")
+    _DEPS[f"ring{_k}"] = (f"ring{_k - 1}",)
+
 for _k in range(1, RADIUS + 1):
     _prev = f"h{_k - 1}"
     CTE[f"agg{_k}"] = (
@@ -360,6 +371,9 @@ def oracle_sql() -> dict[str, str]:
         "length_violations": _length_sql(),
         # fingerprints
         "string_fingerprint": with_ctes(f"SELECT chembl_id, {fp_text} AS fingerprint_on_bits FROM fp_all", "fp_all"),
+        "fingerprint_rolling": with_ctes(
+            f"SELECT chembl_id, {_bits_text(f'list_sort(list_distinct(list_transform(h0 || h1 || h2, lambda h: h % {N_BITS})))')} "
+            "AS fingerprint_on_bits FROM ring2", "ring2"),
         "fingerprint_structures": with_ctes(f"SELECT chembl_id, {fp_text} AS fingerprint_on_bits FROM fp", "fp"),
         "fingerprint_failures": with_ctes(
             "SELECT CAST(count(bits) AS BIGINT) AS written, CAST(count(*) - count(bits) AS BIGINT) AS failed "

@@ -226,8 +226,8 @@ def full_refresh(spark: SparkSession, release: dict[str, DataFrame], out_dir: st
     def fact_table() -> dict:
         top = similarity.compute_top_k(sources, targets, k, n_sources, written, n_bits)
         # Staged, so the FK check reads the written rows, not the ranking again.
-        staged, _ = mart.write_fact_similarity(top, join(out, "gold/_fact_staged"))
-        bad = materialize(quality.fk_violations(staged, dim)
+        staged, rows = mart.write_fact_similarity(top, join(out, "gold/_fact_staged"))
+        bad = materialize(quality.fk_violations(staged, dim, rows)
                           .select("source_chembl_id", "target_chembl_id").distinct(), "fk_violations")
         n_bad = bad.count()
         if fk_mode == "fail" and n_bad:
