@@ -140,6 +140,14 @@ def q_fetch_structures(spark, d):
 
 
 def q_structures_page(spark, d):
+    """A page by offset, through the count index of the table in key ranges."""
+    ws = _ws(spark, d)
+    paged = readers.write_paged(ws.structures, scratch_path(spark, "structures_paged"), "chembl_id", ws.tasks())
+    return paged.page(offset=100, size=500)
+
+
+def q_structures_offset(spark, d):
+    """The same page by sorting everything before it."""
     ws = _ws(spark, d)
     return readers.fetch_structures_page(ws.bronze("molecule_dictionary"), ws.bronze("compound_structures"),
                                          offset=100, batch_size=500)
@@ -248,6 +256,13 @@ def q_full_similarity_partitioned(spark, d):
     return spark.read.schema(schemas.FULL_SCORES).parquet(path)
 
 
+def q_full_similarity_clustered(spark, d):
+    ws = _ws(spark, d)
+    path = scratch_path(spark, "full_similarity_clustered")
+    writers.write_full_similarity(ws.sources(), ws.packed(), path, COUNT, ws.n_fingerprints, layout="clustered")
+    return spark.read.schema(schemas.FULL_SCORES).parquet(path)
+
+
 def q_add_missing_column(spark, d):
     props = _ws(spark, d).bronze("compound_properties").drop("full_mwt")
     out = conform.add_column_if_missing(props, "full_mwt", schemas.COMPOUND_PROPERTIES.col("full_mwt").dtype)
@@ -418,6 +433,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sample_structures": q_sample_structures,
         "fetch_structures": q_fetch_structures,
         "structures_page": q_structures_page,
+        "structures_offset": q_structures_offset,
         "structures_after": q_structures_after,
         "csv_roundtrip": q_csv_roundtrip,
         "csv_by_name": q_csv_by_name,
@@ -436,6 +452,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_similarity": q_fact_similarity,
         "fingerprints_export": q_fingerprints_export,
         "full_similarity_partitioned": q_full_similarity_partitioned,
+        "full_similarity_clustered": q_full_similarity_clustered,
         "add_missing_column": q_add_missing_column,
         "pk_violations": q_pk_violations,
         "not_null_violations": q_not_null_violations,

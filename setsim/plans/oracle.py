@@ -307,6 +307,8 @@ def oracle_sql() -> dict[str, str]:
         "fetch_structures": with_ctes("SELECT chembl_id, canonical_smiles FROM structures", "structures"),
         "structures_page": with_ctes("SELECT chembl_id, canonical_smiles FROM structures "
                                      "ORDER BY chembl_id LIMIT 500 OFFSET 100", "structures"),
+        "structures_offset": with_ctes("SELECT chembl_id, canonical_smiles FROM structures "
+                                       "ORDER BY chembl_id LIMIT 500 OFFSET 100", "structures"),
         "structures_after": with_ctes("SELECT chembl_id, canonical_smiles FROM structures WHERE chembl_id > 'P1500' "
                                       "ORDER BY chembl_id LIMIT 300", "structures"),
         "csv_roundtrip": with_ctes("FROM sample", "sample"),
@@ -357,6 +359,8 @@ def oracle_sql() -> dict[str, str]:
         "fingerprints_export": with_ctes(f"SELECT chembl_id, {fp_text} AS fingerprint_on_bits FROM fp", "fp"),
         "full_similarity_partitioned": with_ctes(
             "SELECT source_chembl_id, target_chembl_id, similarity_score FROM scored", "scored"),
+        "full_similarity_clustered": with_ctes(
+            "SELECT source_chembl_id, target_chembl_id, similarity_score FROM scored", "scored"),
         "add_missing_column": with_ctes(
             "SELECT molregno, mw_freebase, CAST(NULL AS DOUBLE) AS full_mwt, alogp, hba, hbd, psa, aromatic_rings, "
             "heavy_atoms, qed_weighted FROM compound_properties", "compound_properties"),

@@ -81,6 +81,59 @@ def fetch_structures_page(dictionary: DataFrame, structures: DataFrame, offset:
     return df.orderBy("chembl_id").offset(int(offset)).limit(int(batch_size))
 
 
+RANGE = "_range"
+
+
+@dataclass(frozen=True)
+class PagedTable:
+    """S7 through a count index: a table in key ranges, each a folder, with the
+    rows and the first key of every range.  A page is found by its offset in the
+    index; only the ranges it lies in are read and sorted."""
+
+    table: DataFrame
+    key: str
+    index: tuple[tuple[int, int, object], ...]  # range, rows, first key
+
+    def _rows(self, ranges: list[int], offset: int, size: int) -> DataFrame:
+        near = self.table.filter(F.col(RANGE).isin(ranges) if ranges else F.lit(False)).drop(RANGE)
+        return near.orderBy(self.key).offset(int(offset)).limit(int(size))
+
+    def page(self, offset: int, size: int) -> DataFrame:
+        ranges, first, start = [], 0, 0
+        for number, rows, _ in self.index:
+            if start < offset + size and start + rows > offset:
+                first = first if ranges else start
+                ranges.append(number)
+            start += rows
+        return self._rows(ranges, offset - first if ranges else 0, size)
+
+    def after(self, last: object, size: int) -> DataFrame:
+        """The page that follows the key ``last``, as far as the ranges that can hold it."""
+        ranges, held = [], 0
+        for i, (number, rows, _) in enumerate(self.index):
+            upto = self.index[i + 1][2] if i + 1 < len(self.index) else None
+            if (upto is None or last is None or upto > last) and held < size:
+                # The first range may lie before ``last`` in part or whole.
+                held += rows if ranges else 0
+                ranges.append(number)
+        near = self.table.filter(F.col(RANGE).isin(ranges) if ranges else F.lit(False)).drop(RANGE)
+        return (near if last is None else near.filter(F.col(self.key) > F.lit(last))).orderBy(self.key).limit(int(size))
+
+
+def open_paged(spark: SparkSession, path: str, key: str, schema: T.StructType) -> PagedTable:
+    """The paged table at ``path``; its index is one row for each range."""
+    table = spark.read.schema(T.StructType([*schema.fields, T.StructField(RANGE, T.IntegerType())])).parquet(path)
+    index = table.groupBy(RANGE).agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("first")).orderBy(RANGE).collect()
+    return PagedTable(table, key, tuple((r[RANGE], r["rows"], r["first"]) for r in index))
+
+
+def write_paged(df: DataFrame, path: str, key: str, ranges: int) -> PagedTable:
+    """Range-partition ``df`` by ``key`` (unique) into about ``ranges`` sorted folders."""
+    placed = df.repartitionByRange(int(ranges), F.col(key).asc()).withColumn(RANGE, F.spark_partition_id())
+    placed.sortWithinPartitions(RANGE, key).write.mode("overwrite").partitionBy(RANGE).parquet(path)
+    return open_paged(df.sparkSession, path, key, df.schema)
+
+
 def fetch_structures_after(dictionary: DataFrame, structures: DataFrame, last_id: str | None,
                            batch_size: int) -> DataFrame:
     """S7 by key: the page that follows ``last_id``.  Each task keeps one page at
@@ -204,6 +257,7 @@ def preview_tables(release: dict[str, DataFrame], n: int = 5) -> DataFrame:
 
 __all__ = [
     "EXTRACT_COLUMNS", "ORDER_KEY", "fetch_structures", "fetch_structures_page",
-    "CsvRows", "load_molecules_csv", "preview_tables", "pull_sample", "read_csv_by_name",
+    "CsvRows", "PagedTable", "load_molecules_csv", "open_paged", "preview_tables", "pull_sample", "read_csv_by_name",
     "read_parquet_columns", "read_release", "read_release_jdbc", "scan_extract", "structures_with_ids", "schemas",
+    "write_paged",
 ]

@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from setsim.sources.readers import EXTRACT_COLUMNS, scan_extract
@@ -111,26 +111,46 @@ ROWS_PER_FILE = 1_000_000
 SOURCES_PER_TASK = 16
 
 
+LAYOUTS = ("folders", "clustered")
+#: Rows of a row group are about this many bytes before compression.
+ROW_GROUP_BYTES = 16 << 20
+
+
 def write_full_similarity(sources: DataFrame, targets: DataFrame, uri: str, n_sources: int, n_targets: int,
                           n_bits: int | None = None, rows_per_file: int = ROWS_PER_FILE,
-                          sources_per_task: int = SOURCES_PER_TASK) -> int:
-    """K5: the full score tables, one directory per source; returns the rows.
-
-    Layout ``uri/source_chembl_id=<id>/part-*.parquet`` holding
-    ``(target_chembl_id, similarity_score)`` sorted by target.  A task scores one
-    block of sources against one block of targets and writes what it scored:
-    the pairs are never shuffled, and each source has one file for each block of
-    ``rows_per_file`` targets.
+                          sources_per_task: int = SOURCES_PER_TASK, layout: str = "folders") -> int:
+    """K5: the full score tables; returns the rows.
+
+    A task scores one block of sources against one block of targets and writes
+    what it scored, sorted by source and target: the pairs are never shuffled.
+    ``folders``: ``uri/source_chembl_id=<id>/part-*.parquet``, one file of a source
+    for each block of ``rows_per_file`` targets.  ``clustered``, for many sources: one
+    file for each pair of blocks, in small row groups; the sorted sources, their
+    dictionaries and a Bloom filter on them let a reader of one source skip the
+    others' row groups, without a folder for each (``sources_of`` reads it).
     """
     from setsim.operators.fingerprint import DEFAULT_N_BITS
     from setsim.operators.similarity import compute_full_similarity, pair_blocks
 
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
     blocks = pair_blocks(sources.sparkSession, n_sources, n_targets, source_block=sources_per_task,
                          target_block=rows_per_file)
     scored = compute_full_similarity(sources, targets, n_sources, n_targets,
                                      DEFAULT_N_BITS if n_bits is None else n_bits, blocks)
-    return write_counted(scored.sortWithinPartitions("source_chembl_id", "target_chembl_id"), uri,
-                         partition_by=["source_chembl_id"])
+    scored = scored.sortWithinPartitions("source_chembl_id", "target_chembl_id")
+    if layout == "folders":
+        return write_counted(scored, uri, partition_by=["source_chembl_id"])
+    column = "source_chembl_id"
+    return write_counted(scored, uri, options={
+        "parquet.block.size": str(ROW_GROUP_BYTES), f"parquet.bloom.filter.enabled#{column}": "true",
+        f"parquet.bloom.filter.expected.ndv#{column}": str(sources_per_task)})
+
+
+def sources_of(spark: SparkSession, uri: str, ids: list[str]) -> DataFrame:
+    """K5: the scores of the named sources, from either layout."""
+    from setsim.schemas import FULL_SCORES
+    return spark.read.schema(FULL_SCORES).parquet(uri).filter(F.col("source_chembl_id").isin(list(ids))).select(*FULL_SCORES.names)
 
 
 def upload_uri(bucket: str, key: str, scheme: str = "s3a") -> str:
