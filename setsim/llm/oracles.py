@@ -107,31 +107,57 @@ _KINDS = {
 }
 
 
-def _found(number: int, kind: str, pattern: str, check: str) -> str:
+#: The added kinds: pattern, check, prior and context.  The patterns' word
+#: boundaries are those of ASCII.
+_EDGE = "(^|[^A-Za-z0-9_])"
+_MORE_KINDS = {
+    "iban": (r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
+             "length(replace(v, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0, list_transform("
+             "string_split(substr(replace(v, ' ', ''), 5) || substr(v, 1, 4), ''), lambda c: "
+             "CASE WHEN c BETWEEN '0' AND '9' THEN c::INT ELSE unicode(c) - 55 END)), "
+             "lambda x, y: (x * CASE WHEN y > 9 THEN 100 ELSE 10 END + y) % 97) = 1", 0.8, "iban|bank|account|transfer|swift|bic"),
+    "key": (r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b", "true", 0.8, "key|aws|access|credential|secret"),
+    "secret": (r"[A-Za-z0-9+/_-]{16,}",
+               "regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= 8",
+               0.4, "token|password|passwd|pwd|secret|api.?key|auth|bearer|credential"),
+    "national": (r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+                 "v[1:3] NOT IN ('000', '666') AND v[1] <> '9' AND v[5:6] <> '00' AND v[8:11] <> '0000'",
+                 0.4, "ssn|social|security|taxpayer|tin"),
+    "routing": (r"\b[0-9]{9}\b",
+                "v <> '000000000' AND (3 * (v[1]::INT + v[4]::INT + v[7]::INT) + 7 * (v[2]::INT + v[5]::INT + v[8]::INT) "
+                "+ v[3]::INT + v[6]::INT + v[9]::INT) % 10 = 0", 0.35, "routing|aba|rtn|bank|transit"),
+}
+_ALL_KINDS = [*_KINDS, *_MORE_KINDS]
+
+
+def _found(kind: str, pattern: str, check: str, prior: float = 1.0, context: str = "") -> str:
     """Matches with their offsets: the pieces and matches before, and the piece between."""
+    near = f"regexp_matches(right(p, 40) || ' ' || left(q, 40), '(?i){_EDGE}({context})')"
+    scored = f" AND {prior} + CASE WHEN {near} THEN 0.2 ELSE 0 END >= 0.5" if context else ""
     return f"""
-SELECT doc_id, {number} AS k, '{kind}' AS kind, s AS start, s + length(v) AS stop FROM (
-  SELECT doc_id, v, regexp_replace(v, '[^0-9]', '', 'g') AS d,
+SELECT doc_id, {_ALL_KINDS.index(kind)} AS k, '{kind}' AS kind, s AS start, s + length(v) AS stop FROM (
+  SELECT doc_id, v, p, q, regexp_replace(v, '[^0-9]', '', 'g') AS d,
          (sum(length(p) + length(v)) OVER (PARTITION BY doc_id ORDER BY i) - length(v))::BIGINT AS s
-  FROM (SELECT doc_id, unnest(m) AS v, unnest(string_split_regex(text, '{pattern}')[1:len(m)]) AS p, generate_subscripts(m, 1) AS i
-        FROM (SELECT doc_id, text, regexp_extract_all(text, '{pattern}') AS m FROM documents WHERE text IS NOT NULL)))
-WHERE {check}"""
+  FROM (SELECT doc_id, unnest(m) AS v, unnest(pieces[1:len(m)]) AS p, unnest(pieces[2:len(m) + 1]) AS q, generate_subscripts(m, 1) AS i
+        FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS pieces
+              FROM documents WHERE text IS NOT NULL)))
+WHERE {check}{scored}"""
 
 
-#: The base kinds; the added IBAN spans are checked in the tests.
+_COUNTS = "".join(f", coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in _MORE_KINDS)
+
 OP7 = f"""
-WITH found AS ({" UNION ALL ".join(_found(n, k, *v) for n, (k, v) in enumerate(_KINDS.items()))}),
+WITH found AS ({" UNION ALL ".join([*(_found(k, *v) for k, v in _KINDS.items()), *(_found(k, *v) for k, v in _MORE_KINDS.items())])}),
 listed AS (
-  SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
-         count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+  SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in _ALL_KINDS)},
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) FILTER (k < {len(_KINDS)}) AS base,
          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS spans FROM found GROUP BY doc_id)
 SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip,
        coalesce(n_card, 0)::BIGINT AS n_card, coalesce(n_phone, 0)::BIGINT AS n_phone,
-       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans, 0::BIGINT AS n_iban
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans{_COUNTS}
 FROM documents LEFT JOIN listed USING (doc_id)
 """
 
-
 _TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP12 = f"""
