@@ -6,10 +6,11 @@ padded with spaces so that it matches whole words only.  A document is scanned
 once, and each match is mapped back to words and to code-point offsets of the
 original text.
 
-The benchmark is the small side by nature, yet its size is checked: patterns
-are packed into automata of at most ``max_pattern_bytes``.  One automaton is
-the normal case; a larger benchmark is scanned automaton by automaton over
-written steps, with the same results.
+The benchmark is the small side by nature, yet its size is checked: Spark cuts the
+items into patterns and deals these by hash to blocks of about
+``max_pattern_bytes`` (an automaton takes some 45 times that).  One block is the
+normal case; a larger benchmark is scanned block by block over written steps, with
+the same results.  The driver holds one block at a time.
 
 Defined results: a null or wordless text has no words and no hits; a null or
 wordless item has no window; an item with a null id marks words but is not
@@ -33,7 +34,7 @@ from pyspark.sql import types as T
 from setsim.llm.common import row_slices, small_batches, write_step
 
 WINDOW = 10
-MAX_PATTERN_BYTES = 64 << 20
+MAX_PATTERN_BYTES = 4 << 20
 
 #: A-Z to a-z; every other ASCII character that is no letter or digit to space.
 _NORMAL = bytes(
@@ -52,24 +53,34 @@ def item_windows(raw: bytes | None, window: int) -> list[bytes]:
     return list(dict.fromkeys(b" ".join(w) for w in spans))
 
 
-def pattern_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int,
-                   max_bytes: int) -> list[dict[str, tuple[int, tuple]]]:
-    """Patterns -> (number of words, item ids), in blocks of bounded bytes."""
-    blocks: list[dict] = [{}]
-    size = 0
-    rows = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).cast("binary").alias("text"))
-    for item, raw in rows.orderBy("item", "text").toLocalIterator():
-        for w in item_windows(bytes(raw) if raw is not None else None, window):
-            key = f" {w.decode('latin-1')} "
-            n, ids = blocks[-1].get(key, (w.count(b" ") + 1, ()))
-            if item is not None and item not in ids:
-                ids += (item,)
-            blocks[-1][key] = (n, ids)
-            size += len(key)
-        if size > max_bytes:
-            blocks.append({})
-            size = 0
-    return [b for b in blocks if b]
+def _windows(window: int):
+    """Rows (gram, item): the windows of the items."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in row_slices(batches, "text", 1 << 18):
+            items, grams = [], []
+            for item, raw in zip(batch.column(batch.schema.names.index("item")).to_pylist(), texts, strict=True):
+                found = item_windows(raw, window)
+                items += [item] * len(found)
+                grams += found
+            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.binary()), pa.array(items, pa.string())], ["gram", "item"])
+    return run
+
+
+def pattern_table(benchmark: DataFrame, item_col: str, text_col: str, window: int, max_bytes: int) -> tuple[DataFrame, int]:
+    """(gram, items, block) of the distinct windows, written, and the number of blocks."""
+    rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+    grams = write_step(rows.mapInArrow(_windows(window), "gram binary, item string").groupBy("gram").agg(
+        F.array_sort(F.collect_set("item")).alias("items")), "patterns")
+    size = F.length("gram") + 2 + 8 * F.size("items")
+    n_blocks = -(-(grams.agg(F.sum(size)).first()[0] or 0) // max_bytes)
+    return grams.withColumn("block", F.pmod(F.xxhash64("gram"), F.lit(max(1, n_blocks)))), n_blocks
+
+
+def patterns_of(grams: DataFrame, block: int) -> dict[str, tuple[int, tuple]]:
+    """Pattern -> (number of words, item ids) of one block."""
+    held = grams.filter(F.col("block") == block).select("gram", "items").toArrow()
+    return {f" {g.decode('latin-1')} ": (g.count(b" ") + 1, tuple(ids))
+            for g, ids in zip(held.column("gram").to_pylist(), held.column("items").to_pylist(), strict=True)}
 
 
 def scan(raw: bytes | None, automaton) -> tuple[int, list[tuple[int, int]], list]:
@@ -122,16 +133,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, text_col: str =
     ``spans`` (hit ranges as words and as code points of the original)."""
     spark = docs.sparkSession
     small_batches(spark)
-    blocks = pattern_blocks(benchmark, item_col, item_text_col, window, max_pattern_bytes)
+    grams, n_blocks = pattern_table(benchmark, item_col, item_text_col, window, max_pattern_bytes)
     out = docs.drop(*_RESULT)
     kept = out.columns
     schema = T.StructType(out.schema.fields + T._parse_datatype_string(
         f"n_words bigint, n_hit bigint, items array<string>, spans {SPANS}").fields)
-    for k, patterns in enumerate(blocks or [{}]):
-        shared = spark.sparkContext.broadcast(patterns)
+    for k in range(max(1, n_blocks)):
+        shared = spark.sparkContext.broadcast(patterns_of(grams, k) if n_blocks else {})
         out = out.mapInArrow(_scanner(shared, text_col, kept, k > 0), schema)
-        if k + 1 < len(blocks):
+        if k + 1 < n_blocks:
             out = write_step(out, f"decontaminate-{k}")
+            shared.unpersist()
     return out
 
 
