@@ -25,7 +25,9 @@ from __future__ import annotations
 
 import json
 import math
+from bisect import bisect_right
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,18 +94,20 @@ def _narrow(rows: DataFrame, group: str | None, key: str, open_brackets: dict[in
         bins: dict = {}
         for r in counted.collect():  # at most 2**PROBE_BITS rows
             bins.setdefault((r["g"], r["p"] >> bits), []).append(r)
+        # Bytes and rows up to each bin, once; each target then is a binary search.
+        for held in bins.values():
+            held.sort(key=lambda r: r["p"])
+        upto = {k: (list(accumulate(r["bytes"] for r in held)), list(accumulate(r["n"] for r in held))) for k, held in bins.items()}
         following = []
         for g, b in state:
-            total, count = b.bytes_below, b.rows_below
-            for r in sorted(bins[g, b.prefix], key=lambda r: r["p"]):
-                if (total + r["bytes"]) * n_parts > b.target:
-                    now = _Bracket(b.target, r["p"], total, count)
-                    if r["least"] == r["most"]:
-                        yield g, now, r["least"], r["bytes"], r["n"]
-                    else:
-                        following.append((g, now))
-                    break
-                total, count = total + r["bytes"], count + r["n"]
+            held, (size, count) = bins[g, b.prefix], upto[g, b.prefix]
+            i = bisect_right(size, b.target // n_parts - b.bytes_below)
+            r = held[i]
+            now = _Bracket(b.target, r["p"], b.bytes_below + size[i] - r["bytes"], b.rows_below + count[i] - r["n"])
+            if r["least"] == r["most"]:
+                yield g, now, r["least"], r["bytes"], r["n"]
+            else:
+                following.append((g, now))
         state = following
         depth += bits
 
