@@ -173,8 +173,8 @@ def fit_language(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
         for batch, texts in row_slices(batches, "text"):
-            found = [grams.counts(t) for t in texts]
-            xs = [tfidf(c, idf) if c is not None else (np.zeros(0, np.int64), np.zeros(0)) for c in found]
+            # Only the columns in use are kept: a slice may hold thousands of short texts.
+            xs = [tfidf(c, idf) if (c := grams.counts(t)) is not None else (np.zeros(0, np.int64), np.zeros(0)) for t in texts]
             get = lambda c: batch.column(batch.schema.names.index(c))  # noqa: E731, B023
             yield pa.RecordBatch.from_arrays(
                 [get("id"), get("lang"), pa.array([u.astype(np.int32).tobytes() for u, _ in xs], pa.binary()),

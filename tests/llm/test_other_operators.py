@@ -190,6 +190,18 @@ def test_sharding_edges(edge, none, docs):
     sharding.write_shards(sharding.shard(docs, 8), path)
     back = docs.sparkSession.read.parquet(path)
     assert back.count() == docs.count() and back.select("shard").distinct().count() == 8
+    import zlib
+    texts = Counter((r["doc_id"], len((r["text"] or "").encode()) + 16, zlib.crc32((r["text"] or "").encode())) for r in docs.collect())
+    report = sharding.shard_digest(docs).collect()
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in report) == texts
+    assert {(r["law"], r["grown_shard"]) for r in report} == {("bytes", None)}
+    shard_bytes, total = Counter(), sum(r["size"] for r in report)
+    for r in report:
+        shard_bytes[r["shard"]] += r["size"]
+    for s in shard_bytes:
+        assert sorted(r["slot"] for r in report if r["shard"] == s) == list(range(sum(r["shard"] == s for r in report)))
+    most = max(r["size"] for r in report)
+    assert set(shard_bytes) <= set(range(40)) and all(abs(x - total / 40) <= 2 * 0.02 * total / 40 + most for x in shard_bytes.values())
     digest = sharding.shard_digest(edge)
     assert digest.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
 
@@ -215,6 +227,24 @@ def test_sharding_splits_a_group_of_equal_rows(spark):
         assert len(sizes) == 10 and max(sizes) < 1.05 * sum(sizes) / 10
 
 
+def test_splitters_equal_a_plain_prefix_sum(spark):
+    """Many ranges at once, against the sorted rows."""
+    r = np.random.default_rng(8)
+    rows = [(i, "x" * int(r.integers(0, 60)) + str(i % 700)) for i in range(3000)]
+    keys = sharding.keyed(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    total = sum(len(t) + 16 for _, t in rows)
+    ordered = sorted((key(t), key(i), len(t) + 16) for i, t in rows)
+    ends = np.cumsum([x[2] for x in ordered])
+    for n_parts in (7, 400):
+        found = sharding.find_splitters(keys, n_parts, total, 0.0)
+        for k, s in enumerate(found, 1):
+            # No other place between two rows is nearer to the target.
+            below = 0 if s.rows_below == 0 else int(ends[s.rows_below - 1])
+            best = min(abs(int(e) - total * k / n_parts) for e in [0, *ends])
+            assert abs(abs(below - total * k / n_parts) - best) < 1e-6
+            assert s.rows_below == sum((a, b) < (s.text, s.row) for a, b, _ in ordered) + s.copies
+
+
 # -- extraction -----------------------------------------------------------------
 
 @pytest.fixture(scope="module")
@@ -323,6 +353,25 @@ def test_language_on_held_out_rows(spark):
     assert (got.lang_pred == got.lang).mean() > 0.97
 
 
+def test_language_fit_holds_only_the_columns_in_use(spark):
+    """10,000 one-line texts in one task: a dense row each would take 2.6 GB."""
+    import resource
+    docs = spark.range(10_000).select(F.col("id").alias("doc_id"), F.format_string("line number %d of the text", "id").alias("text"),
+                                      F.when(F.col("id") % 2 == 0, "en").otherwise("xx").alias("lang")).coalesce(1)
+    from pyspark.sql import DataFrame
+    assert isinstance(docs, DataFrame)
+    model = langid.fit_language(docs, max_docs=8000)
+
+    def peak(batches):
+        import pyarrow as pa
+        for b in batches:
+            pass
+        yield pa.RecordBatch.from_pydict({"kb": [resource.getrusage(resource.RUSAGE_SELF).ru_maxrss]})
+
+    worst = max(r["kb"] for r in spark.range(8).repartition(8).mapInArrow(peak, "kb long").collect())
+    assert model is not None and worst < 1 << 20  # 1 GB in any Python worker, this one included
+
+
 def test_language_edges(spark, edge, none):
     got = {r["doc_id"]: r for r in langid.identify_language(edge, langid.fit_language(edge)).collect()}
     assert len(got) == 20 and got[6]["lang_pred"] == got[7]["lang_pred"] == got[8]["lang_pred"] == "und"

@@ -139,6 +139,23 @@ def test_equal_windows_have_equal_anchors():
             assert seen.setdefault(flat[i:i + 13].tobytes(), best[i]) == best[i]
 
 
+def test_a_large_benchmark_is_cut_into_blocks_by_spark(spark):
+    """5 MB of patterns: two blocks of about 2.5 MB each, one at a time, with the results of one."""
+    words = [f"word{i:06d}" for i in range(60_000)]
+    items = [(i, " ".join(words[i * 60:i * 60 + 70])) for i in range(990)] + [(5000, "two words"), (None, " ".join(words[:12]))]
+    bench = spark.createDataFrame(items, ITEMS)
+    grams, n_blocks = decontaminate.pattern_table(bench, "item_id", "text", 10, 4 << 20)
+    assert n_blocks == 2
+    sizes = [sum(map(len, decontaminate.patterns_of(grams, k))) for k in range(2)]
+    assert max(sizes) < 1.1 * min(sizes) and max(sizes) < 4 << 20
+    texts = [(1, " ".join(words[100:130])), (2, "no hit here"), (3, "Two, words!"), (4, None), (5, " ".join(words[:11]))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate.find_contamination(docs, bench).collect()}
+    assert got[1]["n_hit"] == 30 and got[2]["n_hit"] == 0 and got[4]["n_words"] == 0
+    assert got[3]["items"] == ["5000"] and got[5]["items"] == ["0"]
+    assert got[1]["items"] == sorted({str(i) for i in range(990) if set(range(i * 60, i * 60 + 61)) & set(range(100, 121))})
+
+
 def check_classes(got, docs):
     want = brute.jaccard_classes(docs)
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == want
