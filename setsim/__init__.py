@@ -7,7 +7,6 @@ Layout
 ``operators``  DataFrame operators: conform, quality checks, fingerprints,
                similarity search, mart and views
 ``plans``      end-to-end refresh, the query catalogue and its SQL oracles
-``streaming``  (intentionally thin; the workload is batch)
 """
 
 from setsim.session import get_spark, scratch_path
