@@ -9,7 +9,8 @@ may be learnt from; the weights from a bounded sample of them, at most
 
 Defined results: ``und`` with score 0 for a text that is null or has no letter,
 and for every text when there is nothing to learn from; rows without a language
-or id are not learnt from; extra columns pass through unless named like a
+or id are not learnt from, of several texts under an id and language at most one, by
+hash, for the weights; extra columns pass through unless named like a
 result column, which replaces them.
 """
 
@@ -142,7 +143,8 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
 def fit_language(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                  max_docs: int = MAX_DOCS) -> LanguageModel | None:
     """Model from the rows that have a language and are not held out."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")) \
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"),
+                       F.col(lang_col).cast("string").alias("lang")) \
         .filter("id is not null and lang is not null and text is not null").filter(~held_out(F.col("id")))
     counts = dict(rows.groupBy("lang").count().collect())  # one row for each language
     if not counts:
@@ -177,12 +179,15 @@ def fit_language(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             xs = [tfidf(c, idf) if (c := grams.counts(t)) is not None else (np.zeros(0, np.int64), np.zeros(0)) for t in texts]
             get = lambda c: batch.column(batch.schema.names.index(c))  # noqa: E731, B023
             yield pa.RecordBatch.from_arrays(
-                [get("id"), get("lang"), pa.array([u.astype(np.int32).tobytes() for u, _ in xs], pa.binary()),
-                 pa.array([x.astype(np.float32).tobytes() for _, x in xs], pa.binary())], ["id", "lang", "used", "x"])
+                [get("id"), get("version"), get("lang"), pa.array([u.astype(np.int32).tobytes() for u, _ in xs], pa.binary()),
+                 pa.array([x.astype(np.float32).tobytes() for _, x in xs], pa.binary())],
+                ["id", "version", "lang", "used", "x"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    found = sample.mapInArrow(vectors, f"id {id_type}, lang string, used binary, x binary") \
-        .filter(F.length("used") > 0).dropDuplicates(["id", "lang"]).orderBy(F.xxhash64(F.col("id").cast("string")), "lang").collect()
+    # Of several texts under one id and language the one of the smallest hash.
+    found = sample.mapInArrow(vectors, f"id {id_type}, version long, lang string, used binary, x binary") \
+        .filter(F.length("used") > 0).groupBy("id", "lang").agg(F.min_by(F.struct("used", "x"), "version").alias("v")) \
+        .select("id", "lang", "v.*").orderBy(F.xxhash64(F.col("id").cast("string")), "lang").collect()
     if not found:
         return None
     languages = sorted({r["lang"] for r in found})

@@ -337,6 +337,59 @@ def test_quality_never_learns_from_held_out_rows(spark):
     assert np.array_equal(one.weights, two.weights) and one.cut == two.cut
 
 
+def test_quality_fit_and_score_restated_with_plain_loops(spark):
+    """Gradient descent on the same pairs, a loop for the cut and for every score."""
+    r = np.random.default_rng(4)
+    good = [" ".join("abcdefgh"[int(x)] * int(r.integers(2, 9)) for x in r.integers(0, 8, 40)) + "." for _ in range(30)]
+    bad = [" ".join("|#" * int(r.integers(1, 4)) + "zz" for _ in range(int(r.integers(3, 30)))) for _ in range(20)]
+    good[:3], bad[:3] = bad[3:6], good[3:6]  # labels that the texts contradict
+    x1, x0 = quality.feature_matrix([t.encode() for t in good]), quality.feature_matrix([t.encode() for t in bad])
+    share = 0.3
+    model = quality.fit_pairs(x1, x0, share, n_pairs=800, ridge=1.0, seed=7)
+    both = [list(row) for row in [*x1, *x0]]
+    width = len(both[0])
+    mean = [sum(row[k] for row in both) / len(both) for k in range(width)]
+    spread = [math.sqrt(sum((row[k] - mean[k]) ** 2 for row in both) / len(both)) + 1e-6 for k in range(width)]
+    norm = [[max(-6.0, min(6.0, (row[k] - mean[k]) / spread[k])) for k in range(width)] for row in both]
+    draw = np.random.default_rng(7)
+    left, right = draw.integers(len(good), size=800), draw.integers(len(bad), size=800)
+    pairs = [[a - b for a, b in zip(norm[i], norm[len(good) + j], strict=True)] for i, j in zip(left, right, strict=True)]
+
+    def slope_at(w):
+        out = [-x for x in w]
+        for d in pairs:
+            lose = 1 / (1 + math.exp(min(30, max(-30, sum(a * b for a, b in zip(d, w, strict=True))))))
+            out = [o + lose * a for o, a in zip(out, d, strict=True)]
+        return out
+
+    # The loss is convex: where its slope is nil stands the only best fit.
+    assert max(map(abs, slope_at(model.weights.tolist()))) < 1e-4
+    raw = [sum(a * b for a, b in zip(row, model.weights, strict=True)) for row in norm]
+    weights = [(1 - share) / len(good)] * len(good) + [share / len(bad)] * len(bad)
+    below, cut = 0.0, None
+    for s, w in sorted(zip(raw, weights, strict=True)):
+        below += w
+        if cut is None and below >= share - 1e-12:
+            cut = s
+    assert math.isclose(model.cut, cut, abs_tol=1e-9)
+    for row, s, got in zip(both, raw, model.score(np.array(both)), strict=True):
+        z = max(-30.0, min(30.0, model.slope * (s - cut)))
+        assert math.isclose(got, 1 / (1 + math.exp(-z) * 0.3 / 0.7), abs_tol=1e-9) and (got >= 0.7 - 1e-12) == (s >= cut - 1e-12)
+
+
+def test_fits_do_not_depend_on_the_order_of_rows(spark):
+    """Several texts under one id: the same one is taken wherever the rows lie."""
+    texts = ["plain words in a row", "| # | # zz", "other words, more of them here", "|||| #### zz zz"]
+    rows = [(i, texts[(i + k) % 4] + f" {k}", "ab"[i % 2]) for i in range(60) for k in range(3)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    fits = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string").repartition(3)
+        q, lang = quality.fit_quality(docs, labels), langid.fit_language(docs)
+        fits.append((q.weights, q.cut, lang.weights, lang.temperature))
+    assert all(np.array_equal(a, b) for a, b in zip(*fits, strict=True))
+
+
 def test_quality_edges(spark, edge, none):
     labels = spark.createDataFrame([(i, q) for i, q in [(1, 1), (2, 1), (4, 0), (4, 1), (6, 0), (9, None), (None, 1), (15, 0), (16, 1)]],
                                    "doc_id long, quality int")
@@ -353,6 +406,56 @@ def test_language_on_held_out_rows(spark):
     assert (got.lang_pred == got.lang).mean() > 0.97
 
 
+def test_language_fit_and_score_restated_with_plain_loops():
+    """FTRL-proximal with one weight at a time, from dictionaries."""
+    grams = langid.Grams()
+    texts = [("the house and the tree", 0), ("das haus und der baum", 1), ("a house in the wood", 0), ("ein haus im wald", 1),
+             ("the tree of the wood", 0), ("der baum im wald", 1)]
+    counts = [grams.counts(t.encode()) for t, _ in texts]
+    df = np.sum([c > 0 for c in counts], axis=0)
+    idf = np.log((1 + len(texts)) / (1 + df)) + 1
+    rows = [(*langid.tfidf(c, idf), y) for c, (_, y) in zip(counts, texts, strict=True)]
+    weights, bias = langid.ftrl(rows, 2, alpha=0.5, beta=1.0, l1=0.02, l2=0.05, epochs=3, seed=7)
+
+    plain = []  # TF-IDF by dictionaries
+    for c, (_, y) in zip(counts, texts, strict=True):
+        v = {k: math.log1p(int(c[k])) * (math.log((1 + len(texts)) / (1 + int(df[k]))) + 1) for k in range(len(c)) if c[k]}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        plain.append(({k: x / size for k, x in v.items()} | {"bias": 1.0}, y))
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(k, j):
+        lasso = 0.0 if k == "bias" else 0.02
+        if abs(z[k, j]) <= lasso:
+            return 0.0
+        return -(z[k, j] - math.copysign(lasso, z[k, j])) / ((1.0 + math.sqrt(n[k, j])) / 0.5 + 0.05)
+
+    def chances(v):
+        e = [math.exp(sum(x * weight(k, j) for k, x in v.items())) for j in range(2)]
+        return [x / sum(e) for x in e]
+
+    order = np.random.default_rng(7)
+    for _ in range(3):
+        for i in order.permutation(len(plain)):
+            v, y = plain[i]
+            p = chances(v)
+            before = {(k, j): weight(k, j) for k in v for j in range(2)}
+            for k, x in v.items():
+                for j in range(2):
+                    g = x * (p[j] - (j == y))
+                    z[k, j] += g - (math.sqrt(n[k, j] + g * g) - math.sqrt(n[k, j])) / 0.5 * before[k, j]
+                    n[k, j] += g * g
+    for k in {k for v, _ in plain for k in v if k != "bias"}:
+        assert all(math.isclose(weights[k, j], weight(k, j), abs_tol=1e-5) for j in range(2))
+    assert all(math.isclose(bias[j], weight("bias", j), abs_tol=1e-9) for j in range(2))
+    assert np.count_nonzero(weights.any(axis=1)) <= len({k for v, _ in plain for k in v})
+    model = langid.LanguageModel(["en", "de"], idf, weights, bias, 1.5)
+    for (v, _), c in zip(plain, counts, strict=True):
+        e = [math.exp(sum(x * weight(k, j) for k, x in v.items()) / 1.5) for j in range(2)]
+        lang, score = model.predict(c)
+        assert lang == ["en", "de"][e.index(max(e))] and math.isclose(score, max(e) / sum(e), abs_tol=1e-5)
+
+
 def test_language_fit_holds_only_the_columns_in_use(spark):
     """10,000 one-line texts in one task: a dense row each would take 2.6 GB."""
     import resource
