@@ -319,6 +319,27 @@ def test_no_hard_rule_drops_article_text(trees):
     assert extract(trees, page) and (bare == page or extract(trees, bare) == extract(trees, page))
 
 
+def test_hand_written_pages_give_hand_written_text():
+    """References, white space and blocks, against text written by hand."""
+    pages = {
+        "<p>caf&eacute; &amp; th&#233; &#x1F600; &lt;b&gt; &amp;lt;</p>": "café & thé 😀 <b> &lt;",
+        "<h1>  One\n\ttwo </h1>\n\n<p>three<p>  four": "One two\nthree\nfour",
+        "<ul><li>a<li>b <em>c</em>d</ul><p></p><p> </p>e": "a\nb cd\ne",
+        "<div>out<div>in</div>after</div>": "out\nin\nafter",
+        "<p>x<!-- no -->y<script>z()</script><style>q{}</style></p>": "xy",
+        "<table><tr><td>1</td><td>2</td></tr><tr><td>3</td></tr></table>": None,
+        "<blockquote><p>He said <i>no</i>.</p></blockquote><h2>End</h2>": "He said no.\nEnd",
+        "": "",
+    }
+    for html, want in pages.items():
+        page = html_dom.parse(html)
+        got = html_dom.extract(page, np.ones(len(page.tag), bool))
+        if want is None:  # cells: their order, whichever way they are joined
+            assert got.split() == ["1", "2", "3"]
+        else:
+            assert got == want, html
+
+
 # -- classifiers ------------------------------------------------------------------
 
 def test_quality_on_held_out_rows(spark):
