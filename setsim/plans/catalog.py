@@ -404,13 +404,15 @@ def q_refresh_report(spark, d):
 
 
 def _refreshed(spark, d):
-    """A refresh of a release whose ids look like numbers."""
+    """A refresh of a release whose ids look like numbers: six digits or more, never
+    cut (a plain ``lpad`` takes 100000 and 1000001 for one id)."""
     ws = _ws(spark, d)
+    digits = F.col("molregno").cast("string")
 
     def build() -> DataFrame:
         release = dict(ws.release)
         release["molecule_dictionary"] = release["molecule_dictionary"].withColumn(
-            "chembl_id", F.lpad(F.col("molregno").cast("string"), 6, "0"))
+            "chembl_id", F.lpad(digits, F.greatest(F.length(digits), F.lit(6)), F.lit("0")))
         ws.refreshed = full_refresh(spark, release, fk_mode="drop")
         return ws.refreshed.tables["gold.fact_similarity"]
     return ws._once("refresh", build), ws

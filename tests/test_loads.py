@@ -336,3 +336,18 @@ def test_refresh_takes_up_an_unfinished_run(spark, monkeypatch):
         assert sorted(map(str, table.collect())) == sorted(map(str, other.tables[name].collect())), name
     # A finished run is not taken up again.
     assert refresh.full_refresh(spark, release, base, count=3, k=2, resume=True).resumed == []
+
+
+def test_ids_that_look_like_numbers_are_never_cut(spark, tmp_path):
+    """Keys of six and of seven digits: 100000 and 1000001 are two molecules."""
+    from setsim.plans import catalog
+    keys = [100_000, 1_000_001, 7, 12_345_678]
+    spark.createDataFrame([(k, f"part {k}", "Brand#1", "STEEL", 5, 1.5) for k in keys],
+                          "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+                          ).write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(1,)], "s_suppkey bigint").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(1,)], "c_custkey bigint").write.parquet(f"{tmp_path}/customer.parquet")
+    ids = {"000007", "100000", "1000001", "12345678"}
+    rows = catalog.q_refresh_full_similarity(spark, str(tmp_path)).collect()
+    assert {(r.source_chembl_id, r.target_chembl_id) for r in rows} == {(a, b) for a in ids for b in ids if a != b}
+    assert catalog.q_refresh_fact(spark, str(tmp_path)).count() == 12
