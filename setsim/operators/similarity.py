@@ -88,9 +88,13 @@ def packed_table(fingerprinted: DataFrame, n_bits: int = DEFAULT_N_BITS) -> Data
 
 
 def _side(packed: DataFrame, role: str) -> DataFrame:
+    """One side of the pairs.  Columns of a file are nullable whatever was written,
+    so the numbers are declared non-nullable again: with 64 null checks a pair the
+    compiled loop is several times slower."""
     w = word_count(packed)
-    return packed.select(F.col("chembl_id").alias(f"{role}_chembl_id"), F.col("n_on").alias(f"{role}_n_on"),
-                         *[F.col(f"{PACKED_PREFIX}{j}").alias(f"{role}_{PACKED_PREFIX}{j}") for j in range(w)])
+    zero = F.lit(0).cast("bigint")
+    return packed.select(F.col("chembl_id").alias(f"{role}_chembl_id"), F.coalesce("n_on", F.lit(0)).alias(f"{role}_n_on"),
+                         *[F.coalesce(f"{PACKED_PREFIX}{j}", zero).alias(f"{role}_{PACKED_PREFIX}{j}") for j in range(w)])
 
 
 @dataclass(frozen=True)

@@ -88,3 +88,11 @@ def test_joins_on_the_key_of_bronze_tables_exchange_nothing(spark):
         assert "Exchange" not in _explain(md.join(again, "molregno")) and again.count() == cs.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_words_of_a_stored_table_are_never_null_in_the_pairs(spark):
+    """What a file holds reads as nullable; null checks on 64 words a pair made the loop several times slower."""
+    packed = catalog.Workspace.get(spark, SF_SMOKE).packed()
+    for role in ("source", "target"):
+        fields = {f.name: f.nullable for f in similarity._side(packed, role).schema.fields}
+        assert len(fields) == 34 and [n for n, null in fields.items() if null] == [f"{role}_chembl_id"]
