@@ -398,6 +398,38 @@ def test_quality_fit_and_score_restated_with_plain_loops(spark):
         assert math.isclose(got, 1 / (1 + math.exp(-z) * 0.3 / 0.7), abs_tol=1e-9) and (got >= 0.7 - 1e-12) == (s >= cut - 1e-12)
 
 
+def test_quality_fit_takes_every_labelled_row_and_every_pair(spark):
+    """The loss over all pairs is least at the weights found, the cut is the exact
+    quantile of all scores; 60 labelled rows make 900 pairs, none drawn twice."""
+    from setsim.llm.common import held_out
+    r = np.random.default_rng(9)
+    kinds = [lambda: " ".join("abcdefgh"[int(x)] * int(r.integers(2, 9)) for x in r.integers(0, 8, 30)) + ".",
+             lambda: " ".join("|#" * int(r.integers(1, 4)) + "zz" for _ in range(int(r.integers(3, 30))))]
+    texts = [(i, kinds[(i + (i % 9 == 0)) % 2]()) for i in range(80)]  # some that their labels contradict
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(80)], "doc_id long, quality int")
+    model = quality.fit_quality(docs, labels)
+    learnt = {x[0] for x in labels.filter(~held_out(F.col("doc_id"))).select("doc_id").collect()}
+    x = quality.feature_matrix([t.encode() for i, t in texts if i in learnt])
+    good = np.array([i % 2 == 0 for i, _ in texts if i in learnt])
+    assert np.allclose(model.mean, x.mean(axis=0), atol=1e-8) and np.allclose(model.scale, x.std(axis=0) + 1e-6, atol=1e-8)
+    z = np.clip((x - model.mean) / model.scale, -6, 6)
+    pairs = (z[good][:, None, :] - z[~good][None, :, :]).reshape(-1, x.shape[1])
+    lose = 1 / (1 + np.exp(pairs @ model.weights))
+    slope = quality.N_PAIRS / len(pairs) * (pairs.T @ lose) - model.weights
+    assert np.abs(slope).max() < 0.05  # of a loss of 60,000 pairs; a draw of them misses by tens
+    s = np.sort(z @ model.weights)
+    assert math.isclose(model.cut, s[int((~good).sum()) - 1], abs_tol=1e-9)
+
+
+def test_quality_cut_among_equal_scores_and_many_rows(spark):
+    """More rows than are fetched at once; the cut is found whether scores repeat or not."""
+    rows = spark.range(20_000).selectExpr("cast(id % 2 as int) label", "array(cast(floor(id / 4) as double)) x").repartition(5)
+    for width, want in ((1, 2499.0), (5000, 0.0)):
+        got = quality._cut(rows, lambda x: x[:, 0] // width, 6000.0, np.array([0.5, 0.5]) / 10_000, 0.5)
+        assert abs(got - want) < 1e-8
+
+
 def test_fits_do_not_depend_on_the_order_of_rows(spark):
     """Several texts under one id: the same one is taken wherever the rows lie."""
     texts = ["plain words in a row", "| # | # zz", "other words, more of them here", "|||| #### zz zz"]
