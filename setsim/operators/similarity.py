@@ -147,8 +147,12 @@ def score_pairs(sources: DataFrame, targets: DataFrame, n_sources: int | None =
     # Both sides are laid out by block: whichever one a join streams keeps its tasks.
     src = src.withColumn("_b", _block_of("source_chembl_id", blocks.source)).withColumn("_t", _copies(blocks.target)) \
         .repartition(blocks.tasks, "_b", "_t")
-    tgt = tgt.withColumn("_t", _block_of("target_chembl_id", blocks.target)).withColumn("_b", _copies(blocks.source)) \
-        .repartition(blocks.tasks, "_b", "_t")
+    tgt = tgt.withColumn("_t", _block_of("target_chembl_id", blocks.target)).withColumn("_b", _copies(blocks.source))
+    if blocks.tasks == blocks.source * blocks.target:
+        # As many tasks as pairs of blocks: one each.  Their hash would give some tasks several and others none.
+        tgt = tgt.repartitionById(blocks.tasks, (F.col("_b") * blocks.target + F.col("_t")).cast("int"))
+    else:
+        tgt = tgt.repartition(blocks.tasks, "_b", "_t")
     return _pairs(src, tgt)
 
 

@@ -96,3 +96,14 @@ def test_words_of_a_stored_table_are_never_null_in_the_pairs(spark):
     for role in ("source", "target"):
         fields = {f.name: f.nullable for f in similarity._side(packed, role).schema.fields}
         assert len(fields) == 34 and [n for n, null in fields.items() if null] == [f"{role}_chembl_id"]
+
+
+def test_a_task_holds_one_block_of_a_full_score_table(spark):
+    """By the hash of the blocks some tasks held several blocks and others none."""
+    from pyspark.sql import functions as F
+    packed = catalog.Workspace.get(spark, SF_SMOKE).packed()
+    blocks = similarity.Blocks(7, 3, 21)
+    held = similarity.compute_full_similarity(packed, packed, blocks=blocks).select(
+        F.spark_partition_id().alias("task"), (F.pmod(F.xxhash64("source_chembl_id"), F.lit(7)) * 3
+                                               + F.pmod(F.xxhash64("target_chembl_id"), F.lit(3))).alias("block")).distinct().collect()
+    assert len(held) == len({r.task for r in held}) == len({r.block for r in held}) == 21
