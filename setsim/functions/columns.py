@@ -106,16 +106,18 @@ def ring_window_bits(s: str | Column, radius: int, n_bits: int, method: str = "m
     if method == "rolling":
         return rolling_window_bits(s, radius, n_bits)
 
-    def windows(chars: Column) -> Column:
+    def windows(padded: Column) -> Column:
         def per_radius(r: int) -> Column:
-            around = F.transform(chars, lambda _, i: F.array_join(
-                F.slice(chars, F.greatest(i + 1 - r, F.lit(1)), F.least(i, F.lit(r)) + 1 + r), ""))
-            keys = F.array_distinct(around) if r else F.array_distinct(chars)
+            # Empty text stands beyond either end, so that a clipped window is a plain one.
+            around = F.transform(F.slice(padded, radius + 1, F.size(padded) - 2 * radius), lambda _, i: F.concat(
+                *(F.get(padded, i + (radius + j)) for j in range(-r, r + 1))))
+            keys = F.array_distinct(around)
             return F.transform(keys, lambda w: bucket_hash(F.concat(F.lit(f"{r}:"), w), n_bits, method))
         return F.concat(*(per_radius(r) for r in range(radius + 1)))
 
+    edge = F.array_repeat(F.lit(""), radius)
     # The one-element array binds the characters to a name for the lambdas.
-    bound = F.transform(F.array(F.split(col_(s), "")), windows)
+    bound = F.transform(F.array(F.concat(edge, F.split(col_(s), ""), edge)), windows)
     return F.array_sort(F.array_distinct(F.flatten(bound)))
 
 
