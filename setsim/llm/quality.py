@@ -161,8 +161,9 @@ def _points(score: np.ndarray, weight: np.ndarray, first: float, step: float) ->
 
 
 def _cut(rows: DataFrame, raw: Callable[[np.ndarray], np.ndarray], reach: float, weight: np.ndarray, share: float) -> float:
-    """The smallest score up to which rows weigh ``share``; ``weight`` is a row's, by label."""
+    """The first score below which rows weigh ``share``; ``weight`` is a row's, by label."""
     low, width, below = -reach, 2 * reach, 0.0
+    share += weight.min() / 2  # rounding decides for no row
 
     def place(x: np.ndarray) -> np.ndarray:
         return np.floor((raw(x) - low) / (width / CUT_BINS)).astype(np.int64)
@@ -175,7 +176,7 @@ def _cut(rows: DataFrame, raw: Callable[[np.ndarray], np.ndarray], reach: float,
     while True:
         counts = _per_task(rows, binned).reshape(2, CUT_BINS)
         upto = below + np.cumsum(weight @ counts)
-        at = min(CUT_BINS - 1, int(np.searchsorted(upto, share - 1e-12)))
+        at = min(CUT_BINS - 1, int(np.searchsorted(upto, share)))
         before = below if at == 0 else float(upto[at - 1])
         if counts[:, at].sum() <= FEW:
             break
@@ -192,7 +193,7 @@ def _cut(rows: DataFrame, raw: Callable[[np.ndarray], np.ndarray], reach: float,
 
     near = sorted((r[1], r[0]) for r in rows.select("label", "x").mapInArrow(inside, "label int, s double").collect())
     upto = before + np.cumsum([weight[label] for _, label in near])
-    return float(near[min(len(near) - 1, int(np.searchsorted(upto, share - 1e-12)))][0])
+    return float(near[min(len(near) - 1, int(np.searchsorted(upto, share)))][0])
 
 
 def fit_all_pairs(rows: DataFrame, share_bad: float, weight_of_pairs: float = N_PAIRS, ridge: float = 1.0) -> QualityModel | None:

@@ -419,13 +419,13 @@ def test_quality_fit_takes_every_labelled_row_and_every_pair(spark):
     slope = quality.N_PAIRS / len(pairs) * (pairs.T @ lose) - model.weights
     assert np.abs(slope).max() < 0.05  # of a loss of 60,000 pairs; a draw of them misses by tens
     s = np.sort(z @ model.weights)
-    assert math.isclose(model.cut, s[int((~good).sum()) - 1], abs_tol=1e-9)
+    assert math.isclose(model.cut, s[int((~good).sum())], abs_tol=1e-9)
 
 
 def test_quality_cut_among_equal_scores_and_many_rows(spark):
     """More rows than are fetched at once; the cut is found whether scores repeat or not."""
     rows = spark.range(20_000).selectExpr("cast(id % 2 as int) label", "array(cast(floor(id / 4) as double)) x").repartition(5)
-    for width, want in ((1, 2499.0), (5000, 0.0)):
+    for width, want in ((1, 2500.0), (5000, 0.0)):
         got = quality._cut(rows, lambda x: x[:, 0] // width, 6000.0, np.array([0.5, 0.5]) / 10_000, 0.5)
         assert abs(got - want) < 1e-8
 
