@@ -184,6 +184,37 @@ def test_graph_hub_node(spark):
     assert got == _py_graph_bits(nodes, edges)
 
 
+def _odd_graphs(spark):
+    """Chains and hubs of 1 to 40 nodes; repeated node ids, edges without a node or
+    with a null end, a null label, and rows without a graph id."""
+    nodes = [(g, i, f"L{(g * i) % 5}") for g in range(12) for i in range(1, 2 + g * g % 41)]
+    nodes += [(3, 2, "again"), (3, 2, "L9"), (5, 1, None), (6, None, "L1"), (None, 1, "L1"), (None, 2, "L2")]
+    edges = [(g, i, i + 1) for g in range(12) for i in range(1, 1 + g * g % 41)]
+    edges += [(11, 1, i) for i in range(2, 30)]
+    edges += [(3, 1, 2), (4, 1, 99), (4, 99, 98), (20, 1, 2), (6, None, 1), (5, 2, None), (None, 1, 2)]
+    return (spark.createDataFrame(nodes, "graph_id long, node_id int, label string"),
+            spark.createDataFrame(edges, "graph_id long, a int, b int"))
+
+
+def test_small_and_large_graphs_follow_one_rule(spark):
+    nd, ed = _odd_graphs(spark)
+
+    def rows(**kw):
+        return sorted(fingerprint.graph_fingerprint(nd, ed, **kw).collect(), key=str)
+    for radius, bounds in ((2, (0, 10, 256)), (3, (10,))):  # all large, both kinds, all small
+        expected = rows(radius=radius, materialize_rounds=False)
+        assert len(expected) == 13
+        for bound in bounds:
+            assert rows(radius=radius, small_graph=bound) == expected
+
+
+def test_rounds_of_small_graphs_find_their_rows_in_place(spark):
+    nd, ed = _odd_graphs(spark)
+    plan = fingerprint.graph_fingerprint(nd, ed)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(graph_id" in plan
+    assert "ENSURE_REQUIREMENTS" not in plan  # no exchange for the join or a grouping
+
+
 def test_column_helper_equals_exploded_operator(spark):
     from setsim.functions import ring_window_bits
     df = _structs(spark, [("A", "C1CCOC(=N)C1Cl"), ("B", "x"), ("C", "ab c")])
